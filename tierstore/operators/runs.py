@@ -21,10 +21,10 @@ def already_loaded(runs: DataFrame, ledger: DataFrame) -> DataFrame:
 def duplicate_runs(runs: DataFrame) -> DataFrame:
     """GUIDs or file names that occur more than once in staging runs."""
     by_guid = (runs.groupBy("GUID").agg(F.count(F.lit(1)).alias("n"))
-               .filter("n > 1").select(F.lit("GUID").alias("key_kind"), F.col("GUID").alias("key"), "n"))
+               .filter("n > 1").select(F.lit("GUID").alias("key_kind"), F.col("GUID").alias("run_key"), "n"))
     by_name = (runs.groupBy("DisplayString").agg(F.count(F.lit(1)).alias("n"))
                .filter("n > 1").select(F.lit("DisplayString").alias("key_kind"),
-                                       F.col("DisplayString").alias("key"), "n"))
+                                       F.col("DisplayString").alias("run_key"), "n"))
     return by_guid.unionByName(by_name)
 
 

@@ -4,26 +4,44 @@ fixture states; the oracle SQL for each lives in ``oracle_queries``."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tierstore.functions.patterns import like_constant
+from tierstore.functions.partitioning import partition_number
+from tierstore.operators import counters as C
+from tierstore.operators import diagnostics as D
+from tierstore.operators import legacy as L
+from tierstore.operators import overlap as O
+from tierstore.operators import partitions as P
+from tierstore.operators import rebalance as B
+from tierstore.operators import report as REP
 from tierstore.operators import routing as R
+from tierstore.operators import runs as U
 from tierstore.operators import tiers as T
+from tierstore.schemas import COUNTER_DETAILS, FACT_COLUMNS, LEDGER
+from tierstore.sources import fixtures as X
+from tierstore.sources.rules import default_rules
 from tierstore.sources.scenarios import LoadScenario, RebalanceScenario
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# "last N days" window of the hot-tier scan, relative to the newest stored sample
+RECENT_DAYS = 30
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
+# ---------------------------------------------------------------- flagship
 @query
 def tier_year_summary(spark, sf_dir):
-    """Flagship: what a load puts in each tier and year (rows, range, counters, value sum)."""
+    """What a load puts in each tier and year (rows, range, counters, value sum)."""
     s = LoadScenario(spark, sf_dir)
     facts = R.stored_facts(s.routed)
     return (facts.groupBy("tier", "year")
@@ -34,17 +52,313 @@ def tier_year_summary(spark, sf_dir):
             .orderBy("tier", "year"))
 
 
+# ---------------------------------------------------------------- landing scans, scalars
 @query
 def scan_staging_details(spark, sf_dir):
     return LoadScenario(spark, sf_dir).details
 
 
+@query
+def scan_staging_data(spark, sf_dir):
+    return LoadScenario(spark, sf_dir).data
+
+
+@query
+def scan_staging_runs(spark, sf_dir):
+    return LoadScenario(spark, sf_dir).runs
+
+
+@query
+def parse_counter_time(spark, sf_dir):
+    """Landing time text parsed per sample, summarised per year (NULL year = unparsable)."""
+    from tierstore.functions.scalars import parse_counter_time as parse
+    d = LoadScenario(spark, sf_dir).data.select(parse("CounterDateTime").alias("ts"))
+    return (d.groupBy(F.year("ts").cast("int").alias("year"))
+            .agg(F.count(F.lit(1)).alias("num_rows"), F.min("ts").alias("min_dt"), F.max("ts").alias("max_dt"))
+            .orderBy("year"))
+
+
+@query
+def value_to_decimal(spark, sf_dir):
+    """Values converted to decimal(28,0) per run: rows, sum, unconvertible rows."""
+    from tierstore.functions.scalars import to_stored_value
+    d = LoadScenario(spark, sf_dir).data.select("GUID", to_stored_value("CounterValue").alias("v"))
+    return (d.groupBy("GUID").agg(F.count(F.lit(1)).alias("num_rows"), F.sum("v").alias("value_sum"),
+                                  F.count_if(F.col("v").isNull()).alias("num_null"))
+            .orderBy("GUID"))
+
+
+@query
+def business_key(spark, sf_dir):
+    return C.business_keys(LoadScenario(spark, sf_dir).details)
+
+
+@query
+def partition_number(spark, sf_dir):
+    """Samples per partition of a yearly RANGE RIGHT function whose boundaries are the years
+    after the first one in the data."""
+    facts = X.facts_as_is(LoadScenario(spark, sf_dir).data)
+    lo, hi = P.data_year_span(facts)
+    years = list(range(lo + 1, hi + 1))
+    from tierstore.functions.partitioning import partition_number as pn
+    return (facts.groupBy(pn("CounterDateTime", years).alias("partition_number"))
+            .agg(F.count(F.lit(1)).alias("num_rows"), F.min("CounterDateTime").alias("min_dt"),
+                 F.max("CounterDateTime").alias("max_dt"))
+            .orderBy("partition_number"))
+
+
+# ---------------------------------------------------------------- rules and tiers
 @query
 def tier_resolve(spark, sf_dir):
-    s = RebalanceScenario(spark, sf_dir)
-    return s.tier_map
+    return RebalanceScenario(spark, sf_dir).tier_map
 
 
 @query
 def tier_distribution(spark, sf_dir):
     return T.tier_distribution(RebalanceScenario(spark, sf_dir).tier_map)
+
+
+@query
+def tier_drilldown(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return T.tier_drilldown(s.tier_map, s.counters)
+
+
+@query
+def rules_by_tier(spark, sf_dir):
+    """Per default rule: counters it matches and counters for which it decides the tier."""
+    s = RebalanceScenario(spark, sf_dir)
+    return T.rule_coverage(s.counters, default_rules(spark))
+
+
+# ---------------------------------------------------------------- runs and ledger
+@query
+def new_runs(spark, sf_dir):
+    return LoadScenario(spark, sf_dir).new
+
+
+@query
+def already_loaded_runs(spark, sf_dir):
+    s = LoadScenario(spark, sf_dir)
+    return U.already_loaded(s.runs, s.ledger)
+
+
+@query
+def dup_runs(spark, sf_dir):
+    return U.duplicate_runs(LoadScenario(spark, sf_dir).runs)
+
+
+@query
+def staging_time_range(spark, sf_dir):
+    return U.time_range(LoadScenario(spark, sf_dir).new)
+
+
+@query
+def mark_loaded(spark, sf_dir):
+    return U.ledger_rows(LoadScenario(spark, sf_dir).new)
+
+
+@query
+def runs_by_prefix(spark, sf_dir):
+    return U.runs_by_prefix(LoadScenario(spark, sf_dir).runs)
+
+
+# ---------------------------------------------------------------- counter merge
+@query
+def used_counters(spark, sf_dir):
+    s = LoadScenario(spark, sf_dir)
+    return C.used_counters(s.details, s.data, s.new)
+
+
+@query
+def merge_counters(spark, sf_dir):
+    """Two loads into an empty vault: the first run, then all later runs. Returns the rows the
+    second merge inserts (keys not yet present, ids continuing after the current maximum)."""
+    s = LoadScenario(spark, sf_dir)
+    first = s.runs.agg(F.min("GUID").alias("GUID"))
+    empty = spark.createDataFrame([], COUNTER_DETAILS)
+    vault0 = C.merge_counters(empty, C.used_counters(s.details, s.data, first))
+    later = s.runs.join(first, "GUID", "left_anti")
+    return C.merge_counters(vault0, C.used_counters(s.details, s.data, later))
+
+
+@query
+def counter_id_map(spark, sf_dir):
+    return LoadScenario(spark, sf_dir).id_map
+
+
+@query
+def legacy_id_dedupe(spark, sf_dir):
+    return C.canonical_ids(LoadScenario(spark, sf_dir).details)
+
+
+# ---------------------------------------------------------------- load
+@query
+def tier_routed_load(spark, sf_dir):
+    return R.stored_facts(LoadScenario(spark, sf_dir).routed)
+
+
+def _new_range(s: LoadScenario) -> tuple[dt.datetime, dt.datetime]:
+    r = U.time_range(s.new).first()
+    return r["range_from"], r["range_to"]
+
+
+@query
+def overlap_check(spark, sf_dir):
+    """Re-delivered logs: the store already holds every run's samples, the ledger only the old
+    runs; the first tier with a collision is reported."""
+    s = LoadScenario(spark, sf_dir)
+    lo, hi = _new_range(s)
+    return O.first_overlap_tier(s.stored_redelivered, O.probe_set(s.rmap), lo, hi)
+
+
+@query
+def overlap_detail(spark, sf_dir):
+    s = LoadScenario(spark, sf_dir)
+    lo, hi = _new_range(s)
+    return O.overlap_detail(s.stored_redelivered, O.probe_set(s.rmap), s.vault_after, lo, hi)
+
+
+@query
+def load_report(spark, sf_dir):
+    s = LoadScenario(spark, sf_dir)
+    return REP.load_report(s.new, U.duplicate_runs(s.runs), s.merged, s.routed)
+
+
+@query
+def unload_runs(spark, sf_dir):
+    """Store after removing the samples of the runs now in staging, per tier and year."""
+    s = LoadScenario(spark, sf_dir)
+    left = s.stored_redelivered.join(s.new.select("GUID"), "GUID", "left_anti")
+    return left.groupBy("tier", "year").agg(F.count(F.lit(1)).alias("num_rows")).orderBy("tier", "year")
+
+
+@query
+def legacy_batch(spark, sf_dir):
+    """The whole legacy import in batches of 30 runs into an empty vault."""
+    s = LoadScenario(spark, sf_dir)
+    empty = spark.createDataFrame([], LEDGER)
+    return L.batch_summary(s.runs, empty, s.data, s.details)
+
+
+# ---------------------------------------------------------------- store reads
+@query
+def unified_view(spark, sf_dir):
+    f = RebalanceScenario(spark, sf_dir).facts
+    return f.select(F.col("tier").alias("Tier"), *FACT_COLUMNS)
+
+
+@query
+def time_range_scan(spark, sf_dir):
+    """Hot-tier samples of the last 30 days before the newest stored sample."""
+    f = RebalanceScenario(spark, sf_dir).facts
+    newest = f.agg(F.max("CounterDateTime")).first()[0]
+    start = newest - dt.timedelta(days=RECENT_DAYS)
+    from tierstore.plans.store import recent_filter
+    return f.filter(recent_filter(1, start, newest)).select(*FACT_COLUMNS, "tier", "year")
+
+
+@query
+def facts_matching_object(spark, sf_dir):
+    """Samples of counters whose object name contains 'depre' (case-insensitive)."""
+    s = RebalanceScenario(spark, sf_dir)
+    ids = s.counters.filter(like_constant(F.col("ObjectName"), "%depre%")).select("CounterID")
+    return s.facts.join(F.broadcast(ids), "CounterID", "left_semi").agg(F.count(F.lit(1)).alias("num_facts"))
+
+
+# ---------------------------------------------------------------- rebalance
+@query
+def rebalance_detect(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return B.misplaced(B.placement(s.facts), s.tier_map)
+
+
+@query
+def rebalance_summary(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return B.summary(B.misplaced(B.placement(s.facts), s.tier_map))
+
+
+@query
+def rebalance_detail(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return B.detail(B.misplaced(B.placement(s.facts), s.tier_map), s.counters)
+
+
+@query
+def rebalance_moved(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return B.moved(s.facts, s.tier_map)
+
+
+@query
+def rebalance_apply(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return B.relabel(s.facts, s.tier_map)
+
+
+@query
+def rebalance_purge(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return B.purged(B.misplaced(B.placement(s.facts), s.tier_map))
+
+
+# ---------------------------------------------------------------- diagnostics
+@query
+def dupes_within(spark, sf_dir):
+    return D.dupes_within(RebalanceScenario(spark, sf_dir).facts)
+
+
+@query
+def dupes_across(spark, sf_dir):
+    return D.dupes_across(RebalanceScenario(spark, sf_dir).facts_f5)
+
+
+@query
+def counters_multi_tier(spark, sf_dir):
+    s = RebalanceScenario(spark, sf_dir)
+    return D.counters_multi_tier(s.facts_f5, s.counters)
+
+
+@query
+def layout_health(spark, sf_dir):
+    return D.layout_health(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
+
+
+@query
+def layout_by_year(spark, sf_dir):
+    return D.layout_by_year(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
+
+
+@query
+def column_profile(spark, sf_dir):
+    return D.column_profile(RebalanceScenario(spark, sf_dir).facts, exact=True)
+
+
+# ---------------------------------------------------------------- partitions
+@query
+def year_boundaries(spark, sf_dir):
+    return P.data_boundaries(RebalanceScenario(spark, sf_dir).facts)
+
+
+@query
+def add_year(spark, sf_dir):
+    """Boundaries of the data plus the year after the last one; adding a present year again
+    changes nothing."""
+    f = RebalanceScenario(spark, sf_dir).facts
+    lo, hi = P.data_year_span(f)
+    years = P.add_year(P.add_year(list(range(lo + 1, hi + 1)), hi + 1), hi)
+    return P.boundaries_frame(spark, years)
+
+
+@query
+def partition_report(spark, sf_dir):
+    f = RebalanceScenario(spark, sf_dir).facts
+    lo, hi = P.data_year_span(f)
+    return P.partition_report(f, list(range(lo + 1, hi + 1)))
+
+
+@query
+def replace_year(spark, sf_dir):
+    """Range check of every (tier, year) partition before it may be put back."""
+    return P.range_violations(RebalanceScenario(spark, sf_dir).facts)
