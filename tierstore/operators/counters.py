@@ -62,7 +62,7 @@ def merge_counters(vault: DataFrame, used: DataFrame, case_sensitive: bool = Fal
 
 def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """(StagingCounterID, VaultCounterID) by sentinel-key equi join."""
-    s = with_key(details, case_sensitive).select(F.col("CounterID").alias("StagingCounterID"), *KEY_NAMES)
+    s = with_key(details, case_sensitive).select(F.col("CounterID").alias("StagingCounterID"), *KEY_NAMES).distinct()
     v = with_key(vault, case_sensitive).select(F.col("CounterID").alias("VaultCounterID"), *KEY_NAMES)
     return s.join(v, KEY_NAMES, "inner").select("StagingCounterID", "VaultCounterID")
 
@@ -81,3 +81,9 @@ def canonical_ids(details: DataFrame, case_sensitive: bool = False) -> DataFrame
     keyed = with_key(details, case_sensitive)
     w = Window.partitionBy(*KEY_NAMES)
     return keyed.select("CounterID", F.min("CounterID").over(w).alias("CounterID_min"))
+
+
+def ambiguous_staging_ids(id_map: DataFrame) -> DataFrame:
+    """Staging ids that map to more than one vault id (two different definitions under one id)."""
+    return (id_map.groupBy("StagingCounterID").agg(F.count_distinct("VaultCounterID").alias("n"))
+            .filter("n > 1"))

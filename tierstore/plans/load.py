@@ -94,6 +94,10 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
 
     tier_map = resolve_tiers(vault_after, rules, case_sensitive)
     rmap = _materialise(R.route_map(C.counter_id_map(staging.details, vault_after, case_sensitive), tier_map))
+    amb = C.ambiguous_staging_ids(rmap).limit(5).collect()
+    if amb:
+        return LoadResult(1, f"ERROR: staging counter ids with conflicting definitions: "
+                             f"{[r['StagingCounterID'] for r in amb]}", REP.report_frame(spark, vals), values=vals)
 
     if not skip_validation:
         facts = store.facts(st)
@@ -104,11 +108,15 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
                    f"[{lo:%Y-%m-%d %H:%M:%S} - {hi:%Y-%m-%d %H:%M:%S}]; first overlap in {hit['dup_tier']}.")
             return LoadResult(1, msg, REP.report_frame(spark, vals), batch=None, detail=detail, values=vals)
 
-    obs = Observation("routed")
+    obs = Observation("stored")
     routed = R.route(staging.data, new, rmap, value_type)
-    routed = routed.observe(obs, *REP.routed_counts(routed))
-    store.write_facts(R.stored_facts(routed), batch, rows_per_file or 1_048_576)
+    store.write_facts(R.stored_facts(routed), batch, rows_per_file or 1_048_576, observation=obs)
     vals.update({k: int(v) for k, v in obs.get.items()})
+    # samples that are not stored: one narrow aggregate over the batch (never shuffled)
+    dropped = (routed.filter(F.col("status") != R.STORED).groupBy("status").count().collect())
+    names = {R.EXCLUDED: "tier0_rows", R.UNMAPPED: "unmapped_rows", R.QUARANTINED: "quarantined_rows"}
+    vals.update({v: 0 for v in names.values()})
+    vals.update({names[r["status"]]: int(r["count"]) for r in dropped})
 
     store.write_table("ledger", U.ledger_rows(new), batch)
     vals["runs_marked"] = vals["new_runs"]

@@ -132,11 +132,19 @@ class Store:
         return df
 
     # ------------------------------------------------------------ writes
-    def write_facts(self, facts: DataFrame, batch: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-        """One clustered, partitioned write of a batch (range shuffle + sort, then files)."""
-        (clustered(facts.select(*[f.name for f in FACTS.fields]))
-         .write.mode("error").option("maxRecordsPerFile", rows_per_file)
-         .partitionBy("tier", "year").parquet(self.path("facts", f"batch={batch}")))
+    def write_facts(self, facts: DataFrame, batch: str, rows_per_file: int = ROWS_PER_FILE,
+                    observation=None, zstd_level: int | None = None) -> None:
+        """One clustered, partitioned write of a batch (range shuffle + sort, then files).
+
+        ``observation`` collects per-tier row counts above the range exchange, so the
+        sampling pass of the range partitioner does not count rows twice."""
+        df = clustered(facts.select(*[f.name for f in FACTS.fields]))
+        if observation is not None:
+            df = df.observe(observation, *[F.count_if(F.col("tier") == t).alias(f"tier{t}_rows") for t in (1, 2, 3)])
+        w = df.write.mode("error").option("maxRecordsPerFile", rows_per_file)
+        if zstd_level:
+            w = w.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(zstd_level))
+        w.partitionBy("tier", "year").parquet(self.path("facts", f"batch={batch}"))
 
     def write_table(self, table: str, df: DataFrame, batch: str) -> None:
         df.coalesce(1).write.mode("error").parquet(self.path(table, f"batch={batch}"))

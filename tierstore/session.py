@@ -62,3 +62,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark)
     return os.path.join(base, "tierstore-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut the lineage of a small, reused intermediate with a reliable checkpoint in the shared
+    checkpoint folder (it survives executor loss, unlike a local checkpoint). Where no shared
+    folder is configured the frame is cached instead (recomputed from lineage if lost)."""
+    spark = df.sparkSession
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if path:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+        return df.checkpoint(eager=True)
+    df = df.cache()
+    df.count()
+    return df

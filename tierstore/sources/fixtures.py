@@ -127,3 +127,15 @@ def event_samples_f7(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("int").alias("FirstValueA"), F.lit(None).cast("int").alias("FirstValueB"),
         F.lit(None).cast("int").alias("SecondValueA"), F.lit(None).cast("int").alias("SecondValueB"),
         F.lit(1).alias("MultiCount")))
+
+
+def event_details_f7(events: DataFrame) -> DataFrame:
+    """One counter definition per event type (ids as in ``event_samples_f7``)."""
+    t = events.select("event_type").distinct()
+    return normalize_details(t.select(
+        (F.xxhash64("event_type") % 1000).cast("int").alias("CounterID"), F.lit("M0").alias("MachineName"),
+        F.lit("Events").alias("ObjectName"), F.col("event_type").alias("CounterName"),
+        F.lit(0).alias("CounterType"), F.lit(0).alias("DefaultScale"),
+        F.lit(None).cast("string").alias("InstanceName"), F.lit(None).cast("int").alias("InstanceIndex"),
+        F.lit(None).cast("string").alias("ParentName"), F.lit(None).cast("int").alias("ParentObjectID"),
+        F.lit(None).cast("int").alias("TimeBaseA"), F.lit(None).cast("int").alias("TimeBaseB")))

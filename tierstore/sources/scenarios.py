@@ -17,6 +17,7 @@ from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators.tiers import resolve_tiers
 from tierstore.schemas import COUNTER_DETAILS
+from tierstore.session import materialize
 from tierstore.sources import fixtures as X
 from tierstore.sources.rules import default_rules
 
@@ -47,18 +48,18 @@ class LoadScenario:
 
     @cached_property
     def new(self) -> DataFrame:
-        return U.new_runs(self.runs, self.ledger)
+        return materialize(U.new_runs(self.runs, self.ledger))
 
     @cached_property
     def vault_before(self) -> DataFrame:
         empty = self.spark.createDataFrame([], COUNTER_DETAILS)
         old = C.used_counters(self.details, self.data, X.ledger_runs_f3(self.runs))
-        return C.merge_counters(empty, old, self.cs)
+        return materialize(C.merge_counters(empty, old, self.cs))
 
     @cached_property
     def merged(self) -> DataFrame:
         used = C.used_counters(self.details, self.data, self.new)
-        return C.merge_counters(self.vault_before, used, self.cs)
+        return materialize(C.merge_counters(self.vault_before, used, self.cs))
 
     @cached_property
     def vault_after(self) -> DataFrame:
@@ -74,7 +75,7 @@ class LoadScenario:
 
     @cached_property
     def rmap(self) -> DataFrame:
-        return R.route_map(self.id_map, self.tier_map)
+        return materialize(R.route_map(self.id_map, self.tier_map))
 
     @cached_property
     def routed(self) -> DataFrame:
@@ -104,7 +105,7 @@ class RebalanceScenario:
 
     @cached_property
     def tier_map(self) -> DataFrame:
-        return resolve_tiers(self.counters, default_rules(self.spark), self.cs)
+        return materialize(resolve_tiers(self.counters, default_rules(self.spark), self.cs))
 
     @cached_property
     def facts_f5(self) -> DataFrame:
