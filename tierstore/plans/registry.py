@@ -362,3 +362,39 @@ def partition_report(spark, sf_dir):
 def replace_year(spark, sf_dir):
     """Range check of every (tier, year) partition before it may be put back."""
     return P.range_violations(RebalanceScenario(spark, sf_dir).facts)
+
+
+# ---------------------------------------------------------------- jobs on a scratch store (rows-only)
+@query
+def compact_year(spark, sf_dir):
+    """Load the F4 store as one batch per tier into a scratch store, compact the busiest
+    (tier, year) into files of at most 1,000 rows, and report the layout of that partition."""
+    from tierstore.plans.maintenance import compact_year as compact
+    from tierstore.plans.store import Store
+    from tierstore.session import scratch_path
+    f = RebalanceScenario(spark, sf_dir).facts
+    store = Store(spark, scratch_path(spark, "compact"))
+    for t in (1, 2, 3):
+        b = store.new_batch()
+        store.write_facts(f.filter(F.col("tier") == t), b)
+        store.commit("load", b)
+    top = f.groupBy("tier", "year").count().orderBy(F.col("count").desc(), "tier", "year").first()
+    compact(store, top["tier"], top["year"], rows_per_file=1000)
+    chunks = D.file_chunks(store.facts()).filter((F.col("tier") == top["tier"]) & (F.col("year") == top["year"]))
+    return D.layout_by_year(chunks, 1000)
+
+
+@query
+def ingest_summary(spark, sf_dir):
+    """Daily event drops (F7) picked up by one availableNow stream into a scratch store."""
+    from tierstore.plans.store import Store
+    from tierstore.session import scratch_path
+    from tierstore.sources.staging import Staging
+    from tierstore.streaming import ingest as I
+    root = scratch_path(spark, "ingest")
+    ev = X.table(spark, sf_dir, "events")
+    data = X.event_samples_f7(ev)
+    I.land(Staging(data, X.event_details_f7(ev), X.staging_runs_f3(data)), f"{root}/landing")
+    store = Store(spark, f"{root}/store")
+    I.ingest(spark, f"{root}/landing", store, f"{root}/archive", f"{root}/checkpoint")
+    return I.summary(store)
