@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tierstore.functions.keys import KEY_NAMES, with_key
+from tierstore.functions.ranking import dense_ids
 from tierstore.schemas import COUNTER_DETAILS
 
 DETAIL_COLUMNS = [f.name for f in COUNTER_DETAILS.fields]
@@ -48,16 +49,14 @@ def key_conflicts(used: DataFrame, case_sensitive: bool = False) -> DataFrame:
 def merge_counters(vault: DataFrame, used: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """New vault rows for definitions whose key is not in the vault yet (insert only).
 
-    Ids continue after the highest vault id in key order, so the assignment is deterministic.
-    Only the new-definition set (a dimension delta) passes the global ordering window.
+    Ids continue after the highest vault id in key order, so the assignment is deterministic;
+    the numbering is distributed (range partitions + per-partition offsets).
     """
     src = merge_source(used, case_sensitive)
     existing = with_key(vault, case_sensitive).select(*KEY_NAMES)
     new = src.join(existing, KEY_NAMES, "left_anti")
     base = vault.agg(F.coalesce(F.max("CounterID"), F.lit(0))).scalar()   # scalar subquery
-    w = Window.orderBy(*KEY_NAMES)
-    return (new.withColumn("_rn", F.row_number().over(w))
-            .select((base + F.col("_rn")).cast("int").alias("CounterID"), *ATTRS))
+    return dense_ids(new.drop("CounterID"), KEY_NAMES, "CounterID", base).select("CounterID", *ATTRS)
 
 
 def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool = False) -> DataFrame:

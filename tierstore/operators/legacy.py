@@ -7,9 +7,10 @@ ledger) are taken in file-name order, ``batch_size`` at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tierstore.functions.broadcast import bounded_broadcast
+from tierstore.functions.ranking import dense_ids
 from tierstore.operators.counters import canonical_ids
 
 BATCH_SIZE = 30
@@ -17,13 +18,10 @@ MAX_COUNTERS = 5_000_000
 
 
 def pending_batches(source_runs: DataFrame, ledger: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Every pending run with its position and batch number (file-name order, GUID tie-break).
-
-    The runs table is a small dimension (one row per log file); the global order is a
-    single-partition window over it, never over samples."""
+    """Every pending run with its position and batch number (file-name order, GUID tie-break);
+    the numbering is distributed, no single-task window."""
     pending = source_runs.join(ledger.select("GUID"), "GUID", "left_anti")
-    w = Window.orderBy("DisplayString", "GUID")
-    return (pending.withColumn("rn", F.row_number().over(w))
+    return (dense_ids(pending, ["DisplayString", "GUID"], "rn")
             .withColumn("batch_no", ((F.col("rn") - 1) / batch_size).cast("int") + 1))
 
 

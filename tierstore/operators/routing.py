@@ -66,6 +66,5 @@ def clustered(facts: DataFrame, num_partitions: int | None = None) -> DataFrame:
     contiguous key range, so files do not overlap and min/max statistics prune well. Range
     boundaries come from sampling, so a hot tier/year is split over many tasks."""
     keys = cluster_key()
-    df = facts.repartitionByRange(num_partitions, *keys) if num_partitions \
-        else facts.repartitionByRange(*keys)
+    df = facts.repartitionByRange(num_partitions, *keys) if num_partitions else facts.repartitionByRange(*keys)
     return df.sortWithinPartitions(*keys)

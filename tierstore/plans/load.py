@@ -19,9 +19,9 @@ from tierstore.operators import report as REP
 from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators.tiers import resolve_tiers
-from tierstore.plans.store import Store
+from tierstore.plans.store import ROWS_PER_FILE, Store, partitions_for
 from tierstore.schemas import VALUE_TYPE
-from tierstore.session import checkpoint_dir
+from tierstore.session import checkpoint_dir, materialize
 from tierstore.sources.rules import assert_valid, default_rules
 from tierstore.sources.staging import Staging
 
@@ -37,8 +37,8 @@ class LoadResult:
 
 
 def _materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small, reused intermediate (survives executor loss)."""
-    return df.checkpoint(eager=True)
+    """A small, reused intermediate written once to the shared folder (survives executor loss)."""
+    return materialize(df)
 
 
 def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None = None, *,
@@ -66,10 +66,10 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
         return LoadResult(0, "No new data to load.", REP.report_frame(spark, vals), values=vals)
 
     if not skip_validation:
-        dups = U.duplicate_runs(staging.runs).collect()
-        vals["duplicate_runs"] = len(dups)
+        dups = U.duplicate_runs(staging.runs).count()
+        vals["duplicate_runs"] = dups
         if dups:
-            return LoadResult(1, f"ERROR: {len(dups)} duplicate run key(s) in staging runs.",
+            return LoadResult(1, f"ERROR: {dups} duplicate run key(s) in staging runs.",
                               REP.report_frame(spark, vals), values=vals)
     bad_ledger = U.invalid_ledger_rows(U.ledger_rows(new)).count()
     if bad_ledger:
@@ -77,6 +77,8 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
                           REP.report_frame(spark, vals), values=vals)
     rng = U.time_range(new).first()
     lo, hi = rng["range_from"], rng["range_to"]
+    # expected samples from the run headers (metadata, no scan) size the write
+    expected = new.agg(F.sum("NumberOfRecords")).first()[0]
 
     batch = store.new_batch()
     vault = store.counters(st)
@@ -110,7 +112,9 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
 
     obs = Observation("stored")
     routed = R.route(staging.data, new, rmap, value_type)
-    store.write_facts(R.stored_facts(routed), batch, rows_per_file or 1_048_576, observation=obs)
+    per_file = rows_per_file or ROWS_PER_FILE
+    store.write_facts(R.stored_facts(routed), batch, per_file, observation=obs,
+                      num_partitions=partitions_for(expected, per_file))
     vals.update({k: int(v) for k, v in obs.get.items()})
     # samples that are not stored: one narrow aggregate over the batch (never shuffled)
     dropped = (routed.filter(F.col("status") != R.STORED).groupBy("status").count().collect())

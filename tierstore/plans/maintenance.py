@@ -15,9 +15,9 @@ from tierstore.operators import diagnostics as D
 from tierstore.operators import partitions as P
 from tierstore.operators import rebalance as B
 from tierstore.operators.tiers import resolve_tiers
-from tierstore.plans.store import ROWS_PER_FILE, Store
+from tierstore.plans.store import ROWS_PER_FILE, ZSTD_LEVEL_COLD, Store, partitions_for
 from tierstore.schemas import FACT_COLUMNS
-from tierstore.session import checkpoint_dir
+from tierstore.session import checkpoint_dir, materialize
 from tierstore.sources.rules import assert_valid, default_rules
 
 MAX_COUNTERS = 5_000_000
@@ -46,9 +46,9 @@ def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True
     assert_valid(rules)
     st = store.state()
     counters = store.counters(st)
-    tier_map = resolve_tiers(counters, rules, case_sensitive).checkpoint(eager=True)
+    tier_map = materialize(resolve_tiers(counters, rules, case_sensitive))
     facts = store.facts(st, with_batch=True)
-    mis = B.misplaced(B.placement(facts), tier_map).checkpoint(eager=True)
+    mis = materialize(B.misplaced(B.placement(facts), tier_map))
     n = mis.count()
     res = RebalanceResult(n, B.summary(mis), B.detail(mis, counters))
     if n == 0 or dry_run:
@@ -59,7 +59,7 @@ def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True
     tot = src.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     new = B.relabel(src.drop("batch"), tier_map)
     batch = store.new_batch()
-    store.write_facts(new, batch)
+    store.write_facts(new, batch, num_partitions=partitions_for(tot))
     kept = spark.read.parquet(store.path("facts", f"batch={batch}")).count()
     res.purged_rows = tot - kept
     res.moved_rows = mis.filter(F.col("TargetTier") != 0).agg(F.sum("NumRows")).first()[0] or 0
@@ -107,8 +107,10 @@ def compact_year(store: Store, tier: int, year: int, rows_per_file: int = ROWS_P
     affected = store.folders(facts)
     if not affected:
         return None
+    rows = facts.count()              # Parquet footers: no data pages are read
     batch = store.new_batch()
-    store.write_facts(facts.drop("batch"), batch, rows_per_file)
+    store.write_facts(facts.drop("batch"), batch, rows_per_file, num_partitions=partitions_for(rows, rows_per_file),
+                      zstd_level=ZSTD_LEVEL_COLD if tier == 3 else None)
     store.commit("compact", batch, retired=affected, state=st)
     return batch
 

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.patterns import like_constant
 from tierstore.functions.partitioning import partition_number
 from tierstore.operators import counters as C
@@ -263,7 +264,7 @@ def facts_matching_object(spark, sf_dir):
     """Samples of counters whose object name contains 'depre' (case-insensitive)."""
     s = RebalanceScenario(spark, sf_dir)
     ids = s.counters.filter(like_constant(F.col("ObjectName"), "%depre%")).select("CounterID")
-    return s.facts.join(F.broadcast(ids), "CounterID", "left_semi").agg(F.count(F.lit(1)).alias("num_facts"))
+    return s.facts.join(bounded_broadcast(ids), "CounterID", "left_semi").agg(F.count(F.lit(1)).alias("num_facts"))
 
 
 # ---------------------------------------------------------------- rebalance

@@ -53,6 +53,13 @@ def recent_filter(tier: int, start: dt.datetime, end: dt.datetime):
                                                F.lit(end).cast("timestamp_ntz")))
 
 
+def partitions_for(rows: int | None, rows_per_file: int = ROWS_PER_FILE) -> int | None:
+    """Write tasks for an expected row count: about one full file per task."""
+    if not rows:
+        return None
+    return max(1, -(-int(rows) // rows_per_file))
+
+
 @dataclass
 class StoreState:
     batches: list[str] = field(default_factory=list)
@@ -116,8 +123,6 @@ class Store:
             gone = F.struct("batch", "tier", "year").isin(
                 *[F.struct(F.lit(b), F.lit(t), F.lit(y)) for b, t, y in sorted(st.retired)])
             df = df.filter(~gone)
-        if st.retired_runs:
-            df = df.filter(~F.col("GUID").isin(*sorted(st.retired_runs)))
         return df if with_batch else df.drop("batch")
 
     def counters(self, state: StoreState | None = None) -> DataFrame:
@@ -133,12 +138,14 @@ class Store:
 
     # ------------------------------------------------------------ writes
     def write_facts(self, facts: DataFrame, batch: str, rows_per_file: int = ROWS_PER_FILE,
-                    observation=None, zstd_level: int | None = None) -> None:
+                    observation=None, zstd_level: int | None = None,
+                    num_partitions: int | None = None) -> None:
         """One clustered, partitioned write of a batch (range shuffle + sort, then files).
 
         ``observation`` collects per-tier row counts above the range exchange, so the
-        sampling pass of the range partitioner does not count rows twice."""
-        df = clustered(facts.select(*[f.name for f in FACTS.fields]))
+        sampling pass of the range partitioner does not count rows twice. ``num_partitions``
+        (write tasks) should follow the expected rows, see ``partitions_for``."""
+        df = clustered(facts.select(*[f.name for f in FACTS.fields]), num_partitions)
         if observation is not None:
             df = df.observe(observation, *[F.count_if(F.col("tier") == t).alias(f"tier{t}_rows") for t in (1, 2, 3)])
         w = df.write.mode("error").option("maxRecordsPerFile", rows_per_file)

@@ -65,16 +65,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut the lineage of a small, reused intermediate with a reliable checkpoint in the shared
-    checkpoint folder (it survives executor loss, unlike a local checkpoint). Where no shared
-    folder is configured the frame is cached instead (recomputed from lineage if lost)."""
+    """Cut the lineage of a small, reused intermediate by writing it as a table in the shared
+    checkpoint folder and reading it back: one computation, survives executor loss (unlike a
+    local checkpoint; ``Dataset.checkpoint`` would compute an unpersisted input twice)."""
+    import uuid
     spark = df.sparkSession
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
-    if path:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(path)
-        return df.checkpoint(eager=True)
-    df = df.cache()
-    df.count()
-    return df
+    if not base:
+        df = df.cache()
+        df.count()
+        return df
+    path = os.path.join(base, "tierstore-tables", uuid.uuid4().hex)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.scalars import parse_counter_time, to_stored_value
 from tierstore.schemas import FACT_COLUMNS
 from tierstore.sources.staging import normalize_data, normalize_details, normalize_runs
@@ -99,7 +100,7 @@ def store_f4(data: DataFrame) -> DataFrame:
 def store_f5(f4: DataFrame, tier_map: DataFrame) -> DataFrame:
     """F4 after a move that copied misplaced facts into their target tier but never deleted
     them at the source (an interrupted rebalance): those facts exist in two tiers."""
-    copies = (f4.join(F.broadcast(tier_map.select("CounterID", F.col("Tier").alias("target"))),
+    copies = (f4.join(bounded_broadcast(tier_map.select("CounterID", F.col("Tier").alias("target"))),
                       "CounterID", "inner")
               .filter((F.col("target") != F.col("tier")) & (F.col("target") > 0))
               .select(*FACT_COLUMNS, F.col("target").alias("tier"), "year"))

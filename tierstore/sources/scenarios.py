@@ -36,7 +36,8 @@ class LoadScenario:
 
     @cached_property
     def runs(self) -> DataFrame:
-        return X.staging_runs_f3(self.data)
+        # one row per log run: small, reused by most steps, so written once
+        return materialize(X.staging_runs_f3(self.data))
 
     @cached_property
     def ledger(self) -> DataFrame:
