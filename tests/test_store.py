@@ -135,3 +135,18 @@ def test_plans_prune_and_stay_on_the_jvm(spark, root):
     text = routed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text
     assert "PythonUDF" not in text and "ArrowEvalPython" not in text and "BatchEvalPython" not in text
+
+
+def test_legacy_import_in_batches(spark, root):
+    from tierstore.plans.legacy_import import legacy_import
+    data = X.staging_data_f2(X.table(spark, SF001, "lineitem"))
+    details = X.counter_details_f1(X.table(spark, SF001, "part"))
+    runs = X.staging_runs_f3(data)
+    store = Store(spark, root + "/store")
+    results = legacy_import(store, runs, data, details, batch_size=30)
+    n = runs.count()
+    assert [r.values["new_runs"] for r in results] == [30] * (n // 30) + ([n % 30] if n % 30 else [])
+    assert store.ledger().count() == n
+    stored = sum(r.values["tier1_rows"] + r.values["tier2_rows"] + r.values["tier3_rows"] for r in results)
+    assert store.facts().count() == stored
+    assert legacy_import(store, runs, data, details) == []
