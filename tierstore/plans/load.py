@@ -8,6 +8,7 @@ commit row. Nothing is visible before the commit row; a retry after a crash star
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -34,6 +35,7 @@ class LoadResult:
     batch: str | None = None
     detail: DataFrame | None = None  # overlap detail when refused
     values: dict = field(default_factory=dict)
+    timings: dict = field(default_factory=dict)   # seconds per step (progress messages)
 
 
 def _materialise(df: DataFrame) -> DataFrame:
@@ -58,12 +60,15 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     assert_valid(rules)
     st = store.state()
     vals: dict = {}
+    clock = _Clock()
 
     new = U.new_runs(staging.runs, store.ledger(st))
     new = _materialise(new)
     vals["new_runs"] = new.count()
+    clock.mark("new_runs")
     if vals["new_runs"] == 0:
-        return LoadResult(0, "No new data to load.", REP.report_frame(spark, vals), values=vals)
+        return LoadResult(0, "No new data to load.", REP.report_frame(spark, vals), values=vals,
+                          timings=clock.steps)
 
     if not skip_validation:
         dups = U.duplicate_runs(staging.runs).count()
@@ -79,6 +84,7 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     lo, hi = rng["range_from"], rng["range_to"]
     # expected samples from the run headers (metadata, no scan) size the write
     expected = new.agg(F.sum("NumberOfRecords")).first()[0]
+    clock.mark("validate_runs")
 
     batch = store.new_batch()
     vault = store.counters(st)
@@ -89,10 +95,11 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     vals["new_counters"] = merged.count()
     vault_after = vault.unionByName(merged)
     C.assert_unique_keys(vault_after, case_sensitive)
+    clock.mark("merge_counters")
     if only_counters:
         store.commit("counters", batch, state=st)
         return LoadResult(0, "Counter merge complete, data load skipped.", REP.report_frame(spark, vals),
-                          batch=batch, values=vals)
+                          batch=batch, values=vals, timings=clock.steps)
 
     tier_map = resolve_tiers(vault_after, rules, case_sensitive)
     rmap = _materialise(R.route_map(C.counter_id_map(staging.details, vault_after, case_sensitive), tier_map))
@@ -100,6 +107,7 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     if amb:
         return LoadResult(1, f"ERROR: staging counter ids with conflicting definitions: "
                              f"{[r['StagingCounterID'] for r in amb]}", REP.report_frame(spark, vals), values=vals)
+    clock.mark("tier_and_id_map")
 
     if not skip_validation:
         facts = store.facts(st)
@@ -108,7 +116,9 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
             detail = O.overlap_detail(facts, O.probe_set(rmap), vault_after, lo, hi)
             msg = (f"ERROR: store already holds samples of staging counters in "
                    f"[{lo:%Y-%m-%d %H:%M:%S} - {hi:%Y-%m-%d %H:%M:%S}]; first overlap in {hit['dup_tier']}.")
-            return LoadResult(1, msg, REP.report_frame(spark, vals), batch=None, detail=detail, values=vals)
+            return LoadResult(1, msg, REP.report_frame(spark, vals), batch=None, detail=detail, values=vals,
+                              timings=clock.steps)
+        clock.mark("overlap_check")
 
     obs = Observation("stored")
     routed = R.route(staging.data, new, rmap, value_type)
@@ -121,14 +131,33 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     names = {R.EXCLUDED: "tier0_rows", R.UNMAPPED: "unmapped_rows", R.QUARANTINED: "quarantined_rows"}
     vals.update({v: 0 for v in names.values()})
     vals.update({names[r["status"]]: int(r["count"]) for r in dropped})
+    clock.mark("write_facts")
 
     store.write_table("ledger", U.ledger_rows(new), batch)
     vals["runs_marked"] = vals["new_runs"]
     store.commit("load", batch, state=st)
+    clock.mark("mark_loaded_and_commit")
 
     if truncate_staging and staging_root:
         truncate(spark, staging_root)
-    return LoadResult(0, "Load complete.", REP.report_frame(spark, vals), batch=batch, values=vals)
+    return LoadResult(0, f"Load complete. Duration: {clock.total()} seconds.", REP.report_frame(spark, vals),
+                      batch=batch, values=vals, timings=clock.steps)
+
+
+class _Clock:
+    """Elapsed seconds per step and in total (whole seconds in the message)."""
+
+    def __init__(self):
+        self.start = self.last = time.monotonic()
+        self.steps: dict[str, float] = {}
+
+    def mark(self, step: str) -> None:
+        now = time.monotonic()
+        self.steps[step] = round(now - self.last, 3)
+        self.last = now
+
+    def total(self) -> int:
+        return int(time.monotonic() - self.start)
 
 
 def truncate(spark, staging_root: str) -> None:

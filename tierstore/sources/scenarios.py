@@ -55,12 +55,12 @@ class LoadScenario:
     def vault_before(self) -> DataFrame:
         empty = self.spark.createDataFrame([], COUNTER_DETAILS)
         old = C.used_counters(self.details, self.data, X.ledger_runs_f3(self.runs))
-        return materialize(C.merge_counters(empty, old, self.cs))
+        return C.merge_counters(empty, old, self.cs)      # ids come from a written table already
 
     @cached_property
     def merged(self) -> DataFrame:
         used = C.used_counters(self.details, self.data, self.new)
-        return materialize(C.merge_counters(self.vault_before, used, self.cs))
+        return C.merge_counters(self.vault_before, used, self.cs)
 
     @cached_property
     def vault_after(self) -> DataFrame:
