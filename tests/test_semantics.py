@@ -141,3 +141,26 @@ def test_overlap_is_inclusive_and_per_current_tier(spark):
     assert O.first_overlap_tier(facts, O.probe_set(only2), lo, hi).first()["dup_tier"] is None  # other tier
     assert O.overlap_detail(facts.withColumn("x", F.lit(1)), O.probe_set(only2),
                             details(spark, [(2, "M", "O", "C", None, None)]), lo, hi).count() == 1
+
+
+def test_dense_ids_equal_global_row_number(spark):
+    import random
+    from pyspark.sql import Window
+    from tierstore.functions.ranking import dense_ids
+    rnd = random.Random(7)
+    rows = list({(rnd.choice("abcxyz") * rnd.randint(1, 3), rnd.randint(-50, 50)) for _ in range(3000)})
+    df = spark.createDataFrame(rows, "a string, b int")
+    got = dense_ids(df, ["a", "b"], "id", base=100, num_partitions=7)
+    want = df.withColumn("want", (F.row_number().over(Window.orderBy("a", "b")) + 100).cast("int"))
+    joined = got.join(want, ["a", "b"])
+    assert joined.count() == len(rows)
+    assert joined.filter(F.col("id") != F.col("want")).count() == 0
+
+
+def test_trim_reasons(spark):
+    from tierstore.operators.diagnostics import layout_trim
+    chunks = spark.createDataFrame([(1, 2020, "a", 40, 1), (1, 2020, "b", 30, 1), (1, 2021, "c", 10, 1),
+                                    (2, 2020, "d", 50, 1)], "tier int, year int, chunk_id string, rows long, bytes long")
+    got = {(r["tier"], r["trim_reason"]): r["num_chunks"] for r in layout_trim(chunks, 40).collect()}
+    assert got == {("Tier1", "NO_TRIM"): 1, ("Tier1", "RESIDUAL_ROW_GROUP"): 1, ("Tier1", "BULKLOAD"): 1,
+                   ("Tier2", "NO_TRIM"): 1}

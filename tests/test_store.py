@@ -150,3 +150,16 @@ def test_legacy_import_in_batches(spark, root):
     stored = sum(r.values["tier1_rows"] + r.values["tier2_rows"] + r.values["tier3_rows"] for r in results)
     assert store.facts().count() == stored
     assert legacy_import(store, runs, data, details) == []
+
+
+def test_partition_files_and_trim_report(spark, root):
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    load_from_staging(store, st)
+    years = [1996, 1997, 1998]
+    rep = M.partition_files(store, years).collect()
+    assert len(rep) == 3 * (len(years) + 1)
+    assert sum(r["num_rows"] for r in rep) == store.facts().count()
+    assert sum(r["files"] for r in rep) == store.facts().select("_metadata.file_path").distinct().count()
+    trim = M.layout_trim(store, target=1000).collect()
+    assert sum(r["num_chunks"] for r in trim) == sum(r["files"] for r in rep)

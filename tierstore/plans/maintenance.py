@@ -118,3 +118,25 @@ def compact_year(store: Store, tier: int, year: int, rows_per_file: int = ROWS_P
 def layout(store: Store, target: int = ROWS_PER_FILE) -> DataFrame:
     """Layout health of the stored files (one chunk per Parquet file)."""
     return D.layout_health(D.file_chunks(store.facts()), target)
+
+
+def layout_trim(store: Store, target: int = ROWS_PER_FILE) -> DataFrame:
+    """Trim reasons of the stored files, with the load batch as write group."""
+    return D.layout_trim(D.file_chunks(store.facts(with_batch=True)), target)
+
+
+def partition_files(store: Store, years: list[int]) -> DataFrame:
+    """The partition report with the files, bytes and codec of each (tier, partition)."""
+    from tierstore.functions.partitioning import partition_number
+    from tierstore.functions.scalars import year_start
+    facts = store.facts()
+    files = (D.file_chunks(facts)
+             .withColumn("partition_number", partition_number(year_start("year"), years))
+             .groupBy(D.tier_label().alias("tier"), "partition_number")
+             .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").cast("long").alias("bytes")))
+    return (P.partition_report(facts, years).join(files, ["tier", "partition_number"], "left_outer")
+            .withColumn("files", F.coalesce("files", F.lit(0)))
+            .withColumn("bytes", F.coalesce("bytes", F.lit(0)))
+            .withColumn("used_mb", F.format_number(F.col("bytes") / 1048576, 0))
+            .withColumn("data_compression", F.lit("ZSTD"))
+            .orderBy("tier", "partition_number"))

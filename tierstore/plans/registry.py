@@ -326,6 +326,11 @@ def layout_health(spark, sf_dir):
     return D.layout_health(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
 
 
+@query
+def layout_trim(spark, sf_dir):
+    return D.layout_trim(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
+
+
 @query
 def layout_by_year(spark, sf_dir):
     return D.layout_by_year(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
