@@ -164,3 +164,14 @@ def test_trim_reasons(spark):
     got = {(r["tier"], r["trim_reason"]): r["num_chunks"] for r in layout_trim(chunks, 40).collect()}
     assert got == {("Tier1", "NO_TRIM"): 1, ("Tier1", "RESIDUAL_ROW_GROUP"): 1, ("Tier1", "BULKLOAD"): 1,
                    ("Tier2", "NO_TRIM"): 1}
+
+
+def test_overlap_probe_agrees_with_aggregate(spark):
+    facts = spark.createDataFrame(
+        [(dt.datetime(2020, 1, 10), 1, 2, 2020), (dt.datetime(2020, 1, 15), 2, 3, 2020), (dt.datetime(2019, 5, 1), 3, 1, 2019)],
+        "CounterDateTime timestamp_ntz, CounterID int, tier int, year int")
+    rmap = spark.createDataFrame([(10, 1, 2), (20, 2, 3), (30, 3, 1)], "StagingCounterID int, VaultCounterID int, Tier int")
+    for lo, hi in [(dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 31)), (dt.datetime(2019, 1, 1), dt.datetime(2020, 1, 12)),
+                   (dt.datetime(2021, 1, 1), dt.datetime(2021, 2, 1))]:
+        agg = O.first_overlap_tier(facts, O.probe_set(rmap), lo, hi).first()["dup_tier"]
+        assert O.first_overlap_tier_probe(facts, O.probe_set(rmap), lo, hi) == agg

@@ -44,6 +44,20 @@ def first_overlap_tier(facts: DataFrame, probe: DataFrame, range_from: dt.dateti
                       .alias("dup_tier"))
 
 
+def first_overlap_tier_probe(facts: DataFrame, probe: DataFrame, range_from: dt.datetime,
+                             range_to: dt.datetime) -> str | None:
+    """The same answer as ``first_overlap_tier`` by up to three existence probes in tier order,
+    each pruned to one tier partition and stopped at the first matching row (``isEmpty`` is a
+    limit-1 scan); only a clean load pays for a full scan of the range."""
+    p = bounded_broadcast(probe, MAX_PROBE)
+    for t in STORED_TIERS:
+        hit = _in_range(facts.filter(F.col("tier") == t), range_from, range_to).join(
+            p.filter(F.col("tier") == t), ["CounterID", "tier"], "left_semi")
+        if not hit.isEmpty():
+            return f"Tier{t}"
+    return None
+
+
 def overlap_detail(facts: DataFrame, probe: DataFrame, counters: DataFrame, range_from: dt.datetime,
                    range_to: dt.datetime, top: int = 20) -> DataFrame:
     """Top counters by colliding rows (all tiers): min, max and count in range."""

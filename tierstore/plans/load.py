@@ -111,11 +111,11 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
 
     if not skip_validation:
         facts = store.facts(st)
-        hit = O.first_overlap_tier(facts, O.probe_set(rmap), lo, hi).first()
-        if hit["dup_tier"] is not None:
+        dup_tier = O.first_overlap_tier_probe(facts, O.probe_set(rmap), lo, hi)
+        if dup_tier is not None:
             detail = O.overlap_detail(facts, O.probe_set(rmap), vault_after, lo, hi)
             msg = (f"ERROR: store already holds samples of staging counters in "
-                   f"[{lo:%Y-%m-%d %H:%M:%S} - {hi:%Y-%m-%d %H:%M:%S}]; first overlap in {hit['dup_tier']}.")
+                   f"[{lo:%Y-%m-%d %H:%M:%S} - {hi:%Y-%m-%d %H:%M:%S}]; first overlap in {dup_tier}.")
             return LoadResult(1, msg, REP.report_frame(spark, vals), batch=None, detail=detail, values=vals,
                               timings=clock.steps)
         clock.mark("overlap_check")
