@@ -17,8 +17,8 @@ def spark():
     from tierstore.session import get_session
     s = get_session("local[*]", shuffle_partitions=8)
     # tests set their own shared folder only where the session names none
-    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir", None)):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    if not (s.sparkContext.getConf().get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     yield s
 
 

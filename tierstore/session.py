@@ -39,43 +39,46 @@ def get_session(master: str | None = None, app: str = "tierstore",
     return spark
 
 
+def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir())
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder and register it with the context.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset (tests, local
-    runs) is ``fallback`` used, which callers point at shared storage such as the store root.
+    The cluster names it in ``spark.checkpoint.dir`` (a static setting); only when that is unset
+    (tests, local runs) is ``fallback`` registered, which callers point at shared storage such as
+    the store root.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    path = _configured_checkpoint_dir(spark)
     if not path:
         if not fallback:
             raise ValueError("spark.checkpoint.dir is unset and no shared fallback was given")
         path = fallback
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder: the checkpoint folder, else the SQL warehouse folder (both
+    live on the cluster's shared file system; never a machine-local temporary folder)."""
+    return _configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder (for rows-only demo queries)."""
+    """A fresh folder below the shared folder (for rows-only demo queries and the bench)."""
     import uuid
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tierstore-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(shared_dir(spark), "tierstore-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df):
     """Cut the lineage of a small, reused intermediate by writing it as a table in the shared
-    checkpoint folder and reading it back: one computation, survives executor loss (unlike a
-    local checkpoint; ``Dataset.checkpoint`` would compute an unpersisted input twice)."""
+    folder and reading it back: one computation, survives executor loss (unlike a local
+    checkpoint; ``Dataset.checkpoint`` would compute an unpersisted input twice)."""
     import uuid
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not base:
-        df = df.cache()
-        df.count()
-        return df
-    path = os.path.join(base, "tierstore-tables", uuid.uuid4().hex)
+    path = os.path.join(shared_dir(spark), "tierstore-tables", uuid.uuid4().hex)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
