@@ -163,3 +163,19 @@ def test_partition_files_and_trim_report(spark, root):
     assert sum(r["files"] for r in rep) == store.facts().select("_metadata.file_path").distinct().count()
     trim = M.layout_trim(store, target=1000).collect()
     assert sum(r["num_chunks"] for r in trim) == sum(r["files"] for r in rep)
+
+
+def test_counters_only_then_full_load_and_truncate(spark, root):
+    from pyspark.sql.types import DoubleType
+    st = staging(spark, root)
+    store = Store(spark, root + "/store", value_type=DoubleType())
+    res = load_from_staging(store, st, only_counters=True)
+    assert res.status == 0 and res.values["new_counters"] > 0
+    assert store.facts().count() == 0 and store.ledger().count() == 0
+    n_counters = store.counters().count()
+    res = load_from_staging(store, st, truncate_staging=True, staging_root=root + "/staging")
+    assert res.status == 0 and res.values["new_counters"] == 0 and store.counters().count() == n_counters
+    assert "Duration" in res.message and set(res.timings) >= {"new_runs", "merge_counters", "write_facts"}
+    assert Staging.read(spark, root + "/staging").data.count() == 0          # truncated after the commit
+    v = store.facts().agg(F.sum("CounterValue")).first()[0]
+    assert isinstance(v, float) and v > 0                                  # fractions kept

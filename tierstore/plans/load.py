@@ -12,7 +12,6 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.types import DataType
 
 from tierstore.operators import counters as C
 from tierstore.operators import overlap as O
@@ -21,7 +20,6 @@ from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators.tiers import resolve_tiers
 from tierstore.plans.store import ROWS_PER_FILE, Store, partitions_for
-from tierstore.schemas import VALUE_TYPE
 from tierstore.session import checkpoint_dir, materialize
 from tierstore.sources.rules import assert_valid, default_rules
 from tierstore.sources.staging import Staging
@@ -46,13 +44,13 @@ def _materialise(df: DataFrame) -> DataFrame:
 def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None = None, *,
                       truncate_staging: bool = False, staging_root: str | None = None,
                       skip_validation: bool = False, only_counters: bool = False,
-                      case_sensitive: bool = False, value_type: DataType = VALUE_TYPE,
-                      rows_per_file: int | None = None) -> LoadResult:
+                      case_sensitive: bool = False, rows_per_file: int | None = None) -> LoadResult:
     """Load the runs of ``staging`` that are not in the ledger yet.
 
     With zero new runs the call returns at once and staging is left alone even when
     ``truncate_staging`` is set (same for a counters-only run). ``truncate_staging`` empties the
-    three staging folders below ``staging_root`` after a successful commit.
+    three staging folders below ``staging_root`` after a successful commit. Values are converted
+    to the store's ``value_type``.
     """
     spark = store.spark
     checkpoint_dir(spark, fallback=store.path("_checkpoints"))
@@ -121,7 +119,7 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
         clock.mark("overlap_check")
 
     obs = Observation("stored")
-    routed = R.route(staging.data, new, rmap, value_type)
+    routed = R.route(staging.data, new, rmap, store.value_type)
     per_file = rows_per_file or ROWS_PER_FILE
     store.write_facts(R.stored_facts(routed), batch, per_file, observation=obs,
                       num_partitions=partitions_for(expected, per_file))

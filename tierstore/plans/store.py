@@ -22,11 +22,11 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType,
-                               TimestampNTZType)
+from pyspark.sql.types import (ArrayType, DataType, IntegerType, LongType, StringType, StructField,
+                               StructType, TimestampNTZType)
 
 from tierstore.operators.routing import clustered
-from tierstore.schemas import COUNTER_DETAILS, FACTS, LEDGER
+from tierstore.schemas import COUNTER_DETAILS, FACTS, LEDGER, VALUE_TYPE
 
 FOLDER = StructType([StructField("batch", StringType()), StructField("tier", IntegerType()),
                      StructField("year", IntegerType())])
@@ -69,8 +69,14 @@ class StoreState:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """``value_type`` is the stored type of CounterValue (decimal(28,0) by default, which drops
+    fractions on purpose; a double keeps them). It is part of the store's schema: every writer
+    and reader of one store must use the same type."""
+
+    def __init__(self, spark: SparkSession, root: str, value_type: DataType = VALUE_TYPE):
+        self.spark, self.root, self.value_type = spark, root.rstrip("/"), value_type
+        self.facts_schema = StructType([StructField(f.name, value_type, f.nullable) if f.name == "CounterValue"
+                                        else f for f in FACTS.fields])
 
     # ------------------------------------------------------------ paths and state
     def path(self, *parts: str) -> str:
@@ -118,7 +124,7 @@ class Store:
     def facts(self, state: StoreState | None = None, with_batch: bool = False) -> DataFrame:
         """The unified view of all tiers: committed, not retired samples."""
         st = state or self.state()
-        df = self._read("facts", FACTS, st.batches)
+        df = self._read("facts", self.facts_schema, st.batches)
         if st.retired:
             gone = F.struct("batch", "tier", "year").isin(
                 *[F.struct(F.lit(b), F.lit(t), F.lit(y)) for b, t, y in sorted(st.retired)])
@@ -145,7 +151,8 @@ class Store:
         ``observation`` collects per-tier row counts above the range exchange, so the
         sampling pass of the range partitioner does not count rows twice. ``num_partitions``
         (write tasks) should follow the expected rows, see ``partitions_for``."""
-        df = clustered(facts.select(*[f.name for f in FACTS.fields]), num_partitions)
+        df = clustered(facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                      for f in self.facts_schema.fields]), num_partitions)
         if observation is not None:
             df = df.observe(observation, *[F.count_if(F.col("tier") == t).alias(f"tier{t}_rows") for t in (1, 2, 3)])
         w = df.write.mode("error").option("maxRecordsPerFile", rows_per_file)
