@@ -86,7 +86,9 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
 
     batch = store.new_batch()
     vault = store.counters(st)
-    used = C.used_counters(staging.details, staging.data, new)
+    used = materialize(C.used_counters(staging.details, staging.data, new))
+    # same key, different type / scale / time bases: the lowest staging id's definition is kept
+    vals["key_conflicts"] = C.key_conflicts(used, case_sensitive).count()
     merged = C.merge_counters(vault, used, case_sensitive)
     store.write_table("counters", merged, batch)
     merged = spark.read.parquet(store.path("counters", f"batch={batch}"))
