@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.keys import KEY_NAMES, with_key
 from tierstore.functions.ranking import dense_ids
 from tierstore.schemas import COUNTER_DETAILS
@@ -24,17 +25,20 @@ def used_counters(details: DataFrame, data: DataFrame, runs: DataFrame) -> DataF
     Samples are reduced to their distinct counter ids first (partial aggregation before the
     shuffle), then the definitions are semi-joined to them.
     """
-    ids = (data.join(runs.select("GUID"), "GUID", "left_semi")
+    ids = (data.join(bounded_broadcast(runs.select("GUID").distinct()), "GUID", "left_semi")
            .select("CounterID").distinct())
     return details.join(ids, "CounterID", "left_semi")
 
 
 def merge_source(used: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Distinct definitions, one per sentinel key: the row of the lowest staging id wins, so
-    two rows with one key but different types or scales do not both get inserted."""
+    two rows with one key but different types or scales do not both get inserted.
+
+    An aggregation (``min_by`` with map-side partial combine) rather than a window, so a key
+    repeated by every log of an append-only landing folder never gathers in one task."""
     keyed = with_key(used, case_sensitive)
-    w = Window.partitionBy(*KEY_NAMES).orderBy("CounterID")
-    return (keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
+    best = F.min_by(F.struct(*DETAIL_COLUMNS), F.col("CounterID")).alias("_d")
+    return keyed.groupBy(*KEY_NAMES).agg(best).select("_d.*", *KEY_NAMES)
 
 
 def key_conflicts(used: DataFrame, case_sensitive: bool = False) -> DataFrame:
@@ -76,13 +80,7 @@ def assert_unique_keys(vault: DataFrame, case_sensitive: bool = False) -> None:
 
 def canonical_ids(details: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """(CounterID, CounterID_min): the lowest id of each sentinel key, for sources whose
-    definitions repeat one counter under several ids."""
-    keyed = with_key(details, case_sensitive)
-    w = Window.partitionBy(*KEY_NAMES)
-    return keyed.select("CounterID", F.min("CounterID").over(w).alias("CounterID_min"))
-
-
-def ambiguous_staging_ids(id_map: DataFrame) -> DataFrame:
-    """Staging ids that map to more than one vault id (two different definitions under one id)."""
-    return (id_map.groupBy("StagingCounterID").agg(F.count_distinct("VaultCounterID").alias("n"))
-            .filter("n > 1"))
+    definitions repeat one counter under several ids (aggregate per key, joined back)."""
+    keyed = with_key(details, case_sensitive).select("CounterID", *KEY_NAMES).distinct()
+    mins = keyed.groupBy(*KEY_NAMES).agg(F.min("CounterID").alias("CounterID_min"))
+    return keyed.join(mins, KEY_NAMES, "inner").select("CounterID", "CounterID_min")
