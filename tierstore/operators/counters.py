@@ -84,3 +84,9 @@ def canonical_ids(details: DataFrame, case_sensitive: bool = False) -> DataFrame
     keyed = with_key(details, case_sensitive).select("CounterID", *KEY_NAMES).distinct()
     mins = keyed.groupBy(*KEY_NAMES).agg(F.min("CounterID").alias("CounterID_min"))
     return keyed.join(mins, KEY_NAMES, "inner").select("CounterID", "CounterID_min")
+
+
+def ambiguous_staging_ids(id_map: DataFrame) -> DataFrame:
+    """Staging ids that map to more than one vault id (two different definitions under one id)."""
+    return (id_map.groupBy("StagingCounterID").agg(F.count_distinct("VaultCounterID").alias("n"))
+            .filter("n > 1"))

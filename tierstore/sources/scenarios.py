@@ -49,7 +49,7 @@ class LoadScenario:
 
     @cached_property
     def new(self) -> DataFrame:
-        return materialize(U.new_runs(self.runs, self.ledger))
+        return U.new_runs(self.runs, self.ledger)        # both sides are written tables already
 
     @cached_property
     def vault_before(self) -> DataFrame:
