@@ -51,6 +51,24 @@ def read_staging_runs(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return normalize_runs(_read(spark, path, STAGING_RUNS, fmt))
 
 
+def read_jdbc_table(spark: SparkSession, url: str, table: str, schema: StructType, properties: dict | None = None,
+                    partition_column: str | None = None, lower_bound: int | None = None,
+                    upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """A landing or legacy table from a database, conformed to ``schema``.
+
+    Large tables are read in parallel ranges of an integer column (``partition_column`` between
+    the bounds, ``num_partitions`` connections); small ones in one query. Not exercised by the
+    tests: no database server may run in this environment.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    if partition_column:
+        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
+                  .option("upperBound", upper_bound).option("numPartitions", num_partitions or 8))
+    return conform(reader.load(), schema)
+
+
 class Staging:
     """The three landing tables of one import."""
 
@@ -66,6 +84,27 @@ class Staging:
                    _read(spark, f"{root}/counter_details", COUNTER_DETAILS, fmt),
                    _read(spark, f"{root}/display_to_id", STAGING_RUNS, fmt))
 
+    @classmethod
+    def read_jdbc(cls, spark: SparkSession, url: str, properties: dict | None = None,
+                  schema_name: str = "staging", data_partitions: int = 64,
+                  counter_id_range: tuple[int, int] = (1, 1_000_000)) -> "Staging":
+        """The three staging tables of a database (also a legacy source of the same shape);
+        samples are read in ``data_partitions`` parallel CounterID ranges."""
+        lo, hi = counter_id_range
+        return cls(read_jdbc_table(spark, url, f"{schema_name}.CounterData", STAGING_DATA, properties,
+                                   "CounterID", lo, hi, data_partitions),
+                   read_jdbc_table(spark, url, f"{schema_name}.CounterDetails", COUNTER_DETAILS, properties),
+                   read_jdbc_table(spark, url, f"{schema_name}.DisplayToID", STAGING_RUNS, properties))
+
+    def write(self, root: str, fmt: str = "parquet") -> None:
+        """Write the three tables below ``root`` (the layout ``read`` expects)."""
+        for name, df in (("counter_data", self.data), ("counter_details", self.details),
+                         ("display_to_id", self.runs)):
+            w = df.write.mode("overwrite")
+            if fmt == "csv":
+                w = w.option("header", "true")
+            w.format(fmt).save(f"{root}/{name}")
+
     def for_runs(self, runs: DataFrame) -> "Staging":
         """The same landing restricted to the given runs (semi join on GUID)."""
         keep = runs.select("GUID")
