@@ -48,13 +48,18 @@ def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True
     counters = store.counters(st)
     tier_map = materialize(resolve_tiers(counters, rules, case_sensitive))
     facts = store.facts(st, with_batch=True)
-    mis = materialize(B.misplaced(B.placement(facts), tier_map))
+    # one scan of the samples: rows per (folder, counter) serves detection and the folder list
+    per_folder = materialize(facts.groupBy("batch", "tier", "year", "CounterID")
+                             .agg(F.count(F.lit(1)).alias("NumRows")))
+    place = (per_folder.groupBy(F.col("tier").alias("CurrentTier"), "CounterID")
+             .agg(F.sum("NumRows").alias("NumRows")).select("CounterID", "CurrentTier", "NumRows"))
+    mis = materialize(B.misplaced(place, tier_map))
     n = mis.count()
     res = RebalanceResult(n, B.summary(mis), B.detail(mis, counters))
     if n == 0 or dry_run:
         return res
     probe = bounded_broadcast(mis.select("CounterID", F.col("CurrentTier").alias("tier")), MAX_COUNTERS)
-    affected = store.folders(facts.join(probe, ["CounterID", "tier"], "left_semi"))
+    affected = store.folders(per_folder.join(probe, ["CounterID", "tier"], "left_semi"))
     src = facts.filter(_folder_filter(affected))
     tot = src.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     new = B.relabel(src.drop("batch"), tier_map)
@@ -68,18 +73,30 @@ def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True
     return res
 
 
-def unload_runs(store: Store, runs: DataFrame) -> str | None:
-    """Remove the samples and ledger rows of the given runs (repair of a bad load)."""
+def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = True) -> str | None:
+    """Remove the samples and ledger rows of the given runs (repair of a bad load).
+
+    The samples of a log lie inside its logged start/stop times, so by default only the years
+    and the time window of the runs are searched; ``prune_by_log_range=False`` searches the
+    whole store (for data loaded by other means)."""
     st = store.state()
     guids = bounded_broadcast(runs.select(F.lower("GUID").alias("GUID")).distinct(), MAX_COUNTERS)
+    loaded = store.ledger(st).join(guids, "GUID", "left_semi")
+    gone = [r["GUID"] for r in loaded.select("GUID").collect()]
     facts = store.facts(st, with_batch=True)
+    # samples of a run lie inside its logged start/stop range: prune to those years and times
+    span = loaded.agg(F.min("LogStartTime").alias("lo"), F.max("LogStopTime").alias("hi")).first()
+    if prune_by_log_range and span["lo"] is not None:
+        facts = facts.filter(F.col("year").between(span["lo"].year, span["hi"].year)
+                             & F.col("CounterDateTime").between(F.lit(span["lo"]).cast("timestamp_ntz"),
+                                                                F.lit(span["hi"]).cast("timestamp_ntz")))
     affected = store.folders(facts.join(guids, "GUID", "left_semi"))
-    gone = [r["GUID"] for r in store.ledger(st).join(guids, "GUID", "left_semi").select("GUID").collect()]
     if not affected and not gone:
         return None
     batch = store.new_batch()
     if affected:
-        keep = facts.filter(_folder_filter(affected)).join(guids, "GUID", "left_anti").drop("batch")
+        whole = store.facts(st, with_batch=True)
+        keep = whole.filter(_folder_filter(affected)).join(guids, "GUID", "left_anti").drop("batch")
         store.write_facts(keep, batch)
     store.commit("unload", batch if affected else None, retired=affected, retired_runs=gone, state=st)
     return batch
