@@ -179,3 +179,20 @@ def test_counters_only_then_full_load_and_truncate(spark, root):
     assert Staging.read(spark, root + "/staging").data.count() == 0          # truncated after the commit
     v = store.facts().agg(F.sum("CounterValue")).first()[0]
     assert isinstance(v, float) and v > 0                                  # fractions kept
+
+
+def test_vacuum_removes_orphans_and_retired_folders_only(spark, root):
+    import os
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    orphan = "20000101T000000-deadbeef"           # a batch of a job that died long ago
+    store.write_facts(X.store_f4(st.data), orphan)
+    load_from_staging(store, st)
+    before = store.facts().count()
+    rows = [(t, m, o, c, i) for (_, t, m, o, c, i) in default_rule_rows()] + [(1, "%", "Process", "%", None)]
+    M.rebalance(store, rules_from_rows(spark, rows), dry_run=False)
+    assert store.vacuum(older_than_hours=1, dry_run=True) == [store.path("facts", f"batch={orphan}")]
+    gone = store.vacuum(older_than_hours=0, dry_run=False)      # retired folders too, now
+    assert store.path("facts", f"batch={orphan}") in gone and len(gone) > 1
+    assert not any(os.path.exists(g) for g in gone)
+    assert store.facts().count() == before                     # nothing visible was touched

@@ -173,6 +173,51 @@ class Store:
         self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(self.path("_commits"))
         return cid
 
+    # ------------------------------------------------------------ clean-up
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _children(self, path: str) -> list[str]:
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+    def vacuum(self, older_than_hours: float = 24.0, dry_run: bool = True) -> list[str]:
+        """Delete what no current reader needs: folders retired by a commit older than the
+        threshold, and batches never committed whose name (creation time) is older than it.
+        Returns the folders (to be) deleted. Readers that started before a retiring commit keep
+        working for ``older_than_hours``."""
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        limit = now - dt.timedelta(hours=older_than_hours)
+        committed: set[str] = set()
+        doomed: list[str] = []
+        for r in self.commits().collect():
+            if r["batch"]:
+                committed.add(r["batch"])
+            if r["created"] < limit:
+                doomed += [self.path("facts", f"batch={f['batch']}", f"tier={f['tier']}", f"year={f['year']}")
+                           for f in (r["retired"] or [])]
+        for table in ("facts", "counters", "ledger"):
+            for name in self._children(self.path(table)):
+                if not name.startswith("batch="):
+                    continue
+                b = name[len("batch="):]
+                try:
+                    born = dt.datetime.strptime(b.split("-")[0], "%Y%m%dT%H%M%S")
+                except ValueError:
+                    continue
+                if b not in committed and born < limit:
+                    doomed.append(self.path(table, name))
+        if not dry_run:
+            jvm, fs = self._fs()
+            for d in doomed:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(d), True)
+        return sorted(set(doomed))
+
     def folders(self, facts_with_batch: DataFrame) -> list[tuple[str, int, int]]:
         """Distinct (batch, tier, year) folders of some visible samples (bounded by folders)."""
         return [(r["batch"], r["tier"], r["year"])
