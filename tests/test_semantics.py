@@ -191,3 +191,21 @@ def test_csv_landing_round_trip(spark, root):
     # CSV drops the trailing NUL of the time text; the parsed time is the same
     parsed = lambda d: d.withColumn("CounterDateTime", parse_counter_time("CounterDateTime"))
     assert parsed(back.data).exceptAll(parsed(st.data)).count() == 0
+
+
+def test_golden_load_and_rebalance_scenarios(spark):
+    from tierstore.operators import rebalance as B
+    from tierstore.operators import report as REP
+    from tierstore.operators import runs as U
+    from tierstore.sources.scenarios import LoadScenario, RebalanceScenario
+    s = LoadScenario(spark, SF01)
+    assert s.ledger.count() == 60 and s.new.count() == 23
+    rep = {r["step"]: r["num_rows"] for r in
+           REP.load_report(s.new, U.duplicate_runs(s.runs), s.merged, s.routed).collect()}
+    assert (rep["tier0_rows"], rep["tier1_rows"], rep["tier2_rows"], rep["tier3_rows"]) == (3300, 1470, 8629, 2626)
+    assert rep["new_runs"] == rep["runs_marked"] == 23 and rep["unmapped_rows"] == rep["quarantined_rows"] == 0
+    r = RebalanceScenario(spark, SF01)
+    mis = B.misplaced(B.placement(r.facts), r.tier_map)
+    assert mis.select("CounterID").distinct().count() == 1450
+    assert mis.filter("TargetTier = 0").select("CounterID").distinct().count() == 412
+    assert r.facts.select("CounterID").distinct().count() == 2000

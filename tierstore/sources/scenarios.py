@@ -102,7 +102,8 @@ class RebalanceScenario:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return X.store_f4(self.data)
+        # a store state: derived from lineitem once and written, then read like stored samples
+        return materialize(X.store_f4(self.data))
 
     @cached_property
     def tier_map(self) -> DataFrame:
