@@ -196,3 +196,24 @@ def test_vacuum_removes_orphans_and_retired_folders_only(spark, root):
     assert store.path("facts", f"batch={orphan}") in gone and len(gone) > 1
     assert not any(os.path.exists(g) for g in gone)
     assert store.facts().count() == before                     # nothing visible was touched
+
+
+def test_sql_views_and_pruned_read(spark, root):
+    from tierstore.plans.views import register_views
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    load_from_staging(store, st)
+    names = register_views(store)
+    assert "vCounterTierResolved" in names and "CounterData_Tier3" in names
+    dist = spark.sql("SELECT Tier, COUNT(*) AS NumCounters FROM vCounterTierResolved GROUP BY Tier ORDER BY Tier")
+    assert sum(r["NumCounters"] for r in dist.collect()) == store.counters().count()
+    per_tier = spark.sql("SELECT Tier, COUNT(*) AS n FROM CounterData GROUP BY Tier").collect()
+    assert sum(r["n"] for r in per_tier) == store.facts().count()
+    drill = spark.sql("""SELECT t.Tier, cd.ObjectName, cd.CounterName, cd.InstanceName
+                         FROM vCounterTierResolved t JOIN CounterDetails cd ON cd.CounterID = t.CounterID
+                         ORDER BY t.Tier, cd.ObjectName, cd.CounterName""")
+    assert drill.count() == store.counters().count()
+    q = store.read(tier=2, start=dt.datetime(1997, 1, 1), end=dt.datetime(1997, 3, 1))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "(tier" in plan and "(year" in plan
+    assert q.count() == store.facts().filter("tier = 2 AND CounterDateTime BETWEEN '1997-01-01' AND '1997-03-01'").count()

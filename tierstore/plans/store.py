@@ -131,6 +131,21 @@ class Store:
             df = df.filter(~gone)
         return df if with_batch else df.drop("batch")
 
+    def read(self, tier: int | None = None, start: dt.datetime | None = None,
+             end: dt.datetime | None = None) -> DataFrame:
+        """Samples of one tier and / or a time window, with the partition filters (tier, year)
+        and the pushed-down time filter that make such reads cheap."""
+        df = self.facts()
+        if tier is not None:
+            df = df.filter(F.col("tier") == tier)
+        if start is not None:
+            df = df.filter((F.col("year") >= start.year)
+                           & (F.col("CounterDateTime") >= F.lit(start).cast("timestamp_ntz")))
+        if end is not None:
+            df = df.filter((F.col("year") <= end.year)
+                           & (F.col("CounterDateTime") <= F.lit(end).cast("timestamp_ntz")))
+        return df
+
     def counters(self, state: StoreState | None = None) -> DataFrame:
         st = state or self.state()
         return self._read("counters", COUNTER_DETAILS, st.batches).drop("batch")
