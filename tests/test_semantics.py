@@ -209,3 +209,10 @@ def test_golden_load_and_rebalance_scenarios(spark):
     assert mis.select("CounterID").distinct().count() == 1450
     assert mis.filter("TargetTier = 0").select("CounterID").distinct().count() == 412
     assert r.facts.select("CounterID").distinct().count() == 2000
+
+
+def test_expand_rows_repeats_exactly(spark):
+    from tierstore.operators.diagnostics import expand_rows
+    df = spark.createDataFrame([("a", 1), ("b", 25_003), ("c", 10_000)], "k string, n long")
+    got = {r["k"]: r["count"] for r in expand_rows(df, "n").groupBy("k").count().collect()}
+    assert got == {"a": 1, "b": 25_003, "c": 10_000}
