@@ -90,7 +90,7 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     # same key, different type / scale / time bases: the lowest staging id's definition is kept
     vals["key_conflicts"] = C.key_conflicts(used, case_sensitive).count()
     merged = C.merge_counters(vault, used, case_sensitive)
-    store.write_table("counters", merged, batch)
+    store.write_table("counters", merged, batch, rows=merged.count())
     merged = spark.read.parquet(store.path("counters", f"batch={batch}"))
     vals["new_counters"] = merged.count()
     vault_after = vault.unionByName(merged)

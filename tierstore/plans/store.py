@@ -175,8 +175,9 @@ class Store:
             w = w.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(zstd_level))
         w.partitionBy("tier", "year").parquet(self.path("facts", f"batch={batch}"))
 
-    def write_table(self, table: str, df: DataFrame, batch: str) -> None:
-        df.coalesce(1).write.mode("error").parquet(self.path(table, f"batch={batch}"))
+    def write_table(self, table: str, df: DataFrame, batch: str, rows: int | None = None) -> None:
+        """A dimension delta (counters, ledger rows) of a batch, one file per ~1M rows."""
+        df.coalesce(partitions_for(rows) or 1).write.mode("error").parquet(self.path(table, f"batch={batch}"))
 
     def commit(self, kind: str, batch: str | None, retired: list[tuple[str, int, int]] | None = None,
                retired_runs: list[str] | None = None, state: StoreState | None = None) -> int:
