@@ -217,3 +217,19 @@ def test_sql_views_and_pruned_read(spark, root):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "(tier" in plan and "(year" in plan
     assert q.count() == store.facts().filter("tier = 2 AND CounterDateTime BETWEEN '1997-01-01' AND '1997-03-01'").count()
+
+
+def test_compact_small_files(spark, root):
+    from tierstore.operators import diagnostics as D
+    from tierstore.plans.legacy_import import legacy_import
+    data = X.staging_data_f2(X.table(spark, SF001, "lineitem"))
+    details = X.counter_details_f1(X.table(spark, SF001, "part"))
+    runs = X.staging_runs_f3(data)
+    store = Store(spark, root + "/store")
+    legacy_import(store, runs, data, details, batch_size=20)       # several small batches
+    before = store.facts().count()
+    files = lambda: D.file_chunks(store.facts()).groupBy("tier", "year").count()
+    assert files().agg(F.max("count")).first()[0] > 1
+    done = M.compact_small_files(store, max_files=1)
+    assert done and files().agg(F.max("count")).first()[0] == 1
+    assert store.facts().count() == before

@@ -157,3 +157,20 @@ def partition_files(store: Store, years: list[int]) -> DataFrame:
             .withColumn("used_mb", F.format_number(F.col("bytes") / 1048576, 0))
             .withColumn("data_compression", F.lit("ZSTD"))
             .orderBy("tier", "partition_number"))
+
+
+def compact_small_files(store: Store, max_files: int = 4, rows_per_file: int = ROWS_PER_FILE) -> list[tuple[int, int]]:
+    """Compact every (tier, year) whose files outnumber both ``max_files`` and the files its rows
+    need (weekly loads leave one small batch each). The loop runs over partitions found in file
+    metadata (tiers x years), never over samples. Returns the compacted (tier, year)."""
+    chunks = D.file_chunks(store.facts())
+    need = (chunks.groupBy("tier", "year")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+            .filter((F.col("files") > max_files)
+                    & (F.col("files") > F.ceil(F.col("rows") / F.lit(rows_per_file))))
+            .orderBy("tier", "year").collect())
+    done = []
+    for r in need:
+        compact_year(store, r["tier"], r["year"], rows_per_file)
+        done.append((r["tier"], r["year"]))
+    return done
