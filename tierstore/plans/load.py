@@ -20,7 +20,7 @@ from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators.tiers import resolve_tiers
 from tierstore.plans.store import ROWS_PER_FILE, Store, partitions_for
-from tierstore.session import checkpoint_dir, materialize
+from tierstore.session import checkpoint_dir, materialize, scratch_scope
 from tierstore.sources.rules import assert_valid, default_rules
 from tierstore.sources.staging import Staging
 
@@ -41,7 +41,17 @@ def _materialise(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
-def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None = None, *,
+def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None = None, **options) -> LoadResult:
+    """Load the runs of ``staging`` that are not in the ledger yet (see ``_load`` for the
+    options). Intermediate tables are removed when the load ends."""
+    with scratch_scope(store.spark):
+        res = _load(store, staging, rules, **options)
+        if res.detail is not None:                # keep the refusal detail readable afterwards
+            res.detail = store.spark.createDataFrame(res.detail.collect(), res.detail.schema)
+        return res
+
+
+def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
                       truncate_staging: bool = False, staging_root: str | None = None,
                       skip_validation: bool = False, only_counters: bool = False,
                       case_sensitive: bool = False, rows_per_file: int | None = None) -> LoadResult:

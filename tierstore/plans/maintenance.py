@@ -17,7 +17,7 @@ from tierstore.operators import rebalance as B
 from tierstore.operators.tiers import resolve_tiers
 from tierstore.plans.store import ROWS_PER_FILE, ZSTD_LEVEL_COLD, Store, partitions_for
 from tierstore.schemas import FACT_COLUMNS
-from tierstore.session import checkpoint_dir, materialize
+from tierstore.session import checkpoint_dir, materialize, scratch_scope
 from tierstore.sources.rules import assert_valid, default_rules
 
 MAX_COUNTERS = 5_000_000
@@ -39,7 +39,14 @@ def _folder_filter(folders):
 
 def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True,
               case_sensitive: bool = False) -> RebalanceResult:
-    """Detect misplaced counters; unless ``dry_run``, relabel their samples in one pass."""
+    """Detect misplaced counters; unless ``dry_run``, relabel their samples in one pass. The
+    summary and detail read a kept table of misplaced counters; other intermediates are removed."""
+    with scratch_scope(store.spark):
+        return _rebalance(store, rules, dry_run, case_sensitive)
+
+
+def _rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True,
+               case_sensitive: bool = False) -> RebalanceResult:
     spark = store.spark
     checkpoint_dir(spark, fallback=store.path("_checkpoints"))
     rules = rules if rules is not None else default_rules(spark)
@@ -53,7 +60,7 @@ def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True
                              .agg(F.count(F.lit(1)).alias("NumRows")))
     place = (per_folder.groupBy(F.col("tier").alias("CurrentTier"), "CounterID")
              .agg(F.sum("NumRows").alias("NumRows")).select("CounterID", "CurrentTier", "NumRows"))
-    mis = materialize(B.misplaced(place, tier_map))
+    mis = materialize(B.misplaced(place, tier_map), keep=True)
     n = mis.count()
     res = RebalanceResult(n, B.summary(mis), B.detail(mis, counters))
     if n == 0 or dry_run:

@@ -75,12 +75,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "tierstore-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df):
+_SCOPES: list[list[str]] = []
+
+
+def materialize(df, keep: bool = False):
     """Cut the lineage of a small, reused intermediate by writing it as a table in the shared
     folder and reading it back: one computation, survives executor loss (unlike a local
-    checkpoint; ``Dataset.checkpoint`` would compute an unpersisted input twice)."""
+    checkpoint; ``Dataset.checkpoint`` would compute an unpersisted input twice). Inside a
+    ``scratch_scope`` the table is deleted when the scope ends, unless ``keep`` (results that
+    outlive the job)."""
     import uuid
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "tierstore-tables", uuid.uuid4().hex)
     df.write.mode("error").parquet(path)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class scratch_scope:
+    """``with scratch_scope(spark): ...`` deletes the tables materialised inside it on exit (use
+    for jobs whose results are written elsewhere before the scope ends)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        _SCOPES.append([])
+        return self
+
+    def __exit__(self, *exc):
+        paths = _SCOPES.pop()
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+        return False
