@@ -46,6 +46,11 @@ def test_redelivered_logs_are_refused_by_overlap(spark, root):
     st = staging(spark, root)
     store = Store(spark, root + "/store")
     assert load_from_staging(store, st).status == 0
+    same_files = Staging(st.data.withColumn("GUID", F.concat(F.lit("copy-"), "GUID")), st.details,
+                         st.runs.withColumn("GUID", F.concat(F.lit("copy-"), "GUID"))
+                         .withColumn("DisplayString", F.upper("DisplayString")))
+    refused = load_from_staging(store, same_files)          # same file names, new GUIDs
+    assert refused.status == 1 and "already loaded under another GUID" in refused.message
     renamed = Staging(st.data.withColumn("GUID", F.concat(F.lit("copy-"), "GUID")), st.details,
                       st.runs.withColumn("GUID", F.concat(F.lit("copy-"), "GUID"))
                       .withColumn("DisplayString", F.concat(F.lit("copy-"), "DisplayString")))

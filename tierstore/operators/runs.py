@@ -28,6 +28,15 @@ def duplicate_runs(runs: DataFrame) -> DataFrame:
     return by_guid.unionByName(by_name)
 
 
+def name_conflicts(new: DataFrame, ledger: DataFrame) -> DataFrame:
+    """New runs whose file name is already in the ledger under another GUID (the ledger keeps
+    file names unique, so the same file exported again is refused); names compare
+    case-insensitively."""
+    return (new.select("GUID", "DisplayString", F.lower("DisplayString").alias("_n"))
+            .join(ledger.select(F.lower("DisplayString").alias("_n")).distinct(), "_n", "left_semi")
+            .drop("_n"))
+
+
 def time_range(runs: DataFrame) -> DataFrame:
     """One row: earliest start and latest stop of the runs (parsed first, then min/max)."""
     r = runs.agg(F.min(parse_counter_time("LogStartTime")).alias("range_from"),

@@ -84,6 +84,10 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
         if dups:
             return LoadResult(1, f"ERROR: {dups} duplicate run key(s) in staging runs.",
                               REP.report_frame(spark, vals), values=vals)
+    names = U.name_conflicts(new, store.ledger(st)).limit(20).collect()
+    if names:
+        return LoadResult(1, f"ERROR: file(s) already loaded under another GUID: "
+                             f"{[r['DisplayString'] for r in names]}", REP.report_frame(spark, vals), values=vals)
     bad_ledger = U.invalid_ledger_rows(U.ledger_rows(new)).count()
     if bad_ledger:
         return LoadResult(1, f"ERROR: {bad_ledger} run(s) without a parsable start/stop time.",
