@@ -55,7 +55,7 @@ def main() -> None:
     for title, df in shown.items():
         print(f"\n## {title}\n")
         print("```")
-        print(df._jdf.queryExecution().executedPlan().toString().rstrip())
+        print(df._jdf.queryExecution().executedPlan().toString().rstrip().replace("\x00", "\\0"))
         print("```")
 
 
