@@ -26,3 +26,21 @@ def test_two_available_now_runs_load_each_file_once(spark, root):
     assert store.ledger().count() == len(days)
     assert store.facts().count() == data.count()
     assert I.ingest_log(store).groupBy("file").count().filter("count > 1").count() == 0
+
+
+def test_service_mode_picks_up_files_as_they_land(spark, root):
+    ev = X.table(spark, SF001, "events")
+    data = X.event_samples_f7(ev)
+    st = Staging(data, X.event_details_f7(ev), X.staging_runs_f3(data))
+    days = sorted(r[0] for r in st.runs.select("GUID").collect())
+    store = Store(spark, root + "/store")
+    I.land(st.for_runs(st.runs.filter(F.col("GUID") == days[0])), root + "/landing")
+    q = I.ingest(spark, root + "/landing", store, root + "/archive", root + "/ckpt", every="1 second")
+    try:
+        q.processAllAvailable()
+        I.land(st.for_runs(st.runs.filter(F.col("GUID") == days[1])), root + "/landing")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert {r["status"]: r["files"] for r in I.summary(store).collect()} == {"OK": 2}
+    assert store.ledger().count() == 2

@@ -60,16 +60,22 @@ def _batch_loader(store: Store, landing: str, rules: DataFrame | None, case_sens
 
 def ingest(spark: SparkSession, landing: str, store: Store, archive_dir: str, checkpoint: str,
            rules: DataFrame | None = None, case_sensitive: bool = False,
-           max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> None:
-    """Process every run file present now (``availableNow``), then stop."""
+           max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, every: str | None = None):
+    """Process every run file present now (``availableNow``) and stop; with ``every`` (for
+    example ``"5 minutes"``) run as a service that picks up new files at that interval and
+    return the running query (stop it with ``query.stop()``)."""
     stream = (spark.readStream.schema(STAGING_RUNS)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
               .parquet(f"{landing}/display_to_id")
               .select("*", F.col("_metadata.file_path").alias("_file")))
-    q = (stream.writeStream.foreachBatch(_batch_loader(store, landing, rules, case_sensitive))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = (stream.writeStream.foreachBatch(_batch_loader(store, landing, rules, case_sensitive))
+              .option("checkpointLocation", checkpoint))
+    if every:
+        return writer.trigger(processingTime=every).start()
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
+    return None
 
 
 def ingest_log(store: Store) -> DataFrame:
