@@ -216,3 +216,19 @@ def test_expand_rows_repeats_exactly(spark):
     df = spark.createDataFrame([("a", 1), ("b", 25_003), ("c", 10_000)], "k string, n long")
     got = {r["k"]: r["count"] for r in expand_rows(df, "n").groupBy("k").count().collect()}
     assert got == {"a": 1, "b": 25_003, "c": 10_000}
+
+
+def test_bounded_broadcast_falls_back_to_a_shuffle_join(spark):
+    from tierstore.functions.broadcast import bounded_broadcast
+    big = spark.range(200_000).withColumnRenamed("id", "k")
+    small = spark.range(50).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # only explicit hints broadcast
+    try:
+        under = big.join(bounded_broadcast(small, max_rows=100), "k")
+        over = big.join(bounded_broadcast(small, max_rows=10), "k")
+        assert "BroadcastHashJoin" in under._jdf.queryExecution().executedPlan().toString()
+        plan = over._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+        assert over.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
