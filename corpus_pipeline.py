@@ -1,24 +1,53 @@
 """A corpus preparation pipeline over ``documents``: every stage is written as Parquet below the
-shared folder and read back as the next stage's input."""
+shared folder and read back as the next stage's input. All stages but the last return the columns
+of ``documents``; columns that a table has besides are kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierstore.llm import sentencepiece_codec
+from tierstore.llm import decontaminate, language_id, line_dedup, ngram_join, sentencepiece_codec
 from tierstore.llm.common import read, stored
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language (no letters) go; a missing language is filled in."""
+    found = language_id.identify(docs).filter(F.col("lang_pred") != language_id.UNDECIDED)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of three-line windows go; a document with nothing left goes too."""
+    left = line_dedup.deduplicate(docs)
+    left = left.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one with the smallest doc_id."""
+    return ngram_join.representatives(docs).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    return decontaminate.remove(docs, read(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode each text and check that decoding gives it back."""
-    return sentencepiece_codec.round_trip(docs).drop("decoded_text")
+    """Each text gets its piece ids, and a flag that decoding them gives the text back."""
+    return sentencepiece_codec.round_trip(docs)
 
 
 STAGES = [
-    ("sentencepiece", encode_pieces),
+    ("language", identify_language),
+    ("lines", remove_repeated_lines),
+    ("near-duplicates", drop_near_duplicates),
+    ("benchmark", drop_contaminated),
+    ("pieces", encode_pieces),
 ]
 
-#: Language models and piece ids cannot be expressed in SQL; the tests use brute force instead.
+#: Language models and piece ids cannot be expressed in SQL; tests/llm has brute-force versions.
 ORACLE_SQL = None
 
 

@@ -75,3 +75,15 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     ends = np.cumsum(lengths)
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+class Numbers(dict):
+    """Numbers strings in the order in which they are first asked for; ``new`` lists the latest."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n

@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
-from . import sentencepiece_codec, token_planes
+from . import (
+    decontaminate,
+    fingerprints,
+    html_text,
+    language_id,
+    licenses,
+    line_dedup,
+    ngram_join,
+    quality,
+    sentencepiece_codec,
+    token_planes,
+)
 
 QUERIES = {
+    "op1_license_scan": licenses.query,
+    "op2_line_dedup": line_dedup.query,
+    "op3_fingerprints": fingerprints.query,
+    "op4_decontaminate": decontaminate.query,
+    "op5_ngram_join": ngram_join.query,
+    "op6_quality": quality.query,
+    "op7_html_text": html_text.query,
+    "op8_language_id": language_id.query,
     "op9_token_planes": token_planes.query,
     "op10_sentencepiece": sentencepiece_codec.query,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_license_scan": licenses.SQL,
+    "op2_line_dedup": line_dedup.SQL,
+    "op4_decontaminate": decontaminate.SQL,
+}

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read, slices, spread
+from .common import Numbers, read, slices, spread
 
 SPACE = "▁"
 LONGEST = 16          # characters of a piece that the packed suffix keys can hold
@@ -42,18 +42,6 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-class _Numbers(dict):
-    """Numbers segments in the order in which they are first asked for; ``new`` lists the latest."""
-
-    def __init__(self):
-        self.new = []
-
-    def __missing__(self, segment: str) -> int:
-        self[segment] = n = len(self)
-        self.new.append(segment)
-        return n
-
-
 class PieceMatcher:
     """Vocabulary of one model, its packed search keys and the segments solved so far."""
 
@@ -78,7 +66,7 @@ class PieceMatcher:
         self.forget()
 
     def forget(self) -> None:
-        self.known = _Numbers()
+        self.known = Numbers()
         self.ids, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _codes(self, points: np.ndarray) -> np.ndarray:
@@ -269,10 +257,23 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "text", model_file: str
 
 
 def round_trip(docs: DataFrame, model_file: str | None = None) -> DataFrame:
-    """Encode and decode every text; a null text is the empty text here."""
-    coded = encode(docs.withColumn("text", F.coalesce("text", F.lit(""))), model_file=model_file)
-    back = decode(coded, text="decoded_text", model_file=model_file)
-    return back.withColumn("round_trip", F.col("decoded_text") == F.regexp_replace("text", SPACE, " "))
+    """Append the piece ids of ``text`` (``ids``) and whether decoding them gives the text back
+    (``round_trip``), both in one pass over the rows; a null text counts as the empty text."""
+    model_file = model_file or default_model()
+    keep = [f.name for f in docs.schema.fields if f.name not in ("ids", "round_trip")]
+    schema = _with_column(_with_column(docs.schema, "ids", T.ArrayType(T.IntegerType())), "round_trip", T.BooleanType())
+
+    def run(batches):
+        codec = matcher(model_file)
+        for whole in batches:
+            for batch in slices(whole, "text", 2 << 20):
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                flat, at = codec.encode(texts)
+                same = [codec.decode(flat[s:e].tolist()) == t.replace(SPACE, " ") for t, s, e in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                ids = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids, pa.array(same, pa.bool_())], [*keep, "ids", "round_trip"])
+
+    return docs.mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Token ids as bit-plane files.
 
 Encoding: the tokenizers library encodes the text. Ids of a document depend only on its
-space-separated words, so each distinct word of a task is encoded once (joined by a special token
-in one call) and documents are put together from the words' ids.
+space-separated words, so each distinct word of a task is encoded once and documents are put
+together from the words' ids.
 
 File format (one file per range of doc_id, in ascending doc_id order):
 
@@ -32,12 +32,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, shared_path, slices, spread, stored
+from .common import Numbers, read, shared_path, slices, spread, stored
 
 MAGIC = b"TPL1"
 BLOCK = 1 << 16
@@ -51,51 +52,83 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Ids by word, filled from the tokenizers library as new words come."""
+    """Ids by word, filled from the tokenizers library as new words come.
+
+    A word of Latin letters, digits and ASCII signs is cut into the tokenizer's own pre-tokens (its
+    pattern is read from the file), so that words which differ in case or punctuation share them;
+    each distinct pre-token is encoded once, many in one call. Any other word is encoded whole."""
+
+    #: no combining marks, no white space, and lower case that does not depend on the context
+    simple = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+").fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
-        self.mark, self.mark_id = special[-1]
-        self.special = [text for text, _ in special]
+        with open(path, encoding="utf-8") as source:
+            stored_form = json.load(source)
+        steps = stored_form["pre_tokenizer"]["pretokenizers"]
+        kinds = [n["type"] for n in stored_form["normalizer"]["normalizers"]]
+        suffix = stored_form["model"]["end_of_word_suffix"]
+        if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"] or not suffix:
+            raise ValueError("a tokenizer with word ends and lower case is expected")
+        self.cut = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.has_special = re.compile("|".join(map(re.escape, self.special))).search
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.parts = Numbers()                                # pre-tokens, and words that stay whole
+        self.part_ids, self.part_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known: dict[str, int] = {}                        # words
         self.ids, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.fresh, self.sizes = [], []
+
+    def _encode_parts(self, plain: list[str], whole: list[str]) -> None:
+        """Ids of new pre-tokens and of new whole words, in this order."""
+        ids, sizes = [], []
+        for k in range(0, len(plain), 1000):
+            got = np.array(self.tokenizer.encode(" ".join(plain[k:k + 1000]), add_special_tokens=False).ids, np.uint32)
+            ids.append(got)
+            sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(self.ends[got])])))
+        for word in whole:
+            ids.append(np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32))
+            sizes.append(np.array([len(ids[-1])]))
+        if ids:
+            self.part_ids = np.concatenate([self.part_ids, *ids])
+            self.part_at = np.concatenate([self.part_at, self.part_at[-1] + np.cumsum(np.concatenate(sizes))])
+        if len(self.part_at) != len(self.parts) + 1:
+            raise ValueError("pre-tokens and word ends do not agree")
 
     def _learn(self, words: list[str]) -> None:
-        odd = [w for w in words if any(s in w for s in self.special)] if self.has_special("\n".join(words)) else []
-        plain = [w for w in words if w not in set(odd)] if odd else words
-        parts = [[]]
-        if plain:
-            flat = np.array(self.tokenizer.encode(self.mark.join(plain), add_special_tokens=False).ids, np.uint32)
-            marks = np.flatnonzero(flat == self.mark_id)
-            sizes = np.diff(np.concatenate([[-1], marks, [len(flat)]])) - 1
-            parts = [flat[flat != self.mark_id]]
-        else:
-            sizes = np.zeros(0, np.int64)
-        more = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in odd]
+        number, cut, simple = self.parts.__getitem__, self.cut, self.simple
+        odd = set()
+        if not simple("".join(words)) or self.has_special("\n".join(words)):
+            odd = {w for w in words if w and (not simple(w) or self.has_special(w))}
+        found = [[] if w in odd else list(map(number, cut(w.lower()))) for w in words]
+        plain, self.parts.new = self.parts.new, []
+        for k, w in enumerate(words):
+            if w in odd:
+                found[k] = [number("\0" + w)]                  # never a pre-token's name
+        whole, self.parts.new = [w[1:] for w in self.parts.new], []
+        self._encode_parts(plain, whole)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        p = np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))
+        counts = self.part_at[p + 1] - self.part_at[p]
+        self.ids = np.concatenate([self.ids, self.part_ids[spread(self.part_at[p], counts)]])
+        total = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(lengths)]
+        self.at = np.concatenate([self.at, self.at[-1] + total])
         n = len(self.known)
-        self.known.update(zip(chain(plain, odd), range(n, n + len(words)), strict=True))
-        self.fresh += [*parts, *more]
-        self.sizes += [sizes, np.array([len(m) for m in more], np.int64)]
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, END_ID after each, and the offsets of the texts."""
         if len(self.known) > KNOWN_WORDS:
             self.forget()
         cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        todo = list(set(chain.from_iterable(cut)).difference(self.known))
-        for k in range(0, len(todo), 1000):
-            self._learn(todo[k:k + 1000])
-        if todo:
-            self.ids = np.concatenate([self.ids, *self.fresh]).astype(np.uint32)
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate(self.sizes))])
-            self.fresh, self.sizes = [], []
+        if new := list(set(chain.from_iterable(cut)).difference(self.known)):
+            self._learn(new)
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
         k = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(lengths.sum()))
         counts = self.at[k + 1] - self.at[k]
