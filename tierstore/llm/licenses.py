@@ -170,8 +170,8 @@ d AS (SELECT row_number() OVER () AS row_id, doc_id,
 block AS (SELECT row_id, s, w[s + 1:s + {2 * STEP}] AS b FROM (SELECT row_id, w, unnest(range(0, len(w), {STEP})) AS s FROM d)),
 hit AS (SELECT row_id, s, b, template.*, len(list_intersect(list_distinct(b), list_distinct(phrase))) AS overlap
         FROM block JOIN template ON len(list_intersect(list_distinct(b), list_distinct(phrase))) >= need),
-place AS (SELECT *, CASE WHEN exact THEN list_filter(range(0, {STEP}), lambda p: b[p + 1:p + len(phrase)] = phrase) END AS at FROM hit),
-kept AS (SELECT *, list_transform(at, lambda p: p + s) AS starts FROM place WHERE NOT exact OR len(at) > 0),
+place AS (SELECT *, CASE WHEN exact THEN list_filter(range(0, {STEP}), lambda p: b[p + 1:p + len(phrase)] = phrase) END AS spots FROM hit),
+kept AS (SELECT *, list_transform(spots, lambda p: p + s) AS starts FROM place WHERE NOT exact OR len(spots) > 0),
 summed AS (SELECT row_id, sum(CASE WHEN exact THEN len(starts) ELSE 0 END) AS n_base,
         min(CASE WHEN exact THEN list_min(starts) END) AS first_word, max(CASE WHEN exact THEN list_max(starts) END) AS last_word,
         string_agg(DISTINCT CASE WHEN exact THEN label END, ',' ORDER BY CASE WHEN exact THEN label END) AS base_labels,

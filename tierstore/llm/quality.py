@@ -6,9 +6,11 @@ expected grade is the sum of these tail probabilities, and the tail above the la
 probability that documents are selected by.
 
 A text's features are its distinct tokens (letter runs in lower case, digit runs, punctuation
-runs), hashed to 2 ** ``BITS`` weights. Training reads the whole texts of about
+runs), the first four letters of its words, and marks for how many tokens repeat the one before,
+how many are signs and how many are distinct, hashed to 2 ** ``BITS`` weights. Training reads the whole texts of about
 ``TRAINING_DOCS`` labelled documents, chosen by a hash of doc_id (fewer if there are fewer labels);
-only tokens in ``MIN_DOCS`` of them get a weight. The driver holds these tokens' numbers, which the
+only tokens in ``MIN_DOCS`` of them, whose mean grade lies ``MIN_Z`` standard errors off the mean of
+all, get a weight. The driver holds these tokens' numbers, which the
 sample bounds, and fits by full-batch gradient steps with a fixed order, so the model repeats
 exactly. Scoring reads every text whole.
 
@@ -21,6 +23,7 @@ labels all thresholds stay at their start; equal texts get equal scores; other c
 from __future__ import annotations
 
 import re
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ from .common import read, slices
 BITS = 20
 TRAINING_DOCS = 6000
 MIN_DOCS = 4
+MIN_Z = 4.0
 GRADES = 3
 KEEP_FROM = 0.5
 tokens = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+").findall
@@ -52,9 +56,20 @@ class _Slots(dict):
 _slots = _Slots()
 
 
+def _features(words: list[str]) -> set[str]:
+    """Distinct tokens, word beginnings, and marks for repetition."""
+    found = set(words)
+    if not found:
+        return found
+    marks = {f"repeat {10 * sum(map(eq, words, words[1:])) // len(words)}", f"signs {10 * sum(not w[0].isalnum() for w in words) // len(words)}"}
+    if len(words) >= 30:
+        marks.add(f"distinct {10 * len(found) // len(words)}")
+    return found.union({w[:4] + "-" for w in found if len(w) > 4}, marks)
+
+
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the distinct tokens of all texts, and the offsets of the texts."""
-    sets = [set(tokens((t or "").lower())) for t in texts]
+    sets = [_features(tokens((t or "").lower())) for t in texts]
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
     flat = np.fromiter((_slots[t] for s in sets for t in s), np.int32, int(at[-1]))
     return flat, at
@@ -71,13 +86,16 @@ class Model:
         self.weights, self.thresholds = weights, thresholds
 
     @classmethod
-    def fit(cls, slots: list[np.ndarray], grades: np.ndarray, steps: int = 400, rate: float = 0.05, ridge: float = 0.02) -> Model:
+    def fit(cls, slots: list[np.ndarray], grades: np.ndarray, steps: int = 200, rate: float = 0.08, ridge: float = 0.02) -> Model:
         """Maximum likelihood with a ridge on the weights (Adam on all rows)."""
         weights = np.zeros(1 << BITS)
         if not len(grades):
             return cls(weights.astype(np.float32), np.arange(GRADES - 1) + 0.0)
         docs = np.bincount(np.concatenate(slots), minlength=1 << BITS)
-        used = np.flatnonzero(docs >= MIN_DOCS)
+        centred = grades - grades.mean()
+        sums = np.bincount(np.concatenate(slots), np.repeat(centred, [len(s) for s in slots]), minlength=1 << BITS)
+        z = np.abs(sums) / np.sqrt(np.maximum(docs, 1) * max(centred.var(), 1e-9))
+        used = np.flatnonzero((docs >= MIN_DOCS) & (z >= MIN_Z))
         number = np.full(1 << BITS, -1)
         number[used] = np.arange(len(used))
         slots = [number[s] for s in slots]
