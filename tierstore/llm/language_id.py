@@ -103,6 +103,8 @@ class Model:
 
     @classmethod
     def build(cls, counts: pd.DataFrame, min_count: int, max_contexts: int) -> Model:
+        if counts.empty:
+            return cls([], np.zeros(256, np.int64), np.zeros((1, 1), np.int32), np.zeros((1, 1, 0), np.float32))
         languages = sorted(counts["lang"].unique())
         counts = counts.assign(context=counts["key"] // 256, byte=counts["key"] % 256)
         seen = np.sort(counts["byte"].unique())
