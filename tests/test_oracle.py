@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from tierstore.plans.registry import QUERIES as CORE
 from tools.oracle_check import digest, duck
 
 from conftest import SF001
 
-SQLS = E.oracle_sql()
-QUERIES = E.queries()
+QUERIES = {k: v for k, v in E.queries().items() if k in CORE}     # text queries: tests/llm
+SQLS = {k: v for k, v in E.oracle_sql().items() if k in CORE}
 
 
 @pytest.fixture(scope="module")
