@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from tierstore.session import shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A word of lower-cased text, as DuckDB writes it ...
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ... and as Java matches it about ten times faster, without a negated class.
+JAVA_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,7 +30,7 @@ def lowered(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Array of the words of the lower-cased text: runs of digits, a-z and non-ASCII characters."""
-    return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(lowered(text), F.lit(JAVA_WORD), F.lit(0))
 
 
 def text_key(text: Column) -> Column:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, WORD, read, stored, text_key, words
+from .common import JAVA_WORD, LOWER, UPPER, WORD, read, stored, text_key, words
 
 N = 10
 BROADCAST_WINDOWS = 200_000
@@ -106,7 +106,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, n: int = N, spans: bool = Fals
     if not spans:
         return doc.join(found, same, "left_anti").drop("_row_key")
     # words and what stands between them alternate; a leading word shifts the count by one
-    word = WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+    word = JAVA_WORD.replace("a-z", "a-zA-Z")
     parts = F.regexp_extract_all("text", F.lit(f"{word}|(?:(?!{word})[\\s\\S])+"), F.lit(0))
     first = F.when(F.col("text").rlike(f"^{word}"), 0).otherwise(1)
     number = lambda i: F.floor((i - first) / 2)
