@@ -276,9 +276,9 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(check, "a long, b long").distinct()
 
 
-def _blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame) -> DataFrame:
     """Cut parts over PART points into blocks; every pair of blocks becomes a part of its own."""
-    rows = rows.join(sizes, "key").withColumn("blocks", F.ceil(F.col("points") / (PART / 2)).cast("long"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("points") / (PART / 2)).cast("long"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(j, own) * F.col("blocks") + F.greatest(j, own))
     block = F.when(F.col("points") <= PART, F.array(F.lit(0).cast("long"))).otherwise(pair)
@@ -291,13 +291,13 @@ def near_components(docs: DataFrame) -> DataFrame:
     named = profile.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(named.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("keys").alias("keys")), "ngram-classes")
     points = classes.select("id", "n", "counts")
+    by = "PARTITION BY key ORDER BY n, id"
     parts = classes.select(F.explode("keys").alias("key"), "id", "n")
-    sizes = parts.groupBy("key").agg(F.count("*").alias("points")).filter("points > 1")
-    parts = stored(parts.join(sizes, "key"), "ngram-parts")
+    parts = parts.select("key", "id", "n", F.expr("count(*) OVER (PARTITION BY key)").alias("points"),
+                         F.expr(f"lag(id) OVER ({by})").alias("before"), F.expr(f"lag(n) OVER ({by})").alias("n_before"))
+    parts = stored(parts.filter("points > 1"), "ngram-parts")
 
-    by = "PARTITION BY key ORDER BY n, id"
-    neighbours = parts.select("n", "id", F.expr(f"lag(id) OVER ({by})").alias("before"), F.expr(f"lag(n) OVER ({by})").alias("n_before"))
-    neighbours = neighbours.filter(F.col("before").isNotNull() & (F.col("n_before") * DENOMINATOR >= F.col("n") * NUMERATOR) & (F.col("before") != F.col("id")))
+    neighbours = parts.filter(F.col("before").isNotNull() & (F.col("n_before") * DENOMINATOR >= F.col("n") * NUMERATOR) & (F.col("before") != F.col("id")))
     neighbours = neighbours.select(F.least("before", "id").alias("a"), F.greatest("before", "id").alias("b")).distinct()
     links = stored(verified(stored(bounded(neighbours, points), "ngram-pairs"), docs), "ngram-links")
 
@@ -309,8 +309,8 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     labelled = parts.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    rest = labelled.join(mixed, "key", "left_semi").drop("points").join(classes.select("id", "counts"), "id")
-    rest = _blocks(rest, parts.select("key", "points").distinct())
+    rest = labelled.join(mixed, "key", "left_semi").join(classes.select("id", "counts"), "id")
+    rest = _blocks(rest)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = rest.select("key", "block", "id", "n", "component", "counts").repartition(n, "key", "block").sortWithinPartitions("key", "block", "n", "id")
     across = stored(_search(rest).distinct(), "ngram-across")
