@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -137,29 +138,28 @@ def edited(text: str, following: str) -> str:
 
 
 NULL_FIRST = -(1 << 63)
+RANGES = 4                # ranges of doc_id for each shuffle partition
 
 
 def beside_next(docs: DataFrame) -> DataFrame:
     """(place, extra, doc_id, text) dealt by ranges of doc_id and ordered within them; the row after
     a range's last one follows it with extra = 1."""
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_FIRST)).alias("ord"))
+    doc = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_FIRST)).alias("ord"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / (4 * n) for i in range(1, 4 * n)]
-    row = ids.agg(F.min("ord").alias("low"), F.percentile_approx("ord", shares, 100_000).alias("limits")).first()
-    limits = np.unique([row.low, *(row.limits or [])]) if row.low is not None else np.array([0])
-
-    def deal(batches):
-        for batch in batches:
-            order = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_FIRST).to_numpy()
-            place = np.searchsorted(limits, order, "right") - 1
-            head = np.flatnonzero(limits[place] == order)
-            rows = np.concatenate([np.arange(len(order)), head])
-            before = np.where(place[head] > 0, place[head] - 1, len(limits) - 1)
-            extra = np.repeat([0, 1], [len(order), len(head)])
-            picked = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([place, before])), pa.array(extra), picked.column("doc_id").cast(pa.int64()), picked.column("text")], ["place", "extra", "doc_id", "text"])
-
-    dealt = docs.select("doc_id", "text").mapInArrow(deal, "place long, extra long, doc_id long, text string")
+    shares = [i / (RANGES * n) for i in range(1, RANGES * n)]
+    row = doc.agg(F.min("ord").alias("low"), F.percentile_approx("ord", shares, 20 * RANGES * n).alias("limits")).first()
+    limits = sorted({row.low, *(row.limits or [])}) if row.low is not None else [0]
+    # place = how many limits are not above the row, looked up in two steps
+    step = math.isqrt(len(limits)) + 1
+    constant = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    coarse = F.size(F.filter(constant(limits[::step]), lambda x: x <= F.col("ord"))) - 1
+    fine = F.size(F.filter(F.slice(constant(limits), F.col("coarse") * step + 1, F.lit(step)), lambda x: x <= F.col("ord")))
+    doc = doc.withColumn("coarse", coarse).withColumn("place", F.col("coarse") * step + fine - 1)
+    first = F.element_at(constant(limits), F.col("place") + 1) == F.col("ord")
+    before = F.when(F.col("place") > 0, F.col("place") - 1).otherwise(len(limits) - 1)
+    own, other = F.struct(F.col("place").alias("place"), F.lit(0).alias("extra")), F.struct(before.alias("place"), F.lit(1).alias("extra"))
+    dealt = doc.select("doc_id", "text", F.explode(F.when(first, F.array(own, other)).otherwise(F.array(own))).alias("to"))
+    dealt = dealt.select(F.col("to.place").cast("long").alias("place"), F.col("to.extra").cast("long").alias("extra"), "doc_id", "text")
     return dealt.repartition(n, "place").sortWithinPartitions("place", "extra", "doc_id", "text")
 
 
