@@ -224,8 +224,8 @@ def test_bounded_broadcast_falls_back_to_a_shuffle_join(spark):
     small = spark.range(50).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # only explicit hints broadcast
     try:
-        under = big.join(bounded_broadcast(small, max_rows=100), "k")
-        over = big.join(bounded_broadcast(small, max_rows=10), "k")
+        under = big.join(bounded_broadcast(small, max_bytes=1000), "k")
+        over = big.join(bounded_broadcast(small, max_bytes=100), "k")
         assert "BroadcastHashJoin" in under._jdf.queryExecution().executedPlan().toString()
         plan = over._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)

@@ -36,7 +36,7 @@ def test_load_once_then_nothing_new(spark, root):
     stored = store.facts().count()
     assert stored == v["tier1_rows"] + v["tier2_rows"] + v["tier3_rows"]
     again = load_from_staging(store, st)
-    assert again.status == 0 and again.values == {"new_runs": 0}
+    assert again.status == 0 and again.values == {"duplicate_runs": 0, "new_runs": 0}
     assert store.facts().count() == stored and store.ledger().count() == st.runs.count()
     # after a load with the same rules nothing is misplaced
     assert M.rebalance(store, dry_run=True).misplaced == 0

@@ -1,19 +1,24 @@
 """Broadcast only behind a size check.
 
-Dimension-sized inputs (ledger, counter map, tier map, rules) are broadcast when their row count
-is within a bound; above it the join is left to a shuffle join, so nothing unbounded is ever
-shipped to every executor. The count is one action over the small side.
+Dimension-sized inputs (ledger, counter map, tier map, rules) are broadcast when the optimizer's
+size estimate is within a bound; above it the join is left to a shuffle join (which adaptive
+execution may still turn into a broadcast by the measured size), so nothing unbounded is ever
+shipped to every executor. The estimate is the file size for stored tables and an upper bound for
+what is derived from them, and reading it runs no job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# ~ a few tens of MB for the narrow maps broadcast here (ids, tier, a key or two).
-DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` in bytes (very large where it knows nothing)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` is estimated at ``max_bytes`` or less, else ``df`` unchanged."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -14,6 +14,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tierstore.session import materialize
 
 
+def grouped_ids(df: DataFrame, group: str, order_cols: list[str], name: str, base: Column | int = 0) -> DataFrame:
+    """``dense_ids`` without a written table, for rows whose order starts with a column of many
+    values of which none dominates (machine names): rows are numbered inside each group and
+    shifted by the rows of all lower groups (one row per group, joined back). Runs nothing until
+    the result is used. ``group`` must be the first of ``order_cols`` and not null."""
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per group: this window is bounded by the number of groups
+    offsets = sizes.select(group, F.coalesce(F.sum("_n").over(
+        Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy(group).orderBy(*order_cols))
+    b = base if isinstance(base, Column) else F.lit(base)
+    return (df.withColumn("_local", local).join(offsets, group, "inner")
+            .withColumn(name, (b + F.col("_off") + F.col("_local")).cast("int")).drop("_local", "_off"))
+
+
 def dense_ids(df: DataFrame, order_cols: list[str], name: str, base: Column | int = 0,
               num_partitions: int | None = None) -> DataFrame:
     """``df`` with ``name`` = base + global 1-based position in ``order_cols`` order (the order

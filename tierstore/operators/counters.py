@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.keys import KEY_NAMES, with_key
-from tierstore.functions.ranking import dense_ids
+from tierstore.functions.ranking import grouped_ids
 from tierstore.schemas import COUNTER_DETAILS
 
 DETAIL_COLUMNS = [f.name for f in COUNTER_DETAILS.fields]
@@ -54,13 +54,13 @@ def merge_counters(vault: DataFrame, used: DataFrame, case_sensitive: bool = Fal
     """New vault rows for definitions whose key is not in the vault yet (insert only).
 
     Ids continue after the highest vault id in key order, so the assignment is deterministic;
-    the numbering is distributed (range partitions + per-partition offsets).
+    the numbering is distributed (per machine, plus the counts of the machines before).
     """
     src = merge_source(used, case_sensitive)
     existing = with_key(vault, case_sensitive).select(*KEY_NAMES)
     new = src.join(existing, KEY_NAMES, "left_anti")
     base = vault.agg(F.coalesce(F.max("CounterID"), F.lit(0))).scalar()   # scalar subquery
-    return dense_ids(new.drop("CounterID"), KEY_NAMES, "CounterID", base).select("CounterID", *ATTRS)
+    return grouped_ids(new.drop("CounterID"), KEY_NAMES[0], KEY_NAMES, "CounterID", base).select("CounterID", *ATTRS)
 
 
 def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool = False) -> DataFrame:
@@ -72,10 +72,11 @@ def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool =
 
 def assert_unique_keys(vault: DataFrame, case_sensitive: bool = False) -> None:
     """The vault must not hold one sentinel key twice (NULL and '' are one counter)."""
-    dup = (with_key(vault, case_sensitive).groupBy(*KEY_NAMES).count()
-           .filter("count > 1").limit(5).collect())
-    if dup:
-        raise ValueError(f"vault counters violate the sentinel key: {[r.asDict() for r in dup]}")
+    found = with_key(vault, case_sensitive).groupBy(*KEY_NAMES).count().filter("count > 1")
+    n = found.count()
+    if n:
+        raise ValueError(f"{n} sentinel key(s) occur more than once in the vault counters, the first: "
+                         f"{found.orderBy(*KEY_NAMES).first().asDict()}")
 
 
 def canonical_ids(details: DataFrame, case_sensitive: bool = False) -> DataFrame:

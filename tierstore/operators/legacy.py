@@ -14,7 +14,6 @@ from tierstore.functions.ranking import dense_ids
 from tierstore.operators.counters import canonical_ids
 
 BATCH_SIZE = 30
-MAX_COUNTERS = 5_000_000
 
 
 def pending_batches(source_runs: DataFrame, ledger: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -35,8 +34,8 @@ def staged_details(source_details: DataFrame, case_sensitive: bool = False) -> D
 def staged_data(source_data: DataFrame, batch_runs: DataFrame, source_details: DataFrame,
                 case_sensitive: bool = False) -> DataFrame:
     """Samples of the batch's runs with the counter id replaced by the canonical id."""
-    ids = bounded_broadcast(canonical_ids(source_details, case_sensitive), MAX_COUNTERS)
-    runs = bounded_broadcast(batch_runs.select("GUID"), MAX_COUNTERS)
+    ids = bounded_broadcast(canonical_ids(source_details, case_sensitive))
+    runs = bounded_broadcast(batch_runs.select("GUID"))
     return (source_data.join(runs, "GUID", "left_semi").join(ids, "CounterID", "inner")
             .withColumn("CounterID", F.col("CounterID_min")).drop("CounterID_min")
             .select(*source_data.columns))
@@ -47,8 +46,8 @@ def batch_summary(source_runs: DataFrame, ledger: DataFrame, source_data: DataFr
                   case_sensitive: bool = False) -> DataFrame:
     """Per batch of the whole import: runs, first / last file, samples, canonical counters."""
     b = pending_batches(source_runs, ledger, batch_size)
-    ids = bounded_broadcast(canonical_ids(source_details, case_sensitive), MAX_COUNTERS)
-    runs_b = bounded_broadcast(b.select("GUID", "batch_no"), MAX_COUNTERS)
+    ids = bounded_broadcast(canonical_ids(source_details, case_sensitive))
+    runs_b = bounded_broadcast(b.select("GUID", "batch_no"))
     facts = (source_data.join(runs_b, "GUID", "inner").join(ids, "CounterID", "inner")
              .groupBy("batch_no").agg(F.count(F.lit(1)).alias("num_facts"),
                                       F.count_distinct("CounterID_min").alias("num_counters")))

@@ -9,9 +9,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tierstore.functions.broadcast import bounded_broadcast
+from tierstore.functions.scalars import parse_counter_time
 from tierstore.schemas import STORED_TIERS
 
-MAX_PROBE = 5_000_000
 
 
 def probe_set(rmap: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def _in_range(facts: DataFrame, range_from: dt.datetime, range_to: dt.datetime)
 def overlapping(facts: DataFrame, probe: DataFrame, range_from: dt.datetime,
                 range_to: dt.datetime) -> DataFrame:
     """Stored samples that collide: in range and of an incoming counter in its current tier."""
-    p = bounded_broadcast(probe, MAX_PROBE)
+    p = bounded_broadcast(probe)
     return _in_range(facts, range_from, range_to).join(p, ["CounterID", "tier"], "left_semi")
 
 
@@ -49,7 +49,7 @@ def first_overlap_tier_probe(facts: DataFrame, probe: DataFrame, range_from: dt.
     """The same answer as ``first_overlap_tier`` by up to three existence probes in tier order,
     each pruned to one tier partition and stopped at the first matching row (``isEmpty`` is a
     limit-1 scan); only a clean load pays for a full scan of the range."""
-    p = bounded_broadcast(probe, MAX_PROBE)
+    p = bounded_broadcast(probe)
     for t in STORED_TIERS:
         hit = _in_range(facts.filter(F.col("tier") == t), range_from, range_to).join(
             p.filter(F.col("tier") == t), ["CounterID", "tier"], "left_semi")
@@ -58,10 +58,32 @@ def first_overlap_tier_probe(facts: DataFrame, probe: DataFrame, range_from: dt.
     return None
 
 
+def run_intervals(counts: DataFrame, runs: DataFrame, rmap: DataFrame) -> DataFrame:
+    """(GUID, CounterID, tier, lo, hi): the logged interval of each run, for each stored counter it
+    has samples of."""
+    r = runs.select("GUID", parse_counter_time("LogStartTime").alias("lo"), parse_counter_time("LogStopTime").alias("hi"))
+    m = rmap.filter(F.col("Tier").isin(*STORED_TIERS)).select("StagingCounterID", F.col("VaultCounterID").alias("CounterID"), F.col("Tier").alias("tier"))
+    used = counts.select("GUID", F.col("CounterID").alias("StagingCounterID")).join(m, "StagingCounterID")
+    return used.join(r, "GUID").select("GUID", "CounterID", "tier", "lo", "hi").distinct()
+
+
+def run_overlaps(facts: DataFrame, intervals: DataFrame) -> DataFrame:
+    """(GUID, tier, CounterID, num_rows): stored samples of a run's counters, in their current tier,
+    inside that run's own interval (ends inclusive). The samples read are those of the years of
+    the intervals; the join is on (counter, tier)."""
+    span = intervals.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if span["lo"] is None:
+        return intervals.limit(0).select("GUID", "tier", "CounterID", F.lit(0).cast("long").alias("num_rows"))
+    inside = _in_range(facts, span["lo"], span["hi"]).select("CounterID", "tier", "CounterDateTime")
+    return (inside.join(bounded_broadcast(intervals), ["CounterID", "tier"])
+            .filter(F.col("CounterDateTime").between(F.col("lo"), F.col("hi")))
+            .groupBy("GUID", "tier", "CounterID").agg(F.count(F.lit(1)).alias("num_rows")))
+
+
 def overlap_detail(facts: DataFrame, probe: DataFrame, counters: DataFrame, range_from: dt.datetime,
                    range_to: dt.datetime, top: int = 20) -> DataFrame:
     """Top counters by colliding rows (all tiers): min, max and count in range."""
-    ids = bounded_broadcast(probe.select("CounterID").distinct(), MAX_PROBE)
+    ids = bounded_broadcast(probe.select("CounterID").distinct())
     agg = (_in_range(facts, range_from, range_to).join(ids, "CounterID", "left_semi")
            .groupBy("CounterID")
            .agg(F.min("CounterDateTime").alias("vault_min_dt"), F.max("CounterDateTime").alias("vault_max_dt"),

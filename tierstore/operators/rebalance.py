@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.schemas import DEFAULT_TIER, FACT_COLUMNS
 
-MAX_COUNTERS = 5_000_000
 
 
 def placement(facts: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def detail(mis: DataFrame, counters: DataFrame) -> DataFrame:
 
 
 def with_target(facts: DataFrame, tier_map: DataFrame) -> DataFrame:
-    tm = bounded_broadcast(tier_map.select("CounterID", F.col("Tier").alias("_target")), MAX_COUNTERS)
+    tm = bounded_broadcast(tier_map.select("CounterID", F.col("Tier").alias("_target")))
     return (facts.join(tm, "CounterID", "left_outer")
             .withColumn("target", F.coalesce("_target", F.lit(DEFAULT_TIER)).cast("int")).drop("_target"))
 

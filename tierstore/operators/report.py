@@ -33,5 +33,7 @@ def load_report(new: DataFrame, dups: DataFrame, merged: DataFrame, routed: Data
 
 
 def report_frame(spark, values: dict) -> DataFrame:
-    """A report from already measured values (the committed load uses this)."""
-    return spark.createDataFrame([(s, int(values.get(s, 0))) for s in STEPS], "step string, num_rows long")
+    """A report from already measured values (the committed load uses this); the last row has the
+    elapsed seconds."""
+    steps = [*STEPS, *(["elapsed_seconds"] if "elapsed_seconds" in values else [])]
+    return spark.createDataFrame([(s, int(values.get(s, 0))) for s in steps], "step string, num_rows long")

@@ -15,8 +15,6 @@ from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.scalars import parse_counter_time, to_stored_value
 from tierstore.schemas import FACT_COLUMNS, VALUE_TYPE
 
-MAX_RUNS = 1_000_000
-MAX_COUNTERS = 5_000_000
 
 STORED, EXCLUDED, UNMAPPED, QUARANTINED = "stored", "excluded", "unmapped", "quarantined"
 
@@ -30,8 +28,8 @@ def route_map(id_map: DataFrame, tier_map: DataFrame) -> DataFrame:
 def route(data: DataFrame, runs: DataFrame, rmap: DataFrame,
           value_type: DataType = VALUE_TYPE) -> DataFrame:
     """Every sample of ``runs`` with vault id, parsed time, stored value, tier, year, status."""
-    r = bounded_broadcast(runs.select("GUID").distinct(), MAX_RUNS)
-    m = bounded_broadcast(rmap, MAX_COUNTERS)
+    r = bounded_broadcast(runs.select("GUID").distinct())
+    m = bounded_broadcast(rmap)
     ts = parse_counter_time("CounterDateTime")
     val = to_stored_value("CounterValue", value_type)
     joined = (data.join(r, "GUID", "left_semi")
@@ -48,6 +46,29 @@ def route(data: DataFrame, runs: DataFrame, rmap: DataFrame,
                     F.year("_ts").cast("int").alias("year"), "status"))
 
 
+def staged_counts(data: DataFrame, runs: DataFrame, value_type: DataType = VALUE_TYPE) -> DataFrame:
+    """(GUID, CounterID, num_rows, bad_rows) of the samples of ``runs``: the one pass that gives the
+    used counters, the exact size of the write and all counts of dropped samples. ``bad_rows``
+    have an unparsable time or value. One row per run and counter."""
+    bad = parse_counter_time("CounterDateTime").isNull() | to_stored_value("CounterValue", value_type).isNull()
+    return (data.join(bounded_broadcast(runs.select("GUID").distinct()), "GUID", "left_semi")
+            .groupBy("GUID", "CounterID")
+            .agg(F.count(F.lit(1)).alias("num_rows"), F.count_if(bad).alias("bad_rows")))
+
+
+def outcome_counts(counts: DataFrame, rmap: DataFrame) -> DataFrame:
+    """One row with the samples per outcome (tier1_rows .. quarantined_rows) from the staged
+    counts and the routing map."""
+    tier, good = F.col("Tier"), F.col("num_rows") - F.col("bad_rows")
+    joined = counts.join(rmap, counts["CounterID"] == rmap["StagingCounterID"], "left_outer")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return joined.agg(
+        *[zero(F.when(tier == t, good)).alias(f"tier{t}_rows") for t in (1, 2, 3)],
+        zero(F.when(tier == 0, good)).alias("tier0_rows"),
+        zero(F.when(F.col("VaultCounterID").isNull(), good)).alias("unmapped_rows"),
+        zero(F.col("bad_rows")).alias("quarantined_rows"))
+
+
 def stored_facts(routed: DataFrame) -> DataFrame:
     """The rows that go to the store, in store column order."""
     return routed.filter(F.col("status") == STORED).select(*FACT_COLUMNS, "tier", "year")

@@ -37,6 +37,25 @@ def name_conflicts(new: DataFrame, ledger: DataFrame) -> DataFrame:
             .drop("_n"))
 
 
+def rejected_runs(new: DataFrame, ledger: DataFrame, check_duplicates: bool = True) -> DataFrame:
+    """(GUID, reason) of new runs that must not be loaded: no parsable start or stop, a file name that
+    is in the ledger under another GUID, or a GUID or file name that is staged more than once."""
+    names = ledger.select(F.lower("DisplayString").alias("_n")).distinct().withColumn("_known", F.lit(True))
+    per_guid = new.groupBy("GUID").agg(F.count(F.lit(1)).alias("_guids"))
+    per_name = new.groupBy(F.lower("DisplayString").alias("_n")).agg(F.count(F.lit(1)).alias("_names"))
+    joined = (new.withColumn("_n", F.lower("DisplayString")).join(names, "_n", "left_outer")
+              .join(per_guid, "GUID").join(per_name, "_n"))
+    reasons = [
+        F.when(parse_counter_time("LogStartTime").isNull() | parse_counter_time("LogStopTime").isNull(),
+               F.lit("start or stop time cannot be parsed")),
+        F.when(F.col("_known"), F.lit("already loaded under another GUID")),
+    ]
+    if check_duplicates:
+        reasons.append(F.when((F.col("_guids") > 1) | (F.col("_names") > 1), F.lit("staged more than once")))
+    reason = F.concat_ws("; ", *reasons)
+    return joined.withColumn("reason", reason).filter("reason <> ''").groupBy("GUID").agg(F.min("reason").alias("reason")).orderBy("GUID")
+
+
 def time_range(runs: DataFrame) -> DataFrame:
     """One row: earliest start and latest stop of the runs (parsed first, then min/max)."""
     r = runs.agg(F.min(parse_counter_time("LogStartTime")).alias("range_from"),

@@ -1,7 +1,8 @@
 """Tier resolution: counters x rules by four LIKE patterns, lowest matching tier wins.
 
-The rule table is tiny and bounded, so it is broadcast and matched in a broadcast nested-loop
-join against the counters (a dimension, never the facts). Facts only ever see the resolved
+The rule table is tiny: loads and rebalances refuse more than ``MAX_RULES`` rules, so it can be
+broadcast and matched in a nested-loop join against the counters (a dimension, never the facts).
+Case is folded once per rule and once per counter, not for every pair. Facts only ever see the resolved
 (CounterID, Tier) map through an equi join.
 """
 
@@ -13,24 +14,28 @@ from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.patterns import escape_rule_pattern, like
 from tierstore.schemas import DEFAULT_TIER
 
-MAX_RULES = 100_000
 
-
-def _rule_columns(rules: DataFrame) -> DataFrame:
+def _rule_columns(rules: DataFrame, case_sensitive: bool) -> DataFrame:
+    fold = (lambda c: c) if case_sensitive else F.lower
     return rules.select(
         F.col("TierID").alias("r_id"), F.col("Tier").alias("r_tier"),
-        escape_rule_pattern(F.col("MachineName")).alias("r_machine"),
-        escape_rule_pattern(F.col("ObjectName")).alias("r_object"),
-        escape_rule_pattern(F.col("CounterName")).alias("r_counter"),
-        escape_rule_pattern(F.col("InstanceName")).alias("r_instance"))
+        *[fold(escape_rule_pattern(F.col(c))).alias(a)
+          for c, a in (("MachineName", "r_machine"), ("ObjectName", "r_object"),
+                       ("CounterName", "r_counter"), ("InstanceName", "r_instance"))])
+
+
+def _counter_columns(counters: DataFrame, case_sensitive: bool) -> DataFrame:
+    fold = (lambda c: c) if case_sensitive else F.lower
+    return counters.select(
+        "CounterID", fold(F.col("MachineName")).alias("c_machine"), fold(F.col("ObjectName")).alias("c_object"),
+        fold(F.col("CounterName")).alias("c_counter"),
+        fold(F.coalesce(F.col("InstanceName"), F.lit(""))).alias("c_instance"))
 
 
-def _match(case_sensitive: bool):
-    return (like(F.col("MachineName"), F.col("r_machine"), case_sensitive)
-            & like(F.col("ObjectName"), F.col("r_object"), case_sensitive)
-            & like(F.col("CounterName"), F.col("r_counter"), case_sensitive)
-            & (F.col("r_instance").isNull()
-               | like(F.coalesce(F.col("InstanceName"), F.lit("")), F.col("r_instance"), case_sensitive)))
+def _match():
+    pair = lambda part: like(F.col(f"c_{part}"), F.col(f"r_{part}"), case_sensitive=True)
+    return (pair("machine") & pair("object") & pair("counter")
+            & (F.col("r_instance").isNull() | pair("instance")))
 
 
 def resolve_tiers(counters: DataFrame, rules: DataFrame, case_sensitive: bool = False) -> DataFrame:
@@ -39,9 +44,8 @@ def resolve_tiers(counters: DataFrame, rules: DataFrame, case_sensitive: bool =
     One left-outer broadcast nested-loop join (rules on the build side) and one aggregation
     with map-side partial min; counters without a match keep a NULL tier that becomes 3.
     """
-    r = bounded_broadcast(_rule_columns(rules), MAX_RULES)
-    c = counters.select("CounterID", "MachineName", "ObjectName", "CounterName", "InstanceName")
-    return (c.join(r, _match(case_sensitive), "left_outer")
+    r = bounded_broadcast(_rule_columns(rules, case_sensitive))
+    return (_counter_columns(counters, case_sensitive).join(r, _match(), "left_outer")
             .groupBy("CounterID")
             .agg(F.coalesce(F.min("r_tier"), F.lit(DEFAULT_TIER)).cast("int").alias("Tier")))
 
@@ -62,9 +66,8 @@ def tier_drilldown(resolved: DataFrame, counters: DataFrame) -> DataFrame:
 
 def rule_coverage(counters: DataFrame, rules: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Per rule: how many counters it matches and for how many it is the winning tier."""
-    r = bounded_broadcast(_rule_columns(rules), MAX_RULES)
-    c = counters.select("CounterID", "MachineName", "ObjectName", "CounterName", "InstanceName")
-    hits = c.join(r, _match(case_sensitive), "inner").select("CounterID", "r_id", "r_tier")
+    r = bounded_broadcast(_rule_columns(rules, case_sensitive))
+    hits = _counter_columns(counters, case_sensitive).join(r, _match(), "inner").select("CounterID", "r_id", "r_tier")
     best = hits.groupBy("CounterID").agg(F.min("r_tier").alias("best"))
     per_rule = (hits.join(best, "CounterID", "inner")
                 .groupBy("r_id")

@@ -1,9 +1,12 @@
 """Incremental load from staging into the store, each log run exactly once.
 
-Steps: new runs (anti join on the ledger) -> duplicate-run check -> staging time range ->
-insert-only counter merge -> tier map and id map (materialised once, both small) -> overlap
-check against stored samples -> one routed, clustered write of all tiers -> ledger rows ->
+Steps: new runs (anti join on the ledger) -> validation of each run -> one pass over the staged
+samples (rows per run and counter) -> insert-only counter merge -> tier map and id map -> overlap of
+each run with the stored samples -> one routed, clustered write of all tiers -> ledger rows ->
 commit row. Nothing is visible before the commit row; a retry after a crash starts clean.
+
+A run that fails its validation refuses the load, or with ``reject_bad_runs`` only itself: the
+other runs are loaded, and the result lists the rejected ones with the reason.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tierstore.operators import counters as C
 from tierstore.operators import overlap as O
@@ -32,6 +35,7 @@ class LoadResult:
     report: DataFrame
     batch: str | None = None
     detail: DataFrame | None = None  # overlap detail when refused
+    rejected: list[tuple[str, str]] = field(default_factory=list)   # (GUID, reason), one per run
     values: dict = field(default_factory=dict)
     timings: dict = field(default_factory=dict)   # seconds per step (progress messages)
 
@@ -47,20 +51,22 @@ def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None =
     with scratch_scope(store.spark):
         res = _load(store, staging, rules, **options)
         if res.detail is not None:                # keep the refusal detail readable afterwards
-            res.detail = store.spark.createDataFrame(res.detail.collect(), res.detail.schema)
+            res.detail = materialize(res.detail, keep=True)
         return res
 
 
 def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
                       truncate_staging: bool = False, staging_root: str | None = None,
                       skip_validation: bool = False, only_counters: bool = False,
-                      case_sensitive: bool = False, rows_per_file: int | None = None) -> LoadResult:
+                      case_sensitive: bool = False, rows_per_file: int | None = None,
+                      reject_bad_runs: bool = False) -> LoadResult:
     """Load the runs of ``staging`` that are not in the ledger yet.
 
     With zero new runs the call returns at once and staging is left alone even when
     ``truncate_staging`` is set (same for a counters-only run). ``truncate_staging`` empties the
     three staging folders below ``staging_root`` after a successful commit. Values are converted
-    to the store's ``value_type``.
+    to the store's ``value_type``. ``reject_bad_runs`` leaves out the runs that fail validation
+    instead of refusing the load.
     """
     spark = store.spark
     checkpoint_dir(spark, fallback=store.path("_checkpoints"))
@@ -69,93 +75,96 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
     st = store.state()
     vals: dict = {}
     clock = _Clock()
+    rejected: list[tuple[str, str]] = []
 
-    new = U.new_runs(staging.runs, store.ledger(st))
-    new = _materialise(new)
-    vals["new_runs"] = new.count()
-    clock.mark("new_runs")
-    if vals["new_runs"] == 0:
-        return LoadResult(0, "No new data to load.", REP.report_frame(spark, vals), values=vals,
-                          timings=clock.steps)
+    def result(status, message, **more):
+        return LoadResult(status, message, REP.report_frame(spark, {**vals, "elapsed_seconds": clock.total()}), values=vals,
+                          timings=clock.steps, rejected=sorted(rejected), **more)
 
     if not skip_validation:
         dups = U.duplicate_runs(staging.runs).count()
         vals["duplicate_runs"] = dups
-        if dups:
-            return LoadResult(1, f"ERROR: {dups} duplicate run key(s) in staging runs.",
-                              REP.report_frame(spark, vals), values=vals)
-    names = U.name_conflicts(new, store.ledger(st)).limit(20).collect()
-    if names:
-        return LoadResult(1, f"ERROR: file(s) already loaded under another GUID: "
-                             f"{[r['DisplayString'] for r in names]}", REP.report_frame(spark, vals), values=vals)
-    bad_ledger = U.invalid_ledger_rows(U.ledger_rows(new)).count()
-    if bad_ledger:
-        return LoadResult(1, f"ERROR: {bad_ledger} run(s) without a parsable start/stop time.",
-                          REP.report_frame(spark, vals), values=vals)
-    rng = U.time_range(new).first()
-    lo, hi = rng["range_from"], rng["range_to"]
-    # expected samples from the run headers (metadata, no scan) size the write
-    expected = new.agg(F.sum("NumberOfRecords")).first()[0]
+        if dups and not reject_bad_runs:
+            return result(1, f"Refused: {dups} run key(s) are staged more than once.")
+    new = _materialise(U.new_runs(staging.runs, store.ledger(st)))
+    vals["new_runs"] = new.count()
+    clock.mark("new_runs")
+    if vals["new_runs"] == 0:
+        return result(0, "No new data to load.")
+
+    bad = U.rejected_runs(new, store.ledger(st), check_duplicates=not skip_validation).collect()   # runs, not samples
+    if bad and not reject_bad_runs:
+        return result(1, f"Refused: {len(bad)} run(s) fail validation, the first: {bad[0]['GUID']}: {bad[0]['reason']}.",
+                      detail=spark.createDataFrame(bad))
+    rejected += [(r["GUID"], r["reason"]) for r in bad]
+    new = _without(new, rejected)
     clock.mark("validate_runs")
 
-    batch = store.new_batch()
+    counts = _materialise(R.staged_counts(staging.data, new, store.value_type))
     vault = store.counters(st)
-    used = materialize(C.used_counters(staging.details, staging.data, new))
+    clock.mark("staged_counts")
+    batch = store.new_batch()
+    if not skip_validation and st.having("facts"):
+        # against the counters that are stored already: a new counter has no samples to collide with
+        known = R.route_map(C.counter_id_map(staging.details, vault, case_sensitive), resolve_tiers(vault, rules, case_sensitive))
+        hits = _materialise(O.run_overlaps(store.facts(st), _materialise(O.run_intervals(counts, new, known))))
+        first = hits.groupBy("GUID").agg(F.min("tier").alias("tier"), F.sum("num_rows").alias("num_rows")).orderBy("GUID").collect()
+        if first and not reject_bad_runs:
+            low = min(r["tier"] for r in first)
+            return result(1, f"Refused: the store holds samples of {len(first)} staged run(s) already; first overlap in Tier{low}.",
+                          detail=hits.join(vault.select("CounterID", "MachineName", "ObjectName", "CounterName", "InstanceName"), "CounterID"))
+        rejected += [(r["GUID"], f"overlaps {r['num_rows']} stored samples, first in Tier{r['tier']}") for r in first]
+        new = _without(new, [(r["GUID"], "") for r in first])
+        counts = counts.join(new.select("GUID"), "GUID", "left_semi")
+        clock.mark("overlap_check")
+    vals["new_runs"] -= len(rejected)
+    if vals["new_runs"] == 0:
+        return result(0, f"No run could be loaded, {len(rejected)} rejected.")
+
+    used = _materialise(staging.details.join(counts.select("CounterID").distinct(), "CounterID", "left_semi"))
     # same key, different type / scale / time bases: the lowest staging id's definition is kept
     vals["key_conflicts"] = C.key_conflicts(used, case_sensitive).count()
     merged = C.merge_counters(vault, used, case_sensitive)
-    store.write_table("counters", merged, batch, rows=merged.count())
-    merged = spark.read.parquet(store.path("counters", f"batch={batch}"))
+    store.write_table("counters", merged, batch)
+    merged = spark.read.schema(merged.schema).parquet(store.path("counters", f"batch={batch}"))
     vals["new_counters"] = merged.count()
     vault_after = vault.unionByName(merged)
     C.assert_unique_keys(vault_after, case_sensitive)
     clock.mark("merge_counters")
     if only_counters:
         store.commit("counters", batch, state=st)
-        return LoadResult(0, "Counter merge complete, data load skipped.", REP.report_frame(spark, vals),
-                          batch=batch, values=vals, timings=clock.steps)
+        return result(0, "Counter merge complete, data load skipped.", batch=batch)
 
-    tier_map = resolve_tiers(vault_after, rules, case_sensitive)
-    rmap = _materialise(R.route_map(C.counter_id_map(staging.details, vault_after, case_sensitive), tier_map))
-    amb = C.ambiguous_staging_ids(rmap).limit(5).collect()
+    rmap = _materialise(R.route_map(C.counter_id_map(used, vault_after, case_sensitive), resolve_tiers(vault_after, rules, case_sensitive)))
+    amb = C.ambiguous_staging_ids(rmap).count()
     if amb:
-        return LoadResult(1, f"ERROR: staging counter ids with conflicting definitions: "
-                             f"{[r['StagingCounterID'] for r in amb]}", REP.report_frame(spark, vals), values=vals)
+        return result(1, f"Refused: {amb} staging counter id(s) have conflicting definitions.", detail=C.ambiguous_staging_ids(rmap))
     clock.mark("tier_and_id_map")
 
-    if not skip_validation:
-        facts = store.facts(st)
-        dup_tier = O.first_overlap_tier_probe(facts, O.probe_set(rmap), lo, hi)
-        if dup_tier is not None:
-            detail = O.overlap_detail(facts, O.probe_set(rmap), vault_after, lo, hi)
-            msg = (f"ERROR: store already holds samples of staging counters in "
-                   f"[{lo:%Y-%m-%d %H:%M:%S} - {hi:%Y-%m-%d %H:%M:%S}]; first overlap in {dup_tier}.")
-            return LoadResult(1, msg, REP.report_frame(spark, vals), batch=None, detail=detail, values=vals,
-                              timings=clock.steps)
-        clock.mark("overlap_check")
-
-    obs = Observation("stored")
-    routed = R.route(staging.data, new, rmap, store.value_type)
+    # counted, not taken from the run headers: sizes the write and reports what is dropped
+    vals.update(R.outcome_counts(counts, rmap).first().asDict())
     per_file = rows_per_file or ROWS_PER_FILE
-    store.write_facts(R.stored_facts(routed), batch, per_file, observation=obs,
-                      num_partitions=partitions_for(expected, per_file))
-    vals.update({k: int(v) for k, v in obs.get.items()})
-    # samples that are not stored: one narrow aggregate over the batch (never shuffled)
-    dropped = (routed.filter(F.col("status") != R.STORED).groupBy("status").count().collect())
-    names = {R.EXCLUDED: "tier0_rows", R.UNMAPPED: "unmapped_rows", R.QUARANTINED: "quarantined_rows"}
-    vals.update({v: 0 for v in names.values()})
-    vals.update({names[r["status"]]: int(r["count"]) for r in dropped})
+    routed = R.route(staging.data, new, rmap, store.value_type)
+    store.write_facts(R.stored_facts(routed), batch, per_file,
+                      num_partitions=partitions_for(sum(vals[f"tier{t}_rows"] for t in (1, 2, 3)), per_file))
     clock.mark("write_facts")
 
-    store.write_table("ledger", U.ledger_rows(new), batch)
+    store.write_table("ledger", U.ledger_rows(new), batch, rows=vals["new_runs"])
     vals["runs_marked"] = vals["new_runs"]
     store.commit("load", batch, state=st)
     clock.mark("mark_loaded_and_commit")
 
     if truncate_staging and staging_root:
         truncate(spark, staging_root)
-    return LoadResult(0, f"Load complete. Duration: {clock.total()} seconds.", REP.report_frame(spark, vals),
-                      batch=batch, values=vals, timings=clock.steps)
+    return result(0, f"Load complete. Duration: {clock.total()} seconds.", batch=batch)
+
+
+def _without(runs: DataFrame, rejected: list[tuple[str, str]]) -> DataFrame:
+    """``runs`` without the rejected ones, written (a row per log run)."""
+    if not rejected:
+        return runs
+    gone = runs.sparkSession.createDataFrame([(g,) for g, _ in rejected], "GUID string")
+    return _materialise(runs.join(gone, "GUID", "left_anti"))
 
 
 class _Clock:

@@ -20,7 +20,6 @@ from tierstore.schemas import FACT_COLUMNS
 from tierstore.session import checkpoint_dir, materialize, scratch_scope
 from tierstore.sources.rules import assert_valid, default_rules
 
-MAX_COUNTERS = 5_000_000
 
 
 @dataclass
@@ -65,7 +64,7 @@ def _rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = Tru
     res = RebalanceResult(n, B.summary(mis), B.detail(mis, counters))
     if n == 0 or dry_run:
         return res
-    probe = bounded_broadcast(mis.select("CounterID", F.col("CurrentTier").alias("tier")), MAX_COUNTERS)
+    probe = bounded_broadcast(mis.select("CounterID", F.col("CurrentTier").alias("tier")))
     affected = store.folders(per_folder.join(probe, ["CounterID", "tier"], "left_semi"))
     src = facts.filter(_folder_filter(affected))
     tot = src.agg(F.count(F.lit(1)).alias("n")).first()["n"]
@@ -80,32 +79,33 @@ def _rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = Tru
     return res
 
 
-def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = True) -> str | None:
-    """Remove the samples and ledger rows of the given runs (repair of a bad load).
+def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = False) -> str | None:
+    """Remove the samples and ledger rows of the given runs (repair of a bad load); the runs can be
+    loaded again afterwards.
 
-    The samples of a log lie inside its logged start/stop times, so by default only the years
-    and the time window of the runs are searched; ``prune_by_log_range=False`` searches the
-    whole store (for data loaded by other means)."""
+    Folders are found by the samples' GUID. ``prune_by_log_range=True`` searches only the years and
+    the time window between the runs' logged start and stop: only for logs whose headers are known
+    to be right, since samples outside it stay."""
     st = store.state()
-    guids = bounded_broadcast(runs.select(F.lower("GUID").alias("GUID")).distinct(), MAX_COUNTERS)
-    loaded = store.ledger(st).join(guids, "GUID", "left_semi")
-    gone = [r["GUID"] for r in loaded.select("GUID").collect()]
+    guids = bounded_broadcast(runs.select(F.lower("GUID").alias("GUID")).distinct())
+    gone = store.ledger(st).join(guids, "GUID", "left_semi")
     facts = store.facts(st, with_batch=True)
-    # samples of a run lie inside its logged start/stop range: prune to those years and times
-    span = loaded.agg(F.min("LogStartTime").alias("lo"), F.max("LogStopTime").alias("hi")).first()
-    if prune_by_log_range and span["lo"] is not None:
-        facts = facts.filter(F.col("year").between(span["lo"].year, span["hi"].year)
-                             & F.col("CounterDateTime").between(F.lit(span["lo"]).cast("timestamp_ntz"),
-                                                                F.lit(span["hi"]).cast("timestamp_ntz")))
+    if prune_by_log_range:
+        span = gone.agg(F.min("LogStartTime").alias("lo"), F.max("LogStopTime").alias("hi")).first()
+        if span["lo"] is not None:
+            facts = facts.filter(F.col("year").between(span["lo"].year, span["hi"].year)
+                                 & F.col("CounterDateTime").between(F.lit(span["lo"]).cast("timestamp_ntz"),
+                                                                    F.lit(span["hi"]).cast("timestamp_ntz")))
     affected = store.folders(facts.join(guids, "GUID", "left_semi"))
-    if not affected and not gone:
+    if not affected and gone.isEmpty():
         return None
     batch = store.new_batch()
     if affected:
         whole = store.facts(st, with_batch=True)
         keep = whole.filter(_folder_filter(affected)).join(guids, "GUID", "left_anti").drop("batch")
         store.write_facts(keep, batch)
-    store.commit("unload", batch if affected else None, retired=affected, retired_runs=gone, state=st)
+    store.write_table("unloaded", gone.select(F.col("batch").alias("ledger_batch"), "GUID"), batch)
+    store.commit("unload", batch, retired=affected, state=st)
     return batch
 
 

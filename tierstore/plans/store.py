@@ -5,7 +5,8 @@ Layout under ``root`` (any Hadoop file system shared by the cluster)::
     facts/batch=<b>/tier=<t>/year=<y>/*.parquet   samples, clustered per tier
     counters/batch=<b>/*.parquet                  counter definitions added by batch b
     ledger/batch=<b>/*.parquet                    log runs loaded by batch b
-    _commits/*.parquet                            one row per commit
+    unloaded/batch=<b>/*.parquet                  ledger rows (batch, GUID) that batch b took back
+    _commits/epoch=<n>/*.parquet                  one row per commit
 
 A batch becomes visible only when its commit row is appended, and that append is the last
 step of every job, so a job that dies half-way leaves nothing visible and its retry starts
@@ -13,6 +14,11 @@ clean (the ledger row is the commit marker, as in the original design, but now c
 too). Maintenance (rebalance, unload, replace, compaction) writes a new batch with the
 rewritten rows and retires the replaced (batch, tier, year) folders in the same commit row, so
 only affected folders are rewritten. One writer at a time is assumed.
+
+A commit row names the tables and sample folders that its batch holds, so a reader lists nothing
+to find out what exists, and a committed folder that is missing is an error. After
+``COMMITS_PER_EPOCH`` commits a new epoch begins with a row that carries the whole live state;
+readers look at the newest epoch only, so the log they read stays short.
 """
 
 from __future__ import annotations
@@ -30,14 +36,19 @@ from tierstore.schemas import COUNTER_DETAILS, FACTS, LEDGER, VALUE_TYPE
 
 FOLDER = StructType([StructField("batch", StringType()), StructField("tier", IntegerType()),
                      StructField("year", IntegerType())])
+LIVE = StructType([StructField("batch", StringType()), StructField("tables", ArrayType(StringType()))])
 COMMITS = StructType([
     StructField("commit_id", LongType(), False),
     StructField("kind", StringType(), False),
     StructField("batch", StringType(), True),
-    StructField("retired", ArrayType(FOLDER), True),
-    StructField("retired_runs", ArrayType(StringType()), True),
+    StructField("tables", ArrayType(StringType()), True),       # tables the batch holds
+    StructField("folders", ArrayType(FOLDER), True),            # sample folders it holds
+    StructField("retired", ArrayType(FOLDER), True),            # sample folders it replaces
+    StructField("live", ArrayType(LIVE), True),                 # first row of an epoch: all batches
     StructField("created", TimestampNTZType(), False),
 ])
+UNLOADED = StructType([StructField("ledger_batch", StringType(), False), StructField("GUID", StringType(), False)])
+COMMITS_PER_EPOCH = 100
 BATCH = StructField("batch", StringType(), False)
 
 # rows per file: the 1,048,576-row rowgroup of the original layout
@@ -62,10 +73,35 @@ def partitions_for(rows: int | None, rows_per_file: int = ROWS_PER_FILE) -> int
 
 @dataclass
 class StoreState:
-    batches: list[str] = field(default_factory=list)
-    retired: set[tuple[str, int, int]] = field(default_factory=set)
-    retired_runs: set[str] = field(default_factory=set)
+    """Live batches with their tables, and the live sample folders of each batch."""
+    tables: dict[str, set[str]] = field(default_factory=dict)
+    folders: dict[str, set[tuple[int, int]]] = field(default_factory=dict)
+    touched: set[str] = field(default_factory=set)      # batches that lost a folder
     last_commit: int = 0
+    epoch: int = 0
+    commits_in_epoch: int = 0
+
+    def having(self, table: str) -> list[str]:
+        return [b for b, t in self.tables.items() if table in t]
+
+    def apply(self, row) -> None:
+        self.last_commit = max(self.last_commit, row["commit_id"])
+        for live in row["live"] or []:
+            self.tables[live["batch"]] = set(live["tables"])
+        if row["batch"] and row["kind"] != EPOCH:
+            self.tables[row["batch"]] = set(row["tables"] or [])
+        for f in row["folders"] or []:
+            self.folders.setdefault(f["batch"], set()).add((f["tier"], f["year"]))
+        for f in row["retired"] or []:
+            self.folders.get(f["batch"], set()).discard((f["tier"], f["year"]))
+            self.touched.add(f["batch"])
+
+
+EPOCH = "epoch"
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
 class Store:
@@ -75,6 +111,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str, value_type: DataType = VALUE_TYPE):
         self.spark, self.root, self.value_type = spark, root.rstrip("/"), value_type
+        self._written: dict[str, set[str]] = {}        # tables written per batch, until its commit
         self.facts_schema = StructType([StructField(f.name, value_type, f.nullable) if f.name == "CounterValue"
                                         else f for f in FACTS.fields])
 
@@ -82,53 +119,53 @@ class Store:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMITS).parquet(self.path("_commits"))
-        except Exception:  # noqa: BLE001 - no commit yet
+    def commits(self, epoch: int | None = None) -> DataFrame:
+        """The commit log, or one epoch of it. Only a log that does not exist yet is empty."""
+        path = self.path("_commits") if epoch is None else self.path("_commits", f"epoch={epoch}")
+        if not self._children(self.path("_commits")):
             return self.spark.createDataFrame([], COMMITS)
+        return self.spark.read.schema(COMMITS).parquet(path)
 
     def state(self) -> StoreState:
-        """The commit log is metadata (one row per job), read on the driver."""
+        """The newest epoch of the commit log (metadata, at most COMMITS_PER_EPOCH + 1 rows)."""
         st = StoreState()
-        for r in self.commits().orderBy("commit_id").collect():
-            st.last_commit = max(st.last_commit, r["commit_id"])
-            if r["batch"]:
-                st.batches.append(r["batch"])
-            for f in r["retired"] or []:
-                st.retired.add((f["batch"], f["tier"], f["year"]))
-            st.retired_runs.update(r["retired_runs"] or [])
+        epochs = [int(n.split("=")[1]) for n in self._children(self.path("_commits")) if n.startswith("epoch=")]
+        if not epochs:
+            return st
+        st.epoch = max(epochs)
+        rows = self.commits(st.epoch).collect()
+        for r in sorted(rows, key=lambda r: r["commit_id"]):
+            st.apply(r)
+        st.commits_in_epoch = sum(r["kind"] != EPOCH for r in rows)
         return st
 
     @staticmethod
     def new_batch() -> str:
         return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
-    def _read(self, table: str, schema: StructType, batches: list[str]) -> DataFrame:
+    def _read(self, table: str, schema: StructType, paths: list[str]) -> DataFrame:
+        """The committed folders of a table; a folder that is gone raises."""
         full = StructType(schema.fields + [BATCH])
-        if not batches:
-            return self.spark.createDataFrame([], full)
-        paths = [self.path(table, f"batch={b}") for b in batches]
-        existing = [p for p in paths if self._exists(p)]
-        if not existing:
+        if not paths:
             return self.spark.createDataFrame([], full)
         return (self.spark.read.schema(full).option("basePath", self.path(table))
-                .option("mergeSchema", "false").parquet(*existing))
+                .option("mergeSchema", "false").parquet(*paths))
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    def _batches(self, table: str, st: StoreState) -> list[str]:
+        return [self.path(table, f"batch={b}") for b in st.having(table)]
 
     # ------------------------------------------------------------ visible tables
     def facts(self, state: StoreState | None = None, with_batch: bool = False) -> DataFrame:
         """The unified view of all tiers: committed, not retired samples."""
         st = state or self.state()
-        df = self._read("facts", self.facts_schema, st.batches)
-        if st.retired:
-            gone = F.struct("batch", "tier", "year").isin(
-                *[F.struct(F.lit(b), F.lit(t), F.lit(y)) for b, t, y in sorted(st.retired)])
-            df = df.filter(~gone)
+        paths = []
+        for b in st.having("facts"):
+            if b not in st.touched:
+                paths.append(self.path("facts", f"batch={b}"))
+            else:
+                paths += [self.path("facts", f"batch={b}", f"tier={t}", f"year={y}")
+                          for t, y in sorted(st.folders.get(b, ()))]
+        df = self._read("facts", self.facts_schema, paths)
         return df if with_batch else df.drop("batch")
 
     def read(self, tier: int | None = None, start: dt.datetime | None = None,
@@ -148,14 +185,18 @@ class Store:
 
     def counters(self, state: StoreState | None = None) -> DataFrame:
         st = state or self.state()
-        return self._read("counters", COUNTER_DETAILS, st.batches).drop("batch")
+        return self._read("counters", COUNTER_DETAILS, self._batches("counters", st)).drop("batch")
 
     def ledger(self, state: StoreState | None = None) -> DataFrame:
+        """Loaded runs with the batch that loaded them. An unload takes back single (batch, GUID)
+        rows, so a run that is loaded again later counts as loaded."""
         st = state or self.state()
-        df = self._read("ledger", LEDGER, st.batches)
-        if st.retired_runs:
-            df = df.filter(~F.col("GUID").isin(*sorted(st.retired_runs)))
-        return df
+        df = self._read("ledger", LEDGER, self._batches("ledger", st))
+        if st.having("unloaded"):
+            gone = self._read("unloaded", UNLOADED, self._batches("unloaded", st)).select(
+                F.col("ledger_batch").alias("batch"), "GUID").distinct()
+            df = df.join(gone, ["batch", "GUID"], "left_anti")
+        return df.select(*[f.name for f in LEDGER.fields], "batch")
 
     # ------------------------------------------------------------ writes
     def write_facts(self, facts: DataFrame, batch: str, rows_per_file: int = ROWS_PER_FILE,
@@ -174,21 +215,43 @@ class Store:
         if zstd_level:
             w = w.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(zstd_level))
         w.partitionBy("tier", "year").parquet(self.path("facts", f"batch={batch}"))
+        self._written.setdefault(batch, set()).add("facts")
 
     def write_table(self, table: str, df: DataFrame, batch: str, rows: int | None = None) -> None:
         """A dimension delta (counters, ledger rows) of a batch, one file per ~1M rows."""
         df.coalesce(partitions_for(rows) or 1).write.mode("error").parquet(self.path(table, f"batch={batch}"))
+        self._written.setdefault(batch, set()).add(table)
 
     def commit(self, kind: str, batch: str | None, retired: list[tuple[str, int, int]] | None = None,
-               retired_runs: list[str] | None = None, state: StoreState | None = None) -> int:
+               state: StoreState | None = None) -> int:
         """Append the commit row: the single step that makes a job's output visible."""
         st = state or self.state()
-        cid = st.last_commit + 1
-        row = (cid, kind, batch, [tuple(f) for f in (retired or [])], list(retired_runs or []),
-               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(self.path("_commits"))
+        epoch, cid = st.epoch, st.last_commit + 1
+        if st.commits_in_epoch >= COMMITS_PER_EPOCH:
+            epoch += 1
+            live = [(b, sorted(t - ({"facts"} if b in st.touched and not st.folders.get(b) else set())))
+                    for b, t in st.tables.items()]
+            folders = [(b, t, y) for b, found in st.folders.items() for t, y in sorted(found)]
+            # batches that lost a folder are told apart by the retired list
+            lost = [(b, -1, -1) for b in sorted(st.touched) if st.folders.get(b)]
+            self._append((cid, EPOCH, None, None, folders, lost, live, _now()), epoch)
+            cid += 1
+        tables = sorted(self._written.pop(batch, set())) if batch else []
+        folders = self._fact_folders(batch) if "facts" in tables else []
+        self._append((cid, kind, batch, tables, folders, [tuple(f) for f in (retired or [])], None, _now()), epoch)
         return cid
 
+    def _append(self, row: tuple, epoch: int) -> None:
+        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(
+            self.path("_commits", f"epoch={epoch}"))
+
+    def _fact_folders(self, batch: str) -> list[tuple[str, int, int]]:
+        """(batch, tier, year) folders that a write left (tiers x years of one batch)."""
+        base = self.path("facts", f"batch={batch}")
+        return [(batch, int(t.split("=")[1]), int(y.split("=")[1]))
+                for t in self._children(base) if t.startswith("tier=")
+                for y in self._children(f"{base}/{t}") if y.startswith("year=")]
+
     # ------------------------------------------------------------ clean-up
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -216,8 +279,8 @@ class Store:
                 committed.add(r["batch"])
             if r["created"] < limit:
                 doomed += [self.path("facts", f"batch={f['batch']}", f"tier={f['tier']}", f"year={f['year']}")
-                           for f in (r["retired"] or [])]
-        for table in ("facts", "counters", "ledger"):
+                           for f in (r["retired"] or []) if f["tier"] >= 0]
+        for table in ("facts", "counters", "ledger", "unloaded"):
             for name in self._children(self.path(table)):
                 if not name.startswith("batch="):
                     continue

@@ -64,9 +64,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder: the checkpoint folder, else the SQL warehouse folder (both
-    live on the cluster's shared file system; never a machine-local temporary folder)."""
-    return _configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    """The cluster's shared folder, named by ``spark.checkpoint.dir``. Only a local master, where
+    every task runs on this machine, may do without: it uses the SQL warehouse folder."""
+    path = _configured_checkpoint_dir(spark)
+    if path:
+        return path
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -114,6 +114,10 @@ def rules_from_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
          for i, (t, m, o, c, inst) in enumerate(rows)], RULES)
 
 
+#: More rules than this are refused: every counter is matched with every rule.
+MAX_RULES = 10_000
+
+
 def invalid_rules(rules: DataFrame) -> DataFrame:
     """Rules that break the rule-table constraints, with the reason.
 
@@ -135,7 +139,12 @@ def invalid_rules(rules: DataFrame) -> DataFrame:
 
 
 def assert_valid(rules: DataFrame) -> None:
-    """Raise when any rule is invalid (one small action over the rule table)."""
-    bad = invalid_rules(rules).limit(20).collect()
+    """Raise when any rule is invalid or there are too many to broadcast; the message gives the
+    number and the first of them (``invalid_rules`` has all)."""
+    n = rules.count()
+    if n > MAX_RULES:
+        raise ValueError(f"{n} classification rules; at most {MAX_RULES} are supported")
+    found = invalid_rules(rules)
+    bad = found.count()
     if bad:
-        raise ValueError(f"invalid classification rules: {[r.asDict() for r in bad]}")
+        raise ValueError(f"{bad} invalid classification rule(s), the first: {found.orderBy('TierID').first().asDict()}")

@@ -5,8 +5,14 @@ A landing folder holds ``counter_data/`` (partitioned by GUID), ``counter_detail
 last. The stream watches only the run files: a run file announces a complete log, so a log is
 never split over two micro-batches. Each micro-batch (``foreachBatch``) loads its runs into the
 store; the ledger makes a repeated batch harmless (foreachBatch is at-least-once), and
-``cleanSource=archive`` moves consumed run files to the archive folder. Every file gets a status
-row (OK / Failed) in ``_ingest_log`` of the store, which is what the summary counts.
+``cleanSource=archive`` moves consumed run files to the archive folder.
+
+A run that fails its validation (unparsable times, a file name known under another GUID, staged
+twice, overlap with stored samples) does not hold up the others: they are loaded, and the rejected
+run is kept in ``_ingest_rejected`` of the store and validated again with every later trigger and at
+every start, until it loads. Any other error (storage, a lost job, bad rules) is raised, so the
+micro-batch is not marked as done and runs again. Every attempt leaves a status row per file (OK /
+Failed with the reason) in ``_ingest_log``; the summary counts the last status of each file.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from tierstore.plans.load import load_from_staging
+from tierstore.plans.load import LoadResult, load_from_staging
 from tierstore.plans.store import Store
 from tierstore.schemas import COUNTER_DETAILS, STAGING_DATA, STAGING_RUNS
 from tierstore.sources.staging import Staging
@@ -29,33 +35,64 @@ INGEST_LOG = StructType([
     StructField("message", StringType(), True),
     StructField("logged", TimestampNTZType(), False),
 ])
+REJECTED = StructType([*STAGING_RUNS.fields, StructField("_file", StringType(), False)])
 MAX_FILES_PER_TRIGGER = 1000
+RETRY_EPOCH = -1
 
 
-def _batch_loader(store: Store, landing: str, rules: DataFrame | None, case_sensitive: bool):
+def _load_runs(store: Store, landing: str, runs: DataFrame, epoch: int, rules: DataFrame | None,
+               case_sensitive: bool) -> LoadResult | None:
+    """Load the announced runs (and those rejected before); log a status per file."""
     spark = store.spark
-
-    def load(batch: DataFrame, epoch: int) -> None:
-        runs = batch.select(*[f.name for f in STAGING_RUNS.fields], F.col("_file"))
-        files = runs.select("_file", F.lower("GUID").alias("GUID")).collect()   # one row per run file
-        if not files:
-            return
-        guids = sorted({r["GUID"] for r in files})
-        data = (spark.read.schema(STAGING_DATA).parquet(f"{landing}/counter_data")
-                .filter(F.lower("GUID").isin(*guids)))                       # partition pruning on GUID
-        details = spark.read.schema(COUNTER_DETAILS).parquet(f"{landing}/counter_details")
-        staging = Staging(data, details, runs.drop("_file"))
-        try:
-            res = load_from_staging(store, staging, rules, case_sensitive=case_sensitive)
-            status, msg = ("OK" if res.status == 0 else "Failed"), res.message
-        except Exception as e:  # noqa: BLE001 - a failed file is counted, the stream goes on
-            status, msg = "Failed", f"{type(e).__name__}: {str(e)[:500]}"
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(int(epoch), r["_file"], r["GUID"], status, msg, now) for r in files]
-        spark.createDataFrame(rows, INGEST_LOG).coalesce(1).write.mode("append").parquet(
-            store.path("_ingest_log"))
-
-    return load
+    columns = [f.name for f in REJECTED.fields]
+    waiting = rejected(store)
+    runs = runs.select(*columns).unionByName(waiting).dropDuplicates(["GUID", "_file"])
+    files = runs.select("_file", F.lower("GUID").alias("GUID")).collect()   # one row per run file
+    if not files:
+        return None
+    guids = sorted({r["GUID"] for r in files})
+    data = (spark.read.schema(STAGING_DATA).option("basePath", f"{landing}/counter_data")
+            .parquet(*_sample_folders(store, landing, guids)))
+    details = spark.read.schema(COUNTER_DETAILS).parquet(f"{landing}/counter_details")
+    res = load_from_staging(store, Staging(data, details, runs.drop("_file").distinct()), rules,
+                            case_sensitive=case_sensitive, reject_bad_runs=True)
+    if res.status:
+        raise RuntimeError(res.message)
+    reasons = dict(res.rejected)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(int(epoch), r["_file"], r["GUID"], "Failed" if r["GUID"] in reasons else "OK", reasons.get(r["GUID"], res.message), now)
+            for r in files]
+    if reasons:
+        known = {r["GUID"] for r in waiting.select("GUID").collect()}
+        new = [g for g in reasons if g not in known]
+        (runs.filter(F.lower("GUID").isin(*new)).select(*columns).coalesce(1)
+         .write.mode("append").parquet(store.path("_ingest_rejected")))
+    spark.createDataFrame(rows, INGEST_LOG).coalesce(1).write.mode("append").parquet(store.path("_ingest_log"))
+    return res
+
+
+def _sample_folders(store: Store, landing: str, guids: list[str]) -> list[str]:
+    """The sample folders of the runs, found by listing the folder names once (names keep the
+    producer's upper or lower case)."""
+    wanted = set(guids)
+    found = [n for n in store._children(f"{landing}/counter_data")
+             if n.startswith("GUID=") and n[len("GUID="):].lower() in wanted]
+    return [f"{landing}/counter_data/{n}" for n in found] or [f"{landing}/counter_data"]
+
+
+def rejected(store: Store) -> DataFrame:
+    """Run files that failed validation and are not loaded yet."""
+    if "_ingest_rejected" not in store._children(store.root):
+        return store.spark.createDataFrame([], REJECTED)
+    runs = store.spark.read.schema(REJECTED).parquet(store.path("_ingest_rejected"))
+    loaded = store.ledger().select(F.col("GUID").alias("_g"))
+    return (runs.withColumn("_g", F.lower("GUID")).join(loaded, "_g", "left_anti")
+            .drop("_g").dropDuplicates(["GUID", "_file"]))
+
+
+def retry_rejected(store: Store, landing: str, rules: DataFrame | None = None, case_sensitive: bool = False) -> LoadResult | None:
+    """Validate the rejected runs again and load those that pass now."""
+    return _load_runs(store, landing, store.spark.createDataFrame([], REJECTED), RETRY_EPOCH, rules, case_sensitive)
 
 
 def ingest(spark: SparkSession, landing: str, store: Store, archive_dir: str, checkpoint: str,
@@ -63,13 +100,18 @@ def ingest(spark: SparkSession, landing: str, store: Store, archive_dir: str, ch
            max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, every: str | None = None):
     """Process every run file present now (``availableNow``) and stop; with ``every`` (for
     example ``"5 minutes"``) run as a service that picks up new files at that interval and
-    return the running query (stop it with ``query.stop()``)."""
+    return the running query (stop it with ``query.stop()``). Runs rejected earlier are tried
+    again first."""
+    retry_rejected(store, landing, rules, case_sensitive)
     stream = (spark.readStream.schema(STAGING_RUNS)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
               .parquet(f"{landing}/display_to_id")
               .select("*", F.col("_metadata.file_path").alias("_file")))
-    writer = (stream.writeStream.foreachBatch(_batch_loader(store, landing, rules, case_sensitive))
+    def load(batch: DataFrame, epoch: int) -> None:
+        _load_runs(store, landing, batch, epoch, rules, case_sensitive)
+
+    writer = (stream.writeStream.foreachBatch(load)
               .option("checkpointLocation", checkpoint))
     if every:
         return writer.trigger(processingTime=every).start()
@@ -79,22 +121,23 @@ def ingest(spark: SparkSession, landing: str, store: Store, archive_dir: str, ch
 
 
 def ingest_log(store: Store) -> DataFrame:
-    try:
-        return store.spark.read.schema(INGEST_LOG).parquet(store.path("_ingest_log"))
-    except Exception:  # noqa: BLE001 - nothing ingested yet
+    """A row per file and attempt; empty until the first trigger."""
+    if "_ingest_log" not in store._children(store.root):
         return store.spark.createDataFrame([], INGEST_LOG)
+    return store.spark.read.schema(INGEST_LOG).parquet(store.path("_ingest_log"))
 
 
 def summary(store: Store) -> DataFrame:
-    """Files loaded and failed (a ``Skipped`` status is never produced, as in the original)."""
-    return (ingest_log(store).groupBy("status").agg(F.count_distinct("file").alias("files"))
-            .orderBy("status"))
+    """Files by their last status (a ``Skipped`` status is never produced, as in the original)."""
+    last = ingest_log(store).groupBy("file").agg(F.max_by("status", "logged").alias("status"))
+    return last.groupBy("status").agg(F.count(F.lit(1)).alias("files")).orderBy("status")
 
 
 def land(staging: Staging, landing: str) -> None:
     """Write a landing set the way a producer does: samples (by GUID) and definitions first,
     then one run file per run."""
-    staging.data.repartition("GUID").write.mode("append").partitionBy("GUID").parquet(f"{landing}/counter_data")
-    staging.details.coalesce(1).write.mode("append").parquet(f"{landing}/counter_details")
+    # a large log is written by several tasks; adaptive execution sizes them
+    staging.data.hint("rebalance", F.col("GUID")).write.mode("append").partitionBy("GUID").parquet(f"{landing}/counter_data")
+    staging.details.write.mode("append").parquet(f"{landing}/counter_details")
     (staging.runs.repartition("GUID").write.mode("append").partitionBy("GUID")
      .parquet(f"{landing}/display_to_id"))
