@@ -157,13 +157,38 @@ def test_dense_ids_equal_global_row_number(spark):
     assert joined.filter(F.col("id") != F.col("want")).count() == 0
 
 
-def test_trim_reasons(spark):
-    from tierstore.operators.diagnostics import layout_trim
+def test_grouped_ids_equal_global_row_number(spark):
+    import random
+    from pyspark.sql import Window
+    from tierstore.functions.ranking import grouped_ids
+    rnd = random.Random(8)
+    rows = list({(rnd.choice("abc"), rnd.randint(-500, 500)) for _ in range(900)})
+    df = spark.createDataFrame(rows, "a string, b int")
+    want = df.withColumn("want", (F.row_number().over(Window.orderBy("a", "b")) + 7).cast("int"))
+    joined = grouped_ids(df, "a", ["a", "b"], "id", base=7).join(want, ["a", "b"])
+    assert joined.count() == len(rows) and joined.filter("id <> want").count() == 0
+
+
+def test_layout_measures(spark):
+    from tierstore.operators.diagnostics import layout_health
     chunks = spark.createDataFrame([(1, 2020, "a", 40, 1), (1, 2020, "b", 30, 1), (1, 2021, "c", 10, 1),
-                                    (2, 2020, "d", 50, 1)], "tier int, year int, chunk_id string, rows long, bytes long")
-    got = {(r["tier"], r["trim_reason"]): r["num_chunks"] for r in layout_trim(chunks, 40).collect()}
-    assert got == {("Tier1", "NO_TRIM"): 1, ("Tier1", "RESIDUAL_ROW_GROUP"): 1, ("Tier1", "BULKLOAD"): 1,
-                   ("Tier2", "NO_TRIM"): 1}
+                                    (2, 2020, "d", 50, 2)], "tier int, year int, chunk_id string, rows long, bytes long")
+    got = {(r["tier"], r["measure"]): r["value"] for r in layout_health(chunks, 40).collect()}
+    assert [got["Tier1", m] for m in ("chunks", "rows", "bytes", "smallest_chunk", "median_chunk", "largest_chunk", "full_chunks",
+                                      "half_full_chunks", "small_chunks", "fill_per_mille")] == [3, 80, 3, 10, 30, 40, 1, 1, 1, 666]
+    assert got["Tier2", "full_chunks"] == 1 and got["Tier2", "fill_per_mille"] == 1250
+
+
+def test_rejected_runs_name_the_reason(spark):
+    from tierstore.operators import runs as U
+    from tierstore.schemas import LEDGER, STAGING_RUNS
+    t = "2020-01-01 00:00:00.000"
+    new = spark.createDataFrame([("a", 1, "fa", t, t, 1, 0, "x"), ("b", 1, "fb", "?", t, 1, 0, "x"), ("c", 1, "OLD", t, t, 1, 0, "x"),
+                                 ("d", 1, "fd", t, t, 1, 0, "x"), ("d", 1, "fd", t, t, 1, 0, "x")], STAGING_RUNS)
+    day = dt.datetime(2020, 1, 1)
+    ledger = spark.createDataFrame([("z", 1, "old", day, day, 1, 0, "x")], LEDGER)
+    assert [tuple(r) for r in U.rejected_runs(new, ledger).collect()] == [
+        ("b", "start or stop time cannot be parsed"), ("c", "already loaded under another GUID"), ("d", "staged more than once")]
 
 
 def test_overlap_probe_agrees_with_aggregate(spark):

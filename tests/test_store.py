@@ -157,7 +157,7 @@ def test_legacy_import_in_batches(spark, root):
     assert legacy_import(store, runs, data, details) == []
 
 
-def test_partition_files_and_trim_report(spark, root):
+def test_partition_files_and_layout_report(spark, root):
     st = staging(spark, root)
     store = Store(spark, root + "/store")
     load_from_staging(store, st)
@@ -166,8 +166,12 @@ def test_partition_files_and_trim_report(spark, root):
     assert len(rep) == 3 * (len(years) + 1)
     assert sum(r["num_rows"] for r in rep) == store.facts().count()
     assert sum(r["files"] for r in rep) == store.facts().select("_metadata.file_path").distinct().count()
-    trim = M.layout_trim(store, target=1000).collect()
-    assert sum(r["num_chunks"] for r in trim) == sum(r["files"] for r in rep)
+    assert {r["data_compression"] for r in rep if r["files"]} == {"ZSTD"}
+    layout = {(r["tier"], r["measure"]): r["value"] for r in M.layout(store, target=1000).collect()}
+    assert sum(v for (_, m), v in layout.items() if m == "chunks") == sum(r["files"] for r in rep)
+    for t in ("Tier1", "Tier2", "Tier3"):
+        assert layout[t, "chunks"] == sum(layout[t, m] for m in ("full_chunks", "half_full_chunks", "small_chunks"))
+        assert layout[t, "smallest_chunk"] <= layout[t, "median_chunk"] <= layout[t, "largest_chunk"]
 
 
 def test_counters_only_then_full_load_and_truncate(spark, root):
@@ -238,3 +242,70 @@ def test_compact_small_files(spark, root):
     done = M.compact_small_files(store, max_files=1)
     assert done and files().agg(F.max("count")).first()[0] == 1
     assert store.facts().count() == before
+
+
+def test_unload_then_reload_then_nothing_new(spark, root):
+    st = staging(spark, root)
+    # headers narrower than the samples: nothing may stay behind
+    st = Staging(st.data, st.details, st.runs.withColumn("LogStopTime", F.col("LogStartTime")))
+    store = Store(spark, root + "/store")
+    load_from_staging(store, st)
+    facts, runs = store.facts().count(), store.ledger().count()
+    some = st.runs.filter(F.col("GUID") < "run-199401")
+    M.unload_runs(store, some)
+    assert store.facts().join(some, "GUID", "left_semi").count() == 0
+    assert store.ledger().count() == runs - some.count()
+    assert load_from_staging(store, st).values["new_runs"] == some.count()
+    assert (store.facts().count(), store.ledger().count()) == (facts, runs)
+    assert load_from_staging(store, st).message == "No new data to load."
+    assert M.unload_runs(store, some.limit(0)) is None
+
+
+def test_write_size_follows_counted_rows_not_headers(spark, root):
+    from tierstore.operators import diagnostics as D
+    st = staging(spark, root)
+    for name, header in (("low", F.lit(1)), ("null", F.lit(None).cast("int"))):
+        store = Store(spark, f"{root}/{name}")
+        res = load_from_staging(store, Staging(st.data, st.details, st.runs.withColumn("NumberOfRecords", header)), rows_per_file=500)
+        stored = sum(res.values[f"tier{t}_rows"] for t in (1, 2, 3))
+        assert stored == store.facts().count()
+        tasks = store.facts().select(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)).distinct().count()
+        assert tasks >= stored // 500 // 2
+        assert D.file_chunks(store.facts()).agg(F.max("rows")).first()[0] <= 500
+
+
+def test_rejected_runs_do_not_hold_up_the_others(spark, root):
+    st = staging(spark, root)
+    bad = sorted(r[0] for r in st.runs.select("GUID").collect())[3]
+    runs = st.runs.withColumn("LogStartTime", F.when(F.col("GUID") == bad, F.lit("?")).otherwise(F.col("LogStartTime")))
+    store = Store(spark, root + "/store")
+    strict = load_from_staging(store, Staging(st.data, st.details, runs))
+    assert strict.status == 1 and store.ledger().count() == 0
+    res = load_from_staging(store, Staging(st.data, st.details, runs), reject_bad_runs=True)
+    assert res.rejected == [(bad, "start or stop time cannot be parsed")]
+    assert store.ledger().count() == runs.count() - 1
+
+
+def test_commit_log_epochs_and_missing_folders(spark, root, monkeypatch):
+    import shutil
+    from tierstore.plans import store as S
+    monkeypatch.setattr(S, "COMMITS_PER_EPOCH", 5)
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    load_from_staging(store, st)
+    M.unload_runs(store, st.runs.filter(F.col("GUID") < "run-199301"))
+    before = sorted(map(tuple, store.facts().groupBy("tier", "year").count().collect()))
+    ledger = store.ledger().count()
+    for i in range(12):
+        b = store.new_batch()
+        store.write_table("counters", store.counters().limit(0), b)
+        store.commit("counters", b)
+    state = store.state()
+    assert state.epoch >= 2 and store.commits(state.epoch).count() <= 6
+    assert sorted(map(tuple, store.facts().groupBy("tier", "year").count().collect())) == before and store.ledger().count() == ledger
+    ids = [r[0] for r in store.commits().select("commit_id").collect()]
+    assert len(ids) == len(set(ids))
+    b = next(iter(store.state().having("ledger")))
+    shutil.move(f"{root}/store/ledger/batch={b}", f"{root}/elsewhere")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.ledger().count()

@@ -44,3 +44,42 @@ def test_service_mode_picks_up_files_as_they_land(spark, root):
         q.stop()
     assert {r["status"]: r["files"] for r in I.summary(store).collect()} == {"OK": 2}
     assert store.ledger().count() == 2
+
+
+def _events(spark, machines=1):
+    ev = X.table(spark, SF001, "events")
+    data = X.event_samples_f7(ev, machines)
+    return Staging(data, X.event_details_f7(ev, machines), X.staging_runs_f3(data))
+
+
+def test_one_bad_log_is_retried_and_the_others_load(spark, root):
+    st = _events(spark)
+    days = sorted(r[0] for r in st.runs.select("GUID").collect())
+    bad = days[1]
+    broken = st.runs.withColumn("LogStartTime", F.when(F.col("GUID") == bad, F.lit("?")).otherwise(F.col("LogStartTime")))
+    store = Store(spark, root + "/store")
+    I.land(Staging(st.data, st.details, broken), root + "/landing")
+    I.ingest(spark, root + "/landing", store, root + "/archive", root + "/ckpt")
+    assert {r["status"]: r["files"] for r in I.summary(store).collect()} == {"Failed": 1, "OK": len(days) - 1}
+    assert store.facts().count() == st.data.filter(F.col("GUID") != bad).count()
+    assert [r["GUID"] for r in I.rejected(store).collect()] == [bad]
+    # still wrong: tried again, still waiting
+    I.retry_rejected(store, root + "/landing")
+    assert I.ingest_log(store).filter(F.col("GUID") == bad).count() == 2 and store.ledger().count() == len(days) - 1
+    # the producer sends the run file again, corrected
+    st.runs.filter(F.col("GUID") == bad).write.mode("append").partitionBy("GUID").parquet(root + "/landing/display_to_id")
+    I.ingest(spark, root + "/landing", store, root + "/archive", root + "/ckpt")
+    assert store.ledger().count() == len(days) and store.facts().count() == st.data.count()
+    assert I.rejected(store).count() == 0
+
+
+def test_late_day_and_second_machine_load(spark, root):
+    st = _events(spark, machines=2)
+    guids = sorted(r[0] for r in st.runs.select("GUID").collect())
+    middle = [g for g in guids if g.startswith(guids[len(guids) // 2][:12]) and g.endswith("m0")]
+    store = Store(spark, root + "/store")
+    for part in (F.col("GUID").isin(middle), ~F.col("GUID").isin(middle)):       # the middle day first
+        I.land(st.for_runs(st.runs.filter(part)), root + "/landing")
+        I.ingest(spark, root + "/landing", store, root + "/archive", root + "/ckpt")
+    assert {r["status"]: r["files"] for r in I.summary(store).collect()} == {"OK": len(guids)}
+    assert store.facts().count() == st.data.count()

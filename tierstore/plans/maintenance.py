@@ -144,31 +144,29 @@ def layout(store: Store, target: int = ROWS_PER_FILE) -> DataFrame:
     return D.layout_health(D.file_chunks(store.facts()), target)
 
 
-def layout_trim(store: Store, target: int = ROWS_PER_FILE) -> DataFrame:
-    """Trim reasons of the stored files, with the load batch as write group."""
-    return D.layout_trim(D.file_chunks(store.facts(with_batch=True)), target)
-
-
 def partition_files(store: Store, years: list[int]) -> DataFrame:
     """The partition report with the files, bytes and codec of each (tier, partition)."""
     from tierstore.functions.partitioning import partition_number
     from tierstore.functions.scalars import year_start
     facts = store.facts()
+    codec = F.upper(F.regexp_extract("chunk_id", r"\.([a-z0-9]+)\.parquet$", 1))     # as the writer named the file
     files = (D.file_chunks(facts)
              .withColumn("partition_number", partition_number(year_start("year"), years))
              .groupBy(D.tier_label().alias("tier"), "partition_number")
-             .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").cast("long").alias("bytes")))
+             .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").cast("long").alias("bytes"),
+                  F.array_join(F.array_sort(F.collect_set(codec)), ",").alias("codecs")))
     return (P.partition_report(facts, years).join(files, ["tier", "partition_number"], "left_outer")
             .withColumn("files", F.coalesce("files", F.lit(0)))
             .withColumn("bytes", F.coalesce("bytes", F.lit(0)))
             .withColumn("used_mb", F.format_number(F.col("bytes") / 1048576, 0))
-            .withColumn("data_compression", F.lit("ZSTD"))
+            .withColumn("data_compression", F.coalesce("codecs", F.lit(""))).drop("codecs")
             .orderBy("tier", "partition_number"))
 
 
 def compact_small_files(store: Store, max_files: int = 4, rows_per_file: int = ROWS_PER_FILE) -> list[tuple[int, int]]:
-    """Compact every (tier, year) whose files outnumber both ``max_files`` and the files its rows
-    need (weekly loads leave one small batch each). The loop runs over partitions found in file
+    """Compact every (tier, year) whose files outnumber both ``max_files`` (a few small files are not
+    worth a rewrite; 1 compacts them all) and the files its rows need (weekly loads leave one small
+    batch each). The loop runs over partitions found in file
     metadata (tiers x years), never over samples. Returns the compacted (tier, year)."""
     chunks = D.file_chunks(store.facts())
     need = (chunks.groupBy("tier", "year")

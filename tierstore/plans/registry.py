@@ -18,11 +18,10 @@ from tierstore.operators import legacy as L
 from tierstore.operators import overlap as O
 from tierstore.operators import partitions as P
 from tierstore.operators import rebalance as B
-from tierstore.operators import report as REP
 from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators import tiers as T
-from tierstore.schemas import COUNTER_DETAILS, FACT_COLUMNS, LEDGER
+from tierstore.schemas import COUNTER_DETAILS, FACT_COLUMNS
 from tierstore.sources import fixtures as X
 from tierstore.sources.rules import default_rules
 from tierstore.sources.scenarios import LoadScenario, RebalanceScenario
@@ -34,6 +33,14 @@ QUERIES: dict[str, Query] = {}
 RECENT_DAYS = 30
 
 
+def _finished(spark: SparkSession, rows: DataFrame, root: str) -> DataFrame:
+    """The small report of a job on a scratch store; the store is deleted."""
+    out = spark.createDataFrame(rows.collect(), rows.schema)
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+    return out
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -73,7 +80,7 @@ def scan_staging_runs(spark, sf_dir):
 def parse_counter_time(spark, sf_dir):
     """Landing time text parsed per sample, summarised per year (NULL year = unparsable)."""
     from tierstore.functions.scalars import parse_counter_time as parse
-    d = LoadScenario(spark, sf_dir).data.select(parse("CounterDateTime").alias("ts"))
+    d = X.dirty_data_f8(LoadScenario(spark, sf_dir).data).select(parse("CounterDateTime").alias("ts"))
     return (d.groupBy(F.year("ts").cast("int").alias("year"))
             .agg(F.count(F.lit(1)).alias("num_rows"), F.min("ts").alias("min_dt"), F.max("ts").alias("max_dt"))
             .orderBy("year"))
@@ -83,7 +90,7 @@ def parse_counter_time(spark, sf_dir):
 def value_to_decimal(spark, sf_dir):
     """Values converted to decimal(28,0) per run: rows, sum, unconvertible rows."""
     from tierstore.functions.scalars import to_stored_value
-    d = LoadScenario(spark, sf_dir).data.select("GUID", to_stored_value("CounterValue").alias("v"))
+    d = X.dirty_data_f8(LoadScenario(spark, sf_dir).data).select("GUID", to_stored_value("CounterValue").alias("v"))
     return (d.groupBy("GUID").agg(F.count(F.lit(1)).alias("num_rows"), F.sum("v").alias("value_sum"),
                                   F.count_if(F.col("v").isNull()).alias("num_null"))
             .orderBy("GUID"))
@@ -146,7 +153,8 @@ def already_loaded_runs(spark, sf_dir):
 
 @query
 def dup_runs(spark, sf_dir):
-    return U.duplicate_runs(LoadScenario(spark, sf_dir).runs)
+    """Run keys that are delivered more than once."""
+    return U.duplicate_runs(X.delivered_twice_f9(LoadScenario(spark, sf_dir).runs))
 
 
 @query
@@ -220,26 +228,59 @@ def overlap_detail(spark, sf_dir):
     return O.overlap_detail(s.stored_redelivered, O.probe_set(s.rmap), s.vault_after, lo, hi)
 
 
+def _loaded_store(s: LoadScenario, name: str, data: DataFrame):
+    """A scratch store that holds the runs below the ledger cut-off, and a staging of all runs."""
+    from tierstore.plans.load import load_from_staging
+    from tierstore.plans.store import Store
+    from tierstore.session import scratch_path
+    from tierstore.sources.staging import Staging
+    store = Store(s.spark, scratch_path(s.spark, name))
+    done = load_from_staging(store, Staging(s.data, s.details, X.ledger_runs_f3(s.runs)))
+    assert done.status == 0, done.message
+    return store, Staging(data, s.details, s.runs)
+
+
 @query
 def load_report(spark, sf_dir):
+    """The report of loading the new runs, with faulty samples, into a store that holds the old ones."""
+    from tierstore.plans.load import load_from_staging
     s = LoadScenario(spark, sf_dir)
-    return REP.load_report(s.new, U.duplicate_runs(s.runs), s.merged, s.routed)
+    store, staging = _loaded_store(s, "report", X.dirty_data_f8(s.data))
+    res = load_from_staging(store, staging)
+    return _finished(spark, res.report.filter(F.col("step") != "elapsed_seconds"), store.root)
 
 
 @query
 def unload_runs(spark, sf_dir):
-    """Store after removing the samples of the runs now in staging, per tier and year."""
+    """Load the new runs, take them back, load them again, and load once more (nothing new): rows
+    per tier and year and ledger rows after each step."""
+    from functools import reduce
+
+    from tierstore.plans.load import load_from_staging
+    from tierstore.plans.maintenance import unload_runs as unload
     s = LoadScenario(spark, sf_dir)
-    left = s.stored_redelivered.join(s.new.select("GUID"), "GUID", "left_anti")
-    return left.groupBy("tier", "year").agg(F.count(F.lit(1)).alias("num_rows")).orderBy("tier", "year")
+    store, staging = _loaded_store(s, "unload", s.data)
+
+    def after(step: str) -> DataFrame:
+        rows = store.facts().groupBy("tier", "year").agg(F.count(F.lit(1)).alias("num_rows"))
+        runs = store.ledger().agg(F.lit(0).alias("tier"), F.lit(0).alias("year"), F.count(F.lit(1)).alias("num_rows"))
+        both = rows.unionByName(runs).select(F.lit(step).alias("step"), "tier", "year", "num_rows")
+        return spark.createDataFrame(both.collect(), both.schema)
+
+    steps = []
+    for step, job in (("loaded", lambda: load_from_staging(store, staging)), ("unloaded", lambda: unload(store, s.new)),
+                      ("reloaded", lambda: load_from_staging(store, staging)), ("nothing new", lambda: load_from_staging(store, staging))):
+        job()
+        steps.append(after(step))
+    return _finished(spark, reduce(DataFrame.unionByName, steps), store.root)
 
 
 @query
 def legacy_batch(spark, sf_dir):
-    """The whole legacy import in batches of 30 runs into an empty vault."""
+    """The legacy import in batches of 30 runs, the oldest runs being loaded already."""
     s = LoadScenario(spark, sf_dir)
-    empty = spark.createDataFrame([], LEDGER)
-    return L.batch_summary(s.runs, empty, s.data, s.details)
+    loaded = U.ledger_rows(s.runs.filter(F.col("GUID") < X.LEGACY_CUTOFF))
+    return L.batch_summary(s.runs, loaded, s.data, s.details)
 
 
 # ---------------------------------------------------------------- store reads
@@ -249,14 +290,27 @@ def unified_view(spark, sf_dir):
     return f.select(F.col("tier").alias("Tier"), *FACT_COLUMNS)
 
 
+def _written_f4(spark, sf_dir, name: str):
+    """The F4 samples in a scratch store, one load per tier."""
+    from tierstore.plans.store import Store
+    from tierstore.session import scratch_path
+    f = RebalanceScenario(spark, sf_dir).facts
+    store = Store(spark, scratch_path(spark, name))
+    b = store.new_batch()
+    store.write_facts(f, b)
+    store.commit("load", b)
+    return store
+
+
 @query
 def time_range_scan(spark, sf_dir):
-    """Hot-tier samples of the last 30 days before the newest stored sample."""
-    f = RebalanceScenario(spark, sf_dir).facts
-    newest = f.agg(F.max("CounterDateTime")).first()[0]
+    """Hot-tier samples of the last 30 days before the newest stored sample: the newest year's
+    folders give the end, and the read is pruned to tier and years."""
+    store = _written_f4(spark, sf_dir, "scan")
+    newest_year = max(y for _, _, y in store._fact_folders(store.state().having("facts")[0]))
+    newest = store.facts().filter(F.col("year") == newest_year).agg(F.max("CounterDateTime")).first()[0]
     start = newest - dt.timedelta(days=RECENT_DAYS)
-    from tierstore.plans.store import recent_filter
-    return f.filter(recent_filter(1, start, newest)).select(*FACT_COLUMNS, "tier", "year")
+    return store.read(tier=1, start=start, end=newest).select(*FACT_COLUMNS, "tier", "year")
 
 
 @query
@@ -326,11 +380,6 @@ def layout_health(spark, sf_dir):
     return D.layout_health(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
 
 
-@query
-def layout_trim(spark, sf_dir):
-    return D.layout_trim(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
-
-
 @query
 def layout_by_year(spark, sf_dir):
     return D.layout_by_year(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
@@ -366,41 +415,69 @@ def partition_report(spark, sf_dir):
 
 @query
 def replace_year(spark, sf_dir):
-    """Range check of every (tier, year) partition before it may be put back."""
-    return P.range_violations(RebalanceScenario(spark, sf_dir).facts)
-
-
-# ---------------------------------------------------------------- jobs on a scratch store (rows-only)
+    """Replace the busiest (tier, year) of a store by the same samples with doubled values, after an
+    attempt with samples of the day after the year was refused. Rows and values per partition, and
+    how many rows the refused attempt had outside the year."""
+    from tierstore.plans import maintenance as M
+    store = _written_f4(spark, sf_dir, "replace")
+    facts = store.facts()
+    top = facts.groupBy("tier", "year").count().orderBy(F.col("count").desc(), "tier", "year").first()
+    part = facts.filter((F.col("tier") == top["tier"]) & (F.col("year") == top["year"]))
+    double = part.withColumn("CounterValue", (F.col("CounterValue") * 2).cast("decimal(28,0)"))
+    late = double.withColumn("CounterDateTime", F.col("CounterDateTime") + F.expr("INTERVAL 31 DAYS"))
+    outside = P.range_violations(late).first()["violations"]
+    try:
+        M.replace_year(store, late, top["tier"], top["year"])
+        refused = 0
+    except ValueError:
+        refused = outside
+    M.replace_year(store, double, top["tier"], top["year"])
+    here = (F.col("tier") == top["tier"]) & (F.col("year") == top["year"])
+    rows = (store.facts().groupBy("tier", "year")
+            .agg(F.count(F.lit(1)).alias("num_rows"), F.sum("CounterValue").alias("value_sum"))
+            .withColumn("refused_rows", F.when(here, F.lit(refused)).otherwise(0).cast("long")))
+    return _finished(spark, rows, store.root)
+
+
+# ---------------------------------------------------------------- jobs on a scratch store
 @query
 def compact_year(spark, sf_dir):
-    """Load the F4 store as one batch per tier into a scratch store, compact the busiest
-    (tier, year) into files of at most 1,000 rows, and report the layout of that partition."""
+    """Load the F4 store, compact the busiest (tier, year) into files of at most 1,000 rows; rows
+    and values per partition, and whether no file of the compacted one is larger."""
     from tierstore.plans.maintenance import compact_year as compact
-    from tierstore.plans.store import Store
-    from tierstore.session import scratch_path
-    f = RebalanceScenario(spark, sf_dir).facts
-    store = Store(spark, scratch_path(spark, "compact"))
-    for t in (1, 2, 3):
-        b = store.new_batch()
-        store.write_facts(f.filter(F.col("tier") == t), b)
-        store.commit("load", b)
-    top = f.groupBy("tier", "year").count().orderBy(F.col("count").desc(), "tier", "year").first()
+    store = _written_f4(spark, sf_dir, "compact")
+    top = store.facts().groupBy("tier", "year").count().orderBy(F.col("count").desc(), "tier", "year").first()
     compact(store, top["tier"], top["year"], rows_per_file=1000)
-    chunks = D.file_chunks(store.facts()).filter((F.col("tier") == top["tier"]) & (F.col("year") == top["year"]))
-    return D.layout_by_year(chunks, 1000)
+    here = (F.col("tier") == top["tier"]) & (F.col("year") == top["year"])
+    largest = D.file_chunks(store.facts()).filter(here).agg(F.max("rows")).first()[0]
+    rows = (store.facts().groupBy("tier", "year")
+            .agg(F.count(F.lit(1)).alias("num_rows"), F.sum("CounterValue").alias("value_sum"))
+            .withColumn("compacted", here & F.lit(largest <= 1000)))
+    return _finished(spark, rows, store.root)
 
 
 @query
 def ingest_summary(spark, sf_dir):
-    """Daily event drops (F7) picked up by one availableNow stream into a scratch store."""
+    """Daily event drops of two machines (F7) picked up by two availableNow streams: all days but a
+    late one, then the late day. The first run's file has no readable start time. Files per status
+    and the samples stored."""
     from tierstore.plans.store import Store
     from tierstore.session import scratch_path
     from tierstore.sources.staging import Staging
     from tierstore.streaming import ingest as I
     root = scratch_path(spark, "ingest")
     ev = X.table(spark, sf_dir, "events")
-    data = X.event_samples_f7(ev)
-    I.land(Staging(data, X.event_details_f7(ev), X.staging_runs_f3(data)), f"{root}/landing")
+    data = X.event_samples_f7(ev, machines=2)
+    runs = X.staging_runs_f3(data)
+    first, days = runs.agg(F.min("GUID"), F.count_distinct(F.substring("GUID", 5, 8))).first()
+    late = sorted(r[0] for r in runs.select(F.substring("GUID", 5, 8)).distinct().collect())[days // 2]
+    runs = runs.withColumn("LogStartTime", F.when(F.col("GUID") == first, F.lit("no time")).otherwise(F.col("LogStartTime")))
+    staging = Staging(data, X.event_details_f7(ev, machines=2), runs)
     store = Store(spark, f"{root}/store")
-    I.ingest(spark, f"{root}/landing", store, f"{root}/archive", f"{root}/checkpoint")
-    return I.summary(store)
+    is_late = F.substring("GUID", 5, 8) == late
+    for part in (runs.filter(~is_late), runs.filter(is_late)):
+        I.land(staging.for_runs(part), f"{root}/landing")
+        I.ingest(spark, f"{root}/landing", store, f"{root}/archive", f"{root}/checkpoint")
+    stored = store.facts().count()
+    rows = I.summary(store).withColumn("stored_rows", F.when(F.col("status") == "OK", F.lit(stored)).otherwise(0).cast("long"))
+    return _finished(spark, rows, root)

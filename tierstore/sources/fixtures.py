@@ -16,6 +16,8 @@ from tierstore.sources.staging import normalize_data, normalize_details, normali
 
 # Runs whose GUID sorts below this are already in the ledger in the load scenario.
 LEDGER_CUTOFF = "run-200001"
+# Runs below this are already in the ledger when the legacy import starts.
+LEGACY_CUTOFF = "run-199401"
 # Rows of a "full" chunk in the layout fixture (stands for 1,048,576 rows per rowgroup).
 CHUNK_TARGET_ROWS = 40
 
@@ -65,6 +67,26 @@ def staging_data_f2(lineitem: DataFrame) -> DataFrame:
         F.lit(1).alias("MultiCount")))
 
 
+def dirty_data_f8(data: DataFrame) -> DataFrame:
+    """F2 with faults derived from its columns: unparsable times, NaN and overflowing values, and
+    samples of counters without a definition."""
+    return data.select(
+        "GUID", F.when(F.col("CounterID") % 97 == 0, F.col("CounterID") + 10_000_000).otherwise(F.col("CounterID")).cast("int").alias("CounterID"),
+        "RecordIndex",
+        F.when(F.col("RecordIndex") == 7, F.lit("no time\u0000")).otherwise(F.col("CounterDateTime")).alias("CounterDateTime"),
+        F.when(F.col("SecondValueA") % 50 == 0, F.lit(float("nan"))).when(F.col("SecondValueA") % 50 == 1, F.lit(1e30))
+        .otherwise(F.col("CounterValue")).alias("CounterValue"),
+        "FirstValueA", "FirstValueB", "SecondValueA", "SecondValueB", "MultiCount")
+
+
+def delivered_twice_f9(runs: DataFrame) -> DataFrame:
+    """F3 with second deliveries: January runs come again as they are, February runs under another
+    GUID with the same file name."""
+    again = runs.filter(F.col("GUID").endswith("01"))
+    renamed = runs.filter(F.col("GUID").endswith("02")).withColumn("GUID", F.concat(F.lit("again-"), "GUID"))
+    return runs.unionByName(again).unionByName(renamed.select(*runs.columns))
+
+
 def staging_runs_f3(data: DataFrame) -> DataFrame:
     """One log-run row per GUID of the samples (a grouped aggregate, one shuffle)."""
     g = data.groupBy("GUID").agg(F.min("CounterDateTime").alias("LogStartTime"),
@@ -116,12 +138,14 @@ def chunks_f6(f4: DataFrame) -> DataFrame:
                     "rows", (F.col("rows") * 4).alias("bytes")))
 
 
-def event_samples_f7(events: DataFrame) -> DataFrame:
-    """Samples of the events table: one run per day of ``ts``, counter id per event type."""
-    day = F.date_format("ts", "yyyyMMdd")
+def event_samples_f7(events: DataFrame, machines: int = 1) -> DataFrame:
+    """Samples of the events table: one run per day of ``ts`` and machine, counter id per event type
+    and machine. With one machine GUIDs are just the day."""
+    day, machine = F.date_format("ts", "yyyyMMdd"), F.col("user_id") % machines
+    guid = F.concat(F.lit("day-"), day) if machines == 1 else F.concat(F.lit("day-"), day, F.lit("-m"), machine.cast("string"))
     return normalize_data(events.select(
-        F.concat(F.lit("day-"), day).alias("GUID"),
-        (F.xxhash64("event_type") % 1000).cast("int").alias("CounterID"),
+        guid.alias("GUID"),
+        (F.xxhash64("event_type") % 1000 + 10_000 * machine).cast("int").alias("CounterID"),
         F.col("event_id").cast("int").alias("RecordIndex"),
         F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("\u0000")).alias("CounterDateTime"),
         F.col("value").alias("CounterValue"),
@@ -130,11 +154,12 @@ def event_samples_f7(events: DataFrame) -> DataFrame:
         F.lit(1).alias("MultiCount")))
 
 
-def event_details_f7(events: DataFrame) -> DataFrame:
-    """One counter definition per event type (ids as in ``event_samples_f7``)."""
-    t = events.select("event_type").distinct()
+def event_details_f7(events: DataFrame, machines: int = 1) -> DataFrame:
+    """One counter definition per event type and machine (ids as in ``event_samples_f7``)."""
+    t = events.select("event_type", (F.col("user_id") % machines).alias("m")).distinct()
     return normalize_details(t.select(
-        (F.xxhash64("event_type") % 1000).cast("int").alias("CounterID"), F.lit("M0").alias("MachineName"),
+        (F.xxhash64("event_type") % 1000 + 10_000 * F.col("m")).cast("int").alias("CounterID"),
+        F.concat(F.lit("M"), F.col("m").cast("string")).alias("MachineName"),
         F.lit("Events").alias("ObjectName"), F.col("event_type").alias("CounterName"),
         F.lit(0).alias("CounterType"), F.lit(0).alias("DefaultScale"),
         F.lit(None).cast("string").alias("InstanceName"), F.lit(None).cast("int").alias("InstanceIndex"),

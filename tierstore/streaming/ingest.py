@@ -45,8 +45,11 @@ def _load_runs(store: Store, landing: str, runs: DataFrame, epoch: int, rules: D
     """Load the announced runs (and those rejected before); log a status per file."""
     spark = store.spark
     columns = [f.name for f in REJECTED.fields]
-    waiting = rejected(store)
-    runs = runs.select(*columns).unionByName(waiting).dropDuplicates(["GUID", "_file"])
+    runs = runs.select(*columns)
+    # a run announced again replaces its rejected file
+    announced = runs.select(F.lower("GUID").alias("_g")).distinct()
+    waiting = rejected(store).withColumn("_g", F.lower("GUID")).join(announced, "_g", "left_anti").drop("_g")
+    runs = runs.unionByName(waiting.select(*columns)).dropDuplicates(["GUID", "_file"])
     files = runs.select("_file", F.lower("GUID").alias("GUID")).collect()   # one row per run file
     if not files:
         return None
@@ -63,10 +66,11 @@ def _load_runs(store: Store, landing: str, runs: DataFrame, epoch: int, rules: D
     rows = [(int(epoch), r["_file"], r["GUID"], "Failed" if r["GUID"] in reasons else "OK", reasons.get(r["GUID"], res.message), now)
             for r in files]
     if reasons:
-        known = {r["GUID"] for r in waiting.select("GUID").collect()}
+        known = {r["g"] for r in waiting.select(F.lower("GUID").alias("g")).collect()}
         new = [g for g in reasons if g not in known]
-        (runs.filter(F.lower("GUID").isin(*new)).select(*columns).coalesce(1)
-         .write.mode("append").parquet(store.path("_ingest_rejected")))
+        if new:
+            (runs.filter(F.lower("GUID").isin(*new)).select(*columns).coalesce(1)
+             .write.mode("append").parquet(store.path("_ingest_rejected")))
     spark.createDataFrame(rows, INGEST_LOG).coalesce(1).write.mode("append").parquet(store.path("_ingest_log"))
     return res
 
