@@ -186,6 +186,15 @@ def test_main_text_without_an_article_uses_stop_words_and_neighbours():
     assert html_text.main_text(page) == "Title\nThe cat is on the mat and it was happy to be there with all of the other cats in the house.\nShort."
 
 
+def test_main_text_of_short_and_named_blocks():
+    assert html_text.main_text("<body><p>Only this.</p><footer>f</footer></body>") == "Only this."
+    page = "<div class='page-header'>h</div><div id=main>%s<p>Ti.</p><p>To.</p></div><div id='sideBar' class='sidebar'>s</div><div class=footer>f</div>"
+    long = "Thndea anin of the stibleer and was erhe in thtion for a ndhe that they are with the other on it."
+    assert html_text.main_text(page % f"<h1>Head</h1><p>{long}</p>") == f"Head\n{long}\nTi.\nTo."
+    named = "<p>" + long + "</p><div class='article-body'><p>Short.</p></div><div class='commentList'>c</div>"
+    assert html_text.main_text(named) == "Short."
+
+
 def test_main_text_edges(spark):
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p></p><!-- x") == html_text.main_text("<scr") == ""
     long = "<article><p>" + "word " * 200_000 + "</p></article>"

@@ -5,12 +5,14 @@ words, the share of its characters inside links, and the kind of the elements ar
 
 First pass, decided blocks: those inside menus, headers, footers, sidebars, notices, adverts,
 forms and reader comments (by tag, role, class or id) are boilerplate; so are blocks that are
-mostly links. On pages that mark their article (``article``, ``main``), the blocks inside it are
-content and those outside are boilerplate. On other pages long blocks are content if they have
-enough stop words or nearly no links, and short ones stay open.
+mostly links. On pages that mark their article (``article``, ``main``, ``role=main``, a ``div`` or
+``section`` named article), the blocks inside it are content and those outside are boilerplate. On
+other pages long blocks are content if they have enough stop words or nearly no links, and short
+ones stay open.
 
 Second pass: every open block takes the label of its nearest decided neighbour, before or after it
-by the characters between them; on a tie content wins, and an open heading looks ahead first.
+by the characters between them (blocks that their element rules out do not vote); on a tie content
+wins, an open heading looks ahead first, and without any decided neighbour the block is content.
 
 Defined cases: null or empty html, and pages without content, give the empty text; broken, cut or
 unclosed markup is read as far as it goes; texts of any length are kept whole; other columns are
@@ -96,6 +98,16 @@ def _outside(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _marks_article(tag: str, attributes: str) -> bool:
+    if tag not in ("div", "section", "td") or "=" not in attributes:
+        return False
+    for name, value in ATTRIBUTE.findall(attributes):
+        parts = [p.lower() for p in NAME_PART.findall(value)]
+        if name.lower() == "role" and parts == ["main"] or name.lower() in ("class", "id") and "article" in parts:
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks in page order; zone is ``out``, ``article`` or ``open``."""
     out: list[Block] = []
@@ -158,7 +170,7 @@ def blocks(page: str) -> list[Block]:
             if zone != "out":
                 if _outside(tag, m[4] or "", zone == "article"):
                     inner = "out"
-                elif tag in ("article", "main"):
+                elif tag in ("article", "main") or _marks_article(tag, m[4] or ""):
                     inner = "article"
             if tag in NESTED or inner != zone or names[tag]:
                 stack.append((tag, zone))
@@ -206,6 +218,8 @@ def _settle(found, labels):
         near = None
         for i in order:
             side[i] = near
+            if found[i][0].zone == "out":
+                continue
             if labels[i] is not None:
                 near = (0, labels[i])
             elif near:
@@ -217,7 +231,7 @@ def _settle(found, labels):
             if found[i][0].heading and after[i]:
                 label = after[i][1]
             else:
-                label = min(choices, key=lambda x: (x[0], not x[1]))[1] if choices else len(found[i][1]) >= LONG
+                label = min(choices, key=lambda x: (x[0], not x[1]))[1] if choices else True
         out.append(label)
     return out
 
