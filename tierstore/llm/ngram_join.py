@@ -315,7 +315,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     rest = rest.select("key", "block", "id", "n", "component", "counts").repartition(n, "key", "block").sortWithinPartitions("key", "block", "n", "id")
     across = stored(_search(rest).distinct(), "ngram-across")
     more = verified(across, docs)
-    final = stored(components(links.unionAll(same).unionAll(more)), "ngram-components")
+    known = first.select(F.col("node").alias("a"), F.col("component").alias("b"))       # stars already
+    final = stored(components(known.unionAll(more)), "ngram-components")
 
     rows = profile.select("doc_id", "n", "signature").join(classes.select("signature", "id"), "signature", "left")
     rows = rows.join(final.withColumnRenamed("node", "id"), "id", "left")
