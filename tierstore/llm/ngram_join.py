@@ -41,7 +41,8 @@ from .components import components
 
 SHINGLE = 3
 NUMERATOR, DENOMINATOR = 90, 100         # the Jaccard threshold as a fraction
-GROUPS = 64
+GROUPS = 256
+FULL = 255                               # largest count a coordinate holds
 PART = 4096
 LEAF = 16
 SAMPLE_DOCS, COMMON_DOCS = 4000, 4       # an n-gram in 4 of about 4000 sampled texts is common
@@ -127,9 +128,10 @@ def profiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def _point(s: np.ndarray) -> bytes:
-    """Counts per group; a count over 65535 would be cut, so such a set counts as full everywhere."""
+    """Counts per group. A set with a count of FULL or more (tens of thousands of n-grams) has FULL
+    everywhere: it bounds nothing but its partner's size."""
     counts = np.bincount((s >> np.uint64(7)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return (counts if counts.max() < 65535 else np.full(GROUPS, 65535)).astype(np.uint16).tobytes()
+    return (counts if counts.max(initial=0) < FULL else np.full(GROUPS, FULL)).astype(np.uint8).tobytes()
 
 
 def common_ngrams(docs: DataFrame) -> np.ndarray:
@@ -149,13 +151,16 @@ def common_ngrams(docs: DataFrame) -> np.ndarray:
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, GROUPS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
 
 
-def _fits(na, nb, pa_, pb_) -> np.ndarray:
-    """Bound of sizes and of summed coordinate minima."""
+def _fits(na, nb, pa_, pb_, x=None, y=None) -> np.ndarray:
+    """Bound of sizes and of summed coordinate minima; x and y pick the points if given."""
     ok = np.minimum(na, nb) * DENOMINATOR >= np.maximum(na, nb) * NUMERATOR
-    ok[ok] = np.minimum(pa_[ok], pb_[ok]).sum(1, dtype=np.int64) >= least_overlap(na[ok], nb[ok])
+    for k in range(0, len(ok), 1 << 14):                     # a few MB at a time
+        part = np.flatnonzero(ok[k:k + (1 << 14)]) + k
+        a, b = pa_[part if x is None else x[part]], pb_[part if y is None else y[part]]
+        ok[part] = (np.minimum(a, b).sum(1, dtype=np.int64) >= least_overlap(na[part], nb[part])) | ((a[:, 0] == FULL) & (b[:, 0] == FULL))
     return ok
 
 
@@ -175,7 +180,7 @@ def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray) -> tuple[np.
         j = np.arange(i, len(starts))
         near = (np.minimum(high_n[i], high_n[j]) * DENOMINATOR >= np.maximum(low_n[i], low_n[j]) * NUMERATOR)
         j = j[near]
-        j = j[np.minimum(high[i], high[j]).sum(1, dtype=np.int64) >= least_overlap(low_n[i], low_n[j])]
+        j = j[(np.minimum(high[i], high[j]).sum(1, dtype=np.int64) >= least_overlap(low_n[i], low_n[j])) | (high[i].max() == FULL) & (high[j].max(1) == FULL)]
         if not len(j):
             continue
         a = np.arange(starts[i], min(starts[i] + LEAF, len(n)))
@@ -183,7 +188,7 @@ def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray) -> tuple[np.
         x, y = np.repeat(a, len(b)), np.tile(b, len(a))
         keep = (x < y) & (group[x] != group[y])
         x, y = x[keep], y[keep]
-        ok = _fits(n[x], n[y], points[x], points[y])
+        ok = _fits(n[x], n[y], points, points, x, y)
         left.append(x[ok])
         right.append(y[ok])
     if not left:
@@ -206,7 +211,7 @@ def _search(rows: DataFrame) -> DataFrame:
             y = x + step
             keep = component[x] != component[y]
             x, y = x[keep], y[keep]
-            ok = _fits(n[x], n[y], points[x], points[y])
+            ok = _fits(n[x], n[y], points, points, x, y)
             yield x[ok], y[ok]
         for s, e in zip(starts[~small], ends[~small], strict=True):
             x, y = leaf_join(n[s:e], points[s:e], component[s:e])
