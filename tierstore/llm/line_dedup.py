@@ -1,6 +1,6 @@
 """Line deduplication by overlapping windows of three lines.
 
-Every run of three consecutive lines is hashed; a run that is blank throughout is passed over. All
+Every run of three consecutive lines is hashed (to 128 bits); a run that is blank throughout is passed over. All
 occurrences of a window but the first, in the order of (doc_id, key, line), are later copies, and
 the lines that later copies cover are removed: covered positions of overlapping windows merge.
 
@@ -17,6 +17,9 @@ first; other columns are kept by ``deduplicate`` unless they have the name of an
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,26 +30,29 @@ HOT_SHARE = 1000
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, line, hash) of every window."""
-    lines = F.split(F.col("text"), "\n")
-    doc = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"), lines.alias("lines")).filter(F.size("lines") >= LINES)
-    runs = F.transform(F.sequence(F.lit(0), F.size("lines") - LINES), lambda i: F.array_join(F.slice("lines", i + 1, LINES), "\n"))
-    run = doc.select("doc_id", "key", F.posexplode(runs).alias("line", "window"))
-    return run.filter(F.trim(F.translate("window", "\n\t\r", "   ")) != "").select("doc_id", "key", "line", F.unhex(F.md5(F.col("window").cast("binary"))).alias("hash"))
+    """(doc_id, key, line, hash, check) of every window: two 64-bit hashes with different seeds, each of
+    the hashes of the three lines."""
+    line = lambda x: F.struct(F.xxhash64(x).alias("hash"), F.xxhash64(F.lit("check"), x).alias("check"), (F.trim(F.translate(x, "\t\r", "  ")) == "").alias("blank"))
+    doc = docs.filter(F.col("text").contains("\n")).select("doc_id", text_key(F.col("text")).alias("key"), F.transform(F.split("text", "\n"), line).alias("lines")).filter(F.size("lines") >= LINES)
+    three = lambda i, name: [F.get("lines", i + k)[name] for k in range(LINES)]
+    runs = F.transform(F.sequence(F.lit(0), F.size("lines") - LINES), lambda i: F.struct(
+        F.xxhash64(*three(i, "hash")).alias("hash"), F.xxhash64(*three(i, "check")).alias("check"), reduce(and_, three(i, "blank")).alias("blank")))
+    run = doc.select("doc_id", "key", F.posexplode(runs).alias("line", "run"))
+    return run.filter("NOT run.blank").select("doc_id", "key", "line", "run.hash", "run.check")
 
 
 def later_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, key, lines): the lines that later copies of a window cover."""
-    found = windows(docs).distinct()                      # rows that are alike
+    found, by = windows(docs), ["hash", "check"]
     place = F.struct("doc_id", "key", "line")
-    first = found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
+    first = found.groupBy(*by).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
     first = stored(first, "line-windows")
     total = first.agg(F.sum("n")).first()[0] or 0
     hot = first.filter(F.col("n") > max(1, total // HOT_SHARE))
     cold = first.filter(F.col("n") <= max(1, total // HOT_SHARE))
-    marked = found.join(F.broadcast(hot.select("hash", F.col("first").alias("hot"))), "hash", "left")
+    marked = found.join(F.broadcast(hot.select(*by, F.col("first").alias("hot"))), by, "left")
     here = marked.filter(F.col("hot").isNotNull()).select("doc_id", "key", "line", F.col("hot").alias("first"))
-    rest = marked.filter(F.col("hot").isNull()).join(cold, "hash").select("doc_id", "key", "line", "first")
+    rest = marked.filter(F.col("hot").isNull()).join(cold, by).select("doc_id", "key", "line", "first")
     later = here.unionAll(rest).filter(~F.col("first").eqNullSafe(place))
     covered = later.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set("line")).alias("starts"))
     every = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + LINES - 1)))
