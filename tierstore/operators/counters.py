@@ -63,6 +63,18 @@ def merge_counters(vault: DataFrame, used: DataFrame, case_sensitive: bool = Fal
     return grouped_ids(new.drop("CounterID"), KEY_NAMES[0], KEY_NAMES, "CounterID", base).select("CounterID", *ATTRS)
 
 
+def vault_of_loads(details: DataFrame, used: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """The vault counters after several loads in a row, from one aggregation; ``used``: (CounterID,
+    load), the first load that uses a staging id. Equal to one ``merge_counters`` per load: a key
+    comes in with the first load that uses it, with the definition of its lowest staging id in that
+    load, and ids go by load, then key. Returns the definitions with ``load``."""
+    keyed = with_key(details.join(used, "CounterID"), case_sensitive)
+    first = F.min_by(F.struct(*DETAIL_COLUMNS), F.struct("load", "CounterID")).alias("_d")
+    keys = keyed.groupBy(*KEY_NAMES).agg(first, F.min("load").alias("load"))
+    keys = keys.select("_d.*", "load", *KEY_NAMES, F.struct("load", KEY_NAMES[0]).alias("_group")).drop("CounterID")
+    return grouped_ids(keys, "_group", ["_group", *KEY_NAMES], "CounterID").select(*DETAIL_COLUMNS, "load")
+
+
 def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """(StagingCounterID, VaultCounterID) by sentinel-key equi join."""
     s = with_key(details, case_sensitive).select(F.col("CounterID").alias("StagingCounterID"), *KEY_NAMES).distinct()

@@ -97,6 +97,9 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
         return result(1, f"Refused: {len(bad)} run(s) fail validation, the first: {bad[0]['GUID']}: {bad[0]['reason']}.",
                       detail=spark.createDataFrame(bad))
     rejected += [(r["GUID"], r["reason"]) for r in bad]
+    if len(rejected) == vals["new_runs"]:
+        vals["new_runs"] = 0
+        return result(0, f"No run could be loaded, {len(rejected)} rejected.")
     new = _without(new, rejected)
     clock.mark("validate_runs")
 

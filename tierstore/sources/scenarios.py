@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierstore.operators import counters as C
 from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators.tiers import resolve_tiers
-from tierstore.schemas import COUNTER_DETAILS
 from tierstore.sources import fixtures as X
 from tierstore.sources.rules import default_rules
 
@@ -49,20 +48,24 @@ class LoadScenario:
     def new(self) -> DataFrame:
         return U.new_runs(self.runs, self.ledger)
 
+    @cached_property
+    def vault(self) -> DataFrame:
+        """Counters after the old runs (load 0) and after the new ones (load 1)."""
+        load = F.when(F.col("GUID") < X.LEDGER_CUTOFF, 0).otherwise(1)
+        used = self.data.groupBy("CounterID").agg(F.min(load).alias("load"))
+        return C.vault_of_loads(self.details, used, self.cs)
+
     @cached_property
     def vault_before(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], COUNTER_DETAILS)
-        old = C.used_counters(self.details, self.data, X.ledger_runs_f3(self.runs))
-        return C.merge_counters(empty, old, self.cs)
+        return self.vault.filter("load = 0").drop("load")
 
     @cached_property
     def merged(self) -> DataFrame:
-        used = C.used_counters(self.details, self.data, self.new)
-        return C.merge_counters(self.vault_before, used, self.cs)
+        return self.vault.filter("load = 1").drop("load")
 
     @cached_property
     def vault_after(self) -> DataFrame:
-        return self.vault_before.unionByName(self.merged)
+        return self.vault.drop("load")
 
     @cached_property
     def id_map(self) -> DataFrame:
