@@ -10,7 +10,7 @@ Everything is expressed with DataFrames and Spark SQL; the sub-packages are
 
 Entry points: ``plans.store.Store`` (facts, read, vacuum), ``plans.load.load_from_staging``,
 ``plans.maintenance`` (rebalance, unload_runs, replace_year, compact_year, compact_small_files,
-layout, layout_trim, partition_files), ``plans.legacy_import.legacy_import``,
+layout, partition_files), ``plans.legacy_import.legacy_import``,
 ``streaming.ingest.ingest`` and ``plans.views.register_views`` for SQL.
 """
 
