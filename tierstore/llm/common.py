@@ -63,7 +63,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """Cut a record batch into slices of about ``most`` bytes of text, one row at least."""
     _, at = text_buffer(batch.column(column))
     first = 0

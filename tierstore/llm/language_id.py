@@ -178,7 +178,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", language: str = "
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text, 1 << 20):
+            for batch in slices(whole, text, 1 << 19):
                 names, scores = shared.value.predict(batch.column(text))
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array(names, pa.string()), pa.array(scores)], schema.names)
 

@@ -56,7 +56,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < 120_000:
             self[word] = h
         return h
 

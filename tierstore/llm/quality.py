@@ -48,7 +48,7 @@ class _Slots(dict):
 
     def __missing__(self, token: str) -> int:
         slot = xxhash.xxh3_64_intdigest(token) & (1 << BITS) - 1
-        if len(self) < 300_000:
+        if len(self) < 120_000:
             self[token] = slot
         return slot
 

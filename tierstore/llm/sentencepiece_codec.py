@@ -33,8 +33,8 @@ from .common import Numbers, read, slices, spread
 SPACE = "▁"
 LONGEST = 16          # characters of a piece that the packed suffix keys can hold
 NONE = np.int32(2**31 - 1)
-KNOWN_SEGMENTS = 400_000   # solved segments that a task remembers
-SOLVE_CHARS = 800_000      # characters of new segments that are indexed at once
+KNOWN_SEGMENTS = 200_000   # solved segments that a task remembers
+SOLVE_CHARS = 250_000      # characters of new segments that are indexed at once
 
 
 def default_model() -> str:
@@ -229,7 +229,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", model_file: str
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text, 2 << 20):
+            for batch in slices(whole, text, 1 << 20):
                 column = batch.column(text)
                 flat, at = matcher(model_file).encode(column.to_pylist())
                 offsets = pa.array(at.astype(np.int32), mask=np.append(column.is_null().to_numpy(False), False))
@@ -266,7 +266,7 @@ def round_trip(docs: DataFrame, model_file: str | None = None) -> DataFrame:
     def run(batches):
         codec = matcher(model_file)
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", 1 << 20):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 flat, at = codec.encode(texts)
                 same = [codec.decode(flat[s:e].tolist()) == t.replace(SPACE, " ") for t, s, e in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]

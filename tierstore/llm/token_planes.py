@@ -43,7 +43,7 @@ from .common import Numbers, read, shared_path, slices, spread, stored
 MAGIC = b"TPL1"
 BLOCK = 1 << 16
 END_ID = 1
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 400_000
 
 
 def default_tokenizer() -> str:
