@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tierstore.llm import decontaminate, language_id, line_dedup, ngram_join, sentencepiece_codec
 from tierstore.llm.common import read, stored
 
+#: Rule of the near-duplicates stage; op5 has its own.
+NEAR = ngram_join.Rule(5, 80, 100)
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language (no letters) go; a missing language is filled in."""
@@ -25,8 +28,9 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest doc_id."""
-    return ngram_join.representatives(docs).select(docs.columns)
+    """One document of each near-duplicate group stays, the one with the smallest doc_id; documents
+    link if the sets of their five-word n-grams have a similarity of 0.8."""
+    return ngram_join.representatives(docs, NEAR).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -209,3 +209,41 @@ def test_pipeline_stages_take_effect(spark):
         before = after
     assert all(r.round_trip and r.ids for r in before.collect())
     assert corpus_pipeline.run(spark, SF).count() == before.count()
+
+
+def _stage_sets(text):
+    """Sets of the pipeline's near-duplicates stage: five words."""
+    w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    k = min(5, len(w))
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+
+def _stage_kept(rows):
+    """Smallest ids of the components at 5 words / 0.8, by all pairs; doc_ids are distinct."""
+    sets = {i: _stage_sets(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(sets), 2):
+        a, b = sets[i], sets[j]
+        if a and b and 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+            x, y = root(i), root(j)
+            parent[max(x, y)] = min(x, y)
+    return sorted(i for i in sets if root(i) == i)
+
+
+def test_near_duplicate_stage_at_five_words(spark):
+    import corpus_pipeline
+    words = [f"w{i}" for i in range(120)]
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    top = max(i for i, _ in rows)
+    rows += _family("a", range(top + 1, top + 40), 17, words) + _family("b", range(top + 50, top + 60), 31, [f"v{i}" for i in range(60)])
+    rows += [(top + 70 + n, " ".join(f"u{i}" for i in range(n))) for n in range(1, 16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect())
+    assert got == _stage_kept(rows)
+    assert len(got) < ngram_join.representatives(docs).count()          # op5's rule leaves more

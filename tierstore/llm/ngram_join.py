@@ -2,7 +2,8 @@
 
 A document's set is the set of its distinct word n-grams (64-bit hashes). Equal sets are one class,
 joined through its smallest doc_id. Two different sets link if their Jaccard similarity reaches
-the threshold; the join finds all such links, or links that connect the same documents.
+the threshold; the join finds all such links, or links that connect the same documents. A ``Rule``
+names n and the threshold; ``RULE`` is the query's, other callers pass their own.
 
 Every set is a point: its n-grams are hashed into ``GROUPS`` groups, and the counts per group are the
 coordinates. The overlap of two sets is at most the sum of the coordinate minima, so a pair whose
@@ -30,6 +31,8 @@ nothing and have no component; an empty table gives no rows; other columns are k
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -51,6 +54,17 @@ BROADCAST_IDS = 1_000_000
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
+class Rule(NamedTuple):
+    """Words of an n-gram and the Jaccard threshold as a fraction."""
+
+    shingle: int = SHINGLE
+    numerator: int = NUMERATOR
+    denominator: int = DENOMINATOR
+
+
+RULE = Rule()
+
+
 class _WordHashes(dict):
     """Hash of each word, remembered while there are not too many."""
 
@@ -88,25 +102,25 @@ def shingle_sets(texts: list[str | None], n: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def least_overlap(a, b):
+def least_overlap(a, b, rule: Rule = RULE):
     """Overlap that sets of these sizes need: o / (a + b - o) >= threshold."""
-    return -(-(NUMERATOR * (a + b)) // (NUMERATOR + DENOMINATOR))
+    return -(-(rule.numerator * (a + b)) // (rule.numerator + rule.denominator))
 
 
-def prefix_length(n: int) -> int:
+def prefix_length(n: int, rule: Rule = RULE) -> int:
     """N-grams of which linked sets share one; sets too small to link with a different one have
     none."""
-    if n * DENOMINATOR < (n + 1) * NUMERATOR:
+    if n * rule.denominator < (n + 1) * rule.numerator:
         return 0
-    return n - -(-NUMERATOR * n // DENOMINATOR) + 1
+    return n - -(-rule.numerator * n // rule.denominator) + 1
 
 
-def profiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def profiles(docs: DataFrame, common: np.ndarray, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n, signature, counts, keys): set size, set digest, point and index parts."""
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets = shingle_sets(batch.column("text").to_pylist())
+                sets = shingle_sets(batch.column("text").to_pylist(), rule.shingle)
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 late = np.zeros(len(flat), bool)
                 if len(common):
@@ -114,7 +128,7 @@ def profiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 keys, at = [], 0
                 for s in sets:
                     end = at + len(s)
-                    p, mark = prefix_length(len(s)), late[at:end]
+                    p, mark = prefix_length(len(s), rule), late[at:end]
                     first = s[~mark][:p]
                     keys.append(np.concatenate([first, s[mark][:p - len(first)]]).view(np.int64))
                     at = end
@@ -134,7 +148,7 @@ def _point(s: np.ndarray) -> bytes:
     return (counts if counts.max(initial=0) < FULL else np.full(GROUPS, FULL)).astype(np.uint8).tobytes()
 
 
-def common_ngrams(docs: DataFrame) -> np.ndarray:
+def common_ngrams(docs: DataFrame, rule: Rule = RULE) -> np.ndarray:
     """N-grams in several of about SAMPLE_DOCS texts chosen by a hash of doc_id (at most
     MOST_COMMON)."""
     total = docs.count()
@@ -142,7 +156,7 @@ def common_ngrams(docs: DataFrame) -> np.ndarray:
 
     def run(batches):
         for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist())
+            sets = shingle_sets(batch.column("text").to_pylist(), rule.shingle)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64())], ["gram"])
 
     grams = rows.mapInArrow(run, "gram long").groupBy("gram").count().filter(F.col("count") >= COMMON_DOCS)
@@ -154,17 +168,17 @@ def _points(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
 
 
-def _fits(na, nb, pa_, pb_, x=None, y=None) -> np.ndarray:
+def _fits(na, nb, pa_, pb_, x=None, y=None, rule: Rule = RULE) -> np.ndarray:
     """Bound of sizes and of summed coordinate minima; x and y pick the points if given."""
-    ok = np.minimum(na, nb) * DENOMINATOR >= np.maximum(na, nb) * NUMERATOR
+    ok = np.minimum(na, nb) * rule.denominator >= np.maximum(na, nb) * rule.numerator
     for k in range(0, len(ok), 1 << 14):                     # a few MB at a time
         part = np.flatnonzero(ok[k:k + (1 << 14)]) + k
         a, b = pa_[part if x is None else x[part]], pb_[part if y is None else y[part]]
-        ok[part] = (np.minimum(a, b).sum(1, dtype=np.int64) >= least_overlap(na[part], nb[part])) | ((a[:, 0] == FULL) & (b[:, 0] == FULL))
+        ok[part] = (np.minimum(a, b).sum(1, dtype=np.int64) >= least_overlap(na[part], nb[part], rule)) | ((a[:, 0] == FULL) & (b[:, 0] == FULL))
     return ok
 
 
-def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of different ``group`` that pass the bound, by leaves with their largest counts."""
     slab = max(LEAF, int(np.ceil(np.sqrt(len(n) / LEAF))) * LEAF)
     by_size = np.argsort(n, kind="stable")
@@ -178,9 +192,9 @@ def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray) -> tuple[np.
     left, right = [], []
     for i in range(len(starts)):
         j = np.arange(i, len(starts))
-        near = (np.minimum(high_n[i], high_n[j]) * DENOMINATOR >= np.maximum(low_n[i], low_n[j]) * NUMERATOR)
+        near = (np.minimum(high_n[i], high_n[j]) * rule.denominator >= np.maximum(low_n[i], low_n[j]) * rule.numerator)
         j = j[near]
-        j = j[(np.minimum(high[i], high[j]).sum(1, dtype=np.int64) >= least_overlap(low_n[i], low_n[j])) | (high[i].max() == FULL) & (high[j].max(1) == FULL)]
+        j = j[(np.minimum(high[i], high[j]).sum(1, dtype=np.int64) >= least_overlap(low_n[i], low_n[j], rule)) | (high[i].max() == FULL) & (high[j].max(1) == FULL)]
         if not len(j):
             continue
         a = np.arange(starts[i], min(starts[i] + LEAF, len(n)))
@@ -188,7 +202,7 @@ def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray) -> tuple[np.
         x, y = np.repeat(a, len(b)), np.tile(b, len(a))
         keep = (x < y) & (group[x] != group[y])
         x, y = x[keep], y[keep]
-        ok = _fits(n[x], n[y], points, points, x, y)
+        ok = _fits(n[x], n[y], points, points, x, y, rule)
         left.append(x[ok])
         right.append(y[ok])
     if not left:
@@ -196,7 +210,7 @@ def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray) -> tuple[np.
     return order[np.concatenate(left)], order[np.concatenate(right)]
 
 
-def _search(rows: DataFrame) -> DataFrame:
+def _search(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(a, b) pairs across components within each (key, block): rows (key, block, id, n, component,
     counts) dealt by (key, block) and ordered."""
     def pairs(key, ids, n, component, points):
@@ -211,10 +225,10 @@ def _search(rows: DataFrame) -> DataFrame:
             y = x + step
             keep = component[x] != component[y]
             x, y = x[keep], y[keep]
-            ok = _fits(n[x], n[y], points, points, x, y)
+            ok = _fits(n[x], n[y], points, points, x, y, rule)
             yield x[ok], y[ok]
         for s, e in zip(starts[~small], ends[~small], strict=True):
-            x, y = leaf_join(n[s:e], points[s:e], component[s:e])
+            x, y = leaf_join(n[s:e], points[s:e], component[s:e], rule)
             yield x + s, y + s
 
     def found(table):
@@ -241,20 +255,20 @@ def _search(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+def bounded(pairs: DataFrame, points: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Pairs (a, b) that pass the bound of their points."""
     a = points.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
     b = points.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
 
     def run(batches):
         for batch in batches:
-            ok = _fits(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), _points(batch.column("ca")), _points(batch.column("cb")))
+            ok = _fits(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), _points(batch.column("ca")), _points(batch.column("cb")), rule=rule)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Pairs (a, b) whose sets reach the threshold. Sets are made anew from the texts of the
     documents that occur in a pair."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
@@ -264,7 +278,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def build(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets = [s.tobytes() for s in shingle_sets(batch.column("text").to_pylist())]
+                sets = [s.tobytes() for s in shingle_sets(batch.column("text").to_pylist(), rule.shingle)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["id", "grams"])
 
     def check(batches):
@@ -273,7 +287,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             for a, b in zip(batch.column("ga"), batch.column("gb"), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
                 shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                ok.append(DENOMINATOR * shared >= NUMERATOR * (len(x) + len(y) - shared))
+                ok.append(rule.denominator * shared >= rule.numerator * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     sets = texts.mapInArrow(build, "id long, grams binary")
@@ -290,9 +304,9 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return rows.withColumn("block", F.explode(block)).drop("blocks", "points")
 
 
-def near_components(docs: DataFrame) -> DataFrame:
+def near_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    profile = stored(profiles(docs, common_ngrams(docs)), "ngram-profiles")
+    profile = stored(profiles(docs, common_ngrams(docs, rule), rule), "ngram-profiles")
     named = profile.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(named.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("keys").alias("keys")), "ngram-classes")
     points = classes.select("id", "n", "counts")
@@ -302,9 +316,9 @@ def near_components(docs: DataFrame) -> DataFrame:
                          F.expr(f"lag(id) OVER ({by})").alias("before"), F.expr(f"lag(n) OVER ({by})").alias("n_before"))
     parts = stored(parts.filter("points > 1"), "ngram-parts")
 
-    neighbours = parts.filter(F.col("before").isNotNull() & (F.col("n_before") * DENOMINATOR >= F.col("n") * NUMERATOR) & (F.col("before") != F.col("id")))
+    neighbours = parts.filter(F.col("before").isNotNull() & (F.col("n_before") * rule.denominator >= F.col("n") * rule.numerator) & (F.col("before") != F.col("id")))
     neighbours = neighbours.select(F.least("before", "id").alias("a"), F.greatest("before", "id").alias("b")).distinct()
-    links = stored(verified(stored(bounded(neighbours, points), "ngram-pairs"), docs), "ngram-links")
+    links = stored(verified(stored(bounded(neighbours, points, rule), "ngram-pairs"), docs, rule), "ngram-links")
 
     # rows that share a doc_id are one node
     twice = named.select("doc_id", "signature").join(classes.select("signature", "id"), "signature").select("doc_id", "id")
@@ -318,8 +332,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     rest = _blocks(rest)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = rest.select("key", "block", "id", "n", "component", "counts").repartition(n, "key", "block").sortWithinPartitions("key", "block", "n", "id")
-    across = stored(_search(rest).distinct(), "ngram-across")
-    more = verified(across, docs)
+    across = stored(_search(rest, rule).distinct(), "ngram-across")
+    more = verified(across, docs, rule)
     known = first.select(F.col("node").alias("a"), F.col("component").alias("b"))       # stars already
     final = stored(components(known.unionAll(more)), "ngram-components")
 
@@ -329,10 +343,10 @@ def near_components(docs: DataFrame) -> DataFrame:
         F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One document of each component: the rows of ``docs`` whose doc_id is the component's smallest
     (rows without doc_id stay)."""
-    kept = near_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    kept = near_components(docs, rule).filter("doc_id = component_id").select("doc_id").distinct()
     few = kept.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     kept = stored(kept, "ngram-kept")
     return docs.join(F.broadcast(kept) if few else kept, "doc_id", "left_semi").unionAll(docs.filter(F.col("doc_id").isNull()))
