@@ -15,9 +15,14 @@ NEAR = ngram_join.Rule(5, 80, 100)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (no letters) go; a missing language is filled in."""
-    found = language_id.identify(docs).filter(F.col("lang_pred") != language_id.UNDECIDED)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    """Documents without letters go; a missing language is filled in. With nothing to learn from, the
+    others stay with their language as it is."""
+    letters = "has_letters"
+    while letters in docs.columns:
+        letters += "_"
+    found = language_id.identify(docs, decided=letters).filter(F.col(letters))
+    known = F.when(F.col("score") > 0, F.col("lang_pred"))       # 0 where nothing was learned
+    return found.withColumn("lang", F.coalesce("lang", known)).select(docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -247,3 +247,18 @@ def test_near_duplicate_stage_at_five_words(spark):
     got = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect())
     assert got == _stage_kept(rows)
     assert len(got) < ngram_join.representatives(docs).count()          # op5's rule leaves more
+
+
+@pytest.mark.parametrize("labelled", [None, "held out"])
+def test_language_stage_with_nothing_to_learn_from(spark, labelled):
+    import corpus_pipeline
+    from tierstore.llm import language_id
+    from pyspark.sql import functions as F
+    rows = [(i, t) for i, t in enumerate(["the cat", None, "", "12 !", "日本", "le chat 3", "the dog"] * 3)]
+    docs = spark.createDataFrame([(*row, 7) for row in rows], "doc_id long, text string, has_letters int")
+    lang = F.lit(None) if labelled is None else F.when(language_id.held_out(F.col("doc_id")), F.lit("en"))
+    docs = docs.withColumn("lang", lang.cast("string"))
+    out = corpus_pipeline.identify_language(spark, docs, None)
+    want = [r for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [r.doc_id for r in want]
+    assert {r.doc_id: r.lang for r in out.collect()} == {r.doc_id: r.lang for r in want}

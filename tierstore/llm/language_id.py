@@ -156,38 +156,42 @@ class Model:
         sums = np.cumsum(self.bits[best, symbol[where]], axis=0, dtype=np.float64)
         return np.diff(np.concatenate([np.zeros((1, len(self.languages))), sums])[offsets], axis=0)
 
-    def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
+    def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and whether there is a letter, for every text."""
         data, at = text_buffer(column)
         letters = np.concatenate([[0], np.cumsum((_fold[data] != 0x20) & (data < 0x80))])[at]
         decided = np.diff(letters) > 0
         for i in np.flatnonzero(~decided):
             decided[i] = any(ch.isalpha() for ch in column[int(i)].as_py() or "")
         if not self.languages:
-            return [UNDECIDED] * len(column), np.zeros(len(column))
+            return [UNDECIDED] * len(column), np.zeros(len(column)), decided
         bits = self.code_lengths(data, at)
         top = bits.argmin(1)
         score = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
-        return [self.languages[t] if ok else UNDECIDED for t, ok in zip(top, decided, strict=True)], np.where(decided, score, 0.0)
+        return [self.languages[t] if ok else UNDECIDED for t, ok in zip(top, decided, strict=True)], np.where(decided, score, 0.0), decided
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Append the predicted language and its score."""
+def predict(docs: DataFrame, model: Model, text: str = "text", language: str = "lang_pred", score: str = "score", decided: str | None = None) -> DataFrame:
+    """Append the predicted language and its score; with ``decided``, also a column of that name that
+    tells texts with a letter from the others, whether or not there is a model."""
     shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by MAX_CONTEXTS
-    keep = [f for f in docs.schema.fields if f.name not in (language, score)]
-    schema = T.StructType([*keep, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
+    keep = [f for f in docs.schema.fields if f.name not in (language, score, decided)]
+    more = [T.StructField(decided, T.BooleanType())] if decided else []
+    schema = T.StructType([*keep, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType()), *more])
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, text, 1 << 19):
-                names, scores = shared.value.predict(batch.column(text))
-                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array(names, pa.string()), pa.array(scores)], schema.names)
+                names, scores, letters = shared.value.predict(batch.column(text))
+                flags = [pa.array(letters, pa.bool_())] if decided else []
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array(names, pa.string()), pa.array(scores), *flags], schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
+def identify(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, decided: str | None = None) -> DataFrame:
     """Learn from the rows that are not held out and predict all rows."""
-    return predict(docs, Model.fit(sample(docs, per_language)))
+    return predict(docs, Model.fit(sample(docs, per_language)), decided=decided)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
