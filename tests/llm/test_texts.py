@@ -195,6 +195,29 @@ def test_main_text_of_short_and_named_blocks():
     assert html_text.main_text(named) == "Short."
 
 
+@pytest.mark.parametrize("wrapper", [
+    "class='content-with-sidebar'", "class='widget Blog'", "id='layout-sidebar-left'", "class=menu-open", "class='share related'", "id=search-page", "class='register'"])
+def test_main_text_of_wrapped_articles(wrapper):
+    long = "The cat is on the mat and it was happy to be there with all of the other cats in the house."
+    page = f"<body><p>Site name</p><div {wrapper}><div class=sidebar><p>{long[:40]}</p></div>%s</div><footer>f</footer></body>"
+    for tag in ("article", "main"):
+        article = f"<{tag}><h1>Head</h1><p>{long}<span class=ad>BUY</span><div class='related-posts'><p>no</p></div><p>Ti.</{tag}>"
+        assert html_text.main_text(page % article) == f"Head\n{long}\nTi."
+    named = f"<main><h1>Head</h1><div {wrapper}><article><p>{long}</article></div></main>"
+    assert html_text.main_text(named) == f"Head\n{long}"
+
+
+def test_main_text_of_teasers_and_named_wrappers_without_an_article():
+    long = "The cat is on the mat and it was happy to be there with all of the other cats in the house."
+    teaser = "<div class='related-posts'><article><p>Other news of the day</article></div><div class=sidebar><article><p>More</article></div>"
+    for body in ("<div class=post><p>%s</p></div>", "<article><p>%s</article>", "<div id='page-sidebar-left'><p>%s</p></div>"):
+        rest = "" if "page" in body else teaser
+        assert html_text.main_text(body % long + rest) == long
+    comments = "<p>Short.</p><div id=comments><article><p>" + long + "</article></div>"
+    assert html_text.main_text(comments) == "Short."
+    assert html_text.main_text(f"<nav><main><p>{long}</main></nav><div class=sidebar><p>{long}</div>") == ""
+
+
 def test_main_text_edges(spark):
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p></p><!-- x") == html_text.main_text("<scr") == ""
     long = "<article><p>" + "word " * 200_000 + "</p></article>"

@@ -14,6 +14,11 @@ Second pass: every open block takes the label of its nearest decided neighbour,
 by the characters between them (blocks that their element rules out do not vote); on a tie content
 wins, an open heading looks ahead first, and without any decided neighbour the block is content.
 
+A class or id may name a part of what the element holds (``layout-sidebar-left`` around the whole page):
+``main`` inside such an element is content, and so is an ``article`` (not in reader comments) if it
+has more text than all that the page gives without. If the page gives nothing, elements whose
+name is neither the whole class word nor its last part are not ruled out by it.
+
 Defined cases: null or empty html, and pages without content, give the empty text; broken, cut or
 unclosed markup is read as far as it goes; texts of any length are kept whole; other columns are
 kept by ``extract`` unless they have the name of an output.
@@ -50,6 +55,9 @@ OUTSIDE_NAMES = frozenset(
     "breadcrumbs pagination pager masthead topbar footer comment comments commentlist reply replies respond "
     "disqus discussion login signin signup register search searchform toolbar copyright disclaimer alert".split())
 COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+OTHERWISE = frozenset("no with has without".split())   # what follows is not the element itself
+# Zones of what is ruled out: by tag, role or style; by comment names; by other names; by a name inside a word.
+RULED_OUT = frozenset("out comment named weak".split())
 # Frequent function words of four languages.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it was on are as with be this by at from or an not have but they his her you we "
@@ -73,29 +81,39 @@ class Block:
         self.parts, self.linked, self.zone, self.heading = [], 0, zone, heading
 
 
-def _outside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Does this element hold something else than the article?"""
+def _outside(tag: str, attributes: str, in_article: bool) -> str:
+    """Zone of ``RULED_OUT`` if this element holds something else than the article, or nothing."""
     if tag in OUTSIDE_TAGS or tag == "header" and not in_article:
-        return True
+        return "out"
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return ""
+    found = ""
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "out"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return "out"
         if name == "role" and value.lower() in OUTSIDE_ROLES:
-            return True
+            return "out"
         if name in ("class", "id"):
             for word in value.split():
                 parts = [p.lower() for p in NAME_PART.findall(word)]
-                if parts and parts[0] in ("no", "with", "has", "without"):
-                    continue
-                known = COMMENT_NAMES if tag in ("body", "html", "main", "article") else OUTSIDE_NAMES
-                if not known.isdisjoint(parts) or tag not in ("body", "html", "main", "article") and not in_article and "header" in parts:
-                    return True
-    return False
+                parts = parts[:next((i for i, p in enumerate(parts) if p in OTHERWISE), len(parts))]
+                if not COMMENT_NAMES.isdisjoint(parts):
+                    found = "comment"
+                elif found in ("", "weak") and tag not in ("body", "html", "main", "article"):
+                    last = {*parts[-1:], "".join(parts)}
+                    if not OUTSIDE_NAMES.isdisjoint(last) or not in_article and "header" in last:
+                        found = "named"
+                    elif not OUTSIDE_NAMES.isdisjoint(parts) or not in_article and "header" in parts:
+                        found = "weak"
+    return found
+
+
+def _marks_main(tag: str, attributes: str) -> bool:
+    return tag == "main" or "role" in attributes.lower() and any(
+        name.lower() == "role" and value.strip("\"'").lower() == "main" for name, value in ATTRIBUTE.findall(attributes))
 
 
 def _marks_article(tag: str, attributes: str) -> bool:
@@ -109,11 +127,12 @@ def _marks_article(tag: str, attributes: str) -> bool:
 
 
 def blocks(page: str) -> list[Block]:
-    """Blocks in page order; zone is ``out``, ``article`` or ``open``."""
+    """Blocks in page order; zone is ``article``, ``open``, one of ``RULED_OUT``, or ``inner`` with a number:
+    an article inside an element that its name rules out."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []            # open elements, with the zone around each
     names = Counter()                            # how many of each are open
-    zone, in_link, breaks, at = "open", False, 0, 0
+    zone, in_link, breaks, at, inside = "open", False, 0, 0, 0
     block = Block(zone, False)
 
     def end_block(heading: bool = False):
@@ -124,7 +143,7 @@ def blocks(page: str) -> list[Block]:
 
     def say(text: str):
         nonlocal breaks
-        if not text or zone == "out" != block.zone:      # an advert inside a line is passed over
+        if not text or zone in RULED_OUT and block.zone not in RULED_OUT:      # an advert inside a line is passed over
             return
         block.parts.append(entities.unescape(text))
         if in_link:
@@ -168,10 +187,19 @@ def blocks(page: str) -> list[Block]:
                 continue
             inner = zone
             if zone != "out":
-                if _outside(tag, m[4] or "", zone == "article"):
-                    inner = "out"
-                elif tag in ("article", "main") or _marks_article(tag, m[4] or ""):
+                attributes = m[4] or ""
+                by_name = zone in RULED_OUT
+                ruled = _outside(tag, attributes, zone == "article" or zone.startswith("inner"))
+                if ruled:
+                    inner = ruled if not by_name or ruled == "out" or zone == "weak" or ruled == "comment" else zone
+                elif by_name and _marks_main(tag, attributes):
                     inner = "article"
+                elif tag in ("article", "main") or _marks_article(tag, attributes):
+                    if not by_name and not zone.startswith("inner"):
+                        inner = "article"
+                    elif by_name and zone != "comment":
+                        inside += 1
+                        inner = f"inner{inside}"
             if tag in NESTED or inner != zone or names[tag]:
                 stack.append((tag, zone))
                 names[tag] += 1
@@ -187,12 +215,34 @@ def main_text(page: str | None) -> str:
     """Content blocks, white space inside as one space, joined by line breaks."""
     found = [(b, " ".join("".join(b.parts).split())) for b in blocks(page or "")]
     found = [(b, text) for b, text in found if text]
+    kept = _content(found)
+    sizes = Counter()
+    for b, text in found:
+        if b.zone.startswith("inner") and (b.heading or _linked(b, text) < ONLY_LINKS):
+            sizes[b.zone] += len(text)
+    if max(sizes.values(), default=0) > sum(map(len, kept)):
+        for b, _ in found:
+            b.zone = "article" if b.zone.startswith("inner") else b.zone
+        kept = _content(found)
+    if not kept:
+        for b, _ in found:
+            b.zone = "open" if b.zone == "weak" else b.zone
+        kept = _content(found)
+    return "\n".join(kept)
+
+
+def _linked(block: Block, text: str) -> float:
+    return block.linked / max(1, len(text.replace(" ", "")))
+
+
+def _content(found: list[tuple[Block, str]]) -> list[str]:
+    """Texts of the content blocks; an article inside a named element counts as ruled out."""
     marked = any(b.zone == "article" for b, _ in found)
     labels: list[bool | None] = []
     for b, text in found:
         size = len(text)
-        linked = b.linked / max(1, len(text.replace(" ", "")))
-        if b.zone == "out":
+        linked = _linked(b, text)
+        if b.zone in RULED_OUT or b.zone.startswith("inner"):
             label = False
         elif marked:
             label = b.zone == "article" and (b.heading or linked < ONLY_LINKS)
@@ -205,8 +255,7 @@ def main_text(page: str | None) -> str:
             dense = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) >= STOP_DENSITY * len(words)
             label = True if dense or linked < FEW_LINKS else None
         labels.append(label)
-    kept = [text for (b, text), label in zip(found, _settle(found, labels), strict=True) if label]
-    return "\n".join(kept)
+    return [text for (_, text), label in zip(found, _settle(found, labels), strict=True) if label]
 
 
 def _settle(found, labels):
@@ -218,7 +267,7 @@ def _settle(found, labels):
         near = None
         for i in order:
             side[i] = near
-            if found[i][0].zone == "out":
+            if found[i][0].zone in RULED_OUT or found[i][0].zone.startswith("inner"):
                 continue
             if labels[i] is not None:
                 near = (0, labels[i])
