@@ -89,3 +89,10 @@ def test_queries_on_the_documents(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=sp.default_model())
     rows = sp.query(spark, sf).collect()
     assert len(rows) == len(docs) and all(r.round_trip and r.ids == library.encode(docs[r.doc_id] or "") for r in rows)
+
+
+def test_round_trip_is_false_where_the_text_changes(spark):
+    texts = ["a b", "a▁b", "▁", " ▁x", None, "", "é  日\n", "tab\t \x00"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.round_trip for r in sp.round_trip(docs).collect()}
+    assert [out[i] for i in range(len(texts))] == ["▁" not in (t or "") for t in texts]

@@ -13,8 +13,8 @@ per task; the memory for solved segments is bounded.
 
 Defined cases: null text gives null ids, empty text gives an empty array, empty tables stay empty;
 a column that has the output's name is replaced, all others are kept. The character U+2581 stands
-for a space inside the model, so decoding gives a space for it; every other text comes back as it
-was.
+for a space inside the model, so decoding gives a space for it and ``round_trip`` is false; every
+other text comes back as it was.
 """
 
 from __future__ import annotations
@@ -269,7 +269,7 @@ def round_trip(docs: DataFrame, model_file: str | None = None) -> DataFrame:
             for batch in slices(whole, "text", 1 << 20):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 flat, at = codec.encode(texts)
-                same = [codec.decode(flat[s:e].tolist()) == t.replace(SPACE, " ") for t, s, e in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                same = [codec.decode(flat[s:e].tolist()) == t for t, s, e in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 ids = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids, pa.array(same, pa.bool_())], [*keep, "ids", "round_trip"])
 
