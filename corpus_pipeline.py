@@ -34,8 +34,9 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id; documents
-    link if the sets of their five-word n-grams have a similarity of 0.8."""
-    return ngram_join.representatives(docs, NEAR).select(docs.columns)
+    link if the sets of their five-word n-grams have a similarity of 0.8. Repeated rows and rows
+    without doc_id are copies like any other."""
+    return ngram_join.one_of_each(docs, NEAR).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -262,3 +262,18 @@ def test_language_stage_with_nothing_to_learn_from(spark, labelled):
     want = [r for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [r.doc_id for r in want]
     assert {r.doc_id: r.lang for r in out.collect()} == {r.doc_id: r.lang for r in want}
+
+
+def test_near_duplicate_stage_with_repeated_rows_and_null_ids(spark):
+    import corpus_pipeline
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = two.replace("b39", "end")
+    rows = [(2, one), (2, one), (1, three), (2, one), (None, two), (None, near), (None, two), (None, three), (None, "lone words"), (None, "lone  words"), (None, "!"), (None, None), (None, " "), (5, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, k, {"k": k}) for k, (i, t) in enumerate(rows)], "doc_id int, text string, place int, key map<string,int>")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, None)
+    assert out.schema["doc_id"].dataType == docs.schema["doc_id"].dataType and out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text and r.text.split()) for r in out.collect()), key=repr)
+    some = [x for x in got if x[1] in (two.split(), near.split())]
+    assert len(some) == 1 and some[0][0] is None
+    got.remove(some[0])
+    assert got == sorted([(2, one.split()), (1, three.split()), (None, ["lone", "words"]), (None, ["!"]), (None, None), (None, []), (5, "")], key=repr)

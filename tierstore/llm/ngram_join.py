@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, slices, spread, stored
+from .common import read, slices, spread, stored, text_key
 from .components import components
 
 SHINGLE = 3
@@ -352,6 +352,25 @@ def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     return docs.join(F.broadcast(kept) if few else kept, "doc_id", "left_semi").unionAll(docs.filter(F.col("doc_id").isNull()))
 
 
+def one_of_each(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """``representatives`` of a table whose rows may repeat: of the rows that share doc_id and text one
+    stays; rows without doc_id are compared too (equal texts are one document) and go if another document
+    of their group stays. Rows with neither doc_id nor words stay."""
+    made = F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)      # above other ids
+    node = F.coalesce(F.col("doc_id").cast("long"), F.when(F.col("text").rlike(r"\S"), made))
+    kept = representatives(docs.select(node.alias("doc_id"), "text", F.struct("*").alias("row")), rule)
+    keyed = kept.withColumn("key", text_key(F.col("text")))
+    twice = keyed.filter(F.col("doc_id").isNotNull()).groupBy("doc_id", "key").count().filter("count > 1").select("doc_id", "key")
+    twice = stored(twice, "ngram-repeated")
+    n = twice.limit(BROADCAST_IDS + 1).count()
+    if not n:
+        return kept.select("row.*")
+    twice = F.broadcast(twice) if n <= BROADCAST_IDS else twice
+    once = keyed.join(twice, ["doc_id", "key"], "left_anti")
+    again = keyed.join(twice, ["doc_id", "key"], "left_semi").groupBy("doc_id", "text").agg(F.first("row").alias("row"))
+    return once.select("row.*").unionAll(again.select("row.*"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_components(read(spark, sf_dir, "documents"))
