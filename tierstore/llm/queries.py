@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from . import (
+    collocations,
     decontaminate,
     fingerprints,
+    hard_negatives,
     html_text,
     language_id,
     licenses,
     line_dedup,
+    minhash,
     ngram_join,
     quality,
     sentencepiece_codec,
@@ -26,10 +29,15 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_token_planes": token_planes.query,
     "op10_sentencepiece": sentencepiece_codec.query,
+    "op11_minhash": minhash.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_collocations": collocations.query,
 }
 
 SQL = {
     "op1_license_scan": licenses.SQL,
     "op2_line_dedup": line_dedup.SQL,
     "op4_decontaminate": decontaminate.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_collocations": collocations.SQL,
 }
