@@ -157,26 +157,65 @@ def test_dense_ids_equal_global_row_number(spark):
     assert joined.filter(F.col("id") != F.col("want")).count() == 0
 
 
-def test_grouped_ids_equal_global_row_number(spark):
-    import random
+def test_ids_of_one_dominating_machine_are_numbered_in_ranges(spark):
+    """Nine of ten counters on one machine: no range holds much more than its share, and the ids are
+    those of a global row_number."""
     from pyspark.sql import Window
-    from tierstore.functions.ranking import grouped_ids
-    rnd = random.Random(8)
-    rows = list({(rnd.choice("abc"), rnd.randint(-500, 500)) for _ in range(900)})
-    df = spark.createDataFrame(rows, "a string, b int")
-    want = df.withColumn("want", (F.row_number().over(Window.orderBy("a", "b")) + 7).cast("int"))
-    joined = grouped_ids(df, "a", ["a", "b"], "id", base=7).join(want, ["a", "b"])
-    assert joined.count() == len(rows) and joined.filter("id <> want").count() == 0
+    from tierstore.functions.keys import KEY_NAMES, with_key
+    from tierstore.functions.ranking import ranges
+    from tierstore.operators import counters as C
+    from tierstore.schemas import COUNTER_DETAILS
+    n, parts = 20_000, 16
+    df = spark.range(n).select(F.col("id").cast("int").alias("CounterID"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("M"), F.col("id") % 7)).otherwise("HOT").alias("MachineName"),
+                               F.lit("Process").alias("ObjectName"), F.lit("% Processor Time").alias("CounterName"), F.lit(0).alias("CounterType"), F.lit(0).alias("DefaultScale"),
+                               F.sha2(F.col("id").cast("string"), 256).alias("InstanceName"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in COUNTER_DETAILS.fields[7:]])
+    keyed = with_key(df)
+    sizes = [r["count"] for r in ranges(keyed, KEY_NAMES, parts).groupBy("_pid").count().collect()]
+    assert len(sizes) == parts and sum(sizes) == n and max(sizes) < 2 * n // parts
+    got = C.merge_counters(spark.createDataFrame([], COUNTER_DETAILS), df)
+    want = keyed.withColumn("want", F.row_number().over(Window.orderBy(*KEY_NAMES))).select("MachineName", "InstanceName", "want")
+    joined = got.join(want, ["MachineName", "InstanceName"])
+    assert joined.count() == n and joined.filter("CounterID <> want").count() == 0
 
 
 def test_layout_measures(spark):
-    from tierstore.operators.diagnostics import layout_health
-    chunks = spark.createDataFrame([(1, 2020, "a", 40, 1), (1, 2020, "b", 30, 1), (1, 2021, "c", 10, 1),
-                                    (2, 2020, "d", 50, 2)], "tier int, year int, chunk_id string, rows long, bytes long")
-    got = {(r["tier"], r["measure"]): r["value"] for r in layout_health(chunks, 40).collect()}
-    assert [got["Tier1", m] for m in ("chunks", "rows", "bytes", "smallest_chunk", "median_chunk", "largest_chunk", "full_chunks",
-                                      "half_full_chunks", "small_chunks", "fill_per_mille")] == [3, 80, 3, 10, 30, 40, 1, 1, 1, 666]
-    assert got["Tier2", "full_chunks"] == 1 and got["Tier2", "fill_per_mille"] == 1250
+    """Percentiles and buckets against a percent-rank window over the files themselves."""
+    import random
+    from pyspark.sql import Window
+    from tierstore.operators.diagnostics import fill_bounds, layout_by_year, layout_health
+    assert list(fill_bounds().values()) == [900_000, 500_000, 100_000]
+    rnd = random.Random(9)
+    full = 1_048_576
+    rows = [(1, 2020 + k % 3, str(k), rnd.choice([full, rnd.randint(1, full), 900_000, 899_999, 500_000, 99_999, 7]), rnd.randint(1, 9 << 20)) for k in range(300)]
+    rows += [(2, 2020, "x", 50, 3 << 20), (3, 2021, "y", 10, 1), (3, 2021, "z", 10, 1)]
+    chunks = spark.createDataFrame(rows, "tier int, year int, chunk_id string, rows long, bytes long")
+    retired = spark.createDataFrame([(1, 2020, "r", 1000, 5), (1, 2021, "s", 500, 5)], chunks.schema)
+    got = {r["tier"]: r for r in layout_health(chunks, retired=retired).collect()}
+    pct = chunks.withColumn("pct", F.percent_rank().over(Window.partitionBy("tier").orderBy("rows")))
+    for name, p in (("p5", .05), ("p25", .25), ("p50_median", .5), ("p75", .75), ("p95", .95)):
+        want = {f"Tier{r[0]}": r[1] for r in pct.filter(F.col("pct") <= p).groupBy("tier").agg(F.max("rows")).collect()}
+        assert {t: r[name] for t, r in got.items()} == want
+    one = [r[3] for r in rows if r[0] == 1]
+    t1 = got["Tier1"]
+    assert [t1[c] for c in ("rg_full", "rg_90pct", "rg_50_90", "rg_10_50", "rg_under10")] == [
+        sum(lo <= n < hi for n in one) for lo, hi in ((full, 1 << 60), (900_000, full), (500_000, 900_000), (100_000, 500_000), (0, 100_000))]
+    import statistics
+    from decimal import ROUND_HALF_UP, Decimal
+    fixed = lambda x, q: Decimal(x).quantize(Decimal(q), ROUND_HALF_UP)
+    assert (t1["rg_avg"], t1["rg_stdev"], t1["rg_min"], t1["rg_max"]) == (sum(one) // len(one), int(statistics.stdev(one)), min(one), max(one))
+    assert t1["overall_efficiency_pct"] == fixed(Decimal(sum(one)) * 100 / (len(one) * full), "0.1")
+    assert t1["avg_fill_pct"] == fixed(sum(fixed(Decimal(n) * 100 / full, "0.1") for n in one) / len(one), "0.1")
+    assert t1["total_deleted"] == 1500 and t1["deleted_pct"] == fixed(Decimal(150_000) / (sum(one) + 1500), "0.01")
+    assert t1["total_rows_fmt"] == f"{sum(one):,}"
+    # one file: no deviation, every percentile is the file; equal files share the lowest rank
+    assert got["Tier2"]["rg_stdev"] is None and got["Tier2"]["p5"] == got["Tier2"]["p95"] == 50 and got["Tier2"]["deleted_pct"] == 0
+    assert got["Tier3"]["p5"] == got["Tier3"]["p95"] == 10 and got["Tier3"]["rg_stdev"] == 0
+    years = {(r["tier"], r["year"]): r for r in layout_by_year(chunks, retired=retired).collect()}
+    assert years["Tier1", 2020]["deleted_rows"] == 1000 and years["Tier1", 2022]["deleted_rows"] == 0
+    assert sum(r["num_chunks"] for r in years.values()) == len(rows)
+    # an empty file: the guarded division has no value
+    empty = layout_health(spark.createDataFrame([(1, 2020, "a", 0, 10)], chunks.schema)).first()
+    assert empty["deleted_pct"] is None and empty["rg_under10"] == 1 and layout_health(chunks.limit(0)).count() == 0
 
 
 def test_rejected_runs_name_the_reason(spark):

@@ -157,6 +157,48 @@ def test_legacy_import_in_batches(spark, root):
     assert legacy_import(store, runs, data, details) == []
 
 
+def test_legacy_import_scans_once_and_goes_on_after_a_crash(spark, root, monkeypatch):
+    from tierstore.plans import legacy_import as LI
+    data = X.staging_data_f2(X.table(spark, SF001, "lineitem"))
+    details = X.counter_details_f1(X.table(spark, SF001, "part"))
+    runs = X.staging_runs_f3(data)
+    ids = sorted(r[0] for r in runs.select("GUID").collect())
+    late = runs.filter(F.col("GUID") == ids[-1])
+    early = runs.filter(F.col("GUID") != ids[-1])
+    store = Store(spark, root + "/store")
+    first = LI.legacy_import(store, early, data, details, batch_size=25, max_batches=1)
+    assert [r.values["new_runs"] for r in first] == [25]
+    plan = LI.open_plan(store)
+    written = spark.read.parquet(f"{plan}/data")
+    assert written.count() == data.filter(F.col("GUID") != ids[-1]).count()      # the one scan of the source
+
+    # later calls read the plan only: a source that fails on every read is not touched
+    broken = data.withColumn("CounterValue", F.raise_error(F.lit("source read again")).cast("double"))
+    load, done = LI.load_from_staging, []
+
+    def dies(*args, **kwargs):
+        if done:
+            raise OSError("lost")
+        done.append(1)
+        return load(*args, **kwargs)
+    monkeypatch.setattr(LI, "load_from_staging", dies)
+    with pytest.raises(OSError, match="lost"):
+        LI.legacy_import(store, early, broken, details, batch_size=25)
+    assert store.ledger().count() == 50
+    monkeypatch.undo()
+    # an unfinished plan of a crashed call is thrown away
+    spark.range(1).write.parquet(store.path(LI.PLANS, "plan=0broken", "runs"))
+    rest = LI.legacy_import(store, early, broken, details, batch_size=25)
+    assert sum(r.values["new_runs"] for r in rest) == len(ids) - 51
+    assert store._children(store.path(LI.PLANS)) == []
+    # runs that came meanwhile get a plan of their own
+    more = LI.legacy_import(store, early.unionByName(late), data, details, batch_size=25)
+    assert [r.values["new_runs"] for r in more] == [1]
+    whole = Store(spark, root + "/whole")
+    assert load_from_staging(whole, Staging(data, details, runs)).status == 0
+    assert sorted(map(tuple, store.facts().groupBy("tier", "year").count().collect())) == sorted(map(tuple, whole.facts().groupBy("tier", "year").count().collect()))
+
+
 def test_partition_files_and_layout_report(spark, root):
     st = staging(spark, root)
     store = Store(spark, root + "/store")
@@ -167,11 +209,19 @@ def test_partition_files_and_layout_report(spark, root):
     assert sum(r["num_rows"] for r in rep) == store.facts().count()
     assert sum(r["files"] for r in rep) == store.facts().select("_metadata.file_path").distinct().count()
     assert {r["data_compression"] for r in rep if r["files"]} == {"ZSTD"}
-    layout = {(r["tier"], r["measure"]): r["value"] for r in M.layout(store, target=1000).collect()}
-    assert sum(v for (_, m), v in layout.items() if m == "chunks") == sum(r["files"] for r in rep)
-    for t in ("Tier1", "Tier2", "Tier3"):
-        assert layout[t, "chunks"] == sum(layout[t, m] for m in ("full_chunks", "half_full_chunks", "small_chunks"))
-        assert layout[t, "smallest_chunk"] <= layout[t, "median_chunk"] <= layout[t, "largest_chunk"]
+    layout = {r["tier"]: r for r in M.layout(store, target=1000).collect()}
+    assert sum(r["num_chunks"] for r in layout.values()) == sum(r["files"] for r in rep)
+    for r in layout.values():
+        assert r["num_chunks"] == sum(r[m] for m in ("rg_full", "rg_90pct", "rg_50_90", "rg_10_50", "rg_under10"))
+        assert r["rg_min"] <= r["p50_median"] <= r["rg_max"] and r["total_deleted"] == 0
+    # compaction leaves the old files until they are vacuumed
+    year = store.facts().filter("tier = 2").agg(F.min("year")).first()[0]
+    n = store.facts().filter(F.col("year") == year).filter("tier = 2").count()
+    M.compact_year(store, 2, year)
+    assert M.layout(store).filter("tier = 'Tier2'").first()["total_deleted"] == n
+    assert {r["year"]: r["deleted_rows"] for r in M.layout_of_years(store).filter("deleted_rows > 0").collect()} == {year: n}
+    store.vacuum(older_than_hours=0, dry_run=False)
+    assert M.layout(store).agg(F.sum("total_deleted")).first()[0] == 0
 
 
 def test_counters_only_then_full_load_and_truncate(spark, root):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.keys import KEY_NAMES, with_key
-from tierstore.functions.ranking import grouped_ids
+from tierstore.functions.ranking import dense_ids
 from tierstore.schemas import COUNTER_DETAILS
 
 DETAIL_COLUMNS = [f.name for f in COUNTER_DETAILS.fields]
@@ -54,13 +54,13 @@ def merge_counters(vault: DataFrame, used: DataFrame, case_sensitive: bool = Fal
     """New vault rows for definitions whose key is not in the vault yet (insert only).
 
     Ids continue after the highest vault id in key order, so the assignment is deterministic;
-    the numbering is distributed (per machine, plus the counts of the machines before).
+    the numbering is distributed by ranges of the whole key, so no machine is one task.
     """
     src = merge_source(used, case_sensitive)
     existing = with_key(vault, case_sensitive).select(*KEY_NAMES)
     new = src.join(existing, KEY_NAMES, "left_anti")
     base = vault.agg(F.coalesce(F.max("CounterID"), F.lit(0))).scalar()   # scalar subquery
-    return grouped_ids(new.drop("CounterID"), KEY_NAMES[0], KEY_NAMES, "CounterID", base).select("CounterID", *ATTRS)
+    return dense_ids(new.drop("CounterID"), KEY_NAMES, "CounterID", base).select("CounterID", *ATTRS)
 
 
 def vault_of_loads(details: DataFrame, used: DataFrame, case_sensitive: bool = False) -> DataFrame:
@@ -71,8 +71,8 @@ def vault_of_loads(details: DataFrame, used: DataFrame, case_sensitive: bool = F
     keyed = with_key(details.join(used, "CounterID"), case_sensitive)
     first = F.min_by(F.struct(*DETAIL_COLUMNS), F.struct("load", "CounterID")).alias("_d")
     keys = keyed.groupBy(*KEY_NAMES).agg(first, F.min("load").alias("load"))
-    keys = keys.select("_d.*", "load", *KEY_NAMES, F.struct("load", KEY_NAMES[0]).alias("_group")).drop("CounterID")
-    return grouped_ids(keys, "_group", ["_group", *KEY_NAMES], "CounterID").select(*DETAIL_COLUMNS, "load")
+    keys = keys.select("_d.*", "load", *KEY_NAMES).drop("CounterID")
+    return dense_ids(keys, ["load", *KEY_NAMES], "CounterID").select(*DETAIL_COLUMNS, "load")
 
 
 def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool = False) -> DataFrame:

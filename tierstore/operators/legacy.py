@@ -31,31 +31,11 @@ def staged_details(source_details: DataFrame, case_sensitive: bool = False) -> D
             .filter(F.col("CounterID") == F.col("CounterID_min")).drop("CounterID_min"))
 
 
-def staged_data(source_data: DataFrame, batch_runs: DataFrame, source_details: DataFrame,
-                case_sensitive: bool = False) -> DataFrame:
-    """Samples of the batch's runs with the counter id replaced by the canonical id."""
+def dealt_data(source_data: DataFrame, batches: DataFrame, source_details: DataFrame,
+               case_sensitive: bool = False) -> DataFrame:
+    """Samples of the numbered runs with the counter id replaced by the canonical id, and the run's
+    ``batch_no``. Definitions and runs are broadcast only while they are small."""
     ids = bounded_broadcast(canonical_ids(source_details, case_sensitive))
-    runs = bounded_broadcast(batch_runs.select("GUID"))
-    return (source_data.join(runs, "GUID", "left_semi").join(ids, "CounterID", "inner")
-            .withColumn("CounterID", F.col("CounterID_min")).drop("CounterID_min")
-            .select(*source_data.columns))
-
-
-def batch_summary(source_runs: DataFrame, ledger: DataFrame, source_data: DataFrame,
-                  source_details: DataFrame, batch_size: int = BATCH_SIZE,
-                  case_sensitive: bool = False) -> DataFrame:
-    """Per batch of the whole import: runs, first / last file, samples, canonical counters."""
-    b = pending_batches(source_runs, ledger, batch_size)
-    ids = bounded_broadcast(canonical_ids(source_details, case_sensitive))
-    runs_b = bounded_broadcast(b.select("GUID", "batch_no"))
-    facts = (source_data.join(runs_b, "GUID", "inner").join(ids, "CounterID", "inner")
-             .groupBy("batch_no").agg(F.count(F.lit(1)).alias("num_facts"),
-                                      F.count_distinct("CounterID_min").alias("num_counters")))
-    runs = b.groupBy("batch_no").agg(F.count(F.lit(1)).alias("num_runs"),
-                                     F.min("DisplayString").alias("first_display"),
-                                     F.max("DisplayString").alias("last_display"))
-    return (runs.join(facts, "batch_no", "left_outer")
-            .select("batch_no", "num_runs", "first_display", "last_display",
-                    F.coalesce("num_facts", F.lit(0)).alias("num_facts"),
-                    F.coalesce("num_counters", F.lit(0)).alias("num_counters"))
-            .orderBy("batch_no"))
+    runs = bounded_broadcast(batches.select("GUID", "batch_no"))
+    return (source_data.join(runs, "GUID").join(ids, "CounterID")
+            .withColumn("CounterID", F.col("CounterID_min")).select(*source_data.columns, "batch_no"))

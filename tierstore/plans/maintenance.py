@@ -139,9 +139,20 @@ def compact_year(store: Store, tier: int, year: int, rows_per_file: int = ROWS_P
     return batch
 
 
+def _retired_chunks(store: Store) -> DataFrame | None:
+    facts = store.retired_facts()
+    return None if facts is None else D.file_chunks(facts)
+
+
 def layout(store: Store, target: int = ROWS_PER_FILE) -> DataFrame:
-    """Layout health of the stored files (one chunk per Parquet file)."""
-    return D.layout_health(D.file_chunks(store.facts()), target)
+    """Layout health of the stored files (one chunk per Parquet file) per tier. Deleted rows are
+    those of retired files that no vacuum has removed yet."""
+    return D.layout_health(D.file_chunks(store.facts()), target, _retired_chunks(store))
+
+
+def layout_of_years(store: Store, target: int = ROWS_PER_FILE) -> DataFrame:
+    """Layout of the stored files per tier and year."""
+    return D.layout_by_year(D.file_chunks(store.facts()), target, _retired_chunks(store))
 
 
 def partition_files(store: Store, years: list[int]) -> DataFrame:

@@ -7,14 +7,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.functions.patterns import like_constant
 from tierstore.functions.partitioning import partition_number
 from tierstore.operators import counters as C
 from tierstore.operators import diagnostics as D
-from tierstore.operators import legacy as L
 from tierstore.operators import overlap as O
 from tierstore.operators import partitions as P
 from tierstore.operators import rebalance as B
@@ -277,10 +276,27 @@ def unload_runs(spark, sf_dir):
 
 @query
 def legacy_batch(spark, sf_dir):
-    """The legacy import in batches of 30 runs, the oldest runs being loaded already."""
+    """The legacy import in batches of 30 runs into a store that holds the oldest runs: what the store
+    holds of each batch."""
+    from tierstore.plans.legacy_import import legacy_import
+    from tierstore.plans.load import load_from_staging
+    from tierstore.plans.store import Store
+    from tierstore.session import scratch_path
+    from tierstore.sources.staging import Staging
     s = LoadScenario(spark, sf_dir)
-    loaded = U.ledger_rows(s.runs.filter(F.col("GUID") < X.LEGACY_CUTOFF))
-    return L.batch_summary(s.runs, loaded, s.data, s.details)
+    store = Store(spark, scratch_path(spark, "legacy"))
+    before = load_from_staging(store, Staging(s.data, s.details, s.runs.filter(F.col("GUID") < X.LEGACY_CUTOFF)))
+    for done in (before, *legacy_import(store, s.runs, s.data, s.details)):
+        assert done.status == 0, done.message
+    runs = (store.ledger().filter(F.col("batch") != before.batch).groupBy("batch")
+            .agg(F.count(F.lit(1)).alias("num_runs"), F.min("DisplayString").alias("first_display"), F.max("DisplayString").alias("last_display")))
+    facts = (store.facts(with_batch=True).groupBy("batch")
+             .agg(F.count(F.lit(1)).alias("num_facts"), F.count_distinct("CounterID").alias("num_counters")))
+    batch_no = F.row_number().over(Window.orderBy("first_display"))           # a row per load
+    rows = (runs.withColumn("batch_no", batch_no).join(facts, "batch", "left_outer")
+            .select("batch_no", "num_runs", "first_display", "last_display", F.coalesce("num_facts", F.lit(0)).alias("num_facts"),
+                    F.coalesce("num_counters", F.lit(0)).alias("num_counters")).orderBy("batch_no"))
+    return _finished(spark, rows, store.root)
 
 
 # ---------------------------------------------------------------- store reads
@@ -375,14 +391,39 @@ def counters_multi_tier(spark, sf_dir):
     return D.counters_multi_tier(s.facts_f5, s.counters)
 
 
+def _written_f6(spark, sf_dir, name: str):
+    """The F4 samples loaded in three batches by record index, so that every (tier, year) has files of
+    several sizes; then the first year of tier 2 is compacted, which leaves its old files retired."""
+    from tierstore.plans import maintenance as M
+    from tierstore.plans.store import Store, partitions_for
+    from tierstore.session import scratch_path
+    f = RebalanceScenario(spark, sf_dir).facts
+    store = Store(spark, scratch_path(spark, name))
+    load = F.least(F.col("RecordIndex"), F.lit(3))
+    sizes = f.groupBy(load.alias("load")).agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("year")).orderBy("load").collect()
+    for r in sizes:
+        b = store.new_batch()
+        store.write_facts(f.filter(load == r["load"]), b, num_partitions=partitions_for(r["n"]))
+        store.commit("load", b)
+    M.compact_year(store, 2, min(r["year"] for r in sizes))
+    return store
+
+
 @query
 def layout_health(spark, sf_dir):
-    return D.layout_health(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
+    """Layout of the files of a written store per tier (without the sizes in MB, which follow the
+    compression)."""
+    from tierstore.plans import maintenance as M
+    store = _written_f6(spark, sf_dir, "layout")
+    return _finished(spark, M.layout(store, X.CHUNK_TARGET_ROWS).drop("total_size_mb", "avg_rg_size_mb"), store.root)
 
 
 @query
 def layout_by_year(spark, sf_dir):
-    return D.layout_by_year(X.chunks_f6(RebalanceScenario(spark, sf_dir).facts), X.CHUNK_TARGET_ROWS)
+    """Layout of the files of a written store per tier and year."""
+    from tierstore.plans import maintenance as M
+    store = _written_f6(spark, sf_dir, "layout-years")
+    return _finished(spark, M.layout_of_years(store, X.CHUNK_TARGET_ROWS).drop("size_mb"), store.root)
 
 
 @query

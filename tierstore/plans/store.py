@@ -168,6 +168,14 @@ class Store:
         df = self._read("facts", self.facts_schema, paths)
         return df if with_batch else df.drop("batch")
 
+    def retired_facts(self) -> DataFrame | None:
+        """Samples that a rebalance, unload, replacement or compaction took out and that no vacuum has
+        deleted yet, or None."""
+        rows = self.commits().filter(F.size("retired") > 0).select(F.explode("retired").alias("f")).select("f.*").filter("tier >= 0").distinct().collect()
+        paths = [self.path("facts", f"batch={r['batch']}", f"tier={r['tier']}", f"year={r['year']}") for r in rows]
+        here = [q for q in sorted(paths) if self.exists(q)]
+        return self._read("facts", self.facts_schema, here) if here else None
+
     def read(self, tier: int | None = None, start: dt.datetime | None = None,
              end: dt.datetime | None = None) -> DataFrame:
         """Samples of one tier and / or a time window, with the partition filters (tier, year)
@@ -265,6 +273,30 @@ class Store:
             return []
         return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
+    def has_files(self, path: str) -> bool:
+        """Does the folder hold Parquet files of its own?"""
+        jvm, fs = self._fs()
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*.parquet"))
+        return bool(found) and len(found) > 0
+
+    def exists(self, path: str) -> bool:
+        jvm, fs = self._fs()
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
+
+    def delete(self, path: str) -> None:
+        jvm, fs = self._fs()
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+
+    def move(self, path: str, target: str) -> None:
+        """Move a folder; one that was moved there before is kept beside it."""
+        jvm, fs = self._fs()
+        to = jvm.org.apache.hadoop.fs.Path(target)
+        fs.mkdirs(to.getParent())
+        if fs.exists(to):
+            to = jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex[:8]}")
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(path), to):
+            raise OSError(f"cannot move {path} to {to}")
+
     def vacuum(self, older_than_hours: float = 24.0, dry_run: bool = True) -> list[str]:
         """Delete what no current reader needs: folders retired by a commit older than the
         threshold, and batches never committed whose name (creation time) is older than it.
@@ -292,9 +324,8 @@ class Store:
                 if b not in committed and born < limit:
                     doomed.append(self.path(table, name))
         if not dry_run:
-            jvm, fs = self._fs()
             for d in doomed:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(d), True)
+                self.delete(d)
         return sorted(set(doomed))
 
     def folders(self, facts_with_batch: DataFrame) -> list[tuple[str, int, int]]:

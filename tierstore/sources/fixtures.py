@@ -1,8 +1,8 @@
 """Inputs of the counter-log shape derived from the driver's read-only tables.
 
 F1 counter definitions <- part, F2 samples <- lineitem, F3 log runs <- F2, F4 a store with
-misplaced counters, F5 a store after an interrupted move, F6 storage chunks, F7 daily drops
-<- events. Every fixture is a DataFrame derived by Spark, so its size follows the tables.
+misplaced counters, F5 a store after an interrupted move, F6 that store written in three loads, F7
+daily drops <- events. Every fixture is a DataFrame derived by Spark, so its size follows the tables.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from tierstore.sources.staging import normalize_data, normalize_details, normali
 # Runs whose GUID sorts below this are already in the ledger in the load scenario.
 LEDGER_CUTOFF = "run-200001"
 # Runs below this are already in the ledger when the legacy import starts.
-LEGACY_CUTOFF = "run-199401"
-# Rows of a "full" chunk in the layout fixture (stands for 1,048,576 rows per rowgroup).
-CHUNK_TARGET_ROWS = 40
+LEGACY_CUTOFF = "run-199601"
+# Rows of a "full" file in the layout fixture (stands for 1,048,576 rows per rowgroup).
+CHUNK_TARGET_ROWS = 600
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,15 +129,6 @@ def store_f5(f4: DataFrame, tier_map: DataFrame) -> DataFrame:
     return f4.unionByName(copies)
 
 
-def chunks_f6(f4: DataFrame) -> DataFrame:
-    """Storage chunks: F4 grouped by (tier, year, SecondValueA); 4 bytes per row."""
-    return (f4.groupBy("tier", "year", "SecondValueA")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select("tier", "year", F.concat_ws("-", F.col("tier").cast("string"), F.col("year").cast("string"),
-                                                F.col("SecondValueA").cast("string")).alias("chunk_id"),
-                    "rows", (F.col("rows") * 4).alias("bytes")))
-
-
 def event_samples_f7(events: DataFrame, machines: int = 1) -> DataFrame:
     """Samples of the events table: one run per day of ``ts`` and machine, counter id per event type
     and machine. With one machine GUIDs are just the day."""
