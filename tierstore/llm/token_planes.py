@@ -54,12 +54,14 @@ def default_tokenizer() -> str:
 class WordEncoder:
     """Ids by word, filled from the tokenizers library as new words come.
 
-    A word of Latin letters, digits and ASCII signs is cut into the tokenizer's own pre-tokens (its
-    pattern is read from the file), so that words which differ in case or punctuation share them;
-    each distinct pre-token is encoded once, many in one call. Any other word is encoded whole."""
+    A text of Latin letters, digits, ASCII signs and blanks is cut into the tokenizer's own pre-tokens
+    (its pattern is read from the file); each distinct pre-token is encoded once, many in one call.
+    Any other text is cut into words, which share the pre-tokens; a word with other characters is
+    encoded whole."""
 
     #: no combining marks, no white space, and lower case that does not depend on the context
     simple = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+").fullmatch
+    simple_text = re.compile("[ \n!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*").fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -72,6 +74,7 @@ class WordEncoder:
         if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"] or not suffix:
             raise ValueError("a tokenizer with word ends and lower case is expected")
         self.cut = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.blanks_part = self.cut("a b\nc  ") == ["a", "b", "c"]     # no pre-token holds a blank
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
@@ -122,20 +125,44 @@ class WordEncoder:
         n = len(self.known)
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, END_ID after each, and the offsets of the texts."""
-        if len(self.known) > KNOWN_WORDS:
-            self.forget()
-        cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+    def _by_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of simple texts and their number per text."""
+        number, cut = self.parts.__getitem__, self.cut
+        found = [list(map(number, cut(t.lower()))) for t in texts]
+        plain, self.parts.new = self.parts.new, []
+        self._encode_parts(plain, [])
+        return self._gathered(found, self.part_ids, self.part_at)
+
+    def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
         if new := list(set(chain.from_iterable(cut)).difference(self.known)):
             self._learn(new)
-        lengths = np.fromiter(map(len, cut), np.int64, len(cut))
-        k = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(lengths.sum()))
-        counts = self.at[k + 1] - self.at[k]
-        ids = self.ids[spread(self.at[k], counts)]
+        return self._gathered([list(map(self.known.__getitem__, words)) for words in cut], self.ids, self.at)
+
+    @staticmethod
+    def _gathered(found: list[list[int]], ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        k = np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))
+        counts = at[k + 1] - at[k]
         ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(lengths)])]
-        ids = np.insert(ids, ends[1:], END_ID)
-        return ids, ends + np.arange(len(ends))
+        return ids[spread(at[k], counts)], np.diff(ends)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, END_ID after each, and the offsets of the texts."""
+        if max(len(self.known), len(self.parts)) > KNOWN_WORDS:
+            self.forget()
+        texts = [t or "" for t in texts]
+        plain = np.array([self.blanks_part and self.simple_text(t) is not None and not self.has_special(t) for t in texts], bool)
+        sizes, parts = np.zeros(len(texts), np.int64), []
+        for rows, encoded in ((np.flatnonzero(plain), self._by_parts), (np.flatnonzero(~plain), self._by_words)):
+            if len(rows):
+                ids, sizes[rows] = encoded([texts[i] for i in rows])
+                parts.append((rows, ids))
+        at = np.concatenate([[0], np.cumsum(sizes + 1)])
+        out = np.full(at[-1], END_ID, np.uint32)
+        for rows, ids in parts:
+            out[spread(at[rows], sizes[rows])] = ids
+        return out, at
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -277,7 +304,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, planes
             sink.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{path.rpartition('/')[2]}"], "size": [writer.offset], "n_docs": [n_docs], "n_ids": [writer.n_ids]})
 
-    ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(shuffle_partitions(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(shuffle_partitions(docs), "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return stored(ranged.mapInArrow(run, "part long, path string, size long, n_docs long, n_ids long"), "plane-manifest")
 
 
