@@ -37,7 +37,8 @@ SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 MAP_BITS = 1 << 26                       # 8 MB a map
 MAP_CHUNK = 1 << 15
 HOT, HOT_PAIRS = 4_000_000, 1000         # pairs with so many occurrences, at most so many of them
-_HELD = 200_000                          # distinct words, pairs or suffixes that a task holds
+_HELD = 200_000                          # distinct words or pairs that a task holds
+_HELD_SUFFIXES = 1_000_000               # distinct suffixes (48 bytes each) that a task holds
 _BREAK = b"\xff"                         # never part of UTF-8
 _TABLE = bytes.maketrans((UPPER + SEPARATORS).encode(), LOWER.encode() + _BREAK * len(SEPARATORS))
 
@@ -162,10 +163,10 @@ def _summed(rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class _Sums:
-    """Sums weights of equal rows of up to _HELD distinct ones before they leave a task."""
+    """Sums weights of equal rows, of up to ``held`` distinct ones before they leave a task."""
 
-    def __init__(self, width: int):
-        self.width = width
+    def __init__(self, width: int, held: int = _HELD):
+        self.width, self.held = width, held
         self.clear()
 
     def clear(self):
@@ -175,7 +176,7 @@ class _Sums:
         if len(rows):
             self.parts.append(_summed(rows, np.ones(len(rows), np.int64)))
             self.size += len(self.parts[-1][0])
-        if self.size > 2 * _HELD:
+        if self.size > 2 * self.held:
             self.merge()
 
     def merge(self):
@@ -192,7 +193,10 @@ class _Sums:
         self.clear()
 
     def full(self) -> bool:
-        return self.size > _HELD
+        """Too many even when equal rows are merged."""
+        if self.size > self.held:
+            self.merge()
+        return self.size > self.held
 
 
 def pairs(docs: DataFrame, frequent: bytes) -> DataFrame:
@@ -221,7 +225,7 @@ def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, hot: np.nd
     names = ["route", *WORDS, "f"]
 
     def run(batches):
-        sums = _Sums(DEPTH + 1)
+        sums = _Sums(DEPTH + 1, _HELD_SUFFIXES)
         for h in _sequences(batches, shared.value[0]):
             h = np.concatenate([h, np.zeros(DEPTH, np.uint64)])
             pair = pair_hash(h[:-1], h[1:])
