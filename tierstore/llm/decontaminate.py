@@ -26,7 +26,7 @@ BROADCAST_WINDOWS = 200_000
 def _hashes(hashed: F.Column, n: int) -> F.Column:
     """(at, n, hash) of every run of n words."""
     runs = F.transform(F.sequence(F.lit(0), F.size(hashed) - n), lambda i: F.struct(
-        i.alias("at"), F.lit(n).alias("n"), F.xxhash64(F.slice(hashed, i + 1, n)).alias("hash")))
+        i.alias("at"), F.lit(n).alias("n"), F.xxhash64(*(F.get(hashed, i + k) for k in range(n))).alias("hash")))
     return F.when(F.size(hashed) >= n, runs).otherwise(F.array().cast("array<struct<at:int,n:int,hash:bigint>>"))
 
 
