@@ -24,11 +24,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read, slices, text_buffer
+from .common import read, slices, stored, text_buffer
 
 DEPTH = 4
 DOCS_PER_LANGUAGE = 400
@@ -64,11 +64,14 @@ def held_out(doc_id) -> F.Column:
 
 
 def sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """About ``per_language`` training rows (text, lang) of each language, chosen by hash."""
+    """About ``per_language`` training rows (text, lang) of each language, chosen by a hash of doc_id, or of
+    the text where it is null; never more than twice as many, also where rows repeat."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), per_language / F.count("*")).alias("share"))
-    chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(F.broadcast(share), "lang").filter(chance < F.col("share")).select("text", "lang")
+    chance = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text"))), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.select("lang", "text", chance.alias("chance")).join(F.broadcast(share), "lang").filter(F.col("chance") < F.col("share"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text"))
+    return chosen.withColumn("place", place).filter(F.col("place") <= 2 * per_language).select("text", "lang")
 
 
 class Model:
@@ -79,8 +82,8 @@ class Model:
 
     @classmethod
     def fit(cls, rows: DataFrame, min_count: int = MIN_COUNT, max_contexts: int = MAX_CONTEXTS) -> Model:
-        """Count bytes after contexts on the executors; build the trees from the sums. What the
-        driver gets is bounded by the sample's size."""
+        """Count bytes after contexts on the executors, choose the contexts there too, and build the
+        trees from their sums: the driver gets the counts of ``max_contexts`` contexts."""
         def count(batches):
             for whole in batches:
                 names = whole.column("lang").to_pylist()
@@ -98,8 +101,11 @@ class Model:
                     yield pa.RecordBatch.from_pandas(pd.concat(parts), preserve_index=False)
 
         counts = rows.mapInArrow(count, "lang string, size long, key long, n long")
-        counts = counts.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")).toPandas()
-        return cls.build(counts, min_count, max_contexts)
+        counts = stored(counts.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")).withColumn("context", F.shiftright("key", 8)), "language-counts")
+        total = counts.groupBy("size", "context").agg(F.sum("n").alias("total")).filter((F.col("total") >= min_count) | (F.col("size") == 0))
+        chosen = total.orderBy(F.desc("total"), "size", "context").limit(max_contexts).select("size", "context")
+        kept = counts.join(F.broadcast(chosen), ["size", "context"]).select("lang", "size", "key", "n")
+        return cls.build(kept.toPandas(), min_count, max_contexts)
 
     @classmethod
     def build(cls, counts: pd.DataFrame, min_count: int, max_contexts: int) -> Model:
