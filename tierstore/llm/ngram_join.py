@@ -44,7 +44,7 @@ from .components import components
 
 SHINGLE = 3
 NUMERATOR, DENOMINATOR = 90, 100         # the Jaccard threshold as a fraction
-GROUPS = 256
+GROUPS = 512
 FULL = 255                               # largest count a coordinate holds
 PART = 4096
 LEAF = 16
@@ -149,10 +149,11 @@ def _point(s: np.ndarray) -> bytes:
 
 
 def common_ngrams(docs: DataFrame, rule: Rule = RULE) -> np.ndarray:
-    """N-grams in several of about SAMPLE_DOCS texts chosen by a hash of doc_id (at most
-    MOST_COMMON)."""
+    """N-grams in several of about SAMPLE_DOCS texts chosen by a hash of doc_id, or of the text where
+    it is null (at most MOST_COMMON)."""
     total = docs.count()
-    rows = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_DOCS / max(1, total)))).select("text")
+    chance = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    rows = docs.filter(F.pmod(chance, F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_DOCS / max(1, total)))).select("text")
 
     def run(batches):
         for batch in batches:
