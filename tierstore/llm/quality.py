@@ -150,7 +150,8 @@ def train(docs: DataFrame, ratings: DataFrame, most: int = TRAINING_DOCS) -> Mod
     """Fit on about ``most`` rated documents; ``ratings``: (doc_id, grade)."""
     share = min(1.0, most / max(1, ratings.count()))
     chosen = ratings.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))          # a doc_id that repeats counts once
 
     def run(batches):
         for whole in batches:
