@@ -32,6 +32,28 @@ def test_pieces_equal_the_library_and_decode_back():
         assert [matcher.decode(g) for g in got] == part
 
 
+def test_long_segments_equal_the_library():
+    """Segments on both sides of the length from which a heap is used; repeated, mixed and unknown characters."""
+    library = sentencepiece.SentencePieceProcessor(model_file=sp.default_model())
+    rnd = random.Random(7)
+    some = ["".join(rnd.choice(alphabet) for _ in range(n)) for alphabet in ("ab", "etaoinshr", "日本語のテスト", "é日x🙂0")
+            for n in (sp.LONG_SEGMENT - 2, sp.LONG_SEGMENT - 1, sp.LONG_SEGMENT, 700)]
+    some += ["a" * 5000, " " * 1000, "international" * 200 + " and " + "nationality" * 90, "x y " * 40 + "thethe" * 100]
+    matcher = sp.PieceMatcher(sp.default_model())
+    ids, at = matcher.encode(some)
+    assert [ids[at[i]:at[i + 1]].tolist() for i in range(len(some))] == library.encode(some)
+
+
+def test_a_word_of_a_million_characters():
+    library = sentencepiece.SentencePieceProcessor(model_file=sp.default_model())
+    rnd = random.Random(8)
+    word = "".join(rnd.choice(["the", "ing", "zq", "é", "a", "tion"]) for _ in range(500_000))[:1_000_000]
+    assert len(word) == 1_000_000
+    matcher = sp.PieceMatcher(sp.default_model())
+    ids, at = matcher.encode([word])
+    assert at.tolist() == [0, len(ids)] and ids.tolist() == library.encode(word)
+
+
 def test_pieces_of_null_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "a b", "z"), (3, "a b", "z")], "doc_id long, text string, ids string")
     out = {tuple(r) for r in sp.encode(df).select("doc_id", "text", "ids").rdd.map(lambda r: (r[0], r[1], None if r[2] is None else tuple(r[2]))).collect()}

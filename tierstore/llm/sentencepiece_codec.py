@@ -4,7 +4,8 @@ The distinct segments of a batch are concatenated and indexed by a suffix array.
 the vocabulary finds its occurrences as one range of that array by binary search. The resulting
 edges (start, length, priority) are laid out by position and relaxed: in each round every segment
 merges the adjacent pair of symbols whose edge has the best score, the leftmost on a tie, until no
-edge joins two symbols. Characters that no piece covers become byte pieces. The ids equal those
+edge joins two symbols; a long segment (text without spaces) keeps its edges in a heap instead, so its
+time grows like n log n. Characters that no piece covers become byte pieces. The ids equal those
 of the sentencepiece library; only the vocabulary and its scores are read from the model file.
 
 A segment is a run of spaces with the characters up to the next space (no piece reaches from a
@@ -20,6 +21,7 @@ other text comes back as it was.
 from __future__ import annotations
 
 import re
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -35,6 +37,7 @@ LONGEST = 16          # characters of a piece that the packed suffix keys can ho
 NONE = np.int32(2**31 - 1)
 KNOWN_SEGMENTS = 200_000   # solved segments that a task remembers
 SOLVE_CHARS = 250_000      # characters of new segments that are indexed at once
+LONG_SEGMENT = 128         # characters from which a segment's edges are relaxed through a heap
 
 
 def default_model() -> str:
@@ -141,12 +144,47 @@ class PieceMatcher:
         self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.bincount(owner, minlength=len(segments)))])
 
+    def _relax_long(self, edge, begin: int, n: int):
+        """(starts, ends) of one segment's symbols after all merges: edges leave a heap by priority
+        and place; an edge whose symbols have changed since is passed over."""
+        order, nothing = self.order, int(NONE)
+        size, after, before = [1] * n, list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = edge[begin:begin + n - 1, 2]
+        at = np.flatnonzero(pair != NONE)
+        heap = (order[pair[at]].astype(np.int64) << 40 | at << 5 | 2).tolist()     # priority, place, length
+        heapify(heap)
+
+        def push(a, b):
+            length = size[a] + size[b]
+            if length <= LONGEST and (row := int(edge[begin + a, length])) != nothing:
+                heappush(heap, int(order[row]) << 40 | a << 5 | length)
+
+        while heap:
+            top = heappop(heap)
+            length, a = top & 31, top >> 5 & 0x7FFFFFFFF
+            b = after[a]
+            if not size[a] or b >= n or size[a] + size[b] != length:
+                continue
+            size[a], size[b], after[a] = length, 0, after[b]
+            if after[a] < n:
+                before[after[a]] = a
+                push(a, after[a])
+            if before[a] >= 0:
+                push(before[a], a)
+        sizes = np.array(size, np.int64)
+        starts = np.flatnonzero(sizes)
+        return begin + starts, begin + starts + sizes[starts]
+
     def _relax(self, edge, first, lengths):
         """Merge the best edge of every segment, again and again."""
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        starts = spread(first, lengths)
-        limit = first + lengths
         done = []
+        for k in np.flatnonzero(lengths >= LONG_SEGMENT).tolist():
+            starts, ends = self._relax_long(edge, int(first[k]), int(lengths[k]))
+            done.append((starts, ends, np.full(len(starts), k)))
+        short = np.flatnonzero(lengths < LONG_SEGMENT)
+        owner = np.repeat(short, lengths[short])
+        starts = spread(first[short], lengths[short])
+        limit = first + lengths
         order = np.append(self.order, NONE)
         while len(starts):
             ends = np.append(starts[1:], 0)
