@@ -52,7 +52,7 @@ def test_tables_match_sql(spark, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["op1_license_scan", "op4_decontaminate"])
+@pytest.mark.parametrize("name", ["op1_license_scan", "op2_line_dedup", "op4_decontaminate"])
 def test_odd_rows_match_sql(spark, odd, name):
     got, want, _ = both(spark, odd, name)
     assert got == want
@@ -74,6 +74,16 @@ def test_line_dedup_of_odd_rows(spark, odd):
     assert line_dedup.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_repeated_rows_matches_sql(spark, tmp_path):
+    """Of rows alike in doc_id and text the first counts as any document, the others are later copies."""
+    rows = [(1, "a\nb\nc\nd")] * 2 + [(None, "p\nq\nr\n\n\n\n")] * 3 + [(2, "a\nb\nc\nx")] * 3 + [(3, "s\nt")] * 2 + [(4, None)] * 2 + [(5, "\n\n\n")] * 2 + [(6, "one\ntwo\n three")]
+    pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}).to_parquet(f"{tmp_path}/documents.parquet")
+    got, want, columns = both(spark, str(tmp_path), "op2_line_dedup")
+    assert got == want
+    removed = sorted((r[columns.index("doc_id")] or 0, r[columns.index("n_removed")]) for r in got)
+    assert removed == [(0, 0), (0, 5), (0, 5), (1, 0), (1, 4), (2, 3), (2, 4), (2, 4), (3, 0), (3, 0), (4, 0), (4, 0), (5, 0), (5, 0), (6, 0)]
+
+
 def test_line_dedup_with_a_hot_window(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_SHARE", 4)           # windows of a quarter of all count as hot
     docs = spark.createDataFrame([(i, "h1\nh2\nh3\n" + "\n".join(f"{i // 2} {j}" for j in range(2 + i % 3))) for i in range(40)], "doc_id long, text string")

@@ -10,8 +10,8 @@ windows that make up more than a thousandth of all occurrences (so fewer than a
 broadcast and answered where they stand; only the others are shuffled.
 
 Defined cases: null text stays null with no lines; texts of one or two lines have no window and
-stay; rows alike in doc_id and text are one document and all come back with the same lines
-removed; equal doc_ids with different texts are ordered by the hash of the text; a null doc_id comes
+stay; of rows alike in doc_id and text one is the first occurrence, the others are later copies
+throughout; equal doc_ids with different texts are ordered by the hash of the text; a null doc_id comes
 first; other columns are kept by ``deduplicate`` unless they have the name of an output.
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, stored, text_key
@@ -29,11 +29,16 @@ LINES = 3
 HOT_SHARE = 1000
 
 
+def _hashed(text: Column) -> Column:
+    """Array of (hash, check, blank) of the lines of a text."""
+    line = lambda x: F.struct(F.xxhash64(x).alias("hash"), F.xxhash64(F.lit("check"), x).alias("check"), (F.trim(F.translate(x, "\t\r", "  ")) == "").alias("blank"))
+    return F.transform(F.split(text, "\n"), line)
+
+
 def windows(docs: DataFrame) -> DataFrame:
     """(doc_id, key, line, hash, check) of every window: two 64-bit hashes with different seeds, each of
     the hashes of the three lines."""
-    line = lambda x: F.struct(F.xxhash64(x).alias("hash"), F.xxhash64(F.lit("check"), x).alias("check"), (F.trim(F.translate(x, "\t\r", "  ")) == "").alias("blank"))
-    doc = docs.filter(F.col("text").contains("\n")).select("doc_id", text_key(F.col("text")).alias("key"), F.transform(F.split("text", "\n"), line).alias("lines")).filter(F.size("lines") >= LINES)
+    doc = docs.filter(F.col("text").contains("\n")).select("doc_id", text_key(F.col("text")).alias("key"), _hashed(F.col("text")).alias("lines")).filter(F.size("lines") >= LINES)
     three = lambda i, name: [F.get("lines", i + k)[name] for k in range(LINES)]
     runs = F.transform(F.sequence(F.lit(0), F.size("lines") - LINES), lambda i: F.struct(
         F.xxhash64(*three(i, "hash")).alias("hash"), F.xxhash64(*three(i, "check")).alias("check"), reduce(and_, three(i, "blank")).alias("blank")))
@@ -41,6 +46,29 @@ def windows(docs: DataFrame) -> DataFrame:
     return run.filter("NOT run.blank").select("doc_id", "key", "line", "run.hash", "run.check")
 
 
+def _all_covered(text: Column) -> Column:
+    """The lines that the windows of a text cover, blank windows aside."""
+    lines = _hashed(text)
+    starts = F.filter(F.sequence(F.lit(0), F.size(lines) - LINES), lambda s: ~F.forall(F.slice(lines, s + 1, LINES), lambda x: x["blank"]))
+    return F.when(F.size(lines) >= LINES, F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + LINES - 1)))))
+
+
+def _first_and_again(doc: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``doc`` with one row of each (doc_id, text), and the other rows (None without any). Rows that
+    occur once stay where they are; the others are written with a number, so that a task that runs
+    again sees the same row first."""
+    many = doc.filter(F.col("text").contains("\n")).groupBy(F.col("doc_id").alias("_many_id"), F.col("_row_key").alias("_many_key")).agg(
+        F.count("*").alias("n")).filter("n > 1").drop("n")
+    many = stored(many, "line-repeated")
+    if many.isEmpty():
+        return doc, None
+    alike = doc["doc_id"].eqNullSafe(many["_many_id"]) & (doc["_row_key"] == many["_many_key"])
+    rows = stored(doc.join(many, alike, "left_semi").withColumn("_row_nr", F.monotonically_increasing_id()), "line-repeats")
+    first = rows.groupBy("doc_id", "_row_key").agg(F.min("_row_nr").alias("_row_nr")).select("_row_nr")
+    once = doc.join(many, alike, "left_anti")
+    return once.unionByName(rows.join(first, "_row_nr", "left_semi").drop("_row_nr")), rows.join(first, "_row_nr", "left_anti").drop("_row_nr")
+
+
 def later_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, key, lines): the lines that later copies of a window cover."""
     found, by = windows(docs), ["hash", "check"]
@@ -62,8 +90,10 @@ def later_copies(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with the later copies removed from ``text``, and the columns n_lines, n_removed."""
     gone = later_copies(docs).withColumnsRenamed({"doc_id": "_gone_id", "key": "_gone_key", "lines": "_gone"})
-    doc = docs.drop("n_lines", "n_removed").withColumn("_row_key", text_key(F.col("text")))
-    out = doc.join(gone, doc["doc_id"].eqNullSafe(gone["_gone_id"]) & (doc["_row_key"] == gone["_gone_key"]), "left")
+    doc, again = _first_and_again(docs.drop("n_lines", "n_removed").withColumn("_row_key", text_key(F.col("text"))))
+    out = doc.join(gone, doc["doc_id"].eqNullSafe(gone["_gone_id"]) & (doc["_row_key"] == gone["_gone_key"]), "left").drop("_gone_id", "_gone_key")
+    if again is not None:
+        out = out.unionByName(again.withColumn("_gone", _all_covered(F.col("text"))))
     lines = F.split(F.col("text"), "\n")
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return out.withColumns({
@@ -71,7 +101,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
         "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left),
     }).withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(F.col("n_lines"))).withColumn(
-        "n_removed", F.greatest("n_removed", F.lit(0).cast("long"))).drop("_gone", "_gone_id", "_gone_key", "_row_key")
+        "n_removed", F.greatest("n_removed", F.lit(0).cast("long"))).drop("_gone", "_row_key")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
