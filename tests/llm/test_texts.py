@@ -156,6 +156,50 @@ def test_quality_held_out(spark):
     assert model.thresholds[0] < model.thresholds[1]
 
 
+def _plain_objective(x, rows, grades, ridge):
+    """Penalised mean log likelihood of the cumulative-link model, row after row."""
+    n = len(x) - quality.GRADES + 1
+    theta = [x[n]]
+    for gap in x[n + 1:]:
+        theta.append(theta[-1] + math.exp(gap))
+    total = 0.0
+    for row, grade in zip(rows, grades):
+        score = sum(x[k] for k in row)
+        above = lambda k: 1.0 if k < 0 else 0.0 if k >= len(theta) else 1 / (1 + math.exp(theta[k] - score))
+        total += math.log(above(grade - 1) - above(grade))
+    return total / len(rows) - ridge / 200 * sum(w * w for w in x[:n])
+
+
+def test_quality_likelihood_and_gradient_equal_brute_force():
+    rnd = np.random.default_rng(5)
+    n, rows = 7, [sorted(rnd.choice(7, rnd.integers(0, 6), replace=False).tolist()) for _ in range(40)]
+    grades = rnd.integers(0, quality.GRADES, 40)
+    flat, at = np.array([k for r in rows for k in r]), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    for x in (np.zeros(n + quality.GRADES - 1), rnd.normal(size=n + quality.GRADES - 1)):
+        value, grad = quality.Model.objective(x, n, flat, at, grades, 0.5)
+        assert value == pytest.approx(_plain_objective(x, rows, grades, 0.5))
+        for k in range(len(x)):
+            step = np.eye(len(x))[k] * 1e-5
+            slope = (_plain_objective(x + step, rows, grades, 0.5) - _plain_objective(x - step, rows, grades, 0.5)) / 2e-5
+            assert grad[k] == pytest.approx(slope, rel=1e-4, abs=1e-7)
+
+
+def test_quality_scores_equal_brute_force():
+    """Expected grade, tails and the fitted optimum by a plain loop over each text's slots."""
+    texts = ["good fine text", "bad spam", "spam spam", "fine words", "", None, "toxic bad", "plain fine good"] * 6
+    slots, at = quality.features(texts)
+    rows = [np.sort(slots[at[i]:at[i + 1]]).astype(np.int64) for i in range(len(texts))]
+    grades = np.array([2, 1, 1, 2, 1, 1, 0, 2] * 6)
+    model = quality.Model.fit(rows, grades)
+    assert all(np.diff(model.thresholds) > 0)
+    tails = model.tails(texts)
+    for row, text, tail in zip(rows, texts, tails):
+        score = sum(float(model.weights[k]) for k in row)
+        want = [1 / (1 + math.exp(t - score)) if text else 0.0 for t in model.thresholds]
+        assert tail.tolist() == pytest.approx(want, rel=1e-5, abs=1e-9)
+    assert tails[0, 1] > 0.5 > tails[1, 1] and tails[6, 0] < 0.5
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, "fine words", 5), (2, None, 6), (3, "", 7), (4, "fine words", 8)], "doc_id long, text string, keep int")
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, None, 0), (None, 1, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")

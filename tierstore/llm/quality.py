@@ -79,6 +79,11 @@ def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])[at])
 
 
+def _thresholds(x: np.ndarray) -> np.ndarray:
+    """Ordered thresholds from the first one and the logs of the gaps."""
+    return x[0] + np.concatenate([[0.0], np.cumsum(np.exp(x[1:]))])
+
+
 class Model:
     """Weights by slot and ordered thresholds."""
 
@@ -101,7 +106,6 @@ class Model:
         slots = [number[s] for s in slots]
         slots = [s[s >= 0] for s in slots]
         flat, at = np.concatenate(slots), np.concatenate([[0], np.cumsum([len(s) for s in slots])])
-        row = np.repeat(np.arange(len(grades)), np.diff(at))
         # parameters: weights, first threshold, logs of the gaps between thresholds
         share = np.clip([(grades > k).mean() for k in range(GRADES - 1)], 1e-3, 1 - 1e-3)
         start = -np.log(share / (1 - share))
@@ -109,28 +113,35 @@ class Model:
         x = np.concatenate([np.zeros(len(used)), start[:1], gaps])
         m, v = np.zeros_like(x), np.zeros_like(x)
         for step in range(1, steps + 1):
-            theta = np.concatenate([x[len(used):len(used) + 1], x[len(used)] + np.cumsum(np.exp(x[len(used) + 1:]))])
-            score = _sums(x[:len(used)][flat], at)
-            # tail[:, k] = P(grade > k - 1), from 1 to 0
-            inner = 1 / (1 + np.exp(-np.clip(score[:, None] - theta, -30, 30)))
-            tail = np.concatenate([np.ones((len(grades), 1)), inner, np.zeros((len(grades), 1))], 1)
-            slope = tail * (1 - tail)
-            take = np.arange(len(grades))
-            p = np.maximum(tail[take, grades] - tail[take, grades + 1], 1e-9)
-            upper, lower = slope[take, grades] / p, slope[take, grades + 1] / p
-            by_score = upper - lower                                  # of the log likelihood
-            by_theta = np.zeros((len(grades), GRADES + 1))
-            by_theta[take, grades] -= upper
-            by_theta[take, grades + 1] += lower
-            by_theta = by_theta[:, 1:-1].sum(0)
-            grad = np.concatenate([
-                np.bincount(flat, by_score[row], len(used)) - ridge * len(grades) / 100 * x[:len(used)],
-                [by_theta.sum()], [by_theta[k + 1:].sum() * np.exp(x[len(used) + 1 + k]) for k in range(GRADES - 2)]]) / len(grades)
+            grad = cls.objective(x, len(used), flat, at, grades, ridge)[1]
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             x = x + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         weights[used] = x[:len(used)]
-        theta = np.concatenate([x[len(used):len(used) + 1], x[len(used)] + np.cumsum(np.exp(x[len(used) + 1:]))])
-        return cls(weights.astype(np.float32), theta)
+        return cls(weights.astype(np.float32), _thresholds(x[len(used):]))
+
+    @staticmethod
+    def objective(x: np.ndarray, n: int, flat: np.ndarray, at: np.ndarray, grades: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
+        """Mean log likelihood less the ridge, and its gradient, at x: n weights, the first threshold,
+        logs of the gaps between thresholds. ``flat`` holds the weights' numbers of row after row."""
+        score = _sums(x[:n][flat], at)
+        row, take = np.repeat(np.arange(len(grades)), np.diff(at)), np.arange(len(grades))
+        # tail[:, k] = P(grade > k - 1), from 1 to 0
+        inner = 1 / (1 + np.exp(-np.clip(score[:, None] - _thresholds(x[n:]), -30, 30)))
+        tail = np.concatenate([np.ones((len(grades), 1)), inner, np.zeros((len(grades), 1))], 1)
+        slope = tail * (1 - tail)
+        p = np.maximum(tail[take, grades] - tail[take, grades + 1], 1e-9)
+        upper, lower = slope[take, grades] / p, slope[take, grades + 1] / p
+        by_score = upper - lower
+        by_theta = np.zeros((len(grades), GRADES + 1))
+        by_theta[take, grades] -= upper
+        by_theta[take, grades + 1] += lower
+        by_theta = by_theta[:, 1:-1].sum(0)
+        shrink = ridge * len(grades) / 100
+        value = np.log(p).sum() - shrink / 2 * (x[:n] ** 2).sum()
+        grad = np.concatenate([
+            np.bincount(flat, by_score[row], n) - shrink * x[:n],
+            [by_theta.sum()], [by_theta[k + 1:].sum() * np.exp(x[n + 1 + k]) for k in range(GRADES - 2)]])
+        return value / len(grades), grad / len(grades)
 
     def tails(self, texts: list[str | None]) -> np.ndarray:
         """P(grade > k) of every text; 0 without tokens."""
