@@ -250,7 +250,8 @@ def test_vacuum_removes_orphans_and_retired_folders_only(spark, root):
     before = store.facts().count()
     rows = [(t, m, o, c, i) for (_, t, m, o, c, i) in default_rule_rows()] + [(1, "%", "Process", "%", None)]
     M.rebalance(store, rules_from_rows(spark, rows), dry_run=False)
-    assert store.vacuum(older_than_hours=1, dry_run=True) == [store.path("facts", f"batch={orphan}")]
+    # an orphan's samples and their file index
+    assert store.vacuum(older_than_hours=1, dry_run=True) == [store.path(t, f"batch={orphan}") for t in ("facts", "files")]
     gone = store.vacuum(older_than_hours=0, dry_run=False)      # retired folders too, now
     assert store.path("facts", f"batch={orphan}") in gone and len(gone) > 1
     assert not any(os.path.exists(g) for g in gone)
@@ -359,3 +360,92 @@ def test_commit_log_epochs_and_missing_folders(spark, root, monkeypatch):
     shutil.move(f"{root}/store/ledger/batch={b}", f"{root}/elsewhere")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         store.ledger().count()
+
+
+def _opened(df):
+    return {"/".join(f.split("/")[-3:]) for f in df.inputFiles()}
+
+
+def _by_file(store):
+    """tier / year / name -> (runs, counters, times) of every visible sample file, by a scan of the samples."""
+    rows = (store.facts().groupBy(F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -3, 3), "/").alias("file"))
+            .agg(F.collect_set("GUID").alias("runs"), F.collect_set("CounterID").alias("counters"),
+                 F.min("CounterDateTime").alias("lo"), F.max("CounterDateTime").alias("hi"), F.first("tier").alias("tier")))
+    return {r["file"]: r for r in rows.collect()}
+
+
+def _same_rows(a, b):
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_reads_open_only_files_in_range(spark, root):
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    assert load_from_staging(store, st, rows_per_file=150).status == 0
+
+    def check():
+        held = _by_file(store)
+        start, end = dt.datetime(1998, 3, 1), dt.datetime(1998, 3, 31)
+        got = store.read(tier=2, start=start, end=end)
+        assert _opened(got) <= {f for f, r in held.items() if r["tier"] == 2 and r["lo"] <= end and r["hi"] >= start}
+        assert 0 < len(_opened(got)) < sum(r["tier"] == 2 for r in held.values())
+        time = F.col("CounterDateTime")
+        _same_rows(got, store.facts().filter((F.col("tier") == 2) & (time >= F.lit(start).cast("timestamp_ntz")) & (time <= F.lit(end).cast("timestamp_ntz"))))
+        run = next(iter(held.values()))["runs"][0]
+        got = store.read(run=run)
+        assert _opened(got) == {f for f, r in held.items() if run in r["runs"]} and len(_opened(got)) < len(held)
+        _same_rows(got, store.facts().filter(F.col("GUID") == run))
+        counter = next(r for r in held.values() if r["tier"] == 3)["counters"][0]
+        got = store.read(tier=3, counter=counter)
+        assert {f for f, r in held.items() if r["tier"] == 3 and counter in r["counters"]} <= _opened(got)
+        assert len(_opened(got)) < sum(r["tier"] == 3 for r in held.values())
+        _same_rows(got, store.facts().filter((F.col("tier") == 3) & (F.col("CounterID") == counter)))
+        assert store.read(run="no such run").count() == 0
+        index = store.files().groupBy("batch", "tier", "year", "file").agg(F.sum("num_rows").alias("n"))
+        assert index.agg(F.sum("n")).first()[0] == store.facts().count() and index.count() == len(held)
+
+    check()
+    M.compact_year(store, 2, 1998, rows_per_file=60)
+    check()
+
+
+def test_reads_of_many_files_or_without_an_index_take_folders(spark, root, monkeypatch):
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    early, late = st.runs.filter(F.col("GUID") < "run-1998"), st.runs.filter(F.col("GUID") >= "run-1998")
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_index_files", lambda self, batch: None)       # as written before there was an index
+        assert load_from_staging(store, Staging(st.data, st.details, early)).status == 0
+    assert load_from_staging(store, Staging(st.data, st.details, late)).status == 0
+    assert len(store.unindexed(store.state())) == 1
+    start, end = dt.datetime(1997, 6, 1), dt.datetime(1998, 6, 30)
+    time = F.col("CounterDateTime")
+    want = store.facts().filter((time >= F.lit(start).cast("timestamp_ntz")) & (time <= F.lit(end).cast("timestamp_ntz")))
+    _same_rows(store.read(start=start, end=end), want)
+    with monkeypatch.context() as m:
+        m.setattr("tierstore.plans.store.MAX_PICKED", 1)
+        _same_rows(store.read(start=start, end=end), want)
+    some = store.ledger().filter(F.col("GUID").between("run-199711", "run-199803"))      # runs of both batches
+    guids = [r["GUID"] for r in some.collect()]
+    left = store.facts().filter(~F.col("GUID").isin(guids)).count()
+    M.unload_runs(store, some)
+    assert guids and store.facts().count() == left and store.facts().filter(F.col("GUID").isin(guids)).isEmpty()
+
+
+def test_unload_finds_runs_by_the_file_index_after_a_rebalance(spark, root, monkeypatch):
+    st = staging(spark, root)
+    store = Store(spark, root + "/store")
+    assert load_from_staging(store, st).status == 0
+    rules = rules_from_rows(spark, [(1, "%", "%", "%", None)])
+    assert M.rebalance(store, rules, dry_run=False).batch
+    some = store.ledger().filter(F.col("GUID") < "run-199801")
+    guids = [r["GUID"] for r in some.collect()]
+    held = {(r["batch"], r["tier"], r["year"]) for r in store.facts(with_batch=True).filter(F.col("GUID").isin(guids)).select("batch", "tier", "year").distinct().collect()}
+    asked, folders = [], Store.folders
+    monkeypatch.setattr(Store, "folders", lambda self, df: asked.append(df) or folders(self, df))
+    before = store.state()
+    M.unload_runs(store, some)
+    assert len(asked) == 1 and not any("/facts/" in f for f in asked[0].inputFiles())       # no sample file is opened
+    after = store.state()
+    gone = {(b, t, y) for b, f in before.folders.items() for t, y in f} - {(b, t, y) for b, f in after.folders.items() for t, y in f}
+    assert guids and gone == held and store.facts().filter(F.col("GUID").isin(guids)).isEmpty()

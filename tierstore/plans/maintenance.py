@@ -83,27 +83,32 @@ def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = False)
     """Remove the samples and ledger rows of the given runs (repair of a bad load); the runs can be
     loaded again afterwards.
 
-    Folders are found by the samples' GUID. ``prune_by_log_range=True`` searches only the years and
-    the time window between the runs' logged start and stop: only for logs whose headers are known
-    to be right, since samples outside it stay."""
+    The file index tells the folders that hold samples of the runs, and how many rows will stay; no
+    sample is read to find them (but those of batches without an index). ``prune_by_log_range=True``
+    takes only files that reach into the time window between the runs' logged start and stop: only
+    for logs whose headers are known to be right, since samples outside it stay."""
     st = store.state()
     guids = bounded_broadcast(runs.select(F.lower("GUID").alias("GUID")).distinct())
     gone = store.ledger(st).join(guids, "GUID", "left_semi")
-    facts = store.facts(st, with_batch=True)
+    files, bare = store.files(st), store.facts(st, with_batch=True, batches=store.unindexed(st))
+    held = files.join(guids, "GUID", "left_semi")
     if prune_by_log_range:
         span = gone.agg(F.min("LogStartTime").alias("lo"), F.max("LogStopTime").alias("hi")).first()
         if span["lo"] is not None:
-            facts = facts.filter(F.col("year").between(span["lo"].year, span["hi"].year)
-                                 & F.col("CounterDateTime").between(F.lit(span["lo"]).cast("timestamp_ntz"),
-                                                                    F.lit(span["hi"]).cast("timestamp_ntz")))
-    affected = store.folders(facts.join(guids, "GUID", "left_semi"))
+            lo, hi = (F.lit(span[k]).cast("timestamp_ntz") for k in ("lo", "hi"))
+            held = held.filter((F.col("max_time") >= lo) & (F.col("min_time") <= hi))
+            bare = bare.filter(F.col("year").between(span["lo"].year, span["hi"].year) & F.col("CounterDateTime").between(lo, hi))
+    affected = store.folders(held)
+    if store.unindexed(st):
+        affected += store.folders(bare.join(guids, "GUID", "left_semi"))
     if not affected and gone.isEmpty():
         return None
     batch = store.new_batch()
     if affected:
         whole = store.facts(st, with_batch=True)
         keep = whole.filter(_folder_filter(affected)).join(guids, "GUID", "left_anti").drop("batch")
-        store.write_facts(keep, batch)
+        rows = files.filter(_folder_filter(affected)).join(guids, "GUID", "left_anti").agg(F.sum("num_rows")).first()[0]
+        store.write_facts(keep, batch, num_partitions=None if store.unindexed(st) else partitions_for(rows))
     store.write_table("unloaded", gone.select(F.col("batch").alias("ledger_batch"), "GUID"), batch)
     store.commit("unload", batch, retired=affected, state=st)
     return batch
@@ -119,7 +124,7 @@ def replace_year(store: Store, df: DataFrame, tier: int, year: int) -> str:
     facts = store.facts(st, with_batch=True).filter((F.col("tier") == tier) & (F.col("year") == year))
     affected = store.folders(facts)
     batch = store.new_batch()
-    store.write_facts(part, batch)
+    store.write_facts(part, batch, num_partitions=partitions_for(part.count()))
     store.commit("replace", batch, retired=affected, state=st)
     return batch
 

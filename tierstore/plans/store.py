@@ -6,6 +6,7 @@ Layout under ``root`` (any Hadoop file system shared by the cluster)::
     counters/batch=<b>/*.parquet                  counter definitions added by batch b
     ledger/batch=<b>/*.parquet                    log runs loaded by batch b
     unloaded/batch=<b>/*.parquet                  ledger rows (batch, GUID) that batch b took back
+    files/batch=<b>/*.parquet                     file index: a row per sample file and run of batch b
     _commits/epoch=<n>/*.parquet                  one row per commit
 
 A batch becomes visible only when its commit row is appended, and that append is the last
@@ -19,6 +20,12 @@ A commit row names the tables and sample folders that its batch holds, so a read
 to find out what exists, and a committed folder that is missing is an error. After
 ``COMMITS_PER_EPOCH`` commits a new epoch begins with a row that carries the whole live state;
 readers look at the newest epoch only, so the log they read stays short.
+
+The file index names the runs in every sample file, with their rows and the smallest and largest
+time and counter. Reads of a time window, a counter or a run open only the files that can hold such
+samples; an unload finds its folders without a scan of samples. Every job that writes samples writes
+the index of what it wrote, so it holds after a rebalance or compaction too. Batches written
+without an index are read by folder.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, DataType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
+from tierstore.functions.broadcast import bounded_broadcast
 from tierstore.operators.routing import clustered
 from tierstore.schemas import COUNTER_DETAILS, FACTS, LEDGER, VALUE_TYPE
 
@@ -49,6 +57,15 @@ COMMITS = StructType([
 ])
 UNLOADED = StructType([StructField("ledger_batch", StringType(), False), StructField("GUID", StringType(), False)])
 COMMITS_PER_EPOCH = 100
+FILES = StructType([
+    StructField("tier", IntegerType()), StructField("year", IntegerType()),
+    StructField("file", StringType()), StructField("GUID", StringType()), StructField("num_rows", LongType()),
+    StructField("min_time", TimestampNTZType()), StructField("max_time", TimestampNTZType()),
+    StructField("min_counter", FACTS["CounterID"].dataType), StructField("max_counter", FACTS["CounterID"].dataType),
+])
+# files that a read names one by one; a read that needs more takes whole folders, where the
+# statistics of each file do the skipping
+MAX_PICKED = 10_000
 BATCH = StructField("batch", StringType(), False)
 
 # rows per file: the 1,048,576-row rowgroup of the original layout
@@ -155,18 +172,49 @@ class Store:
         return [self.path(table, f"batch={b}") for b in st.having(table)]
 
     # ------------------------------------------------------------ visible tables
-    def facts(self, state: StoreState | None = None, with_batch: bool = False) -> DataFrame:
-        """The unified view of all tiers: committed, not retired samples."""
+    def facts(self, state: StoreState | None = None, with_batch: bool = False, batches: list[str] | None = None) -> DataFrame:
+        """The unified view of all tiers: committed, not retired samples (of some batches)."""
         st = state or self.state()
+        df = self._read("facts", self.facts_schema, self._fact_paths(st, st.having("facts") if batches is None else batches))
+        return df if with_batch else df.drop("batch")
+
+    def _fact_paths(self, st: StoreState, batches: list[str]) -> list[str]:
+        """Live sample folders of some batches."""
         paths = []
-        for b in st.having("facts"):
+        for b in batches:
             if b not in st.touched:
                 paths.append(self.path("facts", f"batch={b}"))
             else:
                 paths += [self.path("facts", f"batch={b}", f"tier={t}", f"year={y}")
                           for t, y in sorted(st.folders.get(b, ()))]
-        df = self._read("facts", self.facts_schema, paths)
-        return df if with_batch else df.drop("batch")
+        return paths
+
+    def files(self, state: StoreState | None = None) -> DataFrame:
+        """The index of the visible sample files: a row per file and run."""
+        st = state or self.state()
+        live = [(b, t, y) for b, found in st.folders.items() for t, y in found if t >= 0]
+        here = self.spark.createDataFrame(live, FOLDER)
+        return self._read("files", FILES, self._batches("files", st)).join(bounded_broadcast(here), ["batch", "tier", "year"], "left_semi")
+
+    def unindexed(self, state: StoreState) -> list[str]:
+        """Batches with samples but no file index (written by an earlier version)."""
+        return sorted(set(state.having("facts")) - set(state.having("files")))
+
+    def _picked(self, st: StoreState, tier, start, end, counter, run) -> DataFrame:
+        """Samples of the files that can hold what is asked for."""
+        asked = [F.col("tier") == tier] if tier is not None else []
+        asked += [F.col("max_time") >= F.lit(start).cast("timestamp_ntz")] if start is not None else []
+        asked += [F.col("min_time") <= F.lit(end).cast("timestamp_ntz")] if end is not None else []
+        asked += [F.lit(counter).between(F.col("min_counter"), F.col("max_counter"))] if counter is not None else []
+        asked += [F.col("GUID") == run] if run is not None else []
+        hits = self.files(st)
+        for condition in asked:
+            hits = hits.filter(condition)
+        hits = hits.select("batch", "tier", "year", "file").distinct().limit(MAX_PICKED + 1).collect()
+        if len(hits) > MAX_PICKED:
+            return self.facts(st)
+        paths = [self.path("facts", f"batch={h['batch']}", f"tier={h['tier']}", f"year={h['year']}", h["file"]) for h in hits]
+        return self._read("facts", self.facts_schema, sorted(paths) + self._fact_paths(st, self.unindexed(st))).drop("batch")
 
     def retired_facts(self) -> DataFrame | None:
         """Samples that a rebalance, unload, replacement or compaction took out and that no vacuum has
@@ -176,11 +224,17 @@ class Store:
         here = [q for q in sorted(paths) if self.exists(q)]
         return self._read("facts", self.facts_schema, here) if here else None
 
-    def read(self, tier: int | None = None, start: dt.datetime | None = None,
-             end: dt.datetime | None = None) -> DataFrame:
-        """Samples of one tier and / or a time window, with the partition filters (tier, year)
-        and the pushed-down time filter that make such reads cheap."""
-        df = self.facts()
+    def read(self, tier: int | None = None, start: dt.datetime | None = None, end: dt.datetime | None = None,
+             counter: int | None = None, run: str | None = None) -> DataFrame:
+        """Samples of one tier, time window, counter and / or run (its GUID). The file index gives the
+        files to open; the partition filters (tier, year) and pushed-down filters do the rest."""
+        st = self.state()
+        some = any(x is not None for x in (start, end, counter, run))
+        df = self._picked(st, tier, start, end, counter, run) if some else self.facts(st)
+        if counter is not None:
+            df = df.filter(F.col("CounterID") == counter)
+        if run is not None:
+            df = df.filter(F.col("GUID") == run)
         if tier is not None:
             df = df.filter(F.col("tier") == tier)
         if start is not None:
@@ -224,6 +278,20 @@ class Store:
             w = w.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(zstd_level))
         w.partitionBy("tier", "year").parquet(self.path("facts", f"batch={batch}"))
         self._written.setdefault(batch, set()).add("facts")
+        self._index_files(batch)
+
+    def _index_files(self, batch: str) -> None:
+        """Write the file index of a batch's samples: one pass over three columns of its files,
+        combined per file and run before the shuffle."""
+        if not self._fact_folders(batch):
+            return
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+        rows = self._read("facts", self.facts_schema, [self.path("facts", f"batch={batch}")])
+        index = rows.groupBy("tier", "year", name.alias("file"), "GUID").agg(
+            F.count(F.lit(1)).alias("num_rows"), F.min("CounterDateTime").alias("min_time"), F.max("CounterDateTime").alias("max_time"),
+            F.min("CounterID").alias("min_counter"), F.max("CounterID").alias("max_counter"))
+        index.write.mode("error").parquet(self.path("files", f"batch={batch}"))
+        self._written[batch].add("files")
 
     def write_table(self, table: str, df: DataFrame, batch: str, rows: int | None = None) -> None:
         """A dimension delta (counters, ledger rows) of a batch, one file per ~1M rows."""
@@ -312,7 +380,7 @@ class Store:
             if r["created"] < limit:
                 doomed += [self.path("facts", f"batch={f['batch']}", f"tier={f['tier']}", f"year={f['year']}")
                            for f in (r["retired"] or []) if f["tier"] >= 0]
-        for table in ("facts", "counters", "ledger", "unloaded"):
+        for table in ("facts", "counters", "ledger", "unloaded", "files"):
             for name in self._children(self.path(table)):
                 if not name.startswith("batch="):
                     continue
