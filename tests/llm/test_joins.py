@@ -178,6 +178,47 @@ def test_near_components_of_families_and_odd_rows(spark, monkeypatch, part):
     assert _near(rows, spark) == _brute(rows)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_large_families_meet_in_blocks(spark, monkeypatch, hot):
+    """Families of many blocks with few pivots, copies of a base that do not link with each other, and
+    sets around the size where coordinates change."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 4)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    if hot:
+        for name, value in (("HOT_SAMPLE", 1), ("HOT_COUNT", 6), ("SALTS", 3)):
+            monkeypatch.setattr(ngram_join, name, value)
+    rows = []
+    for base, size in ((0, 90), (1000, 380), (2000, 900)):
+        words = [f"w{base}x{k}" for k in range(size)]
+        rows.append((base, " ".join(words)))
+        for k in range(30):
+            own = list(words)
+            for c in range(max(1, size // 95)):              # about nine tenths of the base's set are left
+                own[(k * 37 + c * 61) % (size - 6) + 3] = f"e{base}x{k}x{c}"
+            rows.append((base + 1 + k, " ".join(own)))
+        rows += [(base + 100 + k, " ".join(words[:size - k * size // 60])) for k in range(1, 12)]
+    assert _near(rows, spark) == _brute(rows)
+
+
+def test_groups_of_points_equal_plain_comparison():
+    """Points connected by pairs that pass the bound, by comparing all pairs."""
+    import numpy as np
+    rule, draw = ngram_join.RULE, np.random.default_rng(3)
+    for size in (1, 5, 33, 300):
+        n = draw.integers(20, 60, size)
+        points = np.stack([np.bincount(draw.integers(0, 4, k), minlength=8) for k in n]).astype(np.uint8)
+        points[::7] = points[0]
+        part = np.sort(draw.integers(0, 3, size))
+        want = list(range(size))
+        for i, j in itertools.combinations(range(size), 2):
+            fits = min(n[i], n[j]) * 100 >= 90 * max(n[i], n[j]) and np.minimum(points[i], points[j]).sum() >= ngram_join.least_overlap(n[i], n[j], rule)
+            if part[i] == part[j] and fits and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+        got = ngram_join.part_groups(part, n, points, rule)
+        assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
 def test_representatives_keep_one_of_each_group(spark):
     rows = [(3, "a b c d"), (1, "a b c d"), (2, None), (None, "a b c d"), (5, "")]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component_id string")

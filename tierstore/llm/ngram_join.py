@@ -5,12 +5,13 @@ joined through its smallest doc_id. Two different sets link if their Jaccard sim
 the threshold; the join finds all such links, or links that connect the same documents. A ``Rule``
 names n and the threshold; ``RULE`` is the query's, other callers pass their own.
 
-Every set is a point: its n-grams are hashed into ``GROUPS`` groups, and the counts per group are the
+Every set is a point: its n-grams are hashed into groups, and the counts per group are the
 coordinates. The overlap of two sets is at most the sum of the coordinate minima, so a pair whose
 bound stays below the overlap it needs cannot link. Points are packed into leaves by size, then by
 their largest-spread coordinate, and a leaf keeps the largest counts of its points: leaf pairs are
-bounded first, then the points of surviving leaf pairs, then the surviving pairs are verified on
-the sets.
+bounded first, then the points of surviving leaf pairs; what survives is verified on the sets.
+Sets of up to ``FEW`` n-grams have ``FEW_GROUPS`` coordinates, larger ones ``GROUPS``; sets that may link
+with either kind have both.
 
 A single tree over a whole corpus would compare each point with most leaves (unrelated texts of
 one length have nearly the same counts), so the index is split: by the first n-grams of each set in a
@@ -18,10 +19,12 @@ fixed order (common ones last). Two sets over the threshold share one of their f
 |A| - ceil(t |A|) + 1, so each pair meets in one part at least. Which n-grams count as common is
 read off a bounded sample and does not change results.
 
-Large groups of near copies never give all their pairs. First each point is paired only with its
-neighbour by size in every part, and the verified links give preliminary components. Then only
-parts with points of different components are searched, for pairs across components. A part
-with more than ``PART`` points is cut into blocks, and each pair of blocks is a task of its own.
+Groups of near copies never give all their pairs. A part gives one row for each point that survives
+with another, naming its group in the part; a part of more than ``PART`` points is one group as it
+is. Points connected by such groups are a family. The sets of a family meet in one task, where only
+pairs across what is not linked yet are verified. A family of more than a block is dealt into
+blocks, each with the same few pivots: their links connect most of it. Then only the pairs across
+the components that are left are verified, with the largest component never against itself.
 
 Defined cases: null text and texts without words have the empty set and link with nothing; fewer
 words than n make one n-gram; rows that share a doc_id are one node; rows without doc_id link with
@@ -35,6 +38,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,12 +48,18 @@ from .components import components
 
 SHINGLE = 3
 NUMERATOR, DENOMINATOR = 90, 100         # the Jaccard threshold as a fraction
-GROUPS = 512
+GROUPS, FEW_GROUPS = 512, 64             # coordinates of a large and of a small set
+FEW = 384                                # n-grams of a small set
 FULL = 255                               # largest count a coordinate holds
 PART = 4096
 LEAF = 16
-SAMPLE_DOCS, COMMON_DOCS = 4000, 4       # an n-gram in 4 of about 4000 sampled texts is common
+BLOCK_SETS, SET = 4096, 512              # a block of a family: BLOCK_SETS sets of SET n-grams, larger ones in proportion
+PIVOTS = 128                             # sets of a large family that are in all its blocks
+CHUNK = 1 << 20                          # n-grams verified at a time
+SAMPLE_DOCS, COMMON_DOCS = 16_000, 4     # an n-gram in 4 of about 16000 sampled texts is common
 MOST_COMMON = 200_000
+HOT_SAMPLE, HOT_COUNT, MOST_HOT = 64, 128, 100_000      # an n-gram that keys 128 of each 64th class is hot
+SALTS = 64                               # tasks for the points of a hot n-gram
 BROADCAST_IDS = 1_000_000
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -116,7 +126,9 @@ def prefix_length(n: int, rule: Rule = RULE) -> int:
 
 
 def profiles(docs: DataFrame, common: np.ndarray, rule: Rule = RULE) -> DataFrame:
-    """(doc_id, n, signature, counts, keys): set size, set digest, point and index parts."""
+    """(doc_id, n, signature, small, large, keys): set size, set digest, points and index parts."""
+    both = -(-FEW * rule.numerator // rule.denominator)      # smaller sets have no partner above FEW
+
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -135,17 +147,18 @@ def profiles(docs: DataFrame, common: np.ndarray, rule: Rule = RULE) -> DataFram
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([_point(s) for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "signature", "counts", "keys"])
+                    pa.array([_point(s, FEW_GROUPS) if len(s) <= FEW else None for s in sets], pa.binary()),
+                    pa.array([_point(s, GROUPS) if len(s) >= both else None for s in sets], pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "signature", "small", "large", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, signature binary, counts binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, signature binary, small binary, large binary, keys array<long>")
 
 
-def _point(s: np.ndarray) -> bytes:
+def _point(s: np.ndarray, groups: int) -> bytes:
     """Counts per group. A set with a count of FULL or more (tens of thousands of n-grams) has FULL
     everywhere: it bounds nothing but its partner's size."""
-    counts = np.bincount((s >> np.uint64(7)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return (counts if counts.max(initial=0) < FULL else np.full(GROUPS, FULL)).astype(np.uint8).tobytes()
+    counts = np.bincount((s >> np.uint64(7)).astype(np.int64) % groups, minlength=groups)
+    return (counts if counts.max(initial=0) < FULL else np.full(groups, FULL)).astype(np.uint8).tobytes()
 
 
 def common_ngrams(docs: DataFrame, rule: Rule = RULE) -> np.ndarray:
@@ -165,87 +178,108 @@ def common_ngrams(docs: DataFrame, rule: Rule = RULE) -> np.ndarray:
     return np.sort(top.to_numpy(np.int64).view(np.uint64))
 
 
-def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
-
-
-def _fits(na, nb, pa_, pb_, x=None, y=None, rule: Rule = RULE) -> np.ndarray:
-    """Bound of sizes and of summed coordinate minima; x and y pick the points if given."""
+def _fits(n: np.ndarray, points: np.ndarray, x: np.ndarray, y: np.ndarray, rule: Rule = RULE) -> np.ndarray:
+    """Bound of sizes and of summed coordinate minima for the pairs of positions x, y."""
+    na, nb = n[x], n[y]
     ok = np.minimum(na, nb) * rule.denominator >= np.maximum(na, nb) * rule.numerator
     for k in range(0, len(ok), 1 << 14):                     # a few MB at a time
         part = np.flatnonzero(ok[k:k + (1 << 14)]) + k
-        a, b = pa_[part if x is None else x[part]], pb_[part if y is None else y[part]]
+        a, b = points[x[part]], points[y[part]]
         ok[part] = (np.minimum(a, b).sum(1, dtype=np.int64) >= least_overlap(na[part], nb[part], rule)) | ((a[:, 0] == FULL) & (b[:, 0] == FULL))
     return ok
 
 
-def leaf_join(n: np.ndarray, points: np.ndarray, group: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different ``group`` that pass the bound, by leaves with their largest counts."""
+def _connect(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Give the two ends of every pair, and all that has their labels, the smallest label."""
+    while True:
+        a, b = label[x], label[y]
+        apart = a != b
+        if not apart.any():
+            return
+        to = np.arange(len(label))
+        np.minimum.at(to, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (to[to] != to).any():
+            to = to[to]
+        label[:] = to[label]
+
+
+def leaf_groups(n: np.ndarray, points: np.ndarray, rule: Rule = RULE) -> np.ndarray:
+    """A label per point: points connected by pairs that pass the bound have the same one. Pairs that
+    are connected already are passed over."""
     slab = max(LEAF, int(np.ceil(np.sqrt(len(n) / LEAF))) * LEAF)
     by_size = np.argsort(n, kind="stable")
     axis = int(points.max(0).astype(np.int64).argmax())
     rank = np.empty(len(n), np.int64)
     rank[by_size] = np.arange(len(n)) // slab
     order = np.lexsort((points[:, axis], rank))
-    n, points, group = n[order], points[order], group[order]
+    n, points, label = n[order], points[order], np.arange(len(n))
     starts = np.arange(0, len(n), LEAF)
     high, low_n, high_n = np.maximum.reduceat(points, starts), np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
-    left, right = [], []
     for i in range(len(starts)):
         j = np.arange(i, len(starts))
-        near = (np.minimum(high_n[i], high_n[j]) * rule.denominator >= np.maximum(low_n[i], low_n[j]) * rule.numerator)
-        j = j[near]
+        low, top = np.minimum.reduceat(label, starts)[j], np.maximum.reduceat(label, starts)[j]
+        j = j[((low != top) | (low != low[0]) | (top != top[0]))
+              & (np.minimum(high_n[i], high_n[j]) * rule.denominator >= np.maximum(low_n[i], low_n[j]) * rule.numerator)]
         j = j[(np.minimum(high[i], high[j]).sum(1, dtype=np.int64) >= least_overlap(low_n[i], low_n[j], rule)) | (high[i].max() == FULL) & (high[j].max(1) == FULL)]
         if not len(j):
             continue
         a = np.arange(starts[i], min(starts[i] + LEAF, len(n)))
         b = spread(starts[j], np.minimum(starts[j] + LEAF, len(n)) - starts[j])
-        x, y = np.repeat(a, len(b)), np.tile(b, len(a))
-        keep = (x < y) & (group[x] != group[y])
-        x, y = x[keep], y[keep]
-        ok = _fits(n[x], n[y], points, points, x, y, rule)
-        left.append(x[ok])
-        right.append(y[ok])
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return order[np.concatenate(left)], order[np.concatenate(right)]
-
-
-def _search(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """(a, b) pairs across components within each (key, block): rows (key, block, id, n, component,
-    counts) dealt by (key, block) and ordered."""
-    def pairs(key, ids, n, component, points):
-        ends = np.flatnonzero(np.append((key[1:] != key[:-1]).any(1), True)) + 1
-        starts = np.append(0, ends[:-1])
-        size = ends - starts
-        small = size <= 2 * LEAF
-        length = np.repeat(np.where(small, size, 0), size)
-        place = np.arange(len(n)) - np.repeat(starts, size)
-        for step in range(1, int(length.max(initial=0))):
-            x = np.flatnonzero(place + step < length)
-            y = x + step
-            keep = component[x] != component[y]
-            x, y = x[keep], y[keep]
-            ok = _fits(n[x], n[y], points, points, x, y, rule)
-            yield x[ok], y[ok]
-        for s, e in zip(starts[~small], ends[~small], strict=True):
-            x, y = leaf_join(n[s:e], points[s:e], component[s:e], rule)
-            yield x + s, y + s
+        for k in a:                                   # what one point connects, the next passes over
+            y = b[(b > k) & (label[b] != label[k])]
+            x = np.full(len(y), k)
+            ok = _fits(n, points, x, y, rule)
+            _connect(label, x[ok], y[ok])
+    out = np.empty(len(n), np.int64)
+    out[order] = order[label]
+    return out
+
 
+def part_groups(part: np.ndarray, n: np.ndarray, points: np.ndarray, rule: Rule = RULE) -> np.ndarray:
+    """``leaf_groups`` of each part; the points of a part are neighbours in the arrays."""
+    label = np.arange(len(n))
+    if not len(n):
+        return label
+    ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(n))
+    starts = np.append(0, ends[:-1])
+    size = ends - starts
+    small = size <= 2 * LEAF
+    length = np.repeat(np.where(small, size, 0), size)
+    place = np.arange(len(n)) - np.repeat(starts, size)
+    for step in range(1, int(length.max(initial=0))):        # all small parts at once
+        x = np.flatnonzero(place + step < length)
+        x = x[label[x] != label[x + step]]
+        ok = _fits(n, points, x, x + step, rule)
+        _connect(label, x[ok], x[ok] + step)
+    for a, b in zip(starts[~small], ends[~small], strict=True):
+        label[a:b] = leaf_groups(n[a:b], points[a:b], rule) + a
+    return label
+
+
+def surviving(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """(a, b): every point a that survives with another in a part, and the point b that stands for its
+    group in the part. ``rows`` (key, kind, node, n, point) are dealt by (key, kind) and ordered."""
     def found(table):
-        key = np.stack([table.column(k).to_numpy() for k in ("key", "block")], 1)
-        ids, n, component = (table.column(k).to_numpy() for k in ("id", "n", "component"))
-        got = list(pairs(key, ids, n, component, _points(table.column("counts").combine_chunks())))
-        a, b = (ids[np.concatenate([g[k] for g in got])] if got else np.zeros(0, np.int64) for k in (0, 1))
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        widths = pc.binary_length(table.column("point")).to_numpy()
+        out = []
+        for width in np.unique(widths):
+            own = table.take(pa.array(np.flatnonzero(widths == width)))
+            points = np.frombuffer(b"".join(own.column("point").to_pylist()), np.uint8).reshape(-1, width)
+            node, key = own.column("node").to_numpy(), own.column("key").to_numpy()
+            label = part_groups(key, own.column("n").to_numpy(), points, rule)
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            out.append(np.stack([node[moved], node[label[moved]]], 1))
+        both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     def run(batches):
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
-            key, block = table.column("key").to_numpy(), table.column("block").to_numpy()
-            whole = np.flatnonzero((key != key[-1]) | (block != block[-1]))
+            if not table.num_rows:
+                continue
+            key, kind = table.column("key").to_numpy(), table.column("kind").to_numpy()
+            whole = np.flatnonzero((key != key[-1]) | (kind != kind[-1]))
             cut = int(whole[-1]) + 1 if len(whole) else 0     # the last part may go on
             if cut:
                 yield found(table.slice(0, cut))
@@ -256,87 +290,148 @@ def _search(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def bounded(pairs: DataFrame, points: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """Pairs (a, b) that pass the bound of their points."""
-    a = points.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
-    b = points.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
-
-    def run(batches):
-        for batch in batches:
-            ok = _fits(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), _points(batch.column("ca")), _points(batch.column("cb")), rule=rule)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """Pairs (a, b) whose sets reach the threshold. Sets are made anew from the texts of the
-    documents that occur in a pair."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+def _parts(classes: DataFrame) -> DataFrame:
+    """(key, node, hub, hot, whole) of the n-grams that key several classes. A hot n-gram's points are
+    divided among SALTS tasks, each with its own hub; ``whole`` parts are groups as they are."""
+    some = classes.filter(F.pmod(F.col("node"), F.lit(HOT_SAMPLE)) == 0).select(F.explode("keys").alias("key"))
+    hot = some.groupBy("key").count().filter(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "key").limit(MOST_HOT)
+    hot = stored(hot.select("key", F.lit(True).alias("hot")), "ngram-hot")                     # at most MOST_HOT rows
+    rows = classes.select(F.explode("keys").alias("key"), "node").join(F.broadcast(hot), "key", "left")
+    rows = rows.select("key", "node", F.coalesce("hot", F.lit(False)).alias("hot"))
+    rows = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(F.lit(0)))
+    rows = rows.select("key", "node", "hot", F.expr("count(*) OVER (PARTITION BY key, salt)").alias("points"),
+                       F.expr("min(node) OVER (PARTITION BY key, salt)").alias("hub"))
+    rows = rows.filter("points > 1 OR hot").withColumn("whole", F.col("hot") | (F.col("points") > PART))
+    return stored(rows.select("key", "node", "hub", "hot", "whole"), "ngram-parts")
+
+
+def families(classes: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """(node, family) of the classes that survive with others, directly or through others."""
+    parts = _parts(classes)
+    kinds = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(k).alias("kind"), F.col(c).alias("point")))
+                                      for k, c in enumerate(("small", "large"))]))
+    points = classes.select("node", "n", F.explode(kinds).alias("held"))
+    rows = parts.filter("NOT whole").select("key", "node").join(points, "node").select("key", "held.kind", "node", "n", "held.point")
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "key", "kind").sortWithinPartitions("key", "kind", "n", "node")
+    whole = parts.filter("whole").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    hubs = parts.filter("hot").select("key", "hub").distinct()
+    tops = hubs.join(hubs.groupBy("key").agg(F.min("hub").alias("top")), "key").select(F.col("hub").alias("a"), F.col("top").alias("b"))
+    return stored(components(surviving(rows, rule).unionAll(whole).unionAll(tops)), "ngram-families").withColumnRenamed("component", "family")
+
+
+def linked(component: np.ndarray, side: np.ndarray, sets: list[np.ndarray], rule: Rule = RULE) -> list[tuple[int, int]]:
+    """Links (as positions) that join the given components as far as the threshold allows: sets sorted by
+    size; sets of one side are compared only if all are of one side."""
+    n = np.array([len(s) for s in sets])
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+    mark = np.zeros(int(flat.max()) + 1, bool)
+    label, found = np.unique(component, return_inverse=True)[1], []
+    several = side.min() != side.max()
+    for i in range(len(n) - 1):
+        last = int(np.searchsorted(n, n[i] * rule.denominator // rule.numerator, "right"))
+        rest = np.arange(i + 1, last)
+        rest = rest[(label[rest] != label[i]) & ((side[rest] != side[i]) if several else True)]
+        mine = flat[starts[i]:starts[i] + n[i]]
+        mark[mine] = True
+        while len(rest):
+            upto = max(1, int(np.searchsorted(np.cumsum(n[rest]), CHUNK, "right")))
+            j, rest = rest[:upto], rest[upto:]
+            shared = np.add.reduceat(mark[flat[spread(starts[j], n[j])]], np.concatenate([[0], np.cumsum(n[j])[:-1]]), dtype=np.int64)
+            for k in j[rule.denominator * shared >= rule.numerator * (n[i] + n[j] - shared)]:
+                if label[k] != label[i]:
+                    found.append((i, int(k)))
+                    label[label == label[k]] = label[i]
+            rest = rest[label[rest] != label[i]]
+        mark[mine] = False
+    return found
+
+
+def _meet(rows: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) of class ids that join the components of each (family, part); sets are made anew from
+    one text of each class. ``rows``: family, part, side, component, id, signature."""
+    ids = stored(rows.select(F.col("id").alias("doc_id")).distinct(), "ngram-ids")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    texts = texts.groupBy("doc_id", text_key(F.col("text")).alias("key")).agg(F.first("text").alias("text"))     # repeated rows once
 
     def build(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = [s.tobytes() for s in shingle_sets(batch.column("text").to_pylist(), rule.shingle)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["id", "grams"])
-
-    def check(batches):
-        for batch in batches:
-            ok = []
-            for a, b in zip(batch.column("ga"), batch.column("gb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
-                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                ok.append(rule.denominator * shared >= rule.numerator * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    sets = texts.mapInArrow(build, "id long, grams binary")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-    return both.mapInArrow(check, "a long, b long").distinct()
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Cut parts over PART points into blocks; every pair of blocks becomes a part of its own."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("points") / (PART / 2)).cast("long"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(j, own) * F.col("blocks") + F.greatest(j, own))
-    block = F.when(F.col("points") <= PART, F.array(F.lit(0).cast("long"))).otherwise(pair)
-    return rows.withColumn("block", F.explode(block)).drop("blocks", "points")
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
+                                                  pa.array(sets, pa.binary())], ["id", "signature", "grams"])
+
+    def links(table: pa.Table) -> pa.Table:
+        first = np.unique(np.array(table.column("signature").to_pylist(), object), return_index=True)[1]
+        sets = [np.frombuffer(b, np.uint64) for b in table.column("grams").take(pa.array(first)).to_pylist()]
+        order = np.argsort([len(s) for s in sets], kind="stable")
+        table, sets = table.take(pa.array(first[order])), [sets[k] for k in order]
+        ids, component, side = (table.column(c).to_numpy() for c in ("id", "component", "side"))
+        found = np.array(linked(component, side, sets, rule), np.int64).reshape(-1, 2)
+        return pa.table({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
+
+    grams = texts.select("doc_id", "text").mapInArrow(build, "id long, signature binary, grams binary")
+    return rows.join(grams, ["id", "signature"]).groupBy("family", "part").applyInArrow(links, "a long, b long")
+
+
+def _cost():
+    """What a set adds to a block."""
+    return F.greatest("n", F.lit(SET)) / F.lit(BLOCK_SETS * SET)
+
+
+def _first_parts(members: DataFrame, large: DataFrame) -> DataFrame:
+    """A family in one part, a large one in blocks that share its pivots."""
+    dealt = members.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    chance = F.pmod(F.xxhash64("signature", F.lit(1)), F.lit(1 << 30)) / F.lit(1 << 30)
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.array(F.pmod(F.xxhash64("signature"), F.col("blocks")).cast("int"))
+    part = F.when(F.col("blocks") == 1, F.array(F.lit(0))).when(chance * F.col("size") < PIVOTS, everywhere).otherwise(own)
+    return dealt.select("family", F.explode(part).alias("part"), F.lit(0).alias("side"), F.col("id").alias("component"), "id", "signature")
+
+
+def _later_parts(members: DataFrame, large: DataFrame, first: DataFrame) -> DataFrame:
+    """The members of large families that still have several components. Blocks of the largest component
+    (side 0) meet the blocks of the others (side 1); the blocks of the others meet each other."""
+    rows = members.join(large.select("family"), "family").join(first.withColumnRenamed("node", "id"), "id", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "id"))
+    sizes = rows.groupBy("family", "component").agg(F.sum(_cost()).alias("cost"))
+    most = sizes.groupBy("family").agg(F.max(F.struct("cost", "component")).alias("most"), F.sum("cost").alias("all"), F.count(F.lit(1)).alias("several"))
+    most = most.filter("several > 1").select("family", F.col("most.component").alias("major"), F.ceil("most.cost").cast("int").alias("majors"),
+                                             F.greatest(F.lit(1), F.ceil(F.col("all") - F.col("most.cost"))).cast("int").alias("minors"))
+    rows = rows.join(most, "family")
+    block = lambda of: F.pmod(F.xxhash64("signature"), F.col(of)).cast("int")
+    upto = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
+    major = F.transform(upto("minors"), lambda j: F.struct((block("majors") * F.col("minors") + j).alias("part"), F.lit(0).alias("side")))
+    across = F.transform(upto("majors"), lambda i: F.struct((i * F.col("minors") + block("minors")).alias("part"), F.lit(1).alias("side")))
+    among = F.transform(upto("minors"), lambda k: F.struct(
+        ((F.col("majors") + F.least(k, block("minors"))) * F.col("minors") + F.greatest(k, block("minors"))).alias("part"), block("minors").alias("side")))
+    part = F.when(F.col("component") == F.col("major"), major).otherwise(F.concat(across, among))
+    rows = rows.select("family", F.explode(part).alias("to"), "component", "id", "signature")
+    return rows.select("family", "to.part", "to.side", "component", "id", "signature")
 
 
 def near_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     profile = stored(profiles(docs, common_ngrams(docs, rule), rule), "ngram-profiles")
     named = profile.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = stored(named.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("keys").alias("keys")), "ngram-classes")
-    points = classes.select("id", "n", "counts")
-    by = "PARTITION BY key ORDER BY n, id"
-    parts = classes.select(F.explode("keys").alias("key"), "id", "n")
-    parts = parts.select("key", "id", "n", F.expr("count(*) OVER (PARTITION BY key)").alias("points"),
-                         F.expr(f"lag(id) OVER ({by})").alias("before"), F.expr(f"lag(n) OVER ({by})").alias("n_before"))
-    parts = stored(parts.filter("points > 1"), "ngram-parts")
-
-    neighbours = parts.filter(F.col("before").isNotNull() & (F.col("n_before") * rule.denominator >= F.col("n") * rule.numerator) & (F.col("before") != F.col("id")))
-    neighbours = neighbours.select(F.least("before", "id").alias("a"), F.greatest("before", "id").alias("b")).distinct()
-    links = stored(verified(stored(bounded(neighbours, points, rule), "ngram-pairs"), docs, rule), "ngram-links")
+    classes = stored(named.groupBy("signature").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "small", "large", "keys")])
+                     .withColumn("node", F.xxhash64("signature")), "ngram-classes")
+    members = stored(families(classes, rule).join(classes.select("node", "id", "n", "signature"), "node"), "ngram-members")
+    large = members.groupBy("family").agg(F.ceil(F.sum(_cost())).cast("int").alias("blocks"), F.count(F.lit(1)).alias("size"))
+    large = stored(large.filter("blocks > 1"), "ngram-large")
+    links = _meet(_first_parts(members, large), docs, rule)
 
     # rows that share a doc_id are one node
-    twice = named.select("doc_id", "signature").join(classes.select("signature", "id"), "signature").select("doc_id", "id")
-    again = twice.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("top"), F.collect_set("id").alias("ids")).filter("a <> top")
-    same = again.select("a", F.explode("ids").alias("b"))
-    first = stored(components(links.unionAll(same)), "ngram-components")
-
-    labelled = parts.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    rest = labelled.join(mixed, "key", "left_semi").join(classes.select("id", "counts"), "id")
-    rest = _blocks(rest)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = rest.select("key", "block", "id", "n", "component", "counts").repartition(n, "key", "block").sortWithinPartitions("key", "block", "n", "id")
-    across = stored(_search(rest, rule).distinct(), "ngram-across")
-    more = verified(across, docs, rule)
-    known = first.select(F.col("node").alias("a"), F.col("component").alias("b"))       # stars already
-    final = stored(components(known.unionAll(more)), "ngram-components")
+    owned = named.select("doc_id", "signature").join(classes.select("signature", "id"), "signature").select("doc_id", "id")
+    twice = owned.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("top")).filter("a <> top")
+    same = owned.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b")).filter("a <> b").distinct()
+    final = stored(components(links.unionAll(same)), "ngram-components")
+    if not large.isEmpty():
+        more = _meet(stored(_later_parts(members, large, final), "ngram-later"), docs, rule)
+        stars = final.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        final = stored(components(stars.unionAll(more)), "ngram-components")
 
     rows = profile.select("doc_id", "n", "signature").join(classes.select("signature", "id"), "signature", "left")
     rows = rows.join(final.withColumnRenamed("node", "id"), "id", "left")
