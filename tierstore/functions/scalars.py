@@ -40,3 +40,10 @@ def year_start(year: Column | str) -> Column:
     """First instant of a year as timestamp_ntz."""
     y = F.col(year) if isinstance(year, str) else year
     return F.make_timestamp_ntz(y, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+
+
+def elapsed(unit: str, start: Column | str, end: Column | str) -> Column:
+    """Boundaries of ``unit`` (SECOND, MINUTE, DAY, ...) between two timestamps, as DATEDIFF counts
+    them: 23:59:59.9 to 00:00:00.1 is one second and one day. NULL if either is NULL."""
+    at = [F.date_trunc(unit, c).cast("timestamp_ntz") for c in (start, end)]
+    return F.timestamp_diff(unit, *at)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tierstore.functions.scalars import elapsed
 from tierstore.operators import routing as R
 
 STEPS = ["new_runs", "duplicate_runs", "new_counters", "tier1_rows", "tier2_rows", "tier3_rows",
@@ -37,3 +38,19 @@ def report_frame(spark, values: dict) -> DataFrame:
     elapsed seconds."""
     steps = [*STEPS, *(["elapsed_seconds"] if "elapsed_seconds" in values else [])]
     return spark.createDataFrame([(s, int(values.get(s, 0))) for s in steps], "step string, num_rows long")
+
+
+def step_frame(spark, spans: list[tuple]) -> DataFrame:
+    """(step, started, ended, elapsed_seconds, elapsed_ms) of a job's steps in their order."""
+    rows = spark.createDataFrame(spans, "step string, started timestamp_ntz, ended timestamp_ntz")
+    return rows.select("*", elapsed("SECOND", "started", "ended").alias("elapsed_seconds"), elapsed("MILLISECOND", "started", "ended").alias("elapsed_ms"))
+
+
+def run_durations(ledger: DataFrame) -> DataFrame:
+    """Per loaded run: seconds and whole minutes and days that its log covers, records a minute (guarded)."""
+    minutes = elapsed("MINUTE", "LogStartTime", "LogStopTime")
+    return (ledger.select("GUID", "DisplayString", elapsed("SECOND", "LogStartTime", "LogStopTime").alias("elapsed_seconds"),
+                          minutes.alias("elapsed_minutes"), elapsed("DAY", "LogStartTime", "LogStopTime").alias("elapsed_days"),
+                          (F.col("NumberOfRecords").cast("decimal(18,0)") / F.nullif(minutes, F.lit(0).cast("long")).cast("decimal(18,0)"))
+                          .cast("decimal(18,4)").alias("records_per_minute"))
+            .orderBy("GUID"))

@@ -11,10 +11,11 @@ other runs are loaded, and the result lists the rejected ones with the reason.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tierstore.operators import counters as C
 from tierstore.operators import overlap as O
@@ -22,7 +23,7 @@ from tierstore.operators import report as REP
 from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators.tiers import resolve_tiers
-from tierstore.plans.store import ROWS_PER_FILE, Store, partitions_for
+from tierstore.plans.store import ROWS_PER_FILE, Store, partitions_for, retried
 from tierstore.session import checkpoint_dir, materialize, scratch_scope
 from tierstore.sources.rules import assert_valid, default_rules
 from tierstore.sources.staging import Staging
@@ -38,6 +39,7 @@ class LoadResult:
     rejected: list[tuple[str, str]] = field(default_factory=list)   # (GUID, reason), one per run
     values: dict = field(default_factory=dict)
     timings: dict = field(default_factory=dict)   # seconds per step (progress messages)
+    steps: DataFrame | None = None   # step, started, ended, elapsed_seconds, elapsed_ms
 
 
 def _materialise(df: DataFrame) -> DataFrame:
@@ -45,9 +47,11 @@ def _materialise(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+@retried
 def load_from_staging(store: Store, staging: Staging, rules: DataFrame | None = None, **options) -> LoadResult:
     """Load the runs of ``staging`` that are not in the ledger yet (see ``_load`` for the
-    options). Intermediate tables are removed when the load ends."""
+    options). Intermediate tables are removed when the load ends. When another load commits
+    meanwhile, this one starts again beside it: what the other one brought is then loaded already."""
     with scratch_scope(store.spark):
         res = _load(store, staging, rules, **options)
         if res.detail is not None:                # keep the refusal detail readable afterwards
@@ -79,7 +83,7 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
 
     def result(status, message, **more):
         return LoadResult(status, message, REP.report_frame(spark, {**vals, "elapsed_seconds": clock.total()}), values=vals,
-                          timings=clock.steps, rejected=sorted(rejected), **more)
+                          timings=clock.steps, steps=REP.step_frame(spark, clock.spans), rejected=sorted(rejected), **more)
 
     if not skip_validation:
         dups = U.duplicate_runs(staging.runs).count()
@@ -148,8 +152,13 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
     vals.update(R.outcome_counts(counts, rmap).first().asDict())
     per_file = rows_per_file or ROWS_PER_FILE
     routed = R.route(staging.data, new, rmap, store.value_type)
-    store.write_facts(R.stored_facts(routed), batch, per_file,
-                      num_partitions=partitions_for(sum(vals[f"tier{t}_rows"] for t in (1, 2, 3)), per_file))
+    counted = {f"tier{t}_rows": vals[f"tier{t}_rows"] for t in (1, 2, 3)}
+    written = Observation()
+    store.write_facts(R.stored_facts(routed), batch, per_file, written, num_partitions=partitions_for(sum(counted.values()), per_file))
+    # the report has what the write itself stored; staging that changed between the passes is not committed
+    vals.update(written.get)
+    if any(vals[k] != n for k, n in counted.items()):
+        raise RuntimeError(f"staging changed during the load: {counted} counted, {written.get} written")
     clock.mark("write_facts")
 
     store.write_table("ledger", U.ledger_rows(new), batch, rows=vals["new_runs"])
@@ -171,15 +180,19 @@ def _without(runs: DataFrame, rejected: list[tuple[str, str]]) -> DataFrame:
 
 
 class _Clock:
-    """Elapsed seconds per step and in total (whole seconds in the message)."""
+    """Start and end of every step, elapsed seconds per step and in total (whole seconds in the message)."""
 
     def __init__(self):
         self.start = self.last = time.monotonic()
+        self.began = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.steps: dict[str, float] = {}
+        self.spans: list[tuple[str, dt.datetime, dt.datetime]] = []
 
     def mark(self, step: str) -> None:
         now = time.monotonic()
         self.steps[step] = round(now - self.last, 3)
+        # the wall time of the start plus what the steady clock counted: a clock that is set does not show
+        self.spans.append((step, *(self.began + dt.timedelta(seconds=t - self.start) for t in (self.last, now))))
         self.last = now
 
     def total(self) -> int:

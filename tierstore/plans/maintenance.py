@@ -15,7 +15,7 @@ from tierstore.operators import diagnostics as D
 from tierstore.operators import partitions as P
 from tierstore.operators import rebalance as B
 from tierstore.operators.tiers import resolve_tiers
-from tierstore.plans.store import ROWS_PER_FILE, ZSTD_LEVEL_COLD, Store, partitions_for
+from tierstore.plans.store import ROWS_PER_FILE, ZSTD_LEVEL_COLD, Store, partitions_for, retried
 from tierstore.schemas import FACT_COLUMNS
 from tierstore.session import checkpoint_dir, materialize, scratch_scope
 from tierstore.sources.rules import assert_valid, default_rules
@@ -36,6 +36,7 @@ def _folder_filter(folders):
     return F.struct("batch", "tier", "year").isin(*[F.struct(F.lit(b), F.lit(t), F.lit(y)) for b, t, y in folders])
 
 
+@retried
 def rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = True,
               case_sensitive: bool = False) -> RebalanceResult:
     """Detect misplaced counters; unless ``dry_run``, relabel their samples in one pass. The
@@ -79,6 +80,7 @@ def _rebalance(store: Store, rules: DataFrame | None = None, dry_run: bool = Tru
     return res
 
 
+@retried
 def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = False) -> str | None:
     """Remove the samples and ledger rows of the given runs (repair of a bad load); the runs can be
     loaded again afterwards.
@@ -114,6 +116,7 @@ def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = False)
     return batch
 
 
+@retried
 def replace_year(store: Store, df: DataFrame, tier: int, year: int) -> str:
     """Replace the samples of one (tier, year) with ``df`` after a range check."""
     st = store.state()
@@ -129,6 +132,7 @@ def replace_year(store: Store, df: DataFrame, tier: int, year: int) -> str:
     return batch
 
 
+@retried
 def compact_year(store: Store, tier: int, year: int, rows_per_file: int = ROWS_PER_FILE) -> str | None:
     """Rewrite all batches of one (tier, year) into full, ordered files of one new batch."""
     st = store.state()
@@ -144,6 +148,30 @@ def compact_year(store: Store, tier: int, year: int, rows_per_file: int = ROWS_P
     return batch
 
 
+@retried
+def refresh_sketches(store: Store) -> str | None:
+    """Sketch the columns of the sample folders that have no sketches yet (new loads, rewritten
+    folders) in one pass over them; what was sketched before is not read again. None if there is nothing new."""
+    st = store.state()
+    have = {(r["folder_batch"], r["tier"], r["year"]) for r in
+            store.sketches(st).select("folder_batch", "tier", "year").distinct().collect()} if st.folders else set()
+    new = [(b, t, y) for b, found in st.folders.items() for t, y in found if t >= 0 and (b, t, y) not in have]
+    if not new:
+        return None
+    facts = store.facts(st, with_batch=True, batches=sorted({b for b, _, _ in new}))
+    batch = store.new_batch()
+    store.write_table("sketches", D.sketches(facts.filter(_folder_filter(new))), batch)
+    store.commit("sketch", batch, state=st)
+    return batch
+
+
+def column_profile(store: Store, pressure_pct: int = 50) -> DataFrame:
+    """Distinct values per column and partition (tier, year) and per tier (year null) from merged
+    sketches: after ``refresh_sketches`` no sample is read, however many loads the store holds."""
+    refresh_sketches(store)
+    return D.profile_of_sketches(store.sketches(), pressure_pct)
+
+
 def _retired_chunks(store: Store) -> DataFrame | None:
     facts = store.retired_facts()
     return None if facts is None else D.file_chunks(facts)

@@ -17,6 +17,7 @@ from tierstore.operators import diagnostics as D
 from tierstore.operators import overlap as O
 from tierstore.operators import partitions as P
 from tierstore.operators import rebalance as B
+from tierstore.operators import report as REP
 from tierstore.operators import routing as R
 from tierstore.operators import runs as U
 from tierstore.operators import tiers as T
@@ -166,6 +167,12 @@ def mark_loaded(spark, sf_dir):
     return U.ledger_rows(LoadScenario(spark, sf_dir).new)
 
 
+@query
+def run_durations(spark, sf_dir):
+    """Elapsed time that each loaded run covers, and its records a minute."""
+    return REP.run_durations(U.ledger_rows(LoadScenario(spark, sf_dir).runs))
+
+
 @query
 def runs_by_prefix(spark, sf_dir):
     return U.runs_by_prefix(LoadScenario(spark, sf_dir).runs)
@@ -426,6 +433,21 @@ def layout_by_year(spark, sf_dir):
     return _finished(spark, M.layout_of_years(store, X.CHUNK_TARGET_ROWS).drop("size_mb"), store.root)
 
 
+@query
+def column_sketches(spark, sf_dir):
+    """Column profile of a store from stored sketches, per tier and year and per tier, after several loads
+    and a compaction, beside exact counts: ``close`` tells that it errs by no more than 6 % of them."""
+    from tierstore.plans import maintenance as M
+    store = _written_f6(spark, sf_dir, "sketches")
+    found = M.column_profile(store).withColumn("year", F.coalesce("year", F.lit(0)))
+    facts = store.facts()
+    exact = D.column_profile(facts, exact=True).unionByName(D.column_profile(facts.withColumn("year", F.lit(0)), exact=True))
+    exact = exact.select("tier", "year", "column_name", F.col("distinct_values").alias("exact_values"))
+    close = F.abs(F.col("distinct_values") - F.col("exact_values")) * 100 <= F.col("exact_values") * 6
+    report = found.join(exact, ["tier", "year", "column_name"]).select("tier", "year", "column_name", "num_rows", "exact_values", close.alias("close"))
+    return _finished(spark, report, store.root)
+
+
 @query
 def column_profile(spark, sf_dir):
     return D.column_profile(RebalanceScenario(spark, sf_dir).facts, exact=True)

@@ -7,14 +7,22 @@ Layout under ``root`` (any Hadoop file system shared by the cluster)::
     ledger/batch=<b>/*.parquet                    log runs loaded by batch b
     unloaded/batch=<b>/*.parquet                  ledger rows (batch, GUID) that batch b took back
     files/batch=<b>/*.parquet                     file index: a row per sample file and run of batch b
-    _commits/epoch=<n>/*.parquet                  one row per commit
+    sketches/batch=<b>/*.parquet                  cardinality sketches of sample folders
+    _commits/epoch=<n>/commit-<id>.parquet        one row per commit
 
 A batch becomes visible only when its commit row is appended, and that append is the last
 step of every job, so a job that dies half-way leaves nothing visible and its retry starts
 clean (the ledger row is the commit marker, as in the original design, but now covers samples
 too). Maintenance (rebalance, unload, replace, compaction) writes a new batch with the
 rewritten rows and retires the replaced (batch, tier, year) folders in the same commit row, so
-only affected folders are rewritten. One writer at a time is assumed.
+only affected folders are rewritten.
+
+Several writers may work at once. Commits are numbered, and the file of a commit is put in place by
+a rename that fails if that number is taken (a hard link on a local file system), so of two writers
+one wins. The other reads what was committed since its job began: if that changes what the job
+relied on (``CommitConflict``: a folder it rewrites was rewritten, a load beside another load), the
+job runs again from the newest state (``retried``), else its commit takes the next number. An object
+store without such a rename needs one writer at a time.
 
 A commit row names the tables and sample folders that its batch holds, so a reader lists nothing
 to find out what exists, and a committed folder that is missing is an error. After
@@ -31,11 +39,13 @@ without an index are read by folder.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (ArrayType, DataType, IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BinaryType, DataType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
 from tierstore.functions.broadcast import bounded_broadcast
@@ -57,6 +67,10 @@ COMMITS = StructType([
 ])
 UNLOADED = StructType([StructField("ledger_batch", StringType(), False), StructField("GUID", StringType(), False)])
 COMMITS_PER_EPOCH = 100
+# runs of a job whose commit another writer's commit gets in the way of
+ATTEMPTS = 5
+# jobs that rely on the runs, counters and samples of all others of these kinds
+LOADS = ("load", "counters", "replace")
 FILES = StructType([
     StructField("tier", IntegerType()), StructField("year", IntegerType()),
     StructField("file", StringType()), StructField("GUID", StringType()), StructField("num_rows", LongType()),
@@ -67,6 +81,8 @@ FILES = StructType([
 # statistics of each file do the skipping
 MAX_PICKED = 10_000
 BATCH = StructField("batch", StringType(), False)
+SKETCHES = StructType([StructField("folder_batch", StringType()), StructField("tier", IntegerType()), StructField("year", IntegerType()),
+                       StructField("column_name", StringType()), StructField("num_rows", LongType()), StructField("sketch", BinaryType())])
 
 # rows per file: the 1,048,576-row rowgroup of the original layout
 ROWS_PER_FILE = 1_048_576
@@ -88,6 +104,23 @@ def partitions_for(rows: int | None, rows_per_file: int = ROWS_PER_FILE) -> int
     return max(1, -(-int(rows) // rows_per_file))
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed what a job relied on; nothing of the job is visible."""
+
+
+def retried(job):
+    """Run ``job(store, ...)`` again from the newest state when another writer's commit got in its way."""
+    @functools.wraps(job)
+    def run(store, *args, **options):
+        for left in reversed(range(ATTEMPTS)):
+            try:
+                return job(store, *args, **options)
+            except CommitConflict:
+                if not left:
+                    raise
+    return run
+
+
 @dataclass
 class StoreState:
     """Live batches with their tables, and the live sample folders of each batch."""
@@ -147,10 +180,11 @@ class Store:
         """The newest epoch of the commit log (metadata, at most COMMITS_PER_EPOCH + 1 rows)."""
         st = StoreState()
         epochs = [int(n.split("=")[1]) for n in self._children(self.path("_commits")) if n.startswith("epoch=")]
-        if not epochs:
-            return st
-        st.epoch = max(epochs)
-        rows = self.commits(st.epoch).collect()
+        rows = []
+        for epoch in sorted(epochs, reverse=True):
+            st.epoch, rows = epoch, self.commits(epoch).collect()
+            if rows:                          # the newest one is empty while its first file is put in place
+                break
         for r in sorted(rows, key=lambda r: r["commit_id"]):
             st.apply(r)
         st.commits_in_epoch = sum(r["kind"] != EPOCH for r in rows)
@@ -196,6 +230,14 @@ class Store:
         here = self.spark.createDataFrame(live, FOLDER)
         return self._read("files", FILES, self._batches("files", st)).join(bounded_broadcast(here), ["batch", "tier", "year"], "left_semi")
 
+    def sketches(self, state: StoreState | None = None) -> DataFrame:
+        """Cardinality sketches of the visible sample folders: a row per folder and column."""
+        st = state or self.state()
+        live = [(b, t, y) for b, found in st.folders.items() for t, y in found if t >= 0]
+        here = self.spark.createDataFrame(live, FOLDER).withColumnRenamed("batch", "folder_batch")
+        return (self._read("sketches", SKETCHES, self._batches("sketches", st)).drop("batch")
+                .join(bounded_broadcast(here), ["folder_batch", "tier", "year"], "left_semi"))
+
     def unindexed(self, state: StoreState) -> list[str]:
         """Batches with samples but no file index (written by an earlier version)."""
         return sorted(set(state.having("facts")) - set(state.having("files")))
@@ -300,26 +342,66 @@ class Store:
 
     def commit(self, kind: str, batch: str | None, retired: list[tuple[str, int, int]] | None = None,
                state: StoreState | None = None) -> int:
-        """Append the commit row: the single step that makes a job's output visible."""
-        st = state or self.state()
-        epoch, cid = st.epoch, st.last_commit + 1
-        if st.commits_in_epoch >= COMMITS_PER_EPOCH:
-            epoch += 1
-            live = [(b, sorted(t - ({"facts"} if b in st.touched and not st.folders.get(b) else set())))
-                    for b, t in st.tables.items()]
-            folders = [(b, t, y) for b, found in st.folders.items() for t, y in sorted(found)]
-            # batches that lost a folder are told apart by the retired list
-            lost = [(b, -1, -1) for b in sorted(st.touched) if st.folders.get(b)]
-            self._append((cid, EPOCH, None, None, folders, lost, live, _now()), epoch)
-            cid += 1
+        """Put the commit row in place: the single step that makes a job's output visible. ``state`` is
+        what the job read; commits of other writers since then are checked against it."""
+        base = st = state or self.state()
         tables = sorted(self._written.pop(batch, set())) if batch else []
         folders = self._fact_folders(batch) if "facts" in tables else []
-        self._append((cid, kind, batch, tables, folders, [tuple(f) for f in (retired or [])], None, _now()), epoch)
-        return cid
+        gone = [tuple(f) for f in (retired or [])]
+        while True:
+            cid = st.last_commit + 1
+            if st.commits_in_epoch >= COMMITS_PER_EPOCH:
+                self._publish(self._epoch_row(st, cid), st.epoch + 1)
+            elif self._publish((cid, kind, batch, tables, folders, gone, None, _now()), st.epoch):
+                return cid
+            st = self.state()                # a new epoch, or another writer took the number
+            self._check_since(base, kind, gone)
+
+    def _check_since(self, base: StoreState, kind: str, gone: list[tuple[str, int, int]]) -> None:
+        """Raise if a commit since ``base`` changed what a job of ``kind`` relied on."""
+        for r in self.commits().filter(F.col("commit_id") > base.last_commit).collect():
+            if kind in LOADS and r["kind"] in LOADS:
+                raise CommitConflict(f"{kind}: commit {r['commit_id']} ({r['kind']}) was made meanwhile")
+            lost = {(f["batch"], f["tier"], f["year"]) for f in r["retired"] or []} & set(gone)
+            if lost:
+                raise CommitConflict(f"{kind}: commit {r['commit_id']} ({r['kind']}) rewrote {len(lost)} of its folders")
+
+    @staticmethod
+    def _epoch_row(st: StoreState, cid: int) -> tuple:
+        """The first row of a new epoch: the whole live state."""
+        live = [(b, sorted(t - ({"facts"} if b in st.touched and not st.folders.get(b) else set())))
+                for b, t in st.tables.items()]
+        folders = [(b, t, y) for b, found in st.folders.items() for t, y in sorted(found)]
+        # batches that lost a folder are told apart by the retired list
+        lost = [(b, -1, -1) for b in sorted(st.touched) if st.folders.get(b)]
+        return (cid, EPOCH, None, None, folders, lost, live, _now())
+
+    def _publish(self, row: tuple, epoch: int) -> bool:
+        """Write a commit row aside and put its file in place under its number; False if that number
+        is taken. Writers with the same last commit choose the same epoch, so they meet in one name."""
+        aside = self.path("_staged", uuid.uuid4().hex)
+        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("error").parquet(aside)
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        part = next(f.getPath() for f in fs.listStatus(path(aside)) if f.getPath().getName().endswith(".parquet"))
+        target = path(self.path("_commits", f"epoch={epoch}", f"commit-{row[0]:012d}.parquet"))
+        fs.mkdirs(target.getParent())
+        try:
+            if fs.getScheme() == "file":      # its rename would replace the other file
+                return self._linked(jvm, *[jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath() for p in (target, part)])
+            return not fs.exists(target) and fs.rename(part, target)
+        finally:
+            fs.delete(path(aside), True)
 
-    def _append(self, row: tuple, epoch: int) -> None:
-        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(
-            self.path("_commits", f"epoch={epoch}"))
+    @staticmethod
+    def _linked(jvm, target, part) -> bool:
+        try:
+            jvm.java.nio.file.Files.createLink(target, part)
+            return True
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            return False
 
     def _fact_folders(self, batch: str) -> list[tuple[str, int, int]]:
         """(batch, tier, year) folders that a write left (tiers x years of one batch)."""
@@ -380,7 +462,7 @@ class Store:
             if r["created"] < limit:
                 doomed += [self.path("facts", f"batch={f['batch']}", f"tier={f['tier']}", f"year={f['year']}")
                            for f in (r["retired"] or []) if f["tier"] >= 0]
-        for table in ("facts", "counters", "ledger", "unloaded", "files"):
+        for table in ("facts", "counters", "ledger", "unloaded", "files", "sketches"):
             for name in self._children(self.path(table)):
                 if not name.startswith("batch="):
                     continue
