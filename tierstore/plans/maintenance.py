@@ -89,8 +89,15 @@ def unload_runs(store: Store, runs: DataFrame, prune_by_log_range: bool = False)
     sample is read to find them (but those of batches without an index). ``prune_by_log_range=True``
     takes only files that reach into the time window between the runs' logged start and stop: only
     for logs whose headers are known to be right, since samples outside it stay."""
+    with scratch_scope(store.spark):
+        checkpoint_dir(store.spark, fallback=store.path("_checkpoints"))
+        # written once: the runs may be derived from their samples
+        return _unload(store, materialize(runs.select(F.lower("GUID").alias("GUID")).distinct()), prune_by_log_range)
+
+
+def _unload(store: Store, runs: DataFrame, prune_by_log_range: bool) -> str | None:
     st = store.state()
-    guids = bounded_broadcast(runs.select(F.lower("GUID").alias("GUID")).distinct())
+    guids = bounded_broadcast(runs)
     gone = store.ledger(st).join(guids, "GUID", "left_semi")
     files, bare = store.files(st), store.facts(st, with_batch=True, batches=store.unindexed(st))
     held = files.join(guids, "GUID", "left_semi")
