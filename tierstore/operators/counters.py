@@ -78,7 +78,7 @@ def vault_of_loads(details: DataFrame, used: DataFrame, case_sensitive: bool = F
 def counter_id_map(details: DataFrame, vault: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """(StagingCounterID, VaultCounterID) by sentinel-key equi join."""
     s = with_key(details, case_sensitive).select(F.col("CounterID").alias("StagingCounterID"), *KEY_NAMES).distinct()
-    v = with_key(vault, case_sensitive).select(F.col("CounterID").alias("VaultCounterID"), *KEY_NAMES)
+    v = with_key(vault, case_sensitive).select(F.col("CounterID").alias("VaultCounterID"), *KEY_NAMES).hint("merge")
     return s.join(v, KEY_NAMES, "inner").select("StagingCounterID", "VaultCounterID")
 
 
@@ -93,9 +93,11 @@ def assert_unique_keys(vault: DataFrame, case_sensitive: bool = False) -> None:
 
 def canonical_ids(details: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """(CounterID, CounterID_min): the lowest id of each sentinel key, for sources whose
-    definitions repeat one counter under several ids (aggregate per key, joined back)."""
+    definitions repeat one counter under several ids (aggregate per key, joined back). A merge join:
+    the optimizer knows packed file sizes only and would collect all definitions on the driver,
+    in a table whose chains are as long as a key has ids."""
     keyed = with_key(details, case_sensitive).select("CounterID", *KEY_NAMES).distinct()
-    mins = keyed.groupBy(*KEY_NAMES).agg(F.min("CounterID").alias("CounterID_min"))
+    mins = keyed.groupBy(*KEY_NAMES).agg(F.min("CounterID").alias("CounterID_min")).hint("merge")
     return keyed.join(mins, KEY_NAMES, "inner").select("CounterID", "CounterID_min")
 
 

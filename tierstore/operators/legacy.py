@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierstore.functions.broadcast import bounded_broadcast
+from tierstore.functions.broadcast import bounded_broadcast, row_bounded_broadcast
 from tierstore.functions.ranking import dense_ids
 from tierstore.operators.counters import canonical_ids
 
@@ -26,7 +26,7 @@ def pending_batches(source_runs: DataFrame, ledger: DataFrame, batch_size: int =
 
 def staged_details(source_details: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Canonical definitions only (id = lowest id of its key)."""
-    ids = canonical_ids(source_details, case_sensitive)
+    ids = canonical_ids(source_details, case_sensitive).hint("merge")
     return (source_details.join(ids, "CounterID", "inner")
             .filter(F.col("CounterID") == F.col("CounterID_min")).drop("CounterID_min"))
 
@@ -35,7 +35,7 @@ def dealt_data(source_data: DataFrame, batches: DataFrame, source_details: DataF
                case_sensitive: bool = False) -> DataFrame:
     """Samples of the numbered runs with the counter id replaced by the canonical id, and the run's
     ``batch_no``. Definitions and runs are broadcast only while they are small."""
-    ids = bounded_broadcast(canonical_ids(source_details, case_sensitive))
+    ids = row_bounded_broadcast(canonical_ids(source_details, case_sensitive))
     runs = bounded_broadcast(batches.select("GUID", "batch_no"))
     return (source_data.join(runs, "GUID").join(ids, "CounterID")
             .withColumn("CounterID", F.col("CounterID_min")).select(*source_data.columns, "batch_no"))

@@ -8,7 +8,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierstore.functions.broadcast import bounded_broadcast
+from tierstore.functions.broadcast import bounded_broadcast, row_bounded_broadcast
 from tierstore.functions.scalars import parse_counter_time
 from tierstore.schemas import STORED_TIERS
 
@@ -58,6 +58,13 @@ def first_overlap_tier_probe(facts: DataFrame, probe: DataFrame, range_from: dt.
     return None
 
 
+def any_stored(facts: DataFrame, runs: DataFrame) -> bool:
+    """Does the store hold a sample between the first start and the last stop of the runs? If it holds none,
+    no run overlaps it (a limit-1 scan, pruned by year and by the statistics of the files)."""
+    span = runs.agg(F.min(parse_counter_time("LogStartTime")).alias("lo"), F.max(parse_counter_time("LogStopTime")).alias("hi")).first()
+    return span["lo"] is not None and span["hi"] is not None and not _in_range(facts, span["lo"], span["hi"]).isEmpty()
+
+
 def run_intervals(counts: DataFrame, runs: DataFrame, rmap: DataFrame) -> DataFrame:
     """(GUID, CounterID, tier, lo, hi): the logged interval of each run, for each stored counter it
     has samples of."""
@@ -75,7 +82,7 @@ def run_overlaps(facts: DataFrame, intervals: DataFrame) -> DataFrame:
     if span["lo"] is None:
         return intervals.limit(0).select("GUID", "tier", "CounterID", F.lit(0).cast("long").alias("num_rows"))
     inside = _in_range(facts, span["lo"], span["hi"]).select("CounterID", "tier", "CounterDateTime")
-    return (inside.join(bounded_broadcast(intervals), ["CounterID", "tier"])
+    return (inside.join(row_bounded_broadcast(intervals), ["CounterID", "tier"])
             .filter(F.col("CounterDateTime").between(F.col("lo"), F.col("hi")))
             .groupBy("GUID", "tier", "CounterID").agg(F.count(F.lit(1)).alias("num_rows")))
 

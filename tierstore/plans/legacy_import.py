@@ -23,7 +23,7 @@ from tierstore.operators import legacy as L
 from tierstore.plans.load import LoadResult, load_from_staging
 from tierstore.plans.store import Store
 from tierstore.schemas import COUNTER_DETAILS, STAGING_DATA, STAGING_RUNS
-from tierstore.session import checkpoint_dir, scratch_scope
+from tierstore.session import checkpoint_dir, materialize, scratch_scope
 from tierstore.sources.staging import Staging, conform
 
 PLANS = "_legacy_import"
@@ -38,9 +38,12 @@ def legacy_import(store: Store, source_runs: DataFrame, source_data: DataFrame,
     while max_batches is None or len(results) < max_batches:
         plan = open_plan(store)
         if plan is None:
-            if source_runs.join(store.ledger().select("GUID"), "GUID", "left_anti").isEmpty():
-                break
-            plan = write_plan(store, source_runs, source_data, source_details, batch_size, case_sensitive)
+            with scratch_scope(store.spark):      # written once: runs may be derived from their samples
+                checkpoint_dir(store.spark, fallback=store.path("_checkpoints"))
+                left = materialize(source_runs.join(store.ledger().select("GUID"), "GUID", "left_anti"))
+                if left.isEmpty():
+                    break
+                plan = write_plan(store, left, source_data, source_details, batch_size, case_sensitive)
         batches = pending(store, plan)
         if not batches:
             store.delete(plan)

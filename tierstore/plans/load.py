@@ -85,12 +85,13 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
         return LoadResult(status, message, REP.report_frame(spark, {**vals, "elapsed_seconds": clock.total()}), values=vals,
                           timings=clock.steps, steps=REP.step_frame(spark, clock.spans), rejected=sorted(rejected), **more)
 
+    runs = _materialise(staging.runs)             # a row per log, but they may be derived from its samples
     if not skip_validation:
-        dups = U.duplicate_runs(staging.runs).count()
+        dups = U.duplicate_runs(runs).count()
         vals["duplicate_runs"] = dups
         if dups and not reject_bad_runs:
             return result(1, f"Refused: {dups} run key(s) are staged more than once.")
-    new = _materialise(U.new_runs(staging.runs, store.ledger(st)))
+    new = _materialise(U.new_runs(runs, store.ledger(st)))
     vals["new_runs"] = new.count()
     clock.mark("new_runs")
     if vals["new_runs"] == 0:
@@ -111,7 +112,7 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
     vault = store.counters(st)
     clock.mark("staged_counts")
     batch = store.new_batch()
-    if not skip_validation and st.having("facts"):
+    if not skip_validation and st.having("facts") and O.any_stored(store.facts(st), new):
         # against the counters that are stored already: a new counter has no samples to collide with
         known = R.route_map(C.counter_id_map(staging.details, vault, case_sensitive), resolve_tiers(vault, rules, case_sensitive))
         hits = _materialise(O.run_overlaps(store.facts(st), _materialise(O.run_intervals(counts, new, known))))
@@ -123,6 +124,7 @@ def _load(store: Store, staging: Staging, rules: DataFrame | None = None, *,
         rejected += [(r["GUID"], f"overlaps {r['num_rows']} stored samples, first in Tier{r['tier']}") for r in first]
         new = _without(new, [(r["GUID"], "") for r in first])
         counts = counts.join(new.select("GUID"), "GUID", "left_semi")
+    if not skip_validation and st.having("facts"):
         clock.mark("overlap_check")
     vals["new_runs"] -= len(rejected)
     if vals["new_runs"] == 0:
