@@ -1,6 +1,7 @@
 """Piece ids and plane files: equality with the tokenizer libraries, exact round trips."""
 
 import random
+import re
 import tempfile
 import zlib
 
@@ -74,6 +75,19 @@ def test_word_ids_equal_the_library():
         assert [ids[at[i]:at[i + 1]].tolist() for i in range(len(part))] == want
 
 
+def test_simple_texts_are_cut_without_regex_and_encoded_without_normalizing():
+    from itertools import product
+
+    encoder = tp.WordEncoder(tp.default_tokenizer())
+    assert isinstance(encoder.cut.__self__, re.Pattern)                    # not the slower module's
+    assert not isinstance(tp.simple_cut(r"\p{Lu}+|[\p{L}]+").__self__, re.Pattern)
+    chars = [c for c in map(chr, range(0x250)) if encoder.simple(c)]
+    texts = ["".join(chars), " ".join(chars), *("".join(p) for p in product("a1²ªÉȺ'_.\u00d7 \n", repeat=4)), "It's we'LL 'd'Re ½x ȺȾ", "a " * 3000]
+    ids, at = encoder.encode(texts)
+    for k, text in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, tp.END_ID], text
+
+
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 def test_planes_round_trip(kind):
     rng = np.random.default_rng(1)

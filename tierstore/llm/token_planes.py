@@ -2,7 +2,8 @@
 
 Encoding: the tokenizers library encodes the text. Ids of a document depend only on its
 space-separated words, so each distinct word of a task is encoded once and documents are put
-together from the words' ids.
+together from the words' ids. Pre-tokens go to a tokenizer with the same model that only splits at
+blanks: they are normalised and cut already.
 
 File format (one file per range of doc_id, in ascending doc_id order):
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from itertools import chain
 
@@ -44,6 +46,7 @@ MAGIC = b"TPL1"
 BLOCK = 1 << 16
 END_ID = 1
 KNOWN_WORDS = 400_000
+PARTS_A_TEXT, PARTS_A_CALL = 50, 20_000
 
 
 def default_tokenizer() -> str:
@@ -51,6 +54,27 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Characters of simple texts: no combining marks, no white space, and lower case that does not depend on the context.
+SIMPLE = "!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f"
+
+
+def simple_cut(pattern: str):
+    """``findall`` of a pre-token pattern for simple texts in lower case. Their letters and numbers are
+    listed, so that Python's own expressions do, faster; a pattern that then differs stays as it is."""
+    chars = [chr(c) for c in range(0x250) if re.fullmatch(f"[{SIMPLE}]", chr(c))]
+    chars = sorted({*chars, *(c.lower() for c in chars)})
+    listed = pattern
+    for kind in "LN":
+        listed = listed.replace(rf"\p{{{kind}}}", "".join(re.escape(c) for c in chars if unicodedata.category(c)[0] == kind))
+    whole = regex.compile(pattern).findall
+    try:
+        cut = re.compile(listed).findall
+    except re.error:
+        return whole
+    probe = " ".join(chars) + "\n" + "".join(chars) + "".join(a + b for a, b in zip(chars, reversed(chars), strict=True))
+    return cut if cut(probe) == whole(probe) else whole
+
+
 class WordEncoder:
     """Ids by word, filled from the tokenizers library as new words come.
 
@@ -59,12 +83,11 @@ class WordEncoder:
     Any other text is cut into words, which share the pre-tokens; a word with other characters is
     encoded whole."""
 
-    #: no combining marks, no white space, and lower case that does not depend on the context
-    simple = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+").fullmatch
-    simple_text = re.compile("[ \n!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*").fullmatch
+    simple = re.compile(f"[{SIMPLE}]+").fullmatch
+    simple_text = re.compile(f"[ \n{SIMPLE}]*").fullmatch
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as source:
             stored_form = json.load(source)
@@ -73,8 +96,11 @@ class WordEncoder:
         suffix = stored_form["model"]["end_of_word_suffix"]
         if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"] or not suffix:
             raise ValueError("a tokenizer with word ends and lower case is expected")
-        self.cut = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.cut = simple_cut(steps[0]["pattern"]["Regex"])
         self.blanks_part = self.cut("a b\nc  ") == ["a", "b", "c"]     # no pre-token holds a blank
+        self.of_parts = Tokenizer.from_file(path)
+        self.of_parts.normalizer = normalizers.Sequence([])
+        self.of_parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
@@ -91,8 +117,10 @@ class WordEncoder:
     def _encode_parts(self, plain: list[str], whole: list[str]) -> None:
         """Ids of new pre-tokens and of new whole words, in this order."""
         ids, sizes = [], []
-        for k in range(0, len(plain), 1000):
-            got = np.array(self.tokenizer.encode(" ".join(plain[k:k + 1000]), add_special_tokens=False).ids, np.uint32)
+        for k in range(0, len(plain), PARTS_A_CALL):
+            some = [" ".join(plain[n:n + PARTS_A_TEXT]) for n in range(k, min(k + PARTS_A_CALL, len(plain)), PARTS_A_TEXT)]
+            encoded = self.of_parts.encode_batch_fast(some, add_special_tokens=False)
+            got = np.fromiter(chain.from_iterable(e.ids for e in encoded), np.uint32)
             ids.append(got)
             sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(self.ends[got])])))
         for word in whole:
