@@ -226,6 +226,22 @@ def test_collocations_of_long_products_and_empty_tables(spark):
     assert _phrases(spark, [("en", big)] * 3) == _mined([("en", big)] * 3, 100)
 
 
+def test_suffixes_end_where_triples_are_rare(spark, monkeypatch):
+    shipped, count = [], collocations.phrases
+    monkeypatch.setattr(collocations, "phrases", lambda routed, least: shipped.append(routed.collect()) or count(routed, least))
+    words = np.random.default_rng(5).integers(0, 12, 12_000)             # 144 pairs are frequent, no triple is by chance
+    rows = [("en", " ".join(f"w{k}" for k in part)) for part in words.reshape(60, 200)] + [("en", "one two three four five six")] * 40
+    assert _phrases(spark, rows, least=30) == _mined(rows, 30)
+    assert len(shipped[0]) == 144 + 5                                    # not a row for nearly every place
+    assert sum(r.f for r in shipped[0]) == 60 * 199 + 40 * 5
+
+
+@pytest.mark.parametrize("least", [1, 255, 300])
+def test_counts_of_triples_stop_above_the_least(spark, least):
+    rows = [("en", "a b c d. " * 100 + "b c d")] * 3
+    assert _phrases(spark, rows, least=least) == _mined(rows, least)
+
+
 def test_multikey_quicksort_counts_every_prefix():
     rng = np.random.default_rng(2)
     rows = rng.integers(1, 4, (3000, 5)).astype(np.uint64)

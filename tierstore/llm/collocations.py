@@ -6,10 +6,11 @@ go on to the next word, the weight of such an equal partition is the count of th
 partitions below LEAST are abandoned.
 
 Before that, suffixes are routed by their leading words. A first pass counts words, a second one pairs
-of frequent words; a suffix is shipped only if its first pair is frequent, and only as far as each next
-pair is frequent too. Which words and pairs are frequent reaches the tasks as bit maps of a fixed size
-(``MAP_BITS``), whatever the corpus; a word that a map takes for frequent by chance costs some rows and
-changes no count. Tasks sum equal words, pairs and suffixes before they ship them. The suffixes of a
+of frequent words, a third one triples of frequent pairs, by sums of their hashes in a table of a fixed
+size that never counts too little; a suffix is shipped only if its first pair is frequent, and only as far
+as each next triple is frequent too. Which words, pairs and triples are frequent reaches the tasks as bit
+maps of a fixed size (``MAP_BITS``), whatever the corpus; a word that a map takes for frequent by chance
+costs some rows and changes no count. Tasks sum equal words, pairs and suffixes before they ship them. The suffixes of a
 very common pair are routed by their third word too; the parts of the pair's own count are added up
 afterwards.
 
@@ -27,6 +28,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ DEPTH, LEAST, TOP = 5, 100, 2000
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 MAP_BITS = 1 << 26                       # 8 MB a map
 MAP_CHUNK = 1 << 15
+SLOT_MOST = 255                          # counts of triples stop here, in a byte for each bit of a map
 HOT, HOT_PAIRS = 4_000_000, 1000         # pairs with so many occurrences, at most so many of them
 _HELD = 200_000                          # distinct words or pairs that a task holds
 _HELD_SUFFIXES = 1_000_000               # distinct suffixes (48 bytes each) that a task holds
@@ -76,6 +79,9 @@ def in_map(bits: bytes, h: np.ndarray) -> np.ndarray:
     return np.frombuffer(bits, np.uint8)[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
+_CHUNKS = "chunk int, bits binary"
+
+
 def bit_map(hashes: DataFrame) -> bytes:
     """A map of MAP_BITS bits from a column ``h``: chunks of the map are made by an aggregation, so the
     driver gets 8 MB however many hashes there are."""
@@ -92,8 +98,12 @@ def bit_map(hashes: DataFrame) -> bytes:
                 rows.append(np.packbits(flags, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(rows, pa.binary())], ["chunk", "bits"])
 
+    return _whole_map(found.mapInArrow(pack, _CHUNKS))
+
+
+def _whole_map(chunks: DataFrame) -> bytes:
     out = bytearray(MAP_BITS // 8)
-    for row in found.mapInArrow(pack, "chunk int, bits binary").toLocalIterator():
+    for row in chunks.toLocalIterator():
         out[row.chunk * MAP_CHUNK // 8:(row.chunk + 1) * MAP_CHUNK // 8] = row.bits
     return bytes(out)
 
@@ -215,29 +225,80 @@ def pairs(docs: DataFrame, frequent: bytes) -> DataFrame:
     return docs.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
 
 
+def _joined(h: np.ndarray, frequent_pairs: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words with ``DEPTH`` breaks behind them, the hash of each word and its next, and whether they are a
+    frequent pair."""
+    h = np.concatenate([h, np.zeros(DEPTH, np.uint64)])
+    pair = pair_hash(h[:-1], h[1:])
+    joined = (h[:-1] != 0) & (h[1:] != 0)
+    at = np.flatnonzero(joined)
+    joined[at] = in_map(frequent_pairs, pair[at])
+    return h, pair, joined
+
+
+def _triples(h: np.ndarray, pair: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where two frequent pairs overlap in a word, and the hashes of these triples."""
+    at = np.flatnonzero(joined[:-1] & joined[1:])
+    return at, pair_hash(pair[at], h[at + 2])
+
+
+def triple_map(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, least: int = LEAST) -> bytes:
+    """A map of MAP_BITS bits of the triples that may occur ``least`` times. A task counts them in a byte for each
+    bit, whatever its rows, and ships the chunks of this table in which it counted; triples that share a
+    byte are counted together, so none is counted too low."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, frequent_pairs))
+
+    def count(batches):
+        table = np.zeros(MAP_BITS, np.uint8)
+        for h in _sequences(batches, shared.value[0]):
+            _, found = _triples(*_joined(h, shared.value[1]))
+            slot, f = np.unique(found & np.uint64(MAP_BITS - 1), return_counts=True)
+            table[slot] = np.minimum(table[slot] + f, SLOT_MOST)
+        pack = zstandard.ZstdCompressor(1).compress
+        for k in range(0, MAP_BITS, MAP_CHUNK):
+            if table[k:k + MAP_CHUNK].any():
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([k // MAP_CHUNK], pa.int32()), "bits": [pack(table[k:k + MAP_CHUNK].tobytes())]})
+
+    def reached(chunk, total):
+        return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "bits": [np.packbits(total >= min(least, SLOT_MOST), bitorder="little").tobytes()]})
+
+    def add(batches):
+        chunk, total, unpack = None, None, zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["chunk"] != chunk:
+                    if chunk is not None:
+                        yield reached(chunk, total)
+                    chunk, total = row["chunk"], np.zeros(MAP_CHUNK, np.int64)
+                total += np.frombuffer(unpack(row["bits"]), np.uint8)
+        if chunk is not None:
+            yield reached(chunk, total)
+
+    return _whole_map(docs.mapInArrow(count, _CHUNKS).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, _CHUNKS))
+
+
 WORDS = [f"w{k}" for k in range(1, DEPTH + 1)]
 
 
-def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, hot: np.ndarray) -> DataFrame:
-    """(route, w1 .. w5, f): suffixes that start with a frequent pair, as far as pairs are frequent (then
+def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, frequent_triples: bytes, hot: np.ndarray) -> DataFrame:
+    """(route, w1 .. w5, f): suffixes that start with a frequent pair, as far as triples are frequent (then
     0), summed, and routed by the hash of their two leading words, or three after a hot pair."""
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, frequent_pairs))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, frequent_pairs, frequent_triples))
     names = ["route", *WORDS, "f"]
 
     def run(batches):
         sums = _Sums(DEPTH + 1, _HELD_SUFFIXES)
         for h in _sequences(batches, shared.value[0]):
-            h = np.concatenate([h, np.zeros(DEPTH, np.uint64)])
-            pair = pair_hash(h[:-1], h[1:])
-            joined = (h[:-1] != 0) & (h[1:] != 0)
-            at = np.flatnonzero(joined)
-            joined[at] = in_map(shared.value[1], pair[at])
+            h, pair, joined = _joined(h, shared.value[1])
+            at, triple = _triples(h, pair, joined)
+            goes_on = np.zeros(len(h), bool)
+            goes_on[at] = in_map(shared.value[2], triple)
             at = np.flatnonzero(joined)
             rows = np.zeros((len(at), DEPTH + 1), np.uint64)
             rows[:, 1], rows[:, 2] = h[at], h[at + 1]
             on = np.ones(len(at), bool)
             for k in range(2, DEPTH):
-                on &= joined[at + k - 1]
+                on &= goes_on[at + k - 2]
                 rows[on, k + 1] = h[at[on] + k]
             third = np.where(np.isin(pair[at], hot), rows[:, 3], np.uint64(0)) if len(hot) else np.uint64(0)
             rows[:, 0] = pair_hash(pair[at], np.broadcast_to(third, len(at)))
@@ -315,7 +376,8 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
     frequent = bit_map(common.select("h"))
     twos = stored(pairs(docs, frequent).filter(F.col("f") >= least), "collocation-pairs")
     hot = twos.filter(F.col("f") >= HOT).orderBy(F.desc("f"), "h").limit(HOT_PAIRS).select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64)
-    found = phrases(suffixes(docs, frequent, bit_map(twos.select("h")), hot), least)
+    frequent_pairs = bit_map(twos.select("h"))
+    found = phrases(suffixes(docs, frequent, frequent_pairs, triple_map(docs, frequent, frequent_pairs, least), hot), least)
     found = stored(found, "collocation-phrases")
 
     counts = found.unionAll(common.select(F.array("h"), "f"))
