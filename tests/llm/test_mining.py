@@ -236,6 +236,18 @@ def test_suffixes_end_where_triples_are_rare(spark, monkeypatch):
     assert sum(r.f for r in shipped[0]) == 60 * 199 + 40 * 5
 
 
+def test_suffixes_that_end_after_a_pair_are_not_shipped(spark, monkeypatch):
+    kept, store = {}, collocations.stored
+    monkeypatch.setattr(collocations, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    words = np.random.default_rng(7).integers(0, 9, 9_000)               # 81 pairs are frequent, in the rows of every task
+    rows = [("en", " ".join(f"w{k}" for k in part)) for part in words.reshape(60, 150)] + [("en", "a b. " * 30 + "a b c. " * 40)] * 2 + [("de", "a b. b a b")] * 35
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(6)
+    assert sorted(tuple(r) for r in collocations.collocations(docs, least=33).collect()) == _mined(rows, 33)
+    assert [r.f for r in kept["collocation-suffixes"].collect() if not r.w3] == []
+    assert sorted(r.f for r in kept["collocation-suffixes"].collect()) == [35, 80]        # b a b, a b c
+    assert kept["collocation-pairs"].count() == 81 + 2 + 2
+
+
 @pytest.mark.parametrize("least", [1, 255, 300])
 def test_counts_of_triples_stop_above_the_least(spark, least):
     rows = [("en", "a b c d. " * 100 + "b c d")] * 3

@@ -7,9 +7,10 @@ partitions below LEAST are abandoned.
 
 Before that, suffixes are routed by their leading words. A first pass counts words, a second one pairs
 of frequent words, a third one triples of frequent pairs, by sums of their hashes in a table of a fixed
-size that never counts too little; a suffix is shipped only if its first pair is frequent, and only as far
-as each next triple is frequent too. Which words, pairs and triples are frequent reaches the tasks as bit
-maps of a fixed size (``MAP_BITS``), whatever the corpus; a word that a map takes for frequent by chance
+size that never counts too little; a suffix is shipped only if its first triple is frequent, and only as far
+as each next triple is frequent too. The suffixes that end after a frequent pair are what is left of the
+pair's count when the shipped ones are taken off: no task ships them. Which words, pairs and triples are
+frequent reaches the tasks as bit maps of a fixed size (``MAP_BITS``), whatever the corpus; a word that a map takes for frequent by chance
 costs some rows and changes no count. Tasks sum equal words, pairs and suffixes before they ship them. The suffixes of a
 very common pair are routed by their third word too; the parts of the pair's own count are added up
 afterwards.
@@ -209,20 +210,31 @@ class _Sums:
         return self.size > self.held
 
 
-def pairs(docs: DataFrame, frequent: bytes) -> DataFrame:
-    """(h, f): pairs of adjacent frequent words by their hash."""
+def pairs(docs: DataFrame, frequent: bytes, least: int = LEAST) -> DataFrame:
+    """(w1, w2, h, route, f): pairs of adjacent frequent words that occur ``least`` times, their hash and the
+    route of a suffix that ends after them."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    names = ["w1", "w2", "f"]
 
     def run(batches):
-        sums = _Sums(1)
+        sums = _Sums(2)
         for h in _sequences(batches, shared.value):
             at = np.flatnonzero((h[:-1] != 0) & (h[1:] != 0))
-            sums.add(pair_hash(h[at], h[at + 1])[:, None])
+            sums.add(np.stack([h[at], h[at + 1]], 1))
             if sums.full():
-                yield from sums.batches(["h", "f"])
-        yield from sums.batches(["h", "f"])
+                yield from sums.batches(names)
+        yield from sums.batches(names)
+
+    def hashed(batches):
+        for batch in batches:
+            a, b = (batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in ("w1", "w2"))
+            h = pair_hash(a, b)
+            route = pair_hash(h, np.zeros(len(h), np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("w1"), batch.column("w2"), pa.array(h.view(np.int64)), pa.array(route.view(np.int64)), batch.column("f")],
+                                             ["w1", "w2", "h", "route", "f"])
 
-    return docs.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    counted = docs.mapInArrow(run, "w1 long, w2 long, f long").groupBy("w1", "w2").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    return counted.mapInArrow(hashed, "w1 long, w2 long, h long, route long, f long")
 
 
 def _joined(h: np.ndarray, frequent_pairs: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -280,9 +292,10 @@ def triple_map(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, least: i
 WORDS = [f"w{k}" for k in range(1, DEPTH + 1)]
 
 
-def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, frequent_triples: bytes, hot: np.ndarray) -> DataFrame:
+def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, frequent_triples: bytes, hot: np.ndarray, twos: DataFrame) -> DataFrame:
     """(route, w1 .. w5, f): suffixes that start with a frequent pair, as far as triples are frequent (then
-    0), summed, and routed by the hash of their two leading words, or three after a hot pair."""
+    0), summed, and routed by the hash of their two leading words, or three after a hot pair. Those of three
+    words and more come from the texts, those that end after a pair from the counts of ``twos``."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, frequent_pairs, frequent_triples))
     names = ["route", *WORDS, "f"]
 
@@ -291,9 +304,9 @@ def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, frequent_t
         for h in _sequences(batches, shared.value[0]):
             h, pair, joined = _joined(h, shared.value[1])
             at, triple = _triples(h, pair, joined)
+            at = at[in_map(shared.value[2], triple)]
             goes_on = np.zeros(len(h), bool)
-            goes_on[at] = in_map(shared.value[2], triple)
-            at = np.flatnonzero(joined)
+            goes_on[at] = True
             rows = np.zeros((len(at), DEPTH + 1), np.uint64)
             rows[:, 1], rows[:, 2] = h[at], h[at + 1]
             on = np.ones(len(at), bool)
@@ -307,7 +320,13 @@ def suffixes(docs: DataFrame, frequent: bytes, frequent_pairs: bytes, frequent_t
                 yield from sums.batches(names)
         yield from sums.batches(names)
 
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names)).groupBy("route", *WORDS).agg(F.sum("f").alias("f"))
+    shipped = docs.mapInArrow(run, ", ".join(f"{n} long" for n in names)).groupBy("route", *WORDS).agg(F.sum("f").alias("f"))
+    shipped = stored(shipped, "collocation-suffixes")
+    through = shipped.groupBy("w1", "w2").agg(F.sum("f").alias("through"))
+    left = F.col("f") - F.coalesce("through", F.lit(0))
+    none = [F.lit(0).cast("long").alias(w) for w in WORDS[2:]]
+    ends = twos.join(through, ["w1", "w2"], "left").select("route", "w1", "w2", *none, left.alias("f"))
+    return shipped.unionByName(ends.filter(F.col("f") > 0))
 
 
 def multikey_quicksort(rows: np.ndarray, weight: np.ndarray, least: int = LEAST, whole: int = 2) -> list[tuple[tuple, int]]:
@@ -374,10 +393,10 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
     listed = stored(words(docs), "collocation-words")
     common = listed.filter(F.col("f") >= least)
     frequent = bit_map(common.select("h"))
-    twos = stored(pairs(docs, frequent).filter(F.col("f") >= least), "collocation-pairs")
+    twos = stored(pairs(docs, frequent, least), "collocation-pairs")
     hot = twos.filter(F.col("f") >= HOT).orderBy(F.desc("f"), "h").limit(HOT_PAIRS).select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64)
     frequent_pairs = bit_map(twos.select("h"))
-    found = phrases(suffixes(docs, frequent, frequent_pairs, triple_map(docs, frequent, frequent_pairs, least), hot), least)
+    found = phrases(suffixes(docs, frequent, frequent_pairs, triple_map(docs, frequent, frequent_pairs, least), hot, twos), least)
     found = stored(found, "collocation-phrases")
 
     counts = found.unionAll(common.select(F.array("h"), "f"))
