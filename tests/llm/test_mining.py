@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tierstore.llm import collocations, hard_negatives, minhash
+from tierstore.llm import collocations, components, hard_negatives, minhash
 from tierstore.llm.ngram_join import Rule, shingle_sets
 
 SF = "/root/testdata/sf0.01"
@@ -80,6 +80,28 @@ def test_minhash_with_another_rule_and_empty_table(spark):
     assert _found(spark, []) == []
 
 
+def test_minhash_broadcasts_no_stored_table(spark, monkeypatch):
+    plans, stored = [], minhash.stored
+    joins = lambda df: [x[re.search("[A-Z]", x).start():] for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x]
+
+    def planned(df, name):
+        plans.append((name, joins(df)))
+        return stored(df, name)
+
+    monkeypatch.setattr(minhash, "stored", planned)
+    monkeypatch.setattr(components, "stored", planned)
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 10)
+    words = [f"w{i}" for i in range(150)]
+    docs = spark.createDataFrame([(k, _edited(words, k % 9, k)) for k in range(60)], "doc_id long, text string")
+    out = minhash.near_duplicates(docs)
+    assert len(out.collect()) == 60
+    links = [found for name, found in plans if name == "links"]
+    ids = [x for found in links for x in found if "LeftSemi" in x]                   # more than may be broadcast
+    star = joins(components._star(stored(docs.selectExpr("doc_id u", "doc_id - 1 v"), "pairs")))
+    for found in (links[0], dict(plans)["minhash-members"], ids, star, joins(out)):
+        assert found and all(x.startswith("SortMergeJoin") for x in found), found
+
+
 def test_estimate_is_corrected_for_chance():
     rng = np.random.default_rng(3)
     for jaccard in (0.2, 0.5, 0.85):

@@ -9,9 +9,10 @@ from .common import stored
 
 
 def _star(pairs: DataFrame) -> DataFrame:
-    """Each node u of (u, v) with the smallest node around it: (u, v, low)."""
+    """Each node u of (u, v) with the smallest node around it: (u, v, low). Joined by merge, as Spark
+    sizes the stored links by their packed files."""
     low = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
-    return pairs.join(low, "u")
+    return pairs.join(low.hint("merge"), "u")
 
 
 def _are_stars(edges: DataFrame) -> bool:

@@ -18,6 +18,10 @@ it lies: its sets meet in one task, in blocks of bounded size if it is large, wh
 across what is not linked yet are estimated and verified, and only links that join something leave
 the task. So the rows made grow with the documents, not with the pairs in a family.
 
+Tables read back from the shared folder are joined by merge: Spark sizes them by their packed files, and
+an array in them as one element, also after an explode, so it would send far more to the driver to
+broadcast than it expects. Only the ids of the sets to confirm are broadcast, up to a number of rows.
+
 Defined cases: null text and texts without words have the empty set, link with nothing and are their
 own component; fewer words than n make one n-gram; rows that share a doc_id are one node; rows
 without doc_id link with nothing, their component and ``kept`` are null; an empty table gives
@@ -34,6 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierstore.functions.broadcast import row_bounded_broadcast
+
 from .common import read, slices, spread, stored, text_key
 from .components import components
 from .ngram_join import Rule, shingle_sets
@@ -156,7 +162,7 @@ def families(classes: DataFrame) -> DataFrame:
     """(node, family) of the classes that share a band with others, directly or through others."""
     parts = classes.select(F.explode("keys").alias("key"), "node")
     hubs = parts.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top")
-    edges = parts.join(hubs.select("key", "hub"), "key").filter("node <> hub")
+    edges = parts.join(hubs.select("key", "hub").hint("merge"), "key").filter("node <> hub")
     return stored(components(edges.select(F.col("node").alias("a"), F.col("hub").alias("b"))), "minhash-families").withColumnRenamed("component", "family")
 
 
@@ -207,8 +213,7 @@ def family_links(members: DataFrame, docs: DataFrame, rule: Rule = RULE) -> Data
     """Links (a, b) of class ids that join the members of each family. Sets are made anew from one
     text of each class."""
     ids = stored(members.select(F.col("id").alias("doc_id")).distinct(), "minhash-ids")
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(row_bounded_broadcast(ids, BROADCAST_IDS), "doc_id", "left_semi")
     rows = rows.groupBy("doc_id", text_key(F.col("text")).alias("key")).agg(F.first("text").alias("text"))    # repeated rows once
 
     def build(batches):
@@ -233,7 +238,7 @@ def family_links(members: DataFrame, docs: DataFrame, rule: Rule = RULE) -> Data
         return pa.table({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
 
     grams = rows.select("doc_id", "text").mapInArrow(build, "id long, digest binary, grams binary")
-    whole = _in_blocks(members).join(grams, ["id", "digest"])
+    whole = _in_blocks(members).join(grams.hint("merge"), ["id", "digest"])
     return whole.groupBy("family", "part").applyInArrow(links, "a long, b long")
 
 
@@ -243,18 +248,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     named = profile.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "small", "large")])
                      .withColumn("node", F.xxhash64("digest")), "minhash-classes")
-    members = classes.drop("keys").join(families(classes), "node")
+    members = classes.drop("keys").join(families(classes).hint("merge"), "node")
     members = stored(members.select("family", "digest", "id", "n", "small", "large"), "minhash-members")
     links = family_links(members, docs, rule)
 
     # rows that share a doc_id are one node
-    owned = named.select("doc_id", "digest").join(classes.select("digest", "id"), "digest").select("doc_id", "id")
+    owned = named.select("doc_id", "digest").join(classes.select("digest", "id").hint("merge"), "digest").select("doc_id", "id")
     twice = owned.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("top")).filter("a <> top")
     same = owned.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b")).filter("a <> b").distinct()
     found = stored(components(links.unionAll(same)), "minhash-components")
 
-    named_class = classes.select("digest", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    rows = profile.select("doc_id", "n", "digest").join(named_class, "digest", "left")
+    named_class = classes.select("digest", "id").join(found.withColumnRenamed("node", "id").hint("merge"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    rows = profile.select("doc_id", "n", "digest").join(named_class.hint("merge"), "digest", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
