@@ -35,7 +35,7 @@ def odd(tmp_path_factory):
 
 def both(spark, folder, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         if os.path.exists(f"{folder}/{table}.parquet"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     want = con.sql(SQL[name])
